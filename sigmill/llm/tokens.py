@@ -2,20 +2,26 @@
 
 A byte-level BPE splits a text before each single space between two other non-space characters, whatever stands
 around it. A text whose words are all separated by single spaces is therefore the concatenation of its
-space-prefixed words' ids, and each distinct word goes to the library once. Any other text goes there whole.
+space-prefixed words' ids, and each distinct word, less punctuation at its end, goes to the library once. Any other
+text goes there whole.
 Strings of special tokens within a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+import string
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from ._shared import slices
+
 #: Words in each of the cache's two generations: a full new one becomes the old one, and words in use move up again.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
+#: Texts of about so many characters are looked up together.
+GROUP_CHARS = 30_000
 END_ID = 2
 
 
@@ -25,6 +31,32 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Longer words are not kept.
+LONG_WORD = 64
+
+
+def _cuts(word: str) -> list[str] | None:
+    """The word in parts that the tokenizer never joins; None if its neighbours could matter.
+
+    Single line breaks stand alone, and so does ASCII punctuation behind a Latin letter or digit, unless an apostrophe
+    leads it.
+    """
+    out = []
+    for k, line in enumerate(word.split("\n")):
+        body = line.removeprefix(" ") if not k else line
+        if not body or body[0].isspace() or body[-1].isspace():
+            return None
+        core = line.rstrip(string.punctuation)
+        last = core[-1:]
+        if k:
+            out.append("\n")
+        if len(core) < len(line) and last.isalnum() and last < "\u0250" and line[len(core)] != "'":
+            out += (core, line[len(core) :])
+        else:
+            out.append(line)
+    return out
+
+
 class Encoder:
     """ids(text): little-endian unsigned 32-bit ids. One encoder a Python worker."""
 
@@ -49,26 +81,37 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        words = text.split(" ")
-        if len(words) == 1 or not all(words) or any(w[0].isspace() or w[-1].isspace() for w in words):
-            return self._encode([text])[0]
-        words[1:] = [" " + w for w in words[1:]]
-        known = self.cache
-        found = list(map(known.get, words))
-        if None in found:
-            missing = {w: self.old.get(w) for w, x in zip(words, found, strict=True) if x is None}
-            new = [w for w, x in missing.items() if x is None]
-            missing.update(zip(new, self._encode(new), strict=True))
-            if len(known) + len(missing) > CACHE_WORDS:
-                self.old, self.cache = known, {}
-            self.cache.update({w: x for w, x in missing.items() if len(w) < 64})
-            found = [missing[w] if x is None else x for w, x in zip(words, found, strict=True)]
-        return b"".join(found)
-
-    def documents(self, texts: Iterable[str | None]) -> Iterable[np.ndarray]:
+        return self._group([text])[0]
+
+    def _group(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of a few texts; their unknown words go to the library together."""
+        if len(self.cache) > CACHE_WORDS:
+            self.old, self.cache = self.cache, {}
+        parts = [(t or "").split(" ") for t in texts]
+        for words in parts:
+            words[1:] = [" " + w for w in words[1:]]
+        missing = set().union(*parts).difference(self.cache)
+        again = {w for w in missing if w in self.old}
+        self.cache.update((w, self.old[w]) for w in again)
+        cuts = {w: c for w in missing.difference(again) if (c := _cuts(w))}
+        new = [*dict.fromkeys(x for c in cuts.values() for x in c if x not in self.cache)]
+        self.cache.update(zip(new, self._encode(new), strict=True))
+        self.cache.update((w, b"".join([self.cache[x] for x in c])) for w, c in cuts.items() if len(c) > 1)
+        out = []
+        for text, words in zip(texts, parts, strict=True):
+            try:
+                out.append(b"".join(map(self.cache.__getitem__, words)))
+            except KeyError:  # a word that is not plain: its neighbours matter
+                out.append(self._encode([text])[0] if text else b"")
+        for w in {*new, *cuts}:
+            if len(w) > LONG_WORD:
+                del self.cache[w]
+        return out
+
+    def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Each text's ids with the end id behind."""
         end = np.array([END_ID], "<u4").tobytes()
-        for text in texts:
-            yield np.frombuffer(self.ids(text) + end, "<u4")
+        texts = list(texts)
+        for a, b in slices([len(t or "") for t in texts], GROUP_CHARS):
+            for ids in self._group(texts[a:b]):
+                yield np.frombuffer(ids + end, "<u4")
