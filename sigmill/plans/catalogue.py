@@ -1,4 +1,36 @@
-"""The registered queries and their SQL."""
+"""The registered queries of the capture operators and their SQL, from one text for both engines."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import activity, clips, qa, quality, spectrum
+from ..sources import tables
+from . import dialect
+
+BINS = 512
+TEXTS: dict[str, str] = {
+    "q_channel_stats": quality.channel_stats("file_id"), "q_chunk_stats": quality.channel_stats("chunk_id"), "q_envelope_kurtosis": quality.ENVELOPE_KURTOSIS, "q_quality_score": quality.QUALITY_SCORE,
+    "q_strided_scan": quality.STRIDED_SCAN, "q_chunk_strided_scan": quality.CHUNK_STRIDED_SCAN, "q_head_scan": quality.HEAD_SCAN, "q_time_window": quality.TIME_WINDOW, "q_conventions": quality.CONVENTIONS,
+    "q_rms_dbfs": activity.RMS_DBFS, "q_slices": activity.SLICES, "q_frame_energy": activity.FRAME_ENERGY, "q_vad_segments": activity.VAD_SEGMENTS, "q_auto_vad_threshold": activity.AUTO_VAD_THRESHOLD, "q_bursts": activity.BURSTS, "q_chunk_plan": activity.CHUNK_PLAN,
+    "q_clip_energy": clips.CLIP_ENERGY, "q_clip_kurtosis": clips.CLIP_KURTOSIS, "q_clip_flatness": clips.CLIP_FLATNESS, "q_clip_psd": clips.CLIP_PSD, "q_clip_snr_bw": clips.CLIP_SNR_BW, "q_clip_cumulants": clips.CLIP_CUMULANTS, "q_clip_cfo": clips.CLIP_CFO,
+    "q_clip_channels": clips.CLIP_CHANNELS, "q_clip_normalised": clips.CLIP_NORMALISED, "q_irr_conventions": clips.IRR_CONVENTIONS, "q_best_convention": clips.BEST_CONVENTION, "q_irr_variability": clips.IRR_VARIABILITY, "q_softmax_labels": clips.SOFTMAX_LABELS,
+    "q_psd": spectrum.PSD, "q_noise_floor": spectrum.NOISE_FLOOR, "q_carriers": spectrum.CARRIERS, "q_waterfall": spectrum.WATERFALL, "q_thumbnail": spectrum.THUMBNAIL, "q_cfar_mask": spectrum.CFAR_MASK, "q_occupancy": spectrum.OCCUPANCY,
+    "q_time_activity": spectrum.TIME_ACTIVITY, "q_active_spans": spectrum.ACTIVE_SPANS, "q_sampling_sweep": spectrum.SAMPLING_SWEEP,
+    "q_qa_clean": qa.QA_CLEAN, "q_qa_review": qa.QA_REVIEW, "q_qa_conflicts": qa.QA_CONFLICTS, "q_qa_low_conf": qa.QA_LOW_CONF, "q_qa_summary": qa.QA_SUMMARY,
+    "q_batch_summary": qa.BATCH_SUMMARY, "q_pending_files": qa.PENDING_FILES, "q_file_success": qa.FILE_SUCCESS,
+}
+
+
+def _query(sql: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views = {name: tables.view(spark, sf_dir, name) for name in tables.VIEWS if "{" + name + "}" in sql}
+        return dialect.run(sql, **views, bins=spark.range(BINS).toDF("k"))
+
+    return query
+
+
+QUERIES = {name: _query(sql) for name, sql in TEXTS.items()}
+ORACLE_SQL = {name: dialect.duck(sql) for name, sql in TEXTS.items()}
