@@ -132,7 +132,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(run, STORE).write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    rows.mapInArrow(run, STORE).write.option("parquet.block.size", 16 << 20).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 from ._shared import slices
 
 #: Words in each of the cache's two generations: a full new one becomes the old one, and words in use move up again.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 #: Texts of about so many characters are looked up together.
 GROUP_CHARS = 30_000
 END_ID = 2
@@ -93,8 +93,10 @@ class Encoder:
         missing = set().union(*parts).difference(self.cache)
         again = {w for w in missing if w in self.old}
         self.cache.update((w, self.old[w]) for w in again)
-        cuts = {w: c for w in missing.difference(again) if (c := _cuts(w))}
-        new = [*dict.fromkeys(x for c in cuts.values() for x in c if x not in self.cache)]
+        missing.difference_update(again)
+        letters = [w for w in missing if w[1:].isalpha() and (w[0] == " " or w[0].isalpha())]
+        cuts = {w: c for w in missing.difference(letters) if (c := _cuts(w))}
+        new = [*letters, *{x for c in cuts.values() for x in c if x not in self.cache}.difference(letters)]
         self.cache.update(zip(new, self._encode(new), strict=True))
         self.cache.update((w, b"".join([self.cache[x] for x in c])) for w, c in cuts.items() if len(c) > 1)
         out = []
