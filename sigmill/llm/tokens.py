@@ -19,7 +19,7 @@ import numpy as np
 from ._shared import slices
 
 #: Words in each of the cache's two generations: a full new one becomes the old one, and words in use move up again.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 700_000
 #: Texts of about so many characters are looked up together.
 GROUP_CHARS = 30_000
 END_ID = 2
@@ -35,25 +35,29 @@ def default_tokenizer() -> str:
 LONG_WORD = 64
 
 
+def _plain(word: str) -> bool:
+    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+
+
 def _cuts(word: str) -> list[str] | None:
-    """The word in parts that the tokenizer never joins; None if its neighbours could matter.
+    """The cache keys of the parts of a word that the tokenizer never joins; None if its neighbours could matter.
 
     Single line breaks stand alone, and so does ASCII punctuation behind a Latin letter or digit, unless an apostrophe
     leads it.
     """
     out = []
     for k, line in enumerate(word.split("\n")):
-        body = line.removeprefix(" ") if not k else line
-        if not body or body[0].isspace() or body[-1].isspace():
+        if not _plain(line):
             return None
         core = line.rstrip(string.punctuation)
         last = core[-1:]
         if k:
-            out.append("\n")
+            out.append(" \n")
+        lead = " " if k else ""
         if len(core) < len(line) and last.isalnum() and last < "\u0250" and line[len(core)] != "'":
-            out += (core, line[len(core) :])
+            out += (lead + core, " " + line[len(core) :])
         else:
-            out.append(line)
+            out.append(lead + line)
     return out
 
 
@@ -68,6 +72,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -88,21 +93,22 @@ class Encoder:
         if len(self.cache) > CACHE_WORDS:
             self.old, self.cache = self.cache, {}
         parts = [(t or "").split(" ") for t in texts]
-        for words in parts:
-            words[1:] = [" " + w for w in words[1:]]
-        missing = set().union(*parts).difference(self.cache)
+        heads = [" " + words[0] for words in parts]
+        parts = [words[1:] for words in parts]
+        missing = set(heads).union(*parts).difference(self.cache)
         again = {w for w in missing if w in self.old}
         self.cache.update((w, self.old[w]) for w in again)
         missing.difference_update(again)
-        letters = [w for w in missing if w[1:].isalpha() and (w[0] == " " or w[0].isalpha())]
-        cuts = {w: c for w in missing.difference(letters) if (c := _cuts(w))}
-        new = [*letters, *{x for c in cuts.values() for x in c if x not in self.cache}.difference(letters)]
-        self.cache.update(zip(new, self._encode(new), strict=True))
+        letters = [w for w in missing if w.isalpha()]
+        cuts = {w: c for w in missing.difference(letters, heads) if (c := _cuts(w))}
+        new = {x for c in cuts.values() for x in c if x not in self.cache}.union(w for w in missing.intersection(heads) if _plain(w[1:]))
+        new = [*letters, *new.difference(letters)]
+        self.cache.update(zip(new, self._encode([w[1:] if w[0] == " " else " " + w for w in new]), strict=True))
         self.cache.update((w, b"".join([self.cache[x] for x in c])) for w, c in cuts.items() if len(c) > 1)
         out = []
-        for text, words in zip(texts, parts, strict=True):
+        for text, head, words in zip(texts, heads, parts, strict=True):
             try:
-                out.append(b"".join(map(self.cache.__getitem__, words)))
+                out.append(self.cache[head] + b"".join(map(self.cache.__getitem__, words)))
             except KeyError:  # a word that is not plain: its neighbours matter
                 out.append(self._encode([text])[0] if text else b"")
         for w in {*new, *cuts}:
