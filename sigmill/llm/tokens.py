@@ -19,7 +19,7 @@ import numpy as np
 from ._shared import slices
 
 #: Words in each of the cache's two generations: a full new one becomes the old one, and words in use move up again.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
 #: Texts of about so many characters are looked up together.
 GROUP_CHARS = 30_000
 END_ID = 2
@@ -116,6 +116,10 @@ class Encoder:
                 del self.cache[w]
         return out
 
+    def release(self) -> None:
+        """To be called when a task ends: workers that wait for the next one hold one generation only."""
+        self.old = {}
+
     def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Each text's ids with the end id behind."""
         end = np.array([END_ID], "<u4").tobytes()
