@@ -23,6 +23,8 @@ from ._shared import materialize
 from .tokens import Encoder, default_tokenizer
 
 CAPACITY = 1024
+#: Words in a generation of the tokenizer's cache.
+CACHE_WORDS = 600_000
 #: Search nodes after which branch and bound keeps the best packing found; every packing is whole.
 NODES = 3_000
 #: Up to so many items the search places one sequence at a time, else as many alike as the counts allow.
@@ -156,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, CACHE_WORDS)
         for batch in batches:
             rows: list[tuple] = []
             ids_of = encoder.documents(x.as_py() for x in batch.column(1))

@@ -129,7 +129,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
                     ids.clear()
         if ids:
             yield segment()
-        encoder.release()
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

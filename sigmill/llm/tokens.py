@@ -19,7 +19,7 @@ import numpy as np
 from ._shared import slices
 
 #: Words in each of the cache's two generations: a full new one becomes the old one, and words in use move up again.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
 #: Texts of about so many characters are looked up together.
 GROUP_CHARS = 30_000
 END_ID = 2
@@ -64,12 +64,13 @@ def _cuts(word: str) -> list[str] | None:
 class Encoder:
     """ids(text): little-endian unsigned 32-bit ids. One encoder a Python worker."""
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[tuple[str, int], Encoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.cache_words = cache_words
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
@@ -77,10 +78,10 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def of(cls, path: str, cache_words: int = CACHE_WORDS) -> Encoder:
+        if (path, cache_words) not in cls._made:
+            cls._made[path, cache_words] = cls(path, cache_words)
+        return cls._made[path, cache_words]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,7 +91,7 @@ class Encoder:
 
     def _group(self, texts: list[str | None]) -> list[bytes]:
         """The ids of a few texts; their unknown words go to the library together."""
-        if len(self.cache) > CACHE_WORDS:
+        if len(self.cache) > self.cache_words:
             self.old, self.cache = self.cache, {}
         parts = [(t or "").split(" ") for t in texts]
         heads = [" " + words[0] for words in parts]
@@ -117,7 +118,7 @@ class Encoder:
         return out
 
     def release(self) -> None:
-        """To be called when a task ends: workers that wait for the next one hold one generation only."""
+        """For operators whose tasks are many and short, at a task's end: waiting workers then hold one generation."""
         self.old = {}
 
     def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
