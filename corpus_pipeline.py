@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sigmill.llm import decontam, line_dedup, packing, quality, simhash
 from sigmill.llm._shared import materialize, table
 
+#: Words in a generation of the tokenizer's cache: the executors hold the memory of earlier stages too.
+CACHE_WORDS = 250_000
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labelled rows among docs."""
@@ -30,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all remaining documents and their places in sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, cache_words=CACHE_WORDS)
 
 
 STAGES = [("quality classifier", quality_filter), ("line dedup", line_filter), ("simhash near-dedup", near_duplicates), ("benchmark decontamination", decontaminate), ("best-fit packing", pack)]

@@ -153,12 +153,12 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     return best
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, piece, start, length, ids_crc32); whole documents where they fit."""
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path, CACHE_WORDS)
+        encoder = Encoder.of(path, cache_words)
         for batch in batches:
             rows: list[tuple] = []
             ids_of = encoder.documents(x.as_py() for x in batch.column(1))
@@ -187,9 +187,9 @@ def places(packing: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "times", "sequence", "offset"), table.T, strict=True))
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row for each piece."""
-    cut = materialize(pieces(docs, tokenizer, capacity), "pieces")
+    cut = materialize(pieces(docs, tokenizer, capacity, cache_words), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = places(bin_completion(counts, capacity))
     parts = 32 + max(counts.values(), default=0) // RANK_ROWS
