@@ -111,10 +111,10 @@ def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024) -> DataFr
     return with_halo(blocks.select("file_id", "block_id", "start_sample", "i", "q"), nperseg - hop).mapInPandas(run, "file_id string, t_idx long, s_db array<float>")
 
 
-def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int) -> DataFrame:
+def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int, *keep: str) -> DataFrame:
     """Samples of intervals(file_id, slice_idx, start_sample, end_sample): an equi-join on the blocks each one touches.
 
-    -> (file_id, slice_idx, block_id, at, i, q), the pieces of each interval in order of `at`.
+    -> (file_id, slice_idx, block_id, at, i, q) and the block columns named in keep, the pieces of each interval in order of `at`.
     """
     touched = F.sequence(F.expr(f"start_sample div {block_frames}"), F.expr(f"(end_sample - 1) div {block_frames}"))
     want = intervals.where("end_sample > start_sample").select("file_id", "slice_idx", F.col("start_sample").alias("s"), F.col("end_sample").alias("e"), F.explode(touched).alias("block_id"))
@@ -122,7 +122,33 @@ def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int) -> DataFrame
     first = F.greatest(F.col("s") - F.col("start_sample"), F.lit(0)).cast("int")
     last = F.least(F.col("e") - F.col("start_sample"), F.col("n")).cast("int")
     piece = lambda c: F.slice(c, first + 1, last - first).alias(c)
-    return joined.where(last > first).select("file_id", "slice_idx", "block_id", (F.col("start_sample") + first).alias("at"), piece("i"), piece("q"))
+    return joined.where(last > first).select("file_id", "slice_idx", "block_id", (F.col("start_sample") + first).alias("at"), piece("i"), piece("q"), *keep)
+
+
+def retune(blocks: DataFrame, carriers: DataFrame, target_hz: float = 1e6, taps: int = 127, passband: float = 0.40) -> DataFrame:
+    """Carriers(file_id, carrier_index, f_center_hz) at DC: mixed, low-passed, decimated to about target_hz.
+
+    -> (file_id, carrier_index, block_id, start_out, fs_hz, i, q). Blocks must hold at least (taps - 1) / 2 samples, the
+    last one of a file excepted. Phase and decimation follow the file's sample index, so block lengths do not show.
+    """
+    half = (taps - 1) // 2
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                factor = max(1, round(r.fs_hz / target_hz))
+                h = kernels.lowpass(taps, float(np.clip(passband / factor, 0.05, 0.49)))
+                parts = [kernels.complex_of(*(np.zeros(0) if v is None else np.asarray(v) for v in pair)) for pair in ((r.head_i, r.head_q), (r.i, r.q), (r.tail_i, r.tail_q))]
+                left, n = len(parts[0]), len(parts[1])
+                x = np.concatenate(parts)
+                for c in r.carriers:
+                    y = kernels.decimate(kernels.mix(x, r.start_sample - left, c["f_center_hz"], r.fs_hz), h, factor, r.start_sample, left, n)
+                    yield pd.DataFrame({"file_id": [r.file_id], "carrier_index": [c["carrier_index"]], "block_id": [r.block_id], "start_out": [-(-r.start_sample // factor)], "fs_hz": [r.fs_hz / factor], "i": [y.real.astype(np.float32)], "q": [y.imag.astype(np.float32)]})
+
+    before = blocks.select("file_id", (F.col("block_id") + 1).alias("block_id"), *(F.expr(f"slice({c}, greatest(1, n - {half - 1}), {half})").alias(f"head_{c}") for c in "iq"))
+    near = with_halo(blocks.select("file_id", "block_id", "start_sample", "n", "fs_hz", "i", "q"), half).join(before, ["file_id", "block_id"], "left")
+    wanted = carriers.groupBy("file_id").agg(F.collect_list(F.struct(F.col("carrier_index").cast("long").alias("carrier_index"), F.col("f_center_hz").cast("double").alias("f_center_hz"))).alias("carriers"))
+    return near.join(wanted, "file_id").mapInPandas(run, "file_id string, carrier_index long, block_id long, start_out long, fs_hz double, i array<float>, q array<float>")
 
 
 def classify(frames: DataFrame, classifier: Callable[[np.ndarray], np.ndarray], labels: list[str], unknown: float = 0.0) -> DataFrame:

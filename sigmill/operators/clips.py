@@ -74,3 +74,53 @@ l AS (SELECT clip_index, k, 4 * (mi * cos(k * 1.0D) + mq * sin(k * 1.0D)) + p *
 e AS (SELECT clip_index, k, exp(z - max(z) OVER (PARTITION BY clip_index)) AS x FROM l),
 s AS (SELECT clip_index, k, x / sum(x) OVER (PARTITION BY clip_index) AS p, row_number() OVER (PARTITION BY clip_index ORDER BY x DESC, k) AS rk FROM e)
 SELECT clip_index, k AS pred_idx, CASE WHEN p < 0.25 THEN 'UNKNOWN' WHEN k = 0 THEN 'am' WHEN k = 1 THEN 'fm' ELSE concat('class_', CAST(k AS STRING)) END AS pred_label, round(p, 6) AS prob_top1 FROM s WHERE rk = 1"""
+
+#: A model's input: amplitude, phase and its difference beside the normalised samples, tiled to CHANNELS channels.
+CHANNELS = 14
+ENRICHED = f"""
+WITH x AS ({CLIP_NORMALISED.strip()}),
+a AS (SELECT clip_index, n, i, q, sqrt(i * i + q * q) AS amp, atan2(q, i) AS phase FROM x),
+d AS (SELECT *, coalesce(phase - lag(phase) OVER ({_LAGS}), 0.0D) AS dphase FROM a)
+SELECT clip_index, n, k AS channel, round(CASE k % 5 WHEN 0 THEN i WHEN 1 THEN q WHEN 2 THEN amp WHEN 3 THEN phase ELSE dphase END, 6) + 0.0D AS x FROM d CROSS JOIN (SELECT k FROM {{bins}} WHERE k < {CHANNELS}) t"""
+
+WIN, HOP = 16, 8
+#: Whole frames of WIN samples, HOP apart: a sample belongs to the frames that begin in its own step and the one before.
+_FRAMES = f"""
+fr AS (SELECT clip_index, n div {HOP} - k AS frame, n - (n div {HOP} - k) * {HOP} AS m, i, q FROM {{clips}} CROSS JOIN (SELECT k FROM {{bins}} WHERE k < {WIN // HOP}) h WHERE n div {HOP} - k BETWEEN 0 AND {(N - WIN) // HOP})"""
+FRAMES_STANDARDISED = f"""
+WITH {_FRAMES.strip()},
+st AS (SELECT clip_index, frame, avg(i) AS mi, greatest(stddev_samp(i), 1e-6) AS si, avg(q) AS mq, greatest(stddev_samp(q), 1e-6) AS sq FROM fr GROUP BY clip_index, frame)
+SELECT fr.clip_index, fr.frame, m, round((i - mi) / si, 6) + 0.0D AS i, round((q - mq) / sq, 6) + 0.0D AS q FROM fr JOIN st ON fr.clip_index = st.clip_index AND fr.frame = st.frame"""
+#: Log power below and above a quarter of the one-sided bins of a short Hann spectrum, and its flatness.
+BAND_ENERGY = f"""
+WITH {_FRAMES.strip()},
+wd AS (SELECT clip_index, frame, m, i * (0.5D - 0.5D * cos({TAU} * m / {WIN})) AS u, q * (0.5D - 0.5D * cos({TAU} * m / {WIN})) AS v FROM fr),
+sp AS (SELECT clip_index, frame, k, sum(u * cos({TAU} * k * m / {WIN}) + v * sin({TAU} * k * m / {WIN})) AS re, sum(v * cos({TAU} * k * m / {WIN}) - u * sin({TAU} * k * m / {WIN})) AS im
+    FROM wd CROSS JOIN (SELECT k FROM {{bins}} WHERE k <= {WIN // 2}) b GROUP BY clip_index, frame, k),
+p AS (SELECT clip_index, k, avg(re * re + im * im) AS power FROM sp GROUP BY clip_index, k)
+SELECT clip_index, round(ln(avg(CASE WHEN k < {(WIN // 2 + 1) // 4} THEN power END) + 1e-12), 6) AS band_lo, round(ln(avg(CASE WHEN k >= {(WIN // 2 + 1) // 4} THEN power END) + 1e-12), 6) AS band_hi,
+    round(exp(avg(ln(power + 1e-12))) / (avg(power) + 1e-12), 6) AS spec_flat FROM p GROUP BY clip_index"""
+
+SHIFT_HZ, TAPS, CUTOFF, FACTOR = 4, 7, 0.2, 2
+#: SHIFT_HZ mixed to DC, a Hamming low-pass of unit gain, every FACTOR-th sample.
+RETUNED = f"""
+WITH t AS (SELECT k, CASE WHEN k = {TAPS // 2} THEN 2 * {CUTOFF}D ELSE sin({TAU} * {CUTOFF}D * (k - {TAPS // 2})) / ({TAU} / 2 * (k - {TAPS // 2})) END * (0.54D - 0.46D * cos({TAU} * k / {TAPS - 1})) AS h FROM {{bins}} WHERE k < {TAPS}),
+g AS (SELECT sum(h) AS gain FROM t),
+x AS (SELECT clip_index, n, i * cos({TAU} * {SHIFT_HZ} * n / {FS}) + q * sin({TAU} * {SHIFT_HZ} * n / {FS}) AS u, q * cos({TAU} * {SHIFT_HZ} * n / {FS}) - i * sin({TAU} * {SHIFT_HZ} * n / {FS}) AS v FROM {{clips}}),
+y AS (SELECT clip_index, n + k - {TAPS // 2} AS j, u * h / gain AS u, v * h / gain AS v FROM x CROSS JOIN t CROSS JOIN g WHERE n + k - {TAPS // 2} BETWEEN 0 AND {N - 1})
+SELECT clip_index, j div {FACTOR} AS n, round(sum(u), 6) + 0.0D AS i, round(sum(v), 6) + 0.0D AS q FROM y WHERE j % {FACTOR} = 0 GROUP BY clip_index, j div {FACTOR}"""
+
+#: Rejection as recorded beside that of the mirrored convention: the gain's verdict and the band of the better one.
+IRR_VERDICT = f"""
+WITH {_IRR.strip()}
+SELECT clip_index, round(plain, 6) AS recorded_db, round(mirrored, 6) AS corrected_db, round(mirrored - plain, 6) AS gain_db,
+    CASE WHEN mirrored - plain > 5 THEN 'significant' WHEN mirrored - plain > 1 THEN 'moderate' WHEN mirrored - plain > -1 THEN 'minimal' ELSE 'degraded' END AS verdict,
+    CASE WHEN greatest(plain, mirrored) > 30 THEN 'excellent' WHEN greatest(plain, mirrored) >= 20 THEN 'good' WHEN greatest(plain, mirrored) >= 10 THEN 'marginal' WHEN greatest(plain, mirrored) >= 5 THEN 'poor' ELSE 'very_poor' END AS band FROM r"""
+#: Two measurements of a carrier (its first and last clip) agree if the names correspond and the values lie within 3 dB.
+VERIFY_CONVENTION = f"""
+WITH {_IRR.strip()},
+v AS (SELECT carrier_index, clip_index, greatest(plain, mirrored) AS irr, plain >= mirrored AS direct FROM r),
+e AS (SELECT carrier_index, min_by(irr, clip_index) AS irr1, max_by(irr, clip_index) AS irr2, CASE WHEN min_by(direct, clip_index) THEN 'I+jQ' ELSE 'I-jQ' END AS best1, CASE WHEN max_by(direct, clip_index) THEN 'I+Q' ELSE 'I-Q' END AS best2 FROM v GROUP BY carrier_index),
+names AS (SELECT 'I+jQ' AS was, 'I+Q' AS becomes UNION ALL SELECT 'I-jQ', 'I-Q' UNION ALL SELECT 'Q+jI', 'Q+I' UNION ALL SELECT 'Q-jI', 'Q-I')
+SELECT carrier_index, best1, best2, becomes AS expected, round(irr2 - irr1, 6) AS diff_db, becomes = best2 AND abs(irr2 - irr1) < 3 AS verified, CASE WHEN becomes <> best2 THEN 'mapping' WHEN abs(irr2 - irr1) >= 3 THEN 'level' ELSE 'ok' END AS outcome
+FROM e LEFT JOIN names ON e.best1 = names.was"""

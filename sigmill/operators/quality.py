@@ -43,3 +43,20 @@ TIME_WINDOW = "SELECT file_id, n, i, q FROM {s} WHERE n >= CAST(0.25D * 1000 AS
 CONVENTIONS = """
 SELECT conv, round(avg(re), 6) + 0.0D AS mean_re, round(avg(im), 6) + 0.0D AS mean_im, round(avg(re * re + im * im), 6) AS power FROM (
     SELECT 'I+Q' AS conv, i AS re, q AS im FROM {s} UNION ALL SELECT 'I-Q', i, -q FROM {s} UNION ALL SELECT 'Q+I', q, i FROM {s} UNION ALL SELECT 'Q-I', q, -i FROM {s}) x GROUP BY conv"""
+
+SHORT_S, FS = 0.1, 1000.0
+#: The one-pass form for each chunk: a short recording and an unusual envelope are warnings without a penalty.
+CHUNK_REPORT = f"""
+WITH st AS ({channel_stats("chunk_id")}), ku AS ({ENVELOPE_KURTOSIS.strip()}),
+j AS (SELECT st.chunk_id, frames, i_nan + q_nan AS nans, i_inf + q_inf AS infs, greatest(i_clip_pct, q_clip_pct) AS clip_pct, frames / {FS}D AS duration_s, envelope_kurtosis AS kurt FROM st LEFT JOIN ku ON st.chunk_id = ku.chunk_id)
+SELECT chunk_id, frames, duration_s, CAST(greatest(0, 100 - CASE WHEN nans > 0 THEN 20 ELSE 0 END - CASE WHEN infs > 0 THEN 20 ELSE 0 END - CASE WHEN clip_pct > 5 THEN 25 WHEN clip_pct > 1 THEN 10 WHEN clip_pct > 0.1 THEN 5 ELSE 0 END) AS BIGINT) AS quality_score,
+    concat_ws('; ', CASE WHEN nans > 0 THEN 'nan' END, CASE WHEN infs > 0 THEN 'infinite' END, CASE WHEN clip_pct > 5 THEN 'severe clipping' END) AS issues,
+    concat_ws('; ', CASE WHEN clip_pct > 1 AND clip_pct <= 5 THEN 'moderate clipping' WHEN clip_pct > 0.1 AND clip_pct <= 1 THEN 'minor clipping' END, CASE WHEN kurt < 1.5 THEN 'constant envelope' WHEN kurt > 10 THEN 'variable envelope' END, CASE WHEN duration_s < {SHORT_S}D THEN 'short recording' END) AS warnings FROM j"""
+
+TARGET_S = 1.5
+#: Decimation factors to try for a long recording: odd ones first, then powers of two from 8, then nearness to the target.
+SAMPLING_CANDIDATES = f"""
+WITH t AS (SELECT file_id, count(*) AS frames, CAST(ceil(count(*) / {FS}D / {TARGET_S}D) AS BIGINT) AS base FROM {{s}} GROUP BY file_id),
+c AS (SELECT file_id, base, k AS factor, CASE WHEN k % 2 = 1 THEN 10 WHEN k IN (8, 16) THEN 5 ELSE 0 END AS priority FROM t CROSS JOIN (SELECT k FROM {{bins}} WHERE k BETWEEN 2 AND 20) b WHERE frames / {FS}D > {TARGET_S}D AND k >= greatest(2, base div 2) AND k <= least(20, base * 2)),
+o AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY priority DESC, abs(factor - base), factor) AS place FROM c)
+SELECT file_id, base, factor, CAST(priority AS BIGINT) AS priority, CAST(place AS BIGINT) AS place FROM o WHERE place <= 8"""

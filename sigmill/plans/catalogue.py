@@ -19,6 +19,8 @@ TEXTS: dict[str, str] = {
     "q_clip_channels": clips.CLIP_CHANNELS, "q_clip_normalised": clips.CLIP_NORMALISED, "q_irr_conventions": clips.IRR_CONVENTIONS, "q_best_convention": clips.BEST_CONVENTION, "q_irr_variability": clips.IRR_VARIABILITY, "q_softmax_labels": clips.SOFTMAX_LABELS,
     "q_psd": spectrum.PSD, "q_noise_floor": spectrum.NOISE_FLOOR, "q_carriers": spectrum.CARRIERS, "q_waterfall": spectrum.WATERFALL, "q_thumbnail": spectrum.THUMBNAIL, "q_cfar_mask": spectrum.CFAR_MASK, "q_occupancy": spectrum.OCCUPANCY,
     "q_time_activity": spectrum.TIME_ACTIVITY, "q_active_spans": spectrum.ACTIVE_SPANS, "q_sampling_sweep": spectrum.SAMPLING_SWEEP,
+    "q_enriched": clips.ENRICHED, "q_frames_standardised": clips.FRAMES_STANDARDISED, "q_band_energy": clips.BAND_ENERGY, "q_retuned": clips.RETUNED, "q_irr_verdict": clips.IRR_VERDICT, "q_verify_convention": clips.VERIFY_CONVENTION,
+    "q_chunk_report": quality.CHUNK_REPORT, "q_sampling_candidates": quality.SAMPLING_CANDIDATES,
     "q_qa_clean": qa.QA_CLEAN, "q_qa_review": qa.QA_REVIEW, "q_qa_conflicts": qa.QA_CONFLICTS, "q_qa_low_conf": qa.QA_LOW_CONF, "q_qa_summary": qa.QA_SUMMARY,
     "q_batch_summary": qa.BATCH_SUMMARY, "q_pending_files": qa.PENDING_FILES, "q_file_success": qa.FILE_SUCCESS,
 }

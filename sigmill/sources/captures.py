@@ -170,8 +170,17 @@ def discover(path: str) -> list[str]:
     return found
 
 
+def wav_header(frames: int, fs_hz: float) -> bytes:
+    """The 44 bytes before stereo PCM_16 samples."""
+    rate, size = int(fs_hz), 4 * frames
+    return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + size, b"WAVE", b"fmt ", 16, 1, 2, rate, rate * 4, 4, 16, b"data", size)
+
+
+def pcm16(i: np.ndarray, q: np.ndarray) -> bytes:
+    """Interleaved 16-bit samples of values in [-1, 1]; values beyond are clipped, NaN is zero."""
+    return np.clip(np.round(np.nan_to_num(np.stack([i, q], axis=1)) * 32767), -32768, 32767).astype("<i2").tobytes()
+
+
 def wav_bytes(i: np.ndarray, q: np.ndarray, fs_hz: float) -> bytes:
-    """Stereo PCM_16."""
-    x = np.clip(np.round(np.stack([i, q], axis=1) * 32767), -32768, 32767).astype("<i2").tobytes()
-    rate = int(fs_hz)
-    return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(x), b"WAVE", b"fmt ", 16, 1, 2, rate, rate * 4, 4, 16, b"data", len(x)) + x
+    """A short slice as one WAV file."""
+    return wav_header(len(i), fs_hz) + pcm16(i, q)
