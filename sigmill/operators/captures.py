@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
@@ -125,6 +125,53 @@ def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int, *keep: str)
     return joined.where(last > first).select("file_id", "slice_idx", "block_id", (F.col("start_sample") + first).alias("at"), piece("i"), piece("q"), *keep)
 
 
+def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int = 1000) -> DataFrame:
+    """(file_id, slice_idx, start_sample, end_sample, start_s, end_s, duration_ms): stretches whose running RMS exceeds the threshold.
+
+    The running RMS warms up anew in each chunk. Blocks are reduced to runs where they are read, so the windows sort runs
+    and not samples. A block must hold at least the RMS window's samples, the last one of a file excepted. NaN counts as
+    zero. The first max_slices of a file are reported.
+    """
+    count = lambda fs_hz, ms: max(1, round(fs_hz * ms / 1000))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                w, gap = count(r.fs_hz, rms_ms), int(round(r.fs_hz * gap_ms / 1000))
+                head, x = (np.abs(kernels.complex_of(np.zeros(0) if i is None else i, np.zeros(0) if q is None else q)) ** 2 for i, q in ((r.head_i, r.head_q), (r.i, r.q)))
+                head = head[max(0, len(head) - w + 1) :]
+                total = np.r_[0.0, np.cumsum(np.r_[head, x])]
+                stop = len(head) + 1 + np.arange(len(x))
+                first = np.maximum(stop - w, 0)
+                rms = np.sqrt(np.maximum(total[stop] - total[first], 0) / (stop - first))
+                on = np.flatnonzero(20 * np.log10(np.maximum(rms, 1e-12)) > thresh_dbfs)
+                cuts = np.flatnonzero(np.diff(on) - 1 > gap)
+                place = (r.file_id, r.chunk_id, r.fs_hz, r.start_sample, r.start_sample + len(x))
+                rows.append((*place, None, None))
+                if len(on):
+                    rows += [(*place, r.start_sample + int(s), r.start_sample + int(e) + 1) for s, e in zip(on[np.r_[0, cuts + 1]], on[np.r_[cuts, len(on) - 1]], strict=True)]
+            yield pd.DataFrame(rows, columns=["file_id", "chunk_id", "fs_hz", "lo", "hi", "s", "e"]).astype({"s": "Int64", "e": "Int64"})
+
+    longest = F.ceil(F.col("fs_hz") * rms_ms / 1000).cast("int")
+    before = blocks.select("file_id", "chunk_id", (F.col("block_id") + 1).alias("block_id"), *(F.slice(c, F.greatest(F.lit(1), F.col("n") - longest + 1), longest).alias(f"head_{c}") for c in "iq"))
+    near = blocks.select("file_id", "chunk_id", "block_id", "start_sample", "fs_hz", "i", "q").join(before, ["file_id", "chunk_id", "block_id"], "left")
+    runs = near.mapInPandas(run, "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long")
+
+    samples_of = lambda ms: F.round(F.col("fs_hz") * ms / 1000).cast("long")
+    chunk, file = Window.partitionBy("file_id", "chunk_id"), Window.partitionBy("file_id")
+    bounded = runs.withColumns({"lo": F.min("lo").over(chunk), "hi": F.max("hi").over(chunk)}).where("s IS NOT NULL")
+    opens = lambda last, reach: F.when(F.col("s") - last <= reach, 0).otherwise(1)
+    marked = bounded.withColumn("opens", opens(F.lag("e").over(chunk.orderBy("s")), samples_of(gap_ms)))
+    islands = marked.withColumn("island", F.sum("opens").over(chunk.orderBy("s"))).groupBy("file_id", "chunk_id", "fs_hz", "island").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    padded = islands.select("file_id", "fs_hz", F.greatest(F.col("s") - samples_of(pad_ms), "lo").alias("s"), F.least(F.col("e") + samples_of(pad_ms), "hi").alias("e")).where(F.col("e") - F.col("s") >= samples_of(min_ms))
+    order = file.orderBy("s", "e")
+    joined = padded.withColumn("opens", opens(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    slices = joined.groupBy("file_id", "fs_hz", "island").agg(F.min("s").alias("start_sample"), F.max("e").alias("end_sample")).withColumn("slice_idx", (F.row_number().over(file.orderBy("start_sample")) - 1).cast("long"))
+    seconds = lambda c: (F.col(c) / F.col("fs_hz"))
+    return slices.where(F.col("slice_idx") < max_slices).select("file_id", "slice_idx", "start_sample", "end_sample", seconds("start_sample").alias("start_s"), seconds("end_sample").alias("end_s"), ((F.col("end_sample") - F.col("start_sample")) * 1000 / F.col("fs_hz")).alias("duration_ms"))
+
+
 def retune(blocks: DataFrame, carriers: DataFrame, target_hz: float = 1e6, taps: int = 127, passband: float = 0.40) -> DataFrame:
     """Carriers(file_id, carrier_index, f_center_hz) at DC: mixed, low-passed, decimated to about target_hz.
 

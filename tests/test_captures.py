@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigmill.functions import kernels
+from sigmill.operators import activity
 from sigmill.operators import captures as ops
+from sigmill.plans import dialect
 from sigmill.sources import captures as src
 from sigmill.sources import slices
 
@@ -109,6 +111,24 @@ def test_exported_slices(spark, folder, tone, tmp_path):
         assert np.allclose(i, tone[0][a:b], atol=1e-4) and np.allclose(q, tone[1][a:b], atol=1e-4)
 
 
+def test_slices_of_blocks_equal_the_sample_query(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    for k in range(2):
+        loud = np.repeat(rng.random(500) < 0.3, rng.integers(1, 60, 500))
+        x = (rng.normal(size=(len(loud), 2)) * np.where(loud, 0.7, 0.1)[:, None]).astype("<f4")
+        x[17] = np.nan
+        (tmp_path / f"{k}.r64").write_bytes(x.tobytes())
+    src.register(spark)
+    for frames in (512, 4096):
+        blocks = spark.read.format("iqcapture").options(path=str(tmp_path), blockFrames=frames, chunkFrames=4096, fsHint=1000).load()
+        clean = ops.samples(blocks).withColumns({c: F.nanvl(c, F.lit(0.0)) for c in "iq"})
+        want = dialect.run(activity.SLICES, s=clean).orderBy("file_id", "slice_idx").collect()
+        got = ops.activity_slices(blocks, thresh_dbfs=activity.THRESH_DB).orderBy("file_id", "slice_idx").collect()
+        assert len(want) > 50 and [tuple(r)[:4] for r in got] == [tuple(r)[:4] for r in want]
+    assert ops.activity_slices(blocks, thresh_dbfs=40).count() == 0
+    assert ops.activity_slices(blocks.where("n < 0")).count() == 0
+
+
 def test_retune_brings_the_tone_to_dc(spark, folder, tone):
     carriers = spark.createDataFrame([(str(folder / "raw.r64"), 0, 1000.0), (str(folder / "raw.r64"), 1, -2000.0)], "file_id string, carrier_index long, f_center_hz double")
     h = kernels.lowpass(63, 0.1)
