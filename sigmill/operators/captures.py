@@ -95,6 +95,26 @@ def welch(blocks: DataFrame, nperseg: int = 4096, hop: int = 2048) -> DataFrame:
     return psd.select("file_id", "bin", ((F.col("bin") - nperseg // 2) * F.col("fs_hz") / nperseg).alias("f_hz"), "p", (10 * F.log10(F.greatest("p", F.lit(1e-20)))).alias("p_db"))
 
 
+def carriers(psd: DataFrame, prominence_db: float = 8) -> DataFrame:
+    """(file_id, carrier_index, f_center_hz, p_db, bw_hz, snr_db) from welch's rows: prominent peaks and their width 6 dB below.
+
+    A group is one file's spectrum, nperseg rows. Peaks less than three bins wide are left out, as the definition says.
+    """
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("bin")
+        f, db = group["f_hz"].to_numpy(), group["p_db"].to_numpy()
+        rows = []
+        for p in kernels.peaks(db, prominence_db):
+            low = np.flatnonzero(db <= db[p] - 6)
+            left, right = low[low < p].max(initial=0), low[low > p].min(initial=len(db) - 1)
+            if right - left >= 3:
+                rows.append((group["file_id"].iat[0], len(rows), f[p], db[p], (right - left) * (f[1] - f[0]), db[p] - np.median(db)))
+        return pd.DataFrame(rows, columns=["file_id", "carrier_index", "f_center_hz", "p_db", "bw_hz", "snr_db"])
+
+    return psd.select("file_id", "bin", "f_hz", "p_db").groupBy("file_id").applyInPandas(run, "file_id string, carrier_index long, f_center_hz double, p_db double, bw_hz double, snr_db double")
+
+
 def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024) -> DataFrame:
     """(file_id, t_idx, s_db array): STFT columns of all blocks; frames that cross a border use the halo."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sigmill.functions import kernels
 from sigmill.operators import activity
 from sigmill.operators import captures as ops
-from sigmill.plans import dialect
+from sigmill.plans import dialect, report
 from sigmill.sources import captures as src
 from sigmill.sources import slices
 
@@ -169,3 +169,20 @@ def test_classifier(spark):
 
 def test_samples_view(spark, folder):
     assert ops.samples(load(spark, folder / "raw.r64")).agg(F.count("*"), F.max("n")).first()[:] == (N, N - 1)
+
+
+def test_report(spark, tone, tmp_path):
+    (tmp_path / "in").mkdir()
+    i, q = tone
+    x = (i + 1j * q) * (1 + np.exp(2j * np.pi * 2 * FS / 1024 / FS * np.arange(N))) / 2  # two bins apart: a pure tone is too narrow for a carrier
+    (tmp_path / "in" / "a.r64").write_bytes(np.stack([x.real, x.imag], axis=1).astype("<f4").tobytes())
+    out, run = str(tmp_path / "out"), lambda **kw: report.analyse(spark, str(tmp_path / "in"), str(tmp_path / "out"), "hybrid", 8192, audio=True, fsHint=FS, **kw)
+    run()
+    (tmp_path / "in" / "b.wav").write_bytes(wav(x.real, x.imag, 2))
+    run(resume=True)
+    quality = spark.read.json(f"{out}/quality")
+    assert quality.count() == 2 and quality.where("best = 'I+Q' AND frames = 50000").count() == 2
+    found = spark.read.csv(f"{out}/carriers", header=True, inferSchema=True)
+    assert found.count() == 2 and {r["f_center_hz"] for r in found.collect()} <= {1000.0, 1015.625}
+    assert spark.read.csv(f"{out}/slices", header=True).count() == 2 and len(list((tmp_path / "out" / "audio").iterdir())) == 2
+    assert spark.read.json(f"{out}/progress").count() == 2
