@@ -12,6 +12,8 @@
    gathers a hot bucket and no pair is missed.
 6. The forests are merged by `connected_components`.
 
+`drop_near_duplicates` takes the groups of this search as candidates and keeps what `jaccard` verifies.
+
 Nulls: a null text counts as empty; a text without words has fingerprint zero and is linked like any other. Rows with
 a null doc_id keep their row, linked through their fingerprint; a component without any doc_id is null.
 Repeated rows stay repeated.
@@ -29,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import jaccard
 from ._shared import LOWER, UPPER, materialize, slices
 from .components import connected_components
 
@@ -47,6 +50,8 @@ class Plan:
     shingle: int
     words: int
     radius: int
+    #: Each shingle of a text votes once, however often it occurs.
+    distinct: bool = False
 
 
 #: Three-word shingles and three bits: exact.
@@ -54,6 +59,9 @@ NARROW = Plan(3, 1, 3)
 #: Five-word shingles, 512 bits, 64 blocks. Two texts of Jaccard similarity 0.8 differ in 78 bits on average (standard
 #: deviation 8) and share a block with probability 0.99 (0.9: over 0.9999). Unrelated texts differ in about 256.
 WIDE = Plan(5, 8, 92)
+#: Candidates for exact verification at similarity 0.8: as WIDE, over shingle sets, with a radius four standard deviations
+#: above the mean there.
+CANDIDATES = Plan(5, 8, 110, distinct=True)
 
 
 def shingles(text: str | None, k: int) -> list[bytes]:
@@ -74,11 +82,21 @@ def _mixed(h: np.ndarray, j: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def shingle_hashes(text: str | None, plan: Plan) -> np.ndarray:
+    """XXH64 of a text's shingles; sorted and distinct where the plan says so."""
+    s = shingles(text, plan.shingle)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, s, repeat(42)), np.uint64, len(s))
+    return np.unique(hashes) if plan.distinct else hashes
+
+
 def fingerprints(texts: list[str | None], plan: Plan) -> np.ndarray:
     """(len(texts), plan.words) uint64; a bit is set if it is set in over half of the text's shingle hashes."""
-    hashes = [np.fromiter(map(xxhash.xxh64_intdigest, s, repeat(42)), np.uint64, len(s)) for s in (shingles(t, plan.shingle) for t in texts)]
+    return _votes([shingle_hashes(t, plan) for t in texts], plan)
+
+
+def _votes(hashes: list[np.ndarray], plan: Plan) -> np.ndarray:
     counts = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros((len(texts), plan.words), np.uint64)
+    out = np.zeros((len(hashes), plan.words), np.uint64)
     some = np.flatnonzero(counts)
     if not len(some):
         return out
@@ -269,7 +287,62 @@ def near_duplicates(docs: DataFrame, plan: Plan = NARROW) -> DataFrame:
     return prints.join(materialize(named, "components"), names, "left").select("doc_id", *names, "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, plan: Plan = WIDE) -> DataFrame:
-    """docs without the rows whose component has a smaller doc_id. Equal doc_ids all stay; so do null ones."""
-    gone = near_duplicates(docs, plan).where("doc_id <> component_id").select("doc_id").distinct()
+def _set_digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
+
+
+def with_set_prints(docs: DataFrame, plan: Plan) -> DataFrame:
+    """docs(doc_id, text) -> (doc_id, digest, n_hashes, f0, f1, ...): a digest of the shingle set beside its fingerprint."""
+    names = [f"f{j}" for j in range(plan.words)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in slices([len(t or "") for t in texts], 2_000_000):
+                hashes = [shingle_hashes(t, plan) for t in texts[a:b]]
+                f = _votes(hashes, plan).view(np.int64)
+                head = [batch.column(0).slice(a, b - a), pa.array(list(map(_set_digest, hashes)), pa.binary()), pa.array(list(map(len, hashes)), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*head, *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", "digest", "n_hashes", *names])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest binary, n_hashes long, " + ", ".join(f"{x} long" for x in names))
+
+
+def _with_sets(members: DataFrame, plan: Plan) -> DataFrame:
+    """members(grp, parts, node, digest, text) -> (grp, parts, node, hashes) of the texts that have the digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, jaccard.ROWS):
+                part = batch.slice(a, jaccard.ROWS)
+                hashes = [shingle_hashes(t, plan) for t in part.column(4).to_pylist()]
+                keep = [k for k, (h, d) in enumerate(zip(hashes, part.column(3).to_pylist(), strict=True)) if _set_digest(h) == d]
+                sets = pa.array([hashes[k].astype("<u8").tobytes() for k in keep], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(keep, pa.int64())) for c in range(3)), sets], ["grp", "parts", "node", "hashes"])
+
+    return members.select("grp", "parts", "node", "digest", "text").mapInArrow(run, "grp long, parts long, node long, hashes binary")
+
+
+def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
+    """docs with doc_id and text -> (doc_id, component_id): groups chained by pairs of similarity 0.8 or more.
+
+    Equal shingle sets are one node. The bit-sliced search only proposes groups; `jaccard.links` compares the shingle
+    sets within each, so no pair below the similarity links, and a pair is missed only if its two texts share no group.
+    """
+    names = [f"f{j}" for j in range(plan.words)]
+    prints = materialize(with_set_prints(docs, plan), "set-prints")
+    nodes = prints.groupBy("digest", "n_hashes", *names).agg(F.min("doc_id").alias("node")).where("node is not null")
+    nodes = materialize(nodes, "set-nodes")
+    grouped = connected_components(_links(nodes.select("node", *names), plan)).select(F.col("node").alias("_n"), F.col("root").alias("grp"))
+    members = materialize(nodes.join(grouped, nodes["node"] == grouped["_n"]).select("grp", "node", "digest", "n_hashes"), "members")
+    members = members.join(jaccard.parts(members), "grp")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
+    sets = _with_sets(texts.join(members, F.col("_doc") == F.col("node")), plan)
+    roots = connected_components(jaccard.links(sets)).select(F.col("node").alias("_n"), "root")
+    named = nodes.join(roots, nodes["node"] == roots["_n"], "left").select("digest", F.coalesce("root", "node").alias("component_id"))
+    return prints.join(materialize(named, "components"), "digest", "left").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
+    """docs without the rows whose group has a smaller doc_id. Equal doc_ids all stay; so do null ones."""
+    gone = verified_duplicates(docs, plan).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

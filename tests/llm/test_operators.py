@@ -9,8 +9,9 @@ import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
-from sigmill.llm import chat, decontam, line_dedup, media, packing, quality, secrets, simhash, token_store, tokens, url_filter
+from sigmill.llm import chat, decontam, jaccard, line_dedup, media, packing, quality, secrets, simhash, token_store, tokens, url_filter
 from sigmill.llm import queries as llm
 from sigmill.llm.byteconv import ByteConvNet
 from sigmill.llm.components import connected_components
@@ -146,6 +147,69 @@ def test_wide_plan_finds_similar_texts(spark, docs):
     assert not any(roots[a] == roots[b] for a, b, s in pairs if s < 0.3)
 
 
+def similar_texts(seed, least, most, variants):
+    """Groups of a base text and copies with some words replaced, to five-word similarities between least and most."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(6):
+        base = [f"w{x}" for x in rng.integers(0, 1 << 30, int(rng.integers(60, 300)))]
+        out.append(" ".join(base))
+        grams = set(simhash.shingles(out[-1], 5))
+        made = 0
+        while made < variants:
+            words = list(base)
+            for k in rng.choice(len(words), int(rng.integers(1, len(words) // 12)), replace=False):
+                words[k] = f"v{rng.integers(0, 1 << 30)}"
+            other = set(simhash.shingles(" ".join(words), 5))
+            if least <= len(grams & other) / len(grams | other) <= most:
+                out.append(" ".join(words))
+                made += 1
+    return out
+
+
+def jaccard_groups(texts):
+    grams = [set(simhash.shingles(t, 5)) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if grams[i] == grams[j] or 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    return root
+
+
+def test_near_copies_are_verified(spark, monkeypatch):
+    """Pairs below 0.8 never link, whatever their fingerprints; repeated shingles count once."""
+    texts = similar_texts(1, 0.65, 0.795, 8) + similar_texts(2, 0.86, 1, 8)
+    texts += [" ".join(f"h{k}" for k in range(40)) + " same old line of five words" * n for n in (1, 60)]
+    texts += ["again and again and again " * 50 + tail for tail in ("one two three four five six seven", "eight nine ten eleven twelve thirteen")] + ["", " \n", None]
+    expected = jaccard_groups(texts)
+    table = spark.createDataFrame([*enumerate(texts), (None, texts[0])], "doc_id long, text string")
+    for cut in (False, True):
+        if cut:
+            monkeypatch.setattr(jaccard, "MAX_SETS", 3)
+        left = Counter(r["doc_id"] for r in simhash.drop_near_duplicates(table).collect())
+        assert left == Counter([*(i for i, r in enumerate(expected) if i == r), None])
+
+
+def test_sets_are_linked_exactly():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        sets = [np.unique(rng.integers(0, rng.integers(8, 30), rng.integers(0, 25))).astype(np.uint64) for _ in range(40)]
+        expected = list(range(40))
+        for i in range(40):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if both and 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = expected[i], expected[j]
+                    expected = [min(a, b) if x in (a, b) else x for x in expected]
+        got = jaccard.linked(sets).tolist()
+        least = {}
+        for i, r in enumerate(got):
+            least.setdefault(r, i)
+        assert [least[r] for r in got] == expected
+
+
 # 3 decontamination
 
 
