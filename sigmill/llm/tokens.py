@@ -4,7 +4,7 @@ A byte-level BPE splits a text before each single space between two other non-sp
 around it. A text whose words are all separated by single spaces is therefore the concatenation of its
 space-prefixed words' ids, and each distinct word, less punctuation at its end, goes to the library once. Any other
 text goes there whole.
-Strings of special tokens within a text are ordinary text.
+A text that holds the content of an added token goes there whole too.
 """
 
 from __future__ import annotations
@@ -72,7 +72,8 @@ class Encoder:
 
         self.cache_words = cache_words
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        #: Texts with one of these go to the library whole: it cuts them out before it splits words.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -93,7 +94,8 @@ class Encoder:
         """The ids of a few texts; their unknown words go to the library together."""
         if len(self.cache) > self.cache_words:
             self.old, self.cache = self.cache, {}
-        parts = [(t or "").split(" ") for t in texts]
+        whole = [t is not None and any(a in t for a in self.added) for t in texts]
+        parts = [("" if w else t or "").split(" ") for t, w in zip(texts, whole, strict=True)]
         heads = [" " + words[0] for words in parts]
         parts = [words[1:] for words in parts]
         missing = set(heads).union(*parts).difference(self.cache)
@@ -107,7 +109,10 @@ class Encoder:
         self.cache.update(zip(new, self._encode([w[1:] if w[0] == " " else " " + w for w in new]), strict=True))
         self.cache.update((w, b"".join([self.cache[x] for x in c])) for w, c in cuts.items() if len(c) > 1)
         out = []
-        for text, head, words in zip(texts, heads, parts, strict=True):
+        for text, alone, head, words in zip(texts, whole, heads, parts, strict=True):
+            if alone:
+                out.append(self._encode([text])[0])
+                continue
             try:
                 out.append(self.cache[head] + b"".join(map(self.cache.__getitem__, words)))
             except KeyError:  # a word that is not plain: its neighbours matter

@@ -427,6 +427,15 @@ def test_cached_words_give_the_library_s_ids():
         assert encoder.ids(text) == np.array(encoder.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_special_tokens_in_a_text_are_the_library_s():
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    assert np.frombuffer(encoder.ids("hello <|endoftext|> world"), "<u4").tolist() == [31373, 220, 50256, 995]
+    texts = ["<|endoftext|>", "a<|endoftext|>b", "a <|endoftext|> b <|endoftext|>", "<|endoftext|", "plain words only", "x\n<|endoftext|>\ny", None]
+    found = [x.tolist() for x in encoder.documents(texts)]
+    assert found == [[*library.encode(t or "", add_special_tokens=False).ids, tokens.END_ID] for t in texts]
+
+
 # 10 secrets
 
 
