@@ -5,7 +5,7 @@ Running sums are differenced instead of sliding a frame, and every window is par
 
 from __future__ import annotations
 
-RMS_WIN, THRESH_DB, MIN_DUR, GAP, PAD, MAX_SLICES = 5, -4.0, 5, 3, 2, 1000
+RMS_WIN, THRESH_DB, MIN_DUR, GAP, PAD = 5, -4.0, 5, 3, 2
 FRAME, STRIDE = 64, 32
 
 
@@ -29,7 +29,7 @@ m AS (SELECT *, CASE WHEN s0 <= max(e0) OVER (PARTITION BY file_id ORDER BY s0,
 u AS (SELECT *, sum(opens) OVER (PARTITION BY file_id ORDER BY s0, e0 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM m),
 o AS (SELECT file_id, min(s0) AS start_sample, max(e0) AS end_sample FROM u GROUP BY file_id, island),
 x AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY start_sample) - 1 AS slice_idx FROM o)
-SELECT file_id, CAST(slice_idx AS BIGINT) AS slice_idx, start_sample, end_sample, round(start_sample / 1000.0D, 6) AS start_s, round(end_sample / 1000.0D, 6) AS end_s, round((end_sample - start_sample) * 1.0D, 6) AS duration_ms FROM x WHERE slice_idx < {MAX_SLICES}"""
+SELECT file_id, CAST(slice_idx AS BIGINT) AS slice_idx, start_sample, end_sample, round(start_sample / 1000.0D, 6) AS start_s, round(end_sample / 1000.0D, 6) AS end_s, round((end_sample - start_sample) * 1.0D, 6) AS duration_ms FROM x"""
 
 _ENERGY = f"""
 f AS (SELECT file_id, n div {STRIDE} AS half, sum(i * i + q * q) AS p, count(*) AS c FROM {{s}} GROUP BY file_id, n div {STRIDE}),

@@ -145,12 +145,12 @@ def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int, *keep: str)
     return joined.where(last > first).select("file_id", "slice_idx", "block_id", (F.col("start_sample") + first).alias("at"), piece("i"), piece("q"), *keep)
 
 
-def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int = 1000) -> DataFrame:
+def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int | None = None) -> DataFrame:
     """(file_id, slice_idx, start_sample, end_sample, start_s, end_s, duration_ms): stretches whose running RMS exceeds the threshold.
 
     The running RMS warms up anew in each chunk. Blocks are reduced to runs where they are read, so the windows sort runs
     and not samples. A block must hold at least the RMS window's samples, the last one of a file excepted. NaN counts as
-    zero. The first max_slices of a file are reported.
+    zero. All slices of a file are reported, or its first max_slices.
     """
     count = lambda fs_hz, ms: max(1, round(fs_hz * ms / 1000))
 
@@ -189,7 +189,9 @@ def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -
     joined = padded.withColumn("opens", opens(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     slices = joined.groupBy("file_id", "fs_hz", "island").agg(F.min("s").alias("start_sample"), F.max("e").alias("end_sample")).withColumn("slice_idx", (F.row_number().over(file.orderBy("start_sample")) - 1).cast("long"))
     seconds = lambda c: (F.col(c) / F.col("fs_hz"))
-    return slices.where(F.col("slice_idx") < max_slices).select("file_id", "slice_idx", "start_sample", "end_sample", seconds("start_sample").alias("start_s"), seconds("end_sample").alias("end_s"), ((F.col("end_sample") - F.col("start_sample")) * 1000 / F.col("fs_hz")).alias("duration_ms"))
+    if max_slices is not None:
+        slices = slices.where(F.col("slice_idx") < max_slices)
+    return slices.select("file_id", "slice_idx", "start_sample", "end_sample", seconds("start_sample").alias("start_s"), seconds("end_sample").alias("end_s"), ((F.col("end_sample") - F.col("start_sample")) * 1000 / F.col("fs_hz")).alias("duration_ms"))
 
 
 def retune(blocks: DataFrame, carriers: DataFrame, target_hz: float = 1e6, taps: int = 127, passband: float = 0.40) -> DataFrame:

@@ -15,7 +15,7 @@ def _done(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("file_id string").json(f"{folder}/progress")
 
 
-def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, **source) -> None:
+def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, max_slices: int | None = None, **source) -> None:
     """Each table is appended by one Spark job over all captures of path; source holds further options of `iqcapture`.
 
     The table `progress` names finished captures. With resume, those are left out by an anti-join; a run that was cut
@@ -32,7 +32,7 @@ def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard
     psd = spark.read.parquet(f"{folder}/psd")
     psd = psd.join(_done(spark, folder), "file_id", "left_anti") if resume else psd
     ops.carriers(psd, options["prominence_db"]).write.mode("append").csv(f"{folder}/carriers", header=True)
-    found = ops.activity_slices(blocks, thresh_dbfs=thresh_dbfs)
+    found = ops.activity_slices(blocks, thresh_dbfs=thresh_dbfs, max_slices=max_slices)
     found.write.mode("append").csv(f"{folder}/slices", header=True)
     if audio:
         slices.register(spark)

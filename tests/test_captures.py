@@ -129,6 +129,16 @@ def test_slices_of_blocks_equal_the_sample_query(spark, tmp_path):
     assert ops.activity_slices(blocks.where("n < 0")).count() == 0
 
 
+def test_all_slices_of_a_busy_capture(spark, tmp_path):
+    loud = np.tile(np.repeat([1.0, 0.0], 30), 1100)
+    (tmp_path / "busy.r64").write_bytes(np.stack([loud, loud], axis=1).astype("<f4").tobytes())
+    src.register(spark)
+    blocks = spark.read.format("iqcapture").options(path=str(tmp_path), blockFrames=4096, fsHint=1000).load()
+    assert ops.activity_slices(blocks, thresh_dbfs=activity.THRESH_DB).count() == 1100
+    assert ops.activity_slices(blocks, thresh_dbfs=activity.THRESH_DB, max_slices=10).count() == 10
+    assert dialect.run(activity.SLICES, s=ops.samples(blocks)).count() == 1100
+
+
 def test_retune_brings_the_tone_to_dc(spark, folder, tone):
     carriers = spark.createDataFrame([(str(folder / "raw.r64"), 0, 1000.0), (str(folder / "raw.r64"), 1, -2000.0)], "file_id string, carrier_index long, f_center_hz double")
     h = kernels.lowpass(63, 0.1)
