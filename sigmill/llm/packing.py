@@ -25,10 +25,8 @@ from .tokens import Encoder, default_tokenizer
 CAPACITY = 1024
 #: Words in a generation of the tokenizer's cache.
 CACHE_WORDS = 600_000
-#: Search nodes after which branch and bound keeps the best packing found; every packing is whole.
-NODES = 3_000
-#: Up to so many items the search places one sequence at a time, else as many alike as the counts allow.
-EXACT_ITEMS = 60
+#: Steps after which branch and bound keeps the best packing found (None: never); whatever it is, every packing is whole.
+NODES = 20_000
 #: Rows of one length that are ranked together, about.
 RANK_ROWS = 100_000
 
@@ -69,11 +67,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(p, n) for (_, p), n in open_.items()]
 
 
-def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, Pattern]]:
-    """(sum, filling) of undominated fillings of `room` that leave `waste` at most, fullest first, large items first.
+def fillings(counts: dict[int, int], room: int, least: int, most: int) -> Iterator[tuple[int, Pattern]]:
+    """(waste, filling) of the undominated fillings of `room` that waste `least` to `most`, those of large items first.
 
     Dominated: another item still fits, or one item can be exchanged for a larger one that fits.
     """
+    most = min(most, room)
+    if least > most:
+        return
     sizes = sorted((s for s, n in counts.items() if n and s <= room), reverse=True)
     mask = (1 << room + 1) - 1
     reach = [1] * (len(sizes) + 1)  # bit t of reach[k]: sizes[k:] can add up to t
@@ -85,72 +86,116 @@ def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[in
             n, step = n - step, step * 2
         reach[k] = r
 
-    def of(total: int, k: int) -> Iterator[Pattern]:
-        if not total:
-            yield ()
-        elif k < len(sizes):
-            s = sizes[k]
-            for m in range(min(counts[s], total // s), -1, -1):
-                if reach[k + 1] >> total - m * s & 1:
-                    for rest in of(total - m * s, k + 1):
-                        yield (((s, m), *rest) if m else rest)
-
-    for total in range(room, max(-1, room - waste - 1), -1):
-        if reach[0] >> total & 1:
-            slack = room - total
-            for filling in of(total, 0):
-                used = dict(filling)
-                spare = [s for s in sizes if counts[s] > used.get(s, 0)] if slack else []
-                if not any(t <= slack or any(s < t <= s + slack for s in used) for t in spare):
-                    yield total, filling
-
-
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
-    """Patterns ((size, times), ...) and how many sequences have each; they hold all items of counts {size: n}."""
-    counts = {s: n for s, n in counts.items() if n}
-    total, bound = sum(s * n for s, n in counts.items()), lower_bound(counts, capacity)
-    best = best_fit(counts, capacity)
-    fewest = sum(n for _, n in best)
-    exact = sum(counts.values()) <= EXACT_ITEMS
-
-    def branches(left: dict[int, int], wasted: int):
+    def possible(k: int, left: int) -> bool:
+        """Whether sizes[k:] can bring what is left of the room down to least..most."""
+        low = max(0, left - most)
+        return left >= least and bool(reach[k] >> low & (1 << left - least - low + 1) - 1)
+
+    def of(left: int, k: int) -> Iterator[tuple[int, Pattern]]:
+        if k == len(sizes) or left < sizes[-1]:
+            if least <= left <= most:
+                yield left, ()
+            return
+        s = sizes[k]
+        for m in range(min(counts[s], left // s), -1, -1):
+            if possible(k + 1, left - m * s):
+                for slack, rest in of(left - m * s, k + 1):
+                    yield slack, (((s, m), *rest) if m else rest)
+
+    for slack, filling in of(room, 0) if possible(0, room) else ():
+        used = dict(filling)
+        spare = [s for s in sizes if counts[s] > used.get(s, 0)] if slack else []
+        if not any(t <= slack or any(s < t <= s + slack for s in used) for t in spare):
+            yield slack, filling
+
+
+class Search:
+    """Depth first over counts: each step fills around the largest item left and takes as many sequences alike as there are.
+
+    A sequence that wastes `slack` at most counts as full, and of such ones those of few large items come first; the
+    rest follow by waste. Departing from the first choice of a step costs one of a path's `departures`. With as many
+    departures as steps the search is complete: every number of copies down to one is tried.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int, nodes: int | None):
+        self.counts, self.capacity, self.nodes = counts, capacity, nodes
+        self.total, self.bound = sum(s * n for s, n in counts.items()), lower_bound(counts, capacity)
+        self.best = best_fit(counts, capacity)
+        self.fewest = sum(n for _, n in self.best)
+
+    @property
+    def allowed(self) -> int:
+        """What a packing that beats the best may waste in all."""
+        return (self.fewest - 1) * self.capacity - self.total
+
+    @property
+    def over(self) -> bool:
+        return self.fewest <= self.bound or self.nodes is not None and self.nodes <= 0
+
+    def _branches(self, left: dict[int, int], wasted: int, slack: int) -> Iterator[tuple[Pattern, int, int]]:
         size = max(left)
         own = left | {size: left[size] - 1}
-        for filled, filling in fillings(own, capacity - size, (fewest - 1) * capacity - total - wasted):
-            pattern = tuple((Counter(dict(filling)) + Counter({size: 1})).items())
-            copies = 1 if exact else min(left[s] // m for s, m in pattern)
-            yield pattern, copies, (capacity - size - filled) * copies
-
-    # one frame for each sequence (or run of sequences alike) chosen so far
-    stack: list = [[dict(counts), 0, 0, None, None]] if counts and fewest > bound else []
-    tried, first = 0, True
-    while stack and fewest > bound and (first or tried < nodes):
-        left, wasted, bins, todo, _ = stack[-1]
-        if not left:
-            first = False
-            if bins < fewest:
-                fewest, best = bins, [f[4] for f in stack[:-1]]
-            stack.pop()
-            continue
-        if todo is None:
-            todo = stack[-1][3] = branches(left, wasted)
-        step = next(todo, None)
-        if step is None:
-            first = False
-            stack.pop()
-            continue
-        tried += 1
-        pattern, copies, more = step
-        if wasted + more > (fewest - 1) * capacity - total:
-            continue
-        rest = dict(left)
-        for s, m in pattern:
-            rest[s] -= m * copies
-            if not rest[s]:
-                del rest[s]
-        stack[-1][4] = (pattern, copies)
-        stack.append([rest, wasted + more, bins + copies, None, None])
-    return best
+        low, high, room = 0, slack, self.capacity - size
+        while low <= min(room, self.allowed - wasted):
+            for waste, filling in fillings(own, room, low, min(high, self.allowed - wasted)):
+                pattern = tuple((Counter(dict(filling)) + Counter({size: 1})).items())
+                for copies in range(min(left[s] // m for s, m in pattern), 0, -1):
+                    yield pattern, copies, waste * copies
+            low, high = high + 1, 2 * high + 1
+
+    def run(self, slack: int, departures: int) -> bool:
+        """Search all paths of so many departures; True if none was left out for want of departures or nodes."""
+        whole, chosen = True, []
+        stack: list = [(dict(self.counts), 0, 0, departures, self._branches(self.counts, 0, slack), True)] if self.counts else []
+        while stack:
+            if self.over:
+                return False
+            left, wasted, bins, spare, todo, first = stack[-1]
+            step = next(todo, None)
+            if step is not None and not first and not spare:
+                whole, step = False, None
+            if step is None:
+                stack.pop()
+                chosen = chosen[: max(0, len(stack) - 1)]
+                continue
+            stack[-1] = (left, wasted, bins, spare, todo, False)
+            if self.nodes is not None:
+                self.nodes -= 1
+            pattern, copies, more = step
+            if wasted + more > self.allowed:
+                continue
+            rest = dict(left)
+            for s, m in pattern:
+                rest[s] -= m * copies
+                if not rest[s]:
+                    del rest[s]
+            chosen = [*chosen[: len(stack) - 1], (pattern, copies)]
+            if rest:
+                stack.append((rest, wasted + more, bins + copies, spare - (not first), self._branches(rest, wasted + more, slack), True))
+            elif bins + copies < self.fewest:
+                self.fewest, self.best = bins + copies, chosen
+        return whole
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES) -> list[tuple[Pattern, int]]:
+    """Patterns ((size, times), ...) and how many sequences have each; they hold all items of counts {size: n}.
+
+    Best fit gives the first incumbent. Branch and bound dives once for each slack up to a 64th of the capacity, then
+    searches with 1, 2, 4, ... departures from the first choices. It ends with the lower bound met, with nothing left to
+    search (both: no packing has fewer sequences), or after `nodes` steps; nodes=None sets no limit: the exact way.
+    """
+    search = Search({s: n for s, n in counts.items() if n}, capacity, nodes)
+    found = {}
+    for slack in range(capacity // 64 + 1):
+        if search.over:
+            break
+        before = search.fewest
+        search.run(slack, 0)
+        found[slack] = search.fewest < before
+    best, departures = max((k for k, better in found.items() if better), default=0), 1
+    while not search.over and not search.run(best, departures):
+        departures *= 2
+    return search.best
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
@@ -187,11 +232,11 @@ def places(packing: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "times", "sequence", "offset"), table.T, strict=True))
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS, nodes: int | None = NODES) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row for each piece."""
     cut = materialize(pieces(docs, tokenizer, capacity, cache_words), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    table = places(bin_completion(counts, capacity))
+    table = places(bin_completion(counts, capacity, nodes))
     parts = 32 + max(counts.values(), default=0) // RANK_ROWS
 
     cut = cut.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
