@@ -1,9 +1,10 @@
 """Quality classifier: a byte-level convolutional network, trained on labelled rows, over whole texts.
 
-Only labelled rows outside the held-out fold (crc32 of the doc_id's digits mod 5 = 0) are learned from: the `TRAIN_ROWS`
-with the smallest hash of doc_id, each by at most `TRAIN_CHUNKS` chunks spread over its text. Scoring reads every byte
-of every text and uses nothing else. Null and empty texts get the score of an empty text. Without labelled rows every
-score is 0.5. Repeated rows are scored each.
+Only labelled rows outside the held-out fold (crc32 of the doc_id's digits mod 5 = 0) are learned from: those with the
+smallest hash of doc_id, `TRAIN_ROWS` at most, and fewer where their whole texts together exceed `TRAIN_BYTES`. Every
+byte of a kept row's text is trained on, and every byte of every text is scored; scoring uses nothing else. Null and
+empty texts get the score of an empty text. Without labelled rows every score is 0.5. Of rows with one doc_id the
+smallest text is learned from; a doc_id with both labels counts for both. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import slices
 from .byteconv import ByteConvNet
 
 TRAIN_ROWS = 2_400
-TRAIN_CHUNKS = 12
+TRAIN_BYTES = 16_000_000
 CHUNK, STRIDE = 512, 448
 THRESHOLD = 0.3
 
@@ -29,21 +30,23 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chunks: int = TRAIN_CHUNKS) -> ByteConvNet:
-    """At most rows * chunks * CHUNK bytes of text come to the driver."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """(doc_id, quality, text as bytes) of the rows to learn from: the first by hash whose texts add up to most_bytes at most."""
     some = labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).distinct()
-    some = some.withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id", "quality").limit(rows)
-    raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    n = F.greatest(F.lit(1), F.ceil((F.octet_length("raw") - (CHUNK - STRIDE)) / STRIDE)).cast("int")
-    kept = F.transform(F.sequence(F.lit(0), F.least("n", F.lit(chunks)) - 1), lambda k: F.floor(k * F.col("n") / F.least("n", F.lit(chunks))))
-    text = docs.select(F.col("doc_id").alias("_id"), raw.alias("raw")).withColumn("n", n)
-    text = text.select("_id", F.transform(kept, lambda k: F.substring("raw", k.cast("int") * STRIDE + 1, F.lit(CHUNK))).alias("parts"))
-    got = text.join(some.alias("s"), F.col("_id") == F.col("doc_id")).select("doc_id", "quality", "parts").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["quality"], [bytes(x) for x in r["parts"]]))
-    net = ByteConvNet(CHUNK, STRIDE)
-    # each sampled chunk starts a stride after the one before, as in a text made of the sampled chunks
-    items = [b"".join(bytes(x)[:STRIDE] if k < len(r["parts"]) - 1 else bytes(x) for k, x in enumerate(r["parts"])) for r in got]
-    return net.fit(items, np.array([r["quality"] for r in got]))
+    some = some.withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id", "quality").limit(rows)
+    texts = docs.select(F.col("doc_id").alias("_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
+    found = texts.join(F.broadcast(some), F.col("_id") == F.col("doc_id")).groupBy("place", "doc_id", "quality").agg(F.min("text").alias("text"))
+    order = Window.orderBy("place", "doc_id", "quality").rowsBetween(Window.unboundedPreceding, 0)  # of `rows` lengths
+    so_far = found.select("doc_id", "quality", F.octet_length("text").alias("n"), "place").withColumn("so_far", F.sum("n").over(order))
+    kept = so_far.where(F.col("so_far") <= most_bytes).select("doc_id", "quality")
+    return found.join(F.broadcast(kept), ["doc_id", "quality"]).select("doc_id", "quality", "text")
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> ByteConvNet:
+    """At most most_bytes bytes of text come to the driver."""
+    got = training_rows(docs, labels, rows, most_bytes).collect()
+    got.sort(key=lambda r: (r["doc_id"], r["quality"]))
+    return ByteConvNet(CHUNK, STRIDE).fit([bytes(r["text"]) for r in got], np.array([r["quality"] for r in got]))
 
 
 def _scores(net: ByteConvNet, texts: pa.Array) -> np.ndarray:
