@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where none is set (single-machine tests)."""
+    """The folder named in spark.checkpoint.dir. Where none is set, a folder of our own, in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="sigmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -29,13 +33,35 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete the files of materialized tables on which no table to come depends."""
+    for df in tables:
+        path = None if df is None else _written.pop(df, None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until df has no column of that name in any case: for columns that are dropped again."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

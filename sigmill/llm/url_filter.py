@@ -6,7 +6,7 @@ character n-grams of host and path decides, trained from a small labelled table
 
 Host: after the first "://" up to "/", "?", "#" or the end, A-Z lower-cased; path: from there up to "?", "#" or the
 end. A null URL, or one without "://", has an empty host and path; no rule fits it and the model judges it like any
-other. Repeated rows are each judged; other columns pass through.
+other. Repeated rows are each judged; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import ascii_lower
+from ._shared import ascii_lower, fresh
 
 FEATURES = 1 << 14
 GRAMS = (3, 4)
@@ -42,25 +42,41 @@ class Rule:
 #: The rules of the query.
 RULES = (Rule("block", "com/en/"), Rule("allow", "example.com/en/7"), Rule("allow", "net/de/"), Rule("block", "example.net/de/8"), Rule("block", "org/es/"))
 
-#: Labelled URLs (1: block). Hosts of each kind with several subdomains, top-level domains, languages and pages.
-GOOD_HOSTS = ("news", "library", "museum", "garden", "recipes", "physics", "weather", "city-hall", "school", "archive", "travel", "music", "cooking", "history", "health", "forum", "docs", "wiki", "science", "theatre", "thering", "tionan", "erstha", "reandly", "inothe", "athered", "shenble", "whonth")
-BAD_HOSTS = ("casino-win", "spam-farm", "free-bets", "ads-track", "win-cash", "cheap-pills", "casino-free", "bets-online", "click-ads", "spam-links", "track-click", "poker-bonus", "free-casino", "win-bets", "ads-farm", "lucky-slots")
+#: Ordinary words of host names, of both kinds, from which the labelled table is made by rule.
+GOOD_WORDS = """archive astronomy bakery biology bridge castle charity chemistry chess choir climate coast cooking council cycling
+dance docs economics farmers festival fishing forum garden geology grammar guitar harbour health hiking history hospital knitting
+language lessons library manual maps market mountain museum music news nursery orchestra painting parish physics poetry pottery
+railway recipes river sailing school science stories theatre translation travel tutorial university valley village weather wiki""".split()
+BAD_WORDS = """adserver adult ads bets betting bingo blackjack bonus cams casino cheap cialis clicks cracked dating debt discount escort
+fake forex free gamble giveaway jackpot keygen loans lottery malware nude payday pharma phish pills poker popup porn prize promo
+replica roulette sex slimming slots spam steroids torrents track tracker viagra warez win winner xxx""".split()
+#: Hosts of the table's blocked kind are pairs of words this far apart in the list, so that each word has several partners.
+STEPS = (1, 5, 11, 17, 23)
 SUBDOMAINS = ("", "www.", "m.", "blog.")
-DOMAINS = (".example.com", ".example.net", ".example.org", ".com")
-PATHS = ("/en/", "/de/", "/fr/", "/es/")
+DOMAINS = (".example.com", ".example.net", ".example.org", ".com", ".org", ".net")
+PATHS = ("/en/", "/de/", "/fr/", "/es/", "/", "/page/", "/a/b/")
+
+
+def _made_up(k: int) -> str:
+    """A name that can be spoken but is no word: open and closed syllables counted off by k."""
+    out = ""
+    for _ in range(2 + k % 3):
+        k, c = divmod(k * 7 + 3, 13)
+        k, v = divmod(k + 11 * c, 5)
+        out += "bdfghklmnrstw"[c] + "aeiou"[v] + ("", "n", "r", "th", "s")[(k + c) % 5]
+        k += 17 * c + v + 1
+    return out
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    rows = []
-    for label, hosts in ((0, GOOD_HOSTS), (1, BAD_HOSTS)):
-        for k, host in enumerate(hosts):
-            for j in range(4):
-                rows.append((f"https://{SUBDOMAINS[(k + j) % 4]}{host}{DOMAINS[(k + 2 * j) % 4]}{PATHS[(k + 3 * j) % 4]}{37 * k + 11 * j}", label))
-    return rows
+    """(url, 1 to block): pairs of words of each kind, words of the good kind and made-up names alone, in all surroundings."""
+    hosts = [(words[k] + ("-" if j % 2 == 0 else "") + words[(k + step) % len(words)], label) for label, words in ((0, GOOD_WORDS), (1, BAD_WORDS)) for k in range(len(words)) for j, step in enumerate(STEPS)]
+    hosts += [(w, 0) for w in GOOD_WORDS] + [(w + "-online", 1) for w in BAD_WORDS] + [(_made_up(k), 0) for k in range(4 * len(GOOD_WORDS))]
+    return [(f"https://{SUBDOMAINS[k % 4]}{host}{DOMAINS[(k // 4) % 6]}{PATHS[(k // 3) % 7]}{37 * k % 9973}", label) for k, (host, label) in enumerate(hosts)]
 
 
 def split_url(url: Column) -> dict[str, Column]:
-    after = F.when(F.instr(url, "://") > 0, F.expr("substring(_url, instr(_url, '://') + 3)")).otherwise("")
+    after = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise("")
     after = F.coalesce(after, F.lit(""))
     host = F.regexp_extract(after, r"^[^/?#]*", 0)
     return {"host": ascii_lower(host), "path": F.regexp_extract(after, r"(?s)^[^/?#]*([^?#]*)", 1)}
@@ -68,29 +84,33 @@ def split_url(url: Column) -> dict[str, Column]:
 
 def with_host_and_path(df: DataFrame, url: str = "url") -> DataFrame:
     """df with host and path; columns of these names are replaced."""
-    df = df.drop("host", "path").withColumn("_url", F.col(url).cast("string"))
-    return df.withColumns(split_url(F.col("_url"))).drop("_url")
+    return df.withColumns(split_url(F.col(url).cast("string")))
 
 
 def _grams(text: Column) -> Column:
     """Character n-grams of a text, marked at both ends."""
     marked = F.concat(F.lit("^"), text, F.lit("$"))
-    each = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))), lambda i, n=n: F.substring(marked, i, F.lit(n))) for n in GRAMS]
-    return F.concat(*each)
+
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))), lambda i: F.substring(marked, i, F.lit(n)))
+
+    return F.concat(*map(of, GRAMS))
 
 
-def with_features(df: DataFrame) -> DataFrame:
+def with_features(df: DataFrame, out: str) -> DataFrame:
+    """df with the hashed n-grams of host and path in the column `out`."""
     tag = lambda name, grams: F.transform(grams, lambda g: F.concat(F.lit(name), g))
-    df = df.withColumn("_grams", F.concat(tag("h ", _grams(F.col("host"))), tag("p ", _grams(F.col("path")))))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_grams", outputCol="_features").transform(df).drop("_grams")
+    (grams,) = fresh(df, "grams")
+    df = df.withColumn(grams, F.concat(tag("h ", _grams(F.col("host"))), tag("p ", _grams(F.col("path")))))
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol=grams, outputCol=out).transform(df).drop(grams)
 
 
 def train(spark: SparkSession, rows: list[tuple[str, int]] | None = None) -> LogisticRegressionModel:
     """Rows (url, 1 for block): a small table; the fit runs on the executors."""
     labelled = spark.createDataFrame(rows or labelled_urls(), "url string, label int").coalesce(1)
-    features = with_features(with_host_and_path(labelled)).cache()
+    features = with_features(with_host_and_path(labelled), "features").cache()
     try:
-        return LogisticRegression(featuresCol="_features", maxIter=15, regParam=0.01, predictionCol="_prediction", probabilityCol="_probability", rawPredictionCol="_raw").fit(features)
+        return LogisticRegression(maxIter=25, regParam=0.003).fit(features)
     finally:
         features.unpersist()
 
@@ -105,12 +125,13 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Col
 
 
 def judge_urls(df: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, model: LogisticRegressionModel | None = None) -> DataFrame:
-    """df with host, path, rule and verdict (allow or block)."""
-    model = model or train(df.sparkSession)
-    out = with_features(with_host_and_path(df.drop("rule", "verdict"), url)).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
-    verdict = F.when(F.col("_prediction") > 0.5, "block").otherwise("allow")
+    """df with host, path, rule and verdict (allow or block); columns of these names are replaced, all others pass through."""
+    model = (model or train(df.sparkSession)).copy()
+    features, prediction = fresh(df, "features", "prediction")
+    model = model.setFeaturesCol(features).setPredictionCol(prediction).setRawPredictionCol("").setProbabilityCol("")
+    out = with_host_and_path(df, url).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     by_rule = F.lit(None).cast("string")
     for rule in rules:
         by_rule = F.when(F.col("rule") == rule.text, rule.verdict).otherwise(by_rule)
-    out = model.transform(out).withColumn("verdict", F.coalesce(by_rule, verdict))
-    return out.drop("_features", "_raw", "_probability", "_prediction")
+    verdict = F.coalesce(by_rule, F.when(F.col(prediction) > 0.5, "block").otherwise("allow"))
+    return model.transform(with_features(out, features)).withColumn("verdict", verdict).drop(features, prediction)
