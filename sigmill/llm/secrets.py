@@ -1,10 +1,12 @@
-"""Secret scans: fixed patterns, and a character network over every other candidate and its surroundings.
+"""Secret scans: fixed patterns, and a character network over every candidate and its surroundings.
 
-Base findings come from three patterns. Candidates are all runs of 16 and more characters of [A-Za-z0-9+/_=-] with a
-letter and a digit, wherever they are. Each is judged by a byte-level convolutional network that sees the whole run
-between 32 characters before it and 16 after; it is trained on labelled findings, its probabilities are calibrated
-(Platt) and its threshold is the largest that keeps a recall of `RECALL`, both on findings kept aside. Candidates over
-the threshold that touch no base finding become spans of kind "model".
+Base findings come from three patterns. Candidates are, wherever they stand: runs of 8 and more of [A-Za-z0-9+/_.=-] with
+a letter and a digit; runs of 12 and more in which capitals follow small letters twice; 12 and more digits, with hyphens
+between them or not; and whatever run of 6 and more a word such as password, key or bearer leads to. Hyphens and full
+stops at their ends do not belong to them. Each, inside base findings too, is judged by a byte-level convolutional
+network that sees the whole run between 32 characters before it and 16 after. Of the labelled findings three fifths
+train it, one fifth calibrates its probabilities (Platt) and the last sets the threshold: the largest that keeps a
+recall of `RECALL`. Candidates at the threshold that touch no base finding become spans of kind "model".
 
 Offsets count code points, ends are exclusive. A null text counts as empty. Repeated rows are each scanned.
 """
@@ -28,10 +30,14 @@ KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # the runs of 20 and more characters
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_RUN, _START = "[A-Za-z0-9+/_.=-]", "(?<![A-Za-z0-9+/_.=-])"
+CANDIDATE = re.compile(
+    rf"""{_START}(?:(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z]){_RUN}{{8,}}|(?=(?:{_RUN}*?[a-z][A-Z]){{2}}){_RUN}{{12,}}|[0-9](?:-?[0-9]){{11,}}(?!{_RUN}))"""
+)
+LED = re.compile(rf"""(?ai)(?<![a-z])(?:api|access|account|private)?(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth|credentials?|bearer|login)(?:_[a-z_]{{0,12}}|s)?["']?(?:\x20+(?:is|are|was|will\x20be|value))?\x20*[:=]?\x20*["'`]?({_RUN}{{6,}})""")
 BEFORE, AFTER = 32, 16
 RECALL = 0.97
-FINDINGS = 3_000
+FINDINGS = 6_000
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -42,8 +48,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    runs = (m.span() for m in CANDIDATE.finditer(text))
-    return [(a, b) for a, b in runs if any(c.isdigit() for c in text[a:b]) and any(c.isalpha() for c in text[a:b])]
+    """Spans in order, each once."""
+    found = {m.span() for m in CANDIDATE.finditer(text)} | {m.span(1) for m in LED.finditer(text)}
+    spans = {(a + len(run) - len(run.lstrip(".-")), a + len(run.rstrip(".-"))) for a, b in found for run in (text[a:b],)}
+    return sorted((a, b) for a, b in spans if b - a >= 6)
 
 
 def in_context(text: str, a: int, b: int) -> bytes:
@@ -52,21 +60,27 @@ def in_context(text: str, a: int, b: int) -> bytes:
 
 
 def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int, int, int]]:
-    """(text, start, end, 1 for a secret), made by rule: keys in the places where keys leak, and long identifiers,
-    paths, dates, checksums and words with numbers in ordinary places."""
+    """(text, start, end, 1 for a secret), made by rule: keys and passwords in the places where they leak, and in ordinary
+    places the long identifiers, paths, names, numbers and words that look like candidates."""
     rng = random.Random(seed)
     pick = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
-    alnum, b64, lower = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase
-    syllables = ("tion", "the", "er", "ing", "schaft", "keit", "ment", "cion", "re", "an", "ou", "eau", "lich", "ar", "os", "th")
-    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
-    prose = lambda k: " ".join(word() for _ in range(k))
+    alnum, b64, lower, digits = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase, string.digits
+    syllables = ("tion", "the", "er", "ing", "schaft", "keit", "ment", "cion", "re", "an", "ou", "eau", "lich", "ar", "os", "th", "bar", "lo", "mi", "su", "de", "kon", "va")
+    word = lambda least=1: "".join(rng.choices(syllables, k=rng.randint(least, 4)))
+    prose = lambda k: " ".join("".join(rng.choices((*syllables, "é", "ño", "ü", "ö", "ê", "A", "!!", "&", ", "), k=3)) for _ in range(k)) + rng.choice(("", ".", ",", "\n"))
 
     def key() -> str:
         return rng.choice((
-            lambda: pick(b64, 40), lambda: pick(alnum, rng.randint(20, 64)), lambda: "ghp_" + pick(alnum, 36),
-            lambda: "sk_live_" + pick(alnum, 24), lambda: "xoxb-" + pick(string.digits, 12) + "-" + pick(alnum, 24),
-            lambda: "eyJ" + pick(alnum, 33), lambda: pick(b64, 43) + "=", lambda: "AIza" + pick(alnum + "_-", 35),
-            lambda: pick(string.ascii_uppercase + string.digits, rng.randint(20, 32)), lambda: pick(string.hexdigits.lower(), rng.choice((32, 40, 64))),
+            lambda: pick(b64, 40), lambda: pick(alnum, rng.randint(16, 64)), lambda: rng.choice(("ghp_", "gho_", "glpat-", "npm_", "hf_")) + pick(alnum, 36),
+            lambda: rng.choice(("sk_live_", "rk_test_", "sk-", "pk_")) + pick(alnum, rng.randint(20, 32)), lambda: rng.choice(("xoxb-", "xoxp-")) + pick(digits, 12) + "-" + pick(alnum, 24),
+            lambda: "eyJ" + pick(alnum, 33) + rng.choice(("", "." + pick(alnum, 40) + "." + pick(alnum, 43))), lambda: pick(b64, 43) + "=", lambda: "AIza" + pick(alnum + "_-", 35),
+            lambda: pick(string.ascii_uppercase + digits, rng.randint(16, 32)), lambda: pick(string.hexdigits.lower(), rng.choice((32, 40, 64))), lambda: pick(string.ascii_letters, rng.randint(20, 40)),
+        ))()
+
+    def password() -> str:
+        return rng.choice((
+            lambda: word().title() + pick(digits, rng.randint(2, 4)) + pick("_-+=", rng.randint(0, 2)) + pick(lower, 2), lambda: pick(alnum, rng.randint(8, 15)), lambda: word(2) + rng.choice("-_.") + word(2) + rng.choice("-_.") + pick(digits, 2),
+            lambda: pick(digits, rng.randint(8, 16)), lambda: pick(string.ascii_letters, rng.randint(8, 14)), lambda: pick(lower, 2) + pick(digits, 3) + pick(string.ascii_uppercase, 3) + pick(digits, 2),
         ))()
 
     def plain() -> str:
@@ -75,22 +89,35 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
             lambda: "/".join(("usr", "lib", word() + str(rng.randint(1, 9)), word(), word())),
             lambda: f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}-report",
             lambda: "_".join((word(), word(), word(), "v" + str(rng.randint(1, 99)))),
-            lambda: word().upper() + "-" + pick(string.digits, 4) + "-" + pick(string.digits, 4) + "-" + word(),
+            lambda: word().upper() + "-" + pick(digits, 4) + "-" + pick(digits, 4) + "-" + word(),
             lambda: "".join(word().title() for _ in range(4)) + str(rng.randint(1, 999)),
             lambda: "".join((word(), word(), word(), str(rng.randint(10, 99)))),
             lambda: f"{pick('0123456789abcdef', 8)}-{pick('0123456789abcdef', 4)}-4{pick('0123456789abcdef', 3)}-a{pick('0123456789abcdef', 3)}-{pick('0123456789abcdef', 12)}",
             lambda: "=" * rng.randint(10, 20) + word() + str(rng.randint(1, 99)) + "-" * rng.randint(3, 9),
-        ))().ljust(16, "x")
+            lambda: f"+{pick(digits, 2)}-{pick(digits, 3)}-{pick(digits, 4)}-{pick(digits, 4)}".lstrip("+"), lambda: f"978-{pick(digits, 1)}-{pick(digits, 4)}-{pick(digits, 4)}-{pick(digits, 1)}",
+            lambda: f"{word(2)}{rng.randint(1990, 2030)}.{rng.choice(('pdf', 'html', 'jpg', 'csv'))}", lambda: f"www.{word(2)}{rng.randint(1, 99)}.example.com/{word()}/{rng.randint(1, 9999)}",
+            lambda: "".join(word().title() for _ in range(rng.randint(3, 5))), lambda: word() + "." + word() + str(rng.randint(1, 99)), lambda: pick(digits, rng.randint(9, 19)), lambda: pick(digits, 16), lambda: word() + "." + pick(digits, 2),
+        ))()
 
     leads = ("key: ", "AWS_SECRET_ACCESS_KEY=", "Authorization: Bearer ", '"private_key": "', "AccountKey=", "credentials ", "auth ", "export KEY=", "client id and key ", " ")
-    calm = ("see ", "file ", "request id ", "in ", "page ", "module ", "the ", "version ", "https://example.com/", " ")
+    asked = ("my password is ", "password: ", "login: ", "the passphrase is ", "pwd ", "passcode: ", "user admin pass ", "credentials are ", "the secret is ", "auth token ")
+    calm = ("see ", "file ", "request id ", "in ", "page ", "module ", "the ", "version ", "https://example.com/", "tel ", "isbn ", "order ", " ")
+    topic = ("the key ", "a token ", "password ", "secret ", "login ", "keyboard ", "the keys are ", "author ", "authority ", "passage ", "bearer ", "monkey ")
     rows = []
     for k in range(n):
-        secret = k % 2
-        value = key() if secret else plain()
-        lead = prose(rng.randint(2, 5)) + " " + rng.choice(leads if secret else calm)
-        if rng.random() < 0.3:  # nothing in the surroundings tells
-            lead = prose(4) + " "
+        secret, kind = k % 2, rng.random()
+        if secret:
+            value, lead = (key(), rng.choice(leads)) if kind < 0.6 else (password(), rng.choice(asked))
+            lead = "" if value == "" or kind < 0.15 else lead  # a long key may stand alone
+        else:
+            value, lead = (plain(), rng.choice(calm)) if kind < 0.6 else (word(3), rng.choice(topic)) if kind < 0.9 else (plain(), rng.choice(topic[-6:]))
+            if kind < 0.15:  # either part of an address
+                name, host = word() + "." + pick(digits, 2), f"mail{rng.randint(0, 99)}.{word(2)}.com"
+                value, lead = (host, lead + name + "@") if kind < 0.08 else (word(2) + "." + pick(digits, 2), lead)
+            elif kind < 0.3:  # a long number
+                value, lead = pick(digits, rng.choice((12, 13, 15, 16, 16, 19))), rng.choice(("", lead))
+        value = value if len(value) >= 6 else value + word(2)
+        lead = prose(rng.randint(2, 5)) + " " + lead
         text = lead + value + rng.choice((" ", '" ', ". ", "\n")) + prose(3)
         rows.append((text, len(lead), len(lead) + len(value), secret))
     return rows
@@ -105,17 +132,18 @@ class SecretModel:
 
 
 def train(findings: list[tuple[str, int, int, int]] | None = None, recall: float = RECALL) -> SecretModel:
-    """Every fifth finding is kept aside for calibration and the threshold."""
+    """Of every ten findings six train, two calibrate and two set the threshold."""
     findings = labelled_findings() if findings is None else findings
     items = [in_context(t, a, b) for t, a, b, _ in findings]
-    y = np.array([r[3] for r in findings])
-    aside = np.arange(len(y)) % 5 == 4
-    net = ByteConvNet(chunk=64, stride=48, filters=24).fit([x for x, k in zip(items, aside, strict=True) if not k], y[~aside], epochs=10)
-    z, want, a, c = net.logits([x for x, k in zip(items, aside, strict=True) if k]), y[aside], 1.0, 0.0
+    y, part = np.array([r[3] for r in findings]), np.arange(len(findings)) % 10
+    of = lambda some: [items[k] for k in np.flatnonzero(some)]
+    net = ByteConvNet(chunk=64, stride=48, embed=6, filters=32).fit(of(part < 6), y[part < 6], epochs=16)
+    held = (part == 6) | (part == 7)
+    z, want, a, c = net.logits(of(held)), y[held], 1.0, 0.0
     for _ in range(300):  # Platt scaling by gradient steps on the mean loss
         d = sigmoid(a * z + c) - want
         a, c = a - 0.1 * float((d * z).mean()) / max(1.0, float((z * z).mean())), c - 0.1 * float(d.mean())
-    positive = np.sort(sigmoid(a * z[want == 1] + c))
+    positive = np.sort(sigmoid(a * net.logits(of((part > 7) & (y == 1))) + c))
     return SecretModel(net, a, c, float(positive[int((1 - recall) * len(positive))]) if len(positive) else 1.0)
 
 
