@@ -1,11 +1,12 @@
 """Site-relative line deduplication, in DataFrame functions only.
 
-A line is boilerplate at a host if it stands in more than `max_ratio` of the host's pages and in `min_pages` of them at
-least. Such lines are dropped from every page of that host; all other text stays as it is, and every page stays.
+A line is boilerplate at a host if it stands in more than `max_ratio` of the host's pages (one page in twenty) and in
+`min_pages` of them at least. Such lines are dropped from every page of that host; all other text stays as it is, and every page stays.
 
 Lines are compared without surrounding spaces, by 64-bit hash; blank lines are never counted or dropped. A line counts
 once a page. A null host is a host of its own, with the empty one. A null text stays null and counts as a page.
-Repeated rows count as often as they occur. Other columns pass through unchanged.
+Repeated rows count as often as they occur. Other columns pass through unchanged, whatever their names; a column
+n_dropped is replaced.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import fresh, materialize
 
-MAX_RATIO = 0.1
+MAX_RATIO = 0.05
 MIN_PAGES = 3
 #: Parts into which a host's distinct lines are dealt when they meet the host's page total.
 SALTS = 32
+#: The longest list of (host, line) hashes that is broadcast: 16 bytes each.
+BROADCAST_LINES = 200_000
 
 
 def _lines(text: Column) -> Column:
@@ -41,21 +44,32 @@ def boilerplate_lines(docs: DataFrame, host: str = "source", max_ratio: float =
     return counts.join(totals, ["host", "salt"]).where(F.col("pages") > F.col("host_pages") * F.lit(max_ratio)).select("host", "line_key", "pages", "host_pages")
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """docs with text, and n_chars where there is one, of the kept lines, and n_dropped, the number of dropped ones."""
-    drop = materialize(boilerplate_lines(docs, host, max_ratio, min_pages).select(F.col("host").alias("_h"), F.col("line_key").alias("_l")), "boilerplate")
+def drop_boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """docs with text, and n_chars where there is one, of the kept lines, and n_dropped, the number of dropped ones.
+
+    A list of up to `broadcast_lines` boilerplate lines, counted first, goes to the texts, which then stay where they
+    are; a longer one is joined to their lines, and what it hits goes back to the texts by doc_id and host.
+    """
+    drop = materialize(boilerplate_lines(docs, host, max_ratio, min_pages).select("host", "line_key"), "boilerplate")
+    docs = docs.drop("n_dropped")
+    doc, site, gone = fresh(docs, "doc", "site", "gone")
     key = F.coalesce(F.col(host), F.lit(""))
-    lines = docs.select(F.col("doc_id").alias("_doc"), key.alias("_host"), F.explode(_line_keys(F.col("text"))).alias("_line"))
-    hits = lines.join(drop, (lines["_host"] == drop["_h"]) & (lines["_line"] == drop["_l"]), "left_semi")
-    hits = hits.groupBy("_doc", "_host").agg(F.collect_set("_line").alias("_drop"))
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_doc")) & (key == F.col("_host")), "left")
-    dropped = lambda x: F.array_contains("_drop", F.xxhash64(F.trim(x)))
-    kept = F.filter(_lines(F.col("text")), lambda x: ~dropped(x))
-    n = F.when(F.col("_drop").isNull(), 0).otherwise(F.size(_lines(F.col("text"))) - F.size(kept))
-    joined = joined.withColumns({"n_dropped": n.cast("int"), "text": F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))})
+    if drop.count() <= broadcast_lines:
+        by_host = drop.groupBy(F.col("host").alias(site)).agg(F.collect_set("line_key").alias(gone))
+        joined = docs.join(F.broadcast(by_host), key == F.col(site), "left")
+    else:
+        lines = docs.select(F.col("doc_id").alias("doc"), key.alias("site"), F.explode(_line_keys(F.col("text"))).alias("line"))
+        hits = lines.join(drop, (F.col("site") == F.col("host")) & (F.col("line") == F.col("line_key")), "left_semi")
+        hits = hits.groupBy(F.col("doc").alias(doc), F.col("site").alias(site)).agg(F.collect_set("line").alias(gone))
+        joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col(doc)) & (key == F.col(site)), "left")
+    dropped = lambda x: F.array_contains(gone, F.xxhash64(F.trim(x)))
+    n = F.when(F.col(gone).isNotNull() & F.col("text").isNotNull(), F.size(F.filter(_lines(F.col("text")), dropped))).otherwise(0)
+    changed = F.col("n_dropped") > 0
+    text = F.when(changed, F.array_join(F.filter(_lines(F.col("text")), lambda x: ~dropped(x)), "\n")).otherwise(F.col("text"))
+    out = joined.withColumn("n_dropped", n.cast("int")).withColumn("text", text)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return joined.select(*docs.columns, "n_dropped")
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns), "n_dropped")
 
 
 #: The same in DuckDB. btrim of spaces only, as above.
