@@ -1,6 +1,7 @@
 """Connected components of an edge table by hooking to the smallest neighbour, pointer jumping and contraction.
 
-Every round's tables are written to the shared folder; nothing but row counts reaches the driver.
+Every round's tables are written to the shared folder and deleted when the next round's stand; nothing but whether a
+table is empty reaches the driver.
 """
 
 from __future__ import annotations
@@ -8,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import forget, materialize
 
 JUMPS = 2
 
@@ -24,18 +25,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Self loops, repeated and reversed edges are fine; an empty table gives an empty result.
     """
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = materialize(edges, "edges")
-    labels = None
+
+    def contracted(df: DataFrame) -> DataFrame:
+        return materialize(df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+
+    edges, labels = contracted(edges), None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "parent")
         for _ in range(JUMPS):
-            parent = materialize(_follow(parent, "root", parent), "parent")
+            before, parent = parent, materialize(_follow(parent, "root", parent), "parent")
+            forget(before)
+        old, was = labels, edges
         labels = parent if labels is None else materialize(_follow(labels, "root", parent), "labels")
-        edges = _follow(_follow(edges, "a", parent), "b", parent)
-        edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-        edges = materialize(edges, "edges")
+        edges = contracted(_follow(_follow(edges, "a", parent), "b", parent))
+        forget(was, old, parent if labels is not parent else None)
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    forget(edges)
     return labels

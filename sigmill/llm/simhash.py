@@ -2,9 +2,10 @@
 
 1. Executors fingerprint whole texts: each shingle's XXH64 votes on every bit.
 2. Equal fingerprints collapse to one node (partial aggregation), named by the smallest doc_id.
-3. A node enters one bucket for each 16-bit block of its fingerprint. With 64 bits there are four blocks, so two
-   fingerprints that differ in at most three bits share a block: the search is exact. Wider fingerprints take 64
-   blocks and a larger radius; recall is then a probability, stated at `WIDE`.
+3. A 64-bit fingerprint is cut into six blocks, and a node enters a bucket for each three of them (20 buckets, keys of
+   31 to 33 bits). Three differing bits leave three blocks whole, so two fingerprints within that radius share a
+   bucket: the search is exact, and buckets of unrelated ones stay small up to billions of nodes. Wider fingerprints
+   take 64 blocks of 16 bits and a larger radius; recall is then a probability, stated at `WIDE`.
 4. Within a bucket, bit planes stand vertically (64 rows a word). One pass for each row distance d updates all
    distances row(i) - row(i+d) with carry-save counters and abandons words whose 64 lanes all exceed the radius.
    Rows that are connected already are switched off, and only a spanning forest leaves the task.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard
-from ._shared import LOWER, UPPER, materialize, slices
+from ._shared import LOWER, UPPER, forget, materialize, slices
 from .components import connected_components
 
 MAX_BUCKET = 4096
@@ -131,13 +132,21 @@ def with_fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def block_keys(f: np.ndarray) -> np.ndarray:
-    """(n, words) fingerprints -> (n, blocks) bucket numbers: the 16-bit blocks, and for wide ones as many strided."""
+    """(n, words) fingerprints -> (n, buckets) bucket numbers.
+
+    One word: three of six blocks at a time. More: the 16-bit blocks, and as many strided ones.
+    """
     n, words = f.shape
+    if words == 1:
+        starts = (0, 11, 22, 33, 44, 54, 64)
+        block = [f[:, 0] >> np.uint64(a) & np.uint64((1 << b - a) - 1) for a, b in zip(starts, starts[1:], strict=False)]
+        sets = list(combinations(range(6), 3))
+        keys = [np.uint64(k << 33) | block[a] << np.uint64(22) | block[b] << np.uint64(11) | block[c] for k, (a, b, c) in enumerate(sets)]
+        return np.stack(keys, axis=1).astype(np.int64)
     lanes = np.ascontiguousarray(f).view(np.uint16).reshape(n, -1).astype(np.int64)
-    if words > 1:
-        bits = np.unpackbits(np.ascontiguousarray(f).view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
-        strided = bits.reshape(n, 16, -1).transpose(0, 2, 1)  # bits i, i + 4 * words, ... make one block
-        lanes = np.hstack([lanes, np.ascontiguousarray(np.packbits(strided, axis=2, bitorder="little")).view(np.uint16).reshape(n, -1).astype(np.int64)])
+    bits = np.unpackbits(np.ascontiguousarray(f).view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
+    strided = bits.reshape(n, 16, -1).transpose(0, 2, 1)  # bits i, i + 4 * words, ... make one block
+    lanes = np.hstack([lanes, np.ascontiguousarray(np.packbits(strided, axis=2, bitorder="little")).view(np.uint16).reshape(n, -1).astype(np.int64)])
     return lanes + (np.arange(lanes.shape[1]) << 16)
 
 
@@ -237,7 +246,7 @@ def _links(nodes: DataFrame, plan: Plan) -> DataFrame:
                     batch = whole.slice(k, 2048)
                     f = np.stack([batch.column(x).to_numpy(zero_copy_only=False) for x in names], axis=1)
                     keys = block_keys(f.view(np.uint64))
-                    bucket = pa.array(keys.ravel().astype(np.int32))
+                    bucket = pa.array(keys.ravel())
                     if only:
                         yield pa.RecordBatch.from_arrays([bucket], ["bucket"])
                     else:
@@ -260,10 +269,10 @@ def _links(nodes: DataFrame, plan: Plan) -> DataFrame:
         if kept is not None and len(kept[0]):
             yield _edges(kept, plan.radius)
 
-    hot = nodes.mapInArrow(bucketed(True), "bucket int").groupBy("bucket").count().where(F.col("count") > MAX_BUCKET)
+    hot = nodes.mapInArrow(bucketed(True), "bucket long").groupBy("bucket").count().where(F.col("count") > MAX_BUCKET)
     hot = materialize(hot.select(F.col("bucket").alias("hot"), F.ceil(F.col("count") / MAX_BUCKET).alias("parts")), "hot-buckets")
     n_hot = hot.count()
-    rows = nodes.mapInArrow(bucketed(False), "bucket int, node long, " + ", ".join(f"{x} long" for x in names))
+    rows = nodes.mapInArrow(bucketed(False), "bucket long, node long, " + ", ".join(f"{x} long" for x in names))
     if n_hot:
         rows = rows.join(F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot, F.col("bucket") == F.col("hot"), "left")
         part = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1)))
@@ -281,10 +290,11 @@ def near_duplicates(docs: DataFrame, plan: Plan = NARROW) -> DataFrame:
     names = [f"f{j}" for j in range(plan.words)]
     prints = materialize(with_fingerprints(docs, plan), "fingerprints")
     nodes = materialize(prints.groupBy(*names).agg(F.min("doc_id").alias("node")), "nodes")
-    roots = connected_components(_links(nodes.where("node is not null"), plan))
-    roots = roots.select(F.col("node").alias("_n"), "root")
-    named = nodes.join(roots, nodes["node"] == roots["_n"], "left").select(*names, F.coalesce("root", "node").alias("component_id"))
-    return prints.join(materialize(named, "components"), names, "left").select("doc_id", *names, "component_id")
+    found = connected_components(_links(nodes.where("node is not null"), plan))
+    roots = found.select(F.col("node").alias("_n"), "root")
+    named = materialize(nodes.join(roots, nodes["node"] == roots["_n"], "left").select(*names, F.coalesce("root", "node").alias("component_id")), "components")
+    forget(found, nodes)
+    return prints.join(named, names, "left").select("doc_id", *names, "component_id")
 
 
 def _set_digest(hashes: np.ndarray) -> bytes:
@@ -332,14 +342,17 @@ def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
     prints = materialize(with_set_prints(docs, plan), "set-prints")
     nodes = prints.groupBy("digest", "n_hashes", *names).agg(F.min("doc_id").alias("node")).where("node is not null")
     nodes = materialize(nodes, "set-nodes")
-    grouped = connected_components(_links(nodes.select("node", *names), plan)).select(F.col("node").alias("_n"), F.col("root").alias("grp"))
+    near = connected_components(_links(nodes.select("node", *names), plan))
+    grouped = near.select(F.col("node").alias("_n"), F.col("root").alias("grp"))
     members = materialize(nodes.join(grouped, nodes["node"] == grouped["_n"]).select("grp", "node", "digest", "n_hashes"), "members")
-    members = members.join(jaccard.parts(members), "grp")
+    forget(near)
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    sets = _with_sets(texts.join(members, F.col("_doc") == F.col("node")), plan)
-    roots = connected_components(jaccard.links(sets)).select(F.col("node").alias("_n"), "root")
-    named = nodes.join(roots, nodes["node"] == roots["_n"], "left").select("digest", F.coalesce("root", "node").alias("component_id"))
-    return prints.join(materialize(named, "components"), "digest", "left").select("doc_id", "component_id")
+    sets = _with_sets(texts.join(members.join(jaccard.parts(members), "grp"), F.col("_doc") == F.col("node")), plan)
+    found = connected_components(jaccard.links(sets))
+    roots = found.select(F.col("node").alias("_n"), "root")
+    named = materialize(nodes.join(roots, nodes["node"] == roots["_n"], "left").select("digest", F.coalesce("root", "node").alias("component_id")), "components")
+    forget(found, members, nodes)
+    return prints.join(named, "digest", "left").select("doc_id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
