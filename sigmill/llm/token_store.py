@@ -3,14 +3,16 @@
 A store is a folder of Parquet rows, one binary segment each, so any file system that Spark writes to will do. Segments
 follow ascending doc_id. The segment format (little endian):
 
-    magic "SGEF", version u16, id bytes u16 (2 or 4), documents u64, ids u64, low bits u16, samples u32
-    doc ids            i64 each
-    lower bits         low bits of each boundary, packed
-    upper bits         unary coded upper parts: bit (boundary >> low bits) + k is set for the k-th boundary
-    select samples     u32 each: the place in `upper bits` of every 64th set bit
+    magic "SGEF", version u16, id bytes u16 (2 or 4), documents u64, ids u64, first doc_id i64
+    for the boundaries, then for the doc_ids less the first one:
+        low bits u16, words u32 of the upper bits
+        lower bits         low bits of each value, packed
+        upper bits         unary coded upper parts: bit (value >> low bits) + k is set for the k-th value
+        select samples     u32 each: the place in `upper bits` of every 64th set bit
     ids                u16 or u32 each
 
-The k-th boundary is the number of ids up to and with document k. It takes 2 + log2(ids / documents) bits about.
+The k-th boundary is the number of ids up to and with document k. A sequence of n values up to m takes 2 + log2(m / n)
+bits a value about, so neither boundaries nor doc_ids need a table of whole numbers.
 
 Nulls and empty texts have the end id alone. Rows with equal doc_ids stay separate, in order of text; a null doc_id is
 stored, and read back, as the smallest long. An empty table gives an empty store.
@@ -31,8 +33,8 @@ from pyspark.sql import types as T
 from ._shared import new_path
 from .tokens import Encoder, default_tokenizer
 
-HEADER = struct.Struct("<4sHHQQHI")
-MAGIC, VERSION = b"SGEF", 1
+HEADER, SEQUENCE = struct.Struct("<4sHHQQq"), struct.Struct("<HI")
+MAGIC, VERSION = b"SGEF", 2
 SEGMENT_IDS = 1 << 18
 SAMPLE = 64
 NO_ID = -(2**63)
@@ -48,14 +50,26 @@ class EliasFano:
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
         n = len(values)
-        values = values.astype(np.int64)
-        bits = max(0, int(values[-1] // n).bit_length() - 1) if n else 0
-        low = np.packbits((values[:, None] >> np.arange(bits) & 1).astype(np.uint8).ravel(), bitorder="little")
-        ones = (values >> bits) + np.arange(n)
+        values = values.astype(np.uint64)
+        bits = max(0, (int(values[-1]) // n).bit_length() - 1) if n else 0
+        low = np.packbits((values[:, None] >> np.arange(bits, dtype=np.uint64) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         flags = np.zeros((int(ones[-1]) // 64 + 1) * 64 if n else 0, np.uint8)
         flags[ones] = 1
         return cls(n, bits, low, np.packbits(flags, bitorder="little").view("<u8"), ones[::SAMPLE].astype("<u4"))
 
+    def to_bytes(self) -> bytes:
+        return b"".join((SEQUENCE.pack(self.low_bits, len(self.high)), self.low.tobytes(), self.high.tobytes(), self.samples.tobytes()))
+
+    @classmethod
+    def read(cls, data: bytes, at: int, n: int) -> tuple[EliasFano, int]:
+        """The sequence of n values at a place in data, nothing copied, and the place behind it."""
+        (bits, words), at, parts = SEQUENCE.unpack_from(data, at), at + SEQUENCE.size, []
+        for kind, count in (("u1", -(-n * bits // 8)), ("<u8", words), ("<u4", -(-n // SAMPLE))):
+            parts.append(np.frombuffer(data, kind, count, at))
+            at += parts[-1].nbytes
+        return cls(n, bits, *parts), at
+
     def select(self, k: int) -> int:
         """The place of the k-th set bit of the upper bits (from 0): from the sample before it, word by word."""
         word, shift = divmod(int(self.samples[k // SAMPLE]), 64)
@@ -76,30 +90,37 @@ class EliasFano:
         return (self.select(k) - k) << self.low_bits | low
 
     def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.int64)
-        return (ones - np.arange(self.n) << self.low_bits) + (bits << np.arange(self.low_bits)).sum(axis=1)
+        """All values as unsigned 64-bit numbers."""
+        ones = np.flatnonzero(np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little"))
+        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.uint64)
+        return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) + (bits << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+    def first_at_least(self, value: int) -> int:
+        """How many values are below value."""
+        a, b = 0, self.n
+        while a < b:
+            k = (a + b) // 2
+            a, b = (k + 1, b) if self[k] < value else (a, k)
+        return a
 
 
 def pack_segment(doc_ids: list[int], ids: list[np.ndarray]) -> bytes:
-    flat = np.concatenate(ids)
+    flat, first = np.concatenate(ids), doc_ids[0]
     ends = EliasFano.encode(np.cumsum([len(x) for x in ids]))
+    names = EliasFano.encode(np.array([d - first for d in doc_ids], np.uint64))
     width = 2 if flat.max(initial=0) < 1 << 16 else 4
-    head = HEADER.pack(MAGIC, VERSION, width, len(ids), len(flat), ends.low_bits, len(ends.samples))
-    return b"".join((head, np.array(doc_ids, "<i8").tobytes(), ends.low.tobytes(), ends.high.tobytes(), ends.samples.tobytes(), flat.astype(f"<u{width}").tobytes()))
+    head = HEADER.pack(MAGIC, VERSION, width, len(ids), len(flat), first)
+    return b"".join((head, ends.to_bytes(), names.to_bytes(), flat.astype(f"<u{width}").tobytes()))
 
 
-def open_segment(data: bytes) -> tuple[np.ndarray, EliasFano, np.ndarray]:
-    """(doc ids, boundaries, ids) of a segment; nothing is copied."""
-    magic, version, width, n, total, bits, samples = HEADER.unpack_from(data)
+def open_segment(data: bytes) -> tuple[int, EliasFano, EliasFano, np.ndarray]:
+    """(first doc_id, doc_ids less it, boundaries, ids) of a segment; nothing is copied."""
+    magic, version, width, n, total, first = HEADER.unpack_from(data)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a token segment")
-    at, parts = HEADER.size, []
-    upper = len(data) - HEADER.size - 8 * n - -(-n * bits // 8) - 4 * samples - width * total
-    for size, kind in ((8 * n, "<i8"), (-(-n * bits // 8), "u1"), (upper, "<u8"), (4 * samples, "<u4"), (width * total, f"<u{width}")):
-        parts.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
-        at += size
-    return parts[0], EliasFano(n, bits, parts[1], parts[2], parts[3]), parts[4]
+    ends, at = EliasFano.read(data, HEADER.size, n)
+    names, at = EliasFano.read(data, at, n)
+    return first, names, ends, np.frombuffer(data, f"<u{width}", total, at)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
@@ -142,8 +163,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, start, segment in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                doc_ids, ends, ids = open_segment(segment.as_py())
-                stops = ends.all()
+                first, names, ends, ids = open_segment(segment.as_py())
+                doc_ids = (names.all() + np.uint64(first % (1 << 64))).view(np.int64)
+                stops = ends.all().astype(np.int64)
                 starts = np.r_[0, stops[:-1]]
                 wide = ids.astype("<u4")
                 crc = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
@@ -159,8 +181,8 @@ def document_ids(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray
     """The ids of one document (of each row that has this doc_id), found by segment statistics and `select`."""
     found = []
     for row in spark.read.schema(STORE).parquet(path).where(F.lit(doc_id).between(F.col("first_doc_id"), F.col("last_doc_id"))).orderBy("shard", "segment_no").select("segment").toLocalIterator():
-        doc_ids, ends, ids = open_segment(bytes(row[0]))
-        for k in range(*np.searchsorted(doc_ids, [doc_id, doc_id + 1]).tolist()):
+        first, names, ends, ids = open_segment(bytes(row[0]))
+        for k in range(names.first_at_least(doc_id - first), names.first_at_least(doc_id + 1 - first)):
             found.append(ids[ends[k - 1] if k else 0 : ends[k]].astype("<u4"))
     return found
 

@@ -9,6 +9,7 @@ A text that holds the content of an added token goes there whole too.
 
 from __future__ import annotations
 
+import json
 import os
 import string
 from array import array
@@ -61,6 +62,14 @@ def _cuts(word: str) -> list[str] | None:
     return out
 
 
+def _byte_level(library) -> bool:
+    """Whether the tokenizer splits texts by the byte-level pattern and does nothing else to them."""
+    if library.normalizer is not None or library.pre_tokenizer is None:
+        return False
+    how = json.loads(library.pre_tokenizer.__getstate__())
+    return how["type"] == "ByteLevel" and how.get("use_regex", True) and not how["add_prefix_space"]
+
+
 class Encoder:
     """ids(text): little-endian unsigned 32-bit ids. One encoder a Python worker."""
 
@@ -74,6 +83,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         #: Texts with one of these go to the library whole: it cuts them out before it splits words.
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: The cache holds for byte-level splitting alone; with any other tokenizer all texts go to the library whole.
+        self.by_words = _byte_level(self.library)
         #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -94,7 +105,7 @@ class Encoder:
         """The ids of a few texts; their unknown words go to the library together."""
         if len(self.cache) > self.cache_words:
             self.old, self.cache = self.cache, {}
-        whole = [t is not None and any(a in t for a in self.added) for t in texts]
+        whole = [t is not None and (not self.by_words or any(a in t for a in self.added)) for t in texts]
         parts = [("" if w else t or "").split(" ") for t, w in zip(texts, whole, strict=True)]
         heads = [" " + words[0] for words in parts]
         parts = [words[1:] for words in parts]
