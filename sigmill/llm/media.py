@@ -112,29 +112,43 @@ def riff_chunks(data: bytes, at: int) -> dict[bytes, tuple[int, int]] | None:
 
 def riff_end(data: bytes, at: int) -> int | None:
     chunks = riff_chunks(data, at)
-    wanted = {b"WAVE": (b"fmt ", b"data"), b"WEBP": (), b"AVI ": (b"LIST",)}.get(data[at + 8 : at + 12])
-    return at + 8 + _u32(data, at + 4) if chunks and wanted is not None and all(x in chunks for x in wanted) else None
+    form = data[at + 8 : at + 12]
+    wanted = {b"WAVE": (b"fmt ", b"data"), b"WEBP": (), b"AVI ": (b"LIST",)}.get(form)
+    whole = chunks and wanted is not None and all(x in chunks for x in wanted) and (form != b"WEBP" or set(chunks) & {b"VP8 ", b"VP8L", b"ANMF"})
+    return at + 8 + _u32(data, at + 4) if whole else None
 
 
 def ogg_end(data: bytes, at: int) -> int | None:
-    """Pages of version 0 with rising numbers of one stream, to its last page."""
-    p, number = at, 0
+    """Pages of version 0, numbered from 0 in each of the streams that may alternate, until all streams have ended."""
+    p, pages, ended = at, {}, set()
     while data[p : p + 5] == b"OggS\0" and p + 27 <= len(data):
         table = data[p + 27 : p + 27 + data[p + 26]]
-        end = p + 27 + data[p + 26] + sum(table)
-        if len(table) < data[p + 26] or end > len(data) or _u32(data, p + 18) != number or bool(data[p + 5] & 2) != (number == 0):
+        end, stream = p + 27 + data[p + 26] + sum(table), _u32(data, p + 14)
+        number = pages.get(stream, 0)
+        if len(table) < data[p + 26] or end > len(data) or stream in ended or _u32(data, p + 18) != number or bool(data[p + 5] & 2) != (number == 0):
             return None
+        pages[stream] = number + 1
         if data[p + 5] & 4:
-            return end
-        p, number = end, number + 1
+            ended.add(stream)
+            if len(ended) == len(pages):
+                return end
+        p = end
     return None
 
 
 def mp4_end(data: bytes, at: int) -> int | None:
-    """Boxes from ftyp on; a moov or moof box is needed."""
+    """Boxes from ftyp on, of 32-bit or 64-bit lengths; a moov or moof box is needed. A box of length 0 goes to the end."""
     p, seen = at, set()
-    while (n := _u32(data, p, ">")) >= 8 and p + n <= len(data) and data[p + 4 : p + 8].isalnum():
-        seen.add(data[p + 4 : p + 8])
+    while (n := _u32(data, p, ">")) >= 0 and data[p + 4 : p + 8].isalnum():
+        kind = data[p + 4 : p + 8]
+        if n == 1:
+            n = int.from_bytes(data[p + 8 : p + 16], "big") if p + 16 <= len(data) else 0
+            n = n if n >= 16 else -1
+        elif n == 0:
+            n = len(data) - p
+        if n < 8 or p + n > len(data):
+            break
+        seen.add(kind)
         p += n
     return p if b"ftyp" in seen and seen & {b"moov", b"moof"} else None
 
@@ -190,6 +204,26 @@ def sniff_media(df: DataFrame, content: str = "content", declared: str = "declar
     return base.mapInArrow(run, fields + ", media_type string, mislabelled boolean, objects array<struct<type:string,offset:bigint,length:bigint>>")
 
 
+def carve_media(df: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
+    """One row for each valid object: (key, media_type, offset, length, data), the object's own bytes. Nested ones too.
+
+    Values without objects, null and empty ones give no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):  # one value's objects at a time
+                value = batch.column(1)[k].as_py() or b""
+                found = find_media(value)
+                if found:
+                    kinds, at, sizes = zip(*found, strict=True)
+                    own = batch.column(0).take(pa.array([k] * len(found)))
+                    yield pa.RecordBatch.from_arrays([own, pa.array(kinds), pa.array(at, pa.int64()), pa.array(sizes, pa.int64()), pa.array([value[a : a + n] for _, a, n in found], pa.binary())], [key, "media_type", "offset", "length", "data"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, content).mapInArrow(run, f"`{key}` {kind}, media_type string, offset long, length long, data binary")
+
+
 def wav_of(payload: bytes) -> bytes:
     """Mono 8-bit PCM; the samples are the payload's bytes. An even length needs no padding."""
     head = struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(payload), b"WAVE", b"fmt ", 16, 1, 1, RATE, RATE, 1, 8, b"data", len(payload))
