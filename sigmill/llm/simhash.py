@@ -39,6 +39,8 @@ from .components import connected_components
 MAX_BUCKET = 4096
 BROADCAST_ROWS = 20_000
 CHUNK_ROWS = 32_768
+#: Characters whose shingles are Python objects at a time.
+TEXT_CHARS = 500_000
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 LANES = np.uint64(0x0101010101010101)
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -124,7 +126,7 @@ def with_fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], 2_000_000):
+            for a, b in slices([len(t or "") for t in texts], TEXT_CHARS):
                 f = fingerprints(texts[a:b], plan).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", *names])
 
@@ -308,7 +310,7 @@ def with_set_prints(docs: DataFrame, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], 2_000_000):
+            for a, b in slices([len(t or "") for t in texts], TEXT_CHARS):
                 hashes = [shingle_hashes(t, plan) for t in texts[a:b]]
                 f = _votes(hashes, plan).view(np.int64)
                 head = [batch.column(0).slice(a, b - a), pa.array(list(map(_set_digest, hashes)), pa.binary()), pa.array(list(map(len, hashes)), pa.int64())]
