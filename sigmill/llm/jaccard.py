@@ -1,22 +1,32 @@
 """Links between texts by the exact Jaccard similarity of their shingle sets, within candidate groups.
 
-A set is a sorted array of distinct 64-bit hashes. Within a group the search starts at any set and goes on from each set
-it reaches, always to those not reached yet whose size allows the similarity; every pair of a group that could link two
-parts of it is compared, and only a spanning forest leaves the task. Groups of more than `MAX_SETS` sets or
-`MAX_HASHES` hashes are cut into parts; every pair of parts is a group of its own.
+A set is a sorted array of distinct 64-bit hashes. Within a task the search starts at any set and goes on from each set
+it reaches, always to those not reached yet whose size allows the similarity; every pair that could link two parts of
+what is there is compared, and only a spanning forest leaves the task.
+
+Groups of more than `MAX_SETS` sets or `MAX_HASHES` hashes are cut into parts. First each part is searched together with
+the group's hubs, the few sets of each part whose fingerprints are nearest to the part's majority: in a group of copies
+these are what the copies were made from, and connect nearly all of it. Then only pairs of different components are
+left; every one of them has a set outside the largest component, and those minor sets meet all parts, in parts of their
+own. So a group of copies is moved about twice, and no pair is missed in any group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import forget, materialize
+from .components import connected_components
+
 MAX_SETS = 2048
 MAX_HASHES = 250_000
+#: Sets of each part of a cut group that meet all its parts.
+HUBS = 4
 #: Rows that are Python objects at a time.
 ROWS = 256
 #: Numerator and denominator of the least similarity that links.
@@ -72,8 +82,36 @@ def parts(members: DataFrame) -> DataFrame:
     return members.groupBy("grp").agg(pieces.alias("parts"))
 
 
-def links(members: DataFrame) -> DataFrame:
-    """members(grp, parts, node, hashes) -> edges (a, b) that connect all pairs of a group at the similarity or above."""
+def hubs(members: DataFrame, words: int) -> DataFrame:
+    """members(grp, part, node, f0, ...) -> (grp, node): of each part the `HUBS` nodes nearest to its majority fingerprint."""
+    names = [f"f{j}" for j in range(words)]
+
+    def nearest(rows: list[np.ndarray]) -> pa.RecordBatch:
+        f = np.stack([c.view(np.uint64) for c in rows[3:]], axis=1)
+        bits = np.unpackbits(np.ascontiguousarray(f).view(np.uint8), axis=1)
+        far = np.abs(bits - (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1)
+        best = np.lexsort((rows[2], far))[:HUBS]
+        return pa.RecordBatch.from_arrays([pa.array(rows[0][best]), pa.array(rows[2][best])], ["grp", "node"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] | None = None
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            kept = new if kept is None else [np.concatenate(x) for x in zip(kept, new, strict=True)]
+            cuts = np.flatnonzero((kept[0][1:] != kept[0][:-1]) | (kept[1][1:] != kept[1][:-1])) + 1
+            for a, b in zip(np.r_[0, cuts[:-1]], cuts, strict=True) if len(cuts) else ():
+                yield nearest([c[a:b] for c in kept])
+            if len(cuts):
+                kept = [c[cuts[-1] :] for c in kept]
+        if kept is not None and len(kept[0]):
+            yield nearest(kept)
+
+    rows = members.select("grp", "part", "node", *names)
+    return rows.repartition("grp", "part").sortWithinPartitions("grp", "part").mapInArrow(run, "grp long, node long")
+
+
+def links(sets: DataFrame) -> DataFrame:
+    """sets(grp, lo, hi, node, hashes) -> edges (a, b) that connect all pairs of equal (grp, lo, hi) at the similarity or above."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets = None, [], []
@@ -88,7 +126,43 @@ def links(members: DataFrame) -> DataFrame:
         if len(nodes) > 1:
             yield _edges(nodes, sets)
 
-    rows = members.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     keys = ["grp", "lo", "hi"]
-    rows = rows.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).select(*keys, "node", "hashes")
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compared, "a long, b long")
+    return sets.select(*keys, "node", "hashes").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compared, "a long, b long")
+
+
+def components(members: DataFrame, words: int, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """members(grp, node, n_hashes, f0, ...) -> (node, root) under the similarity within groups.
+
+    sets_of: rows (node, keys) -> (keys, node, hashes), keys as an array of places (grp, lo, hi) where the set is needed.
+    """
+    place = lambda lo, hi: F.struct("grp", lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+
+    def linked_at(rows: DataFrame) -> DataFrame:
+        sets = sets_of(rows).select(F.explode("keys").alias("k"), "node", "hashes")
+        return links(sets.select("k.*", "node", "hashes"))
+
+    cut = members.join(parts(members), "grp").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    cut = materialize(cut, "jaccard-parts")
+    shared = hubs(cut.where("parts > 1"), words).select(F.col("node").alias("hub")).distinct()
+    both = cut.join(shared, cut["node"] == shared["hub"], "left")
+    keys = F.when(F.col("hub").isNull(), F.array(place(F.col("part"), F.lit(0)))).otherwise(F.transform(numbers(F.col("parts")), lambda p: place(p, F.lit(0))))
+    edges = materialize(linked_at(both.select("node", keys.alias("keys"))), "jaccard-edges")
+    found = connected_components(edges)
+    roots = found.select(F.col("node").alias("_n"), "root")
+    big = cut.where("parts > 1").join(roots, F.col("node") == F.col("_n"), "left").withColumn("comp", F.coalesce("root", "node"))
+    counts = big.groupBy("grp", "comp").agg(F.count("*").alias("n"), F.sum("n_hashes").alias("h"))
+    major = counts.groupBy("grp").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.sum("n").alias("all_n"), F.sum("h").alias("all_h"), F.max(F.struct("n", "comp", "h")).alias("top"))
+    left_n, left_h = F.col("all_n") - F.col("top.n"), F.col("all_h") - F.col("top.h")
+    rest = major.where(left_n > 0).select("grp", "major", F.greatest(F.ceil(left_n / MAX_SETS), F.ceil(left_h / MAX_HASHES), F.lit(1)).alias("minors"))
+    open_ = materialize(big.join(rest, "grp").select("grp", "node", "parts", "part", "minors", (F.col("comp") != F.col("major")).alias("minor")), "jaccard-open")
+    if not open_.isEmpty():
+        own = F.transform(numbers(F.col("minors")), lambda j: place(F.col("part"), j))
+        met = F.transform(numbers(F.col("parts")), lambda p: place(p, F.pmod(F.xxhash64("node", F.lit(1)), "minors")))
+        keys = F.when(F.col("minor"), F.array_union(own, met)).otherwise(own)
+        more = materialize(linked_at(open_.select("node", keys.alias("keys"))), "jaccard-edges")
+        forget(found)
+        found = connected_components(edges.unionByName(more))
+        forget(more)
+    forget(edges, open_, cut)
+    return found

@@ -320,25 +320,26 @@ def with_set_prints(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _with_sets(members: DataFrame, plan: Plan) -> DataFrame:
-    """members(grp, parts, node, digest, text) -> (grp, parts, node, hashes) of the texts that have the digest."""
+    """members(keys, node, digest, text) -> (keys, node, hashes) of the texts that have the digest."""
+    kind = members.schema["keys"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, jaccard.ROWS):
                 part = batch.slice(a, jaccard.ROWS)
-                hashes = [shingle_hashes(t, plan) for t in part.column(4).to_pylist()]
-                keep = [k for k, (h, d) in enumerate(zip(hashes, part.column(3).to_pylist(), strict=True)) if _set_digest(h) == d]
+                hashes = [shingle_hashes(t, plan) for t in part.column(3).to_pylist()]
+                keep = [k for k, (h, d) in enumerate(zip(hashes, part.column(2).to_pylist(), strict=True)) if _set_digest(h) == d]
                 sets = pa.array([hashes[k].astype("<u8").tobytes() for k in keep], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(keep, pa.int64())) for c in range(3)), sets], ["grp", "parts", "node", "hashes"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(keep, pa.int64())) for c in range(2)), sets], ["keys", "node", "hashes"])
 
-    return members.select("grp", "parts", "node", "digest", "text").mapInArrow(run, "grp long, parts long, node long, hashes binary")
+    return members.select("keys", "node", "digest", "text").mapInArrow(run, f"keys {kind}, node long, hashes binary")
 
 
 def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
     """docs with doc_id and text -> (doc_id, component_id): groups chained by pairs of similarity 0.8 or more.
 
-    Equal shingle sets are one node. The bit-sliced search only proposes groups; `jaccard.links` compares the shingle
-    sets within each, so no pair below the similarity links, and a pair is missed only if its two texts share no group.
+    Equal shingle sets are one node. The bit-sliced search only proposes groups; `jaccard` compares the shingle sets
+    within each, so no pair below the similarity links, and a pair is missed only if its two texts share no group.
     """
     names = [f"f{j}" for j in range(plan.words)]
     prints = materialize(with_set_prints(docs, plan), "set-prints")
@@ -346,11 +347,15 @@ def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
     nodes = materialize(nodes, "set-nodes")
     near = connected_components(_links(nodes.select("node", *names), plan))
     grouped = near.select(F.col("node").alias("_n"), F.col("root").alias("grp"))
-    members = materialize(nodes.join(grouped, nodes["node"] == grouped["_n"]).select("grp", "node", "digest", "n_hashes"), "members")
+    members = materialize(nodes.join(grouped, nodes["node"] == grouped["_n"]).select("grp", "node", "digest", "n_hashes", *names), "members")
     forget(near)
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    sets = _with_sets(texts.join(members.join(jaccard.parts(members), "grp"), F.col("_doc") == F.col("node")), plan)
-    found = connected_components(jaccard.links(sets))
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        wanted = rows.join(members.select(F.col("node").alias("_m"), "digest"), F.col("node") == F.col("_m")).select("node", "keys", "digest")
+        return _with_sets(texts.join(wanted, F.col("_doc") == F.col("node")), plan)
+
+    found = jaccard.components(members, plan.words, sets_of)
     roots = found.select(F.col("node").alias("_n"), "root")
     named = materialize(nodes.join(roots, nodes["node"] == roots["_n"], "left").select("digest", F.coalesce("root", "node").alias("component_id")), "components")
     forget(found, members, nodes)

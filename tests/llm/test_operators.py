@@ -194,9 +194,9 @@ def test_near_copies_are_verified(spark, monkeypatch):
     texts += ["again and again and again " * 50 + tail for tail in ("one two three four five six seven", "eight nine ten eleven twelve thirteen")] + ["", " \n", None]
     expected = jaccard_groups(texts)
     table = spark.createDataFrame([*enumerate(texts), (None, texts[0])], "doc_id long, text string")
-    for cut in (False, True):
-        if cut:
-            monkeypatch.setattr(jaccard, "MAX_SETS", 3)
+    for most, hubs in ((2048, 4), (3, 4), (5, 1), (2, 0)):  # whole groups; cut ones, with and without what connects them
+        monkeypatch.setattr(jaccard, "MAX_SETS", most)
+        monkeypatch.setattr(jaccard, "HUBS", hubs)
         left = Counter(r["doc_id"] for r in simhash.drop_near_duplicates(table).collect())
         assert left == Counter([*(i for i, r in enumerate(expected) if i == r), None])
 
