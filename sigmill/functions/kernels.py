@@ -34,11 +34,70 @@ def welch_sums(x: np.ndarray, nperseg: int, hop: int, fs: float) -> tuple[np.nda
     return np.fft.fftshift(power.sum(axis=0)), len(power)
 
 
-def stft_db(x: np.ndarray, nperseg: int, hop: int) -> np.ndarray:
-    """(frames, nperseg) centred magnitudes in dB."""
+def stft_db(x: np.ndarray, nperseg: int, hop: int, scaling: str = "none") -> np.ndarray:
+    """(frames, nperseg) centred magnitudes in dB; scaling "spectrum" divides them by the window's sum."""
     w = hann(nperseg)
-    spectrum = np.fft.fftshift(np.fft.fft(frames(x, nperseg, hop) * w, axis=1), axes=1) / w.sum()
-    return 20 * np.log10(np.maximum(np.abs(spectrum), 1e-12))
+    spectrum = np.fft.fftshift(np.fft.fft(frames(x, nperseg, hop) * w, axis=1), axes=1)
+    return 20 * np.log10(np.maximum(np.abs(spectrum) / (w.sum() if scaling == "spectrum" else 1.0), 1e-12))
+
+
+def strided_power(x: np.ndarray, starts: np.ndarray, nfft: int, step: int = 1, batch: int = 256) -> np.ndarray:
+    """Centred power, summed over frames of every step-th sample from each start, under a symmetric Hann window; unit window energy."""
+    w, total = np.hanning(nfft), np.zeros(nfft)
+    for k in range(0, len(starts), batch):
+        rows = x[starts[k : k + batch, None] + np.arange(nfft) * step]
+        total += (np.abs(np.fft.fft(rows * w, axis=1)) ** 2).sum(axis=0)
+    return np.fft.fftshift(total / ((w**2).sum() + 1e-12))
+
+
+def band_of(p_db: np.ndarray, fs: float, below: float = 20.0) -> tuple[float, float, float]:
+    """(centre, bandwidth, SNR) of a centred spectrum: between the outermost bins within `below` dB of the peak, over the median."""
+    f, strong = (np.arange(len(p_db)) - len(p_db) // 2) / len(p_db), np.flatnonzero(p_db >= p_db.max() - below)
+    low, high = f[strong[0]], f[strong[-1]]
+    return (low + high) / 2 * fs, (high - low) * fs, float(p_db.max() - np.median(p_db))
+
+
+def cfar_line(x: np.ndarray, guard: int, train: int, k: float, both: bool = False) -> np.ndarray:
+    """Cells of each row of x that stand out from their neighbours along it: above median + k * 1.4826 * MAD of up to
+    `train` cells on each side beyond `guard`. With `both`, a cell that lacks neighbours on one side does not."""
+    n, reach = x.shape[1], guard + train
+    if not n:
+        return np.zeros(x.shape, bool)
+    wide = np.pad(x.astype(np.float64), ((0, 0), (reach, reach)), constant_values=np.nan)
+    near = [j for j in range(-reach, reach + 1) if abs(j) > guard]
+    ref = np.stack([wide[:, reach + j : reach + j + n] for j in near], axis=-1)
+    some = ~np.isnan(ref).all(axis=-1)
+    if both:
+        some &= ~np.isnan(ref[..., :train]).all(axis=-1) & ~np.isnan(ref[..., train:]).all(axis=-1)
+    ref = np.where(some[..., None], ref, 0.0)
+    mid = np.nanmedian(ref, axis=-1)
+    mad = np.nanmedian(np.abs(ref - mid[..., None]), axis=-1) + 1e-12
+    return some & (x > mid + k * 1.4826 * mad)
+
+
+def firwin_hann(taps: int, cutoff: float) -> np.ndarray:
+    """Windowed sinc (symmetric Hann) of unit gain at DC; cutoff as a share of half the rate."""
+    n = np.arange(taps) - (taps - 1) / 2
+    h = cutoff * np.sinc(cutoff * n) * np.hanning(taps)
+    return h / h.sum()
+
+
+def kaiser_fir(factor: int, beta: float = 8.6) -> np.ndarray:
+    """The anti-alias filter of a resampling by 1 / factor: 20 * factor + 1 taps, cutoff at the new half rate."""
+    if factor == 1:
+        return np.ones(1)
+    half = 10 * factor
+    n = np.arange(-half, half + 1)
+    h = np.sinc(n / factor) / factor * np.kaiser(2 * half + 1, beta)
+    return h / h.sum()
+
+
+def spectrogram_db(i: np.ndarray, nfft: int = 2048, hop: int = 256) -> np.ndarray:
+    """(frames, nfft / 2 + 1) magnitudes in dB of one channel, zero filled to whole frames."""
+    n = len(i)
+    extra = -(n - nfft) % hop if n >= nfft else nfft - n
+    rows = frames(np.pad(np.asarray(i, np.float64), (0, extra)), nfft, hop)
+    return 20 * np.log10(np.maximum(np.abs(np.fft.rfft(rows * np.hanning(nfft), axis=1)), 1e-12))
 
 
 def band_powers(x: np.ndarray, size: int) -> tuple[float, float]:

@@ -1,7 +1,9 @@
 """Operators on sample blocks: (file_id, chunk_id, block_id, start_sample, n, fs_hz, i, q), a row a block.
 
-Every block is reduced where it is read; what crosses the shuffle is partial sums, frames or interval pieces. Halos
-(the samples that a frame or filter needs from the next block) travel as short pieces keyed by the neighbour's id.
+Every block is reduced where it is read; what crosses the shuffle is partial sums, frames or interval pieces. The halo
+(samples that a frame or filter needs from neighbouring blocks) comes with the block where the source was asked for it
+(options haloBefore, haloAfter, haloBeforeMs), and nothing of the samples is shuffled then; other tables of blocks get it
+by a join with short pieces of their neighbours.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ def samples(blocks: DataFrame) -> DataFrame:
 
 
 def channel_moments(blocks: DataFrame) -> DataFrame:
-    """Counts, sums and extremes of each channel by file: one row a block, then built-in sums."""
+    """Counts, means, deviations and extremes of each channel by file: one row a block, then sums.
+
+    A block gives its count, mean and squared deviations from its own mean; they meet around the file's mean, so a large
+    constant offset costs no digits. A stream has no file mean to meet around; there the block means' squares are summed.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -35,19 +41,64 @@ def channel_moments(blocks: DataFrame) -> DataFrame:
                 for name in ("i", "q"):
                     x = np.asarray(getattr(r, name), np.float64)
                     ok = x[np.isfinite(x)]
-                    row |= {f"{name}_nan": int(np.isnan(x).sum()), f"{name}_inf": int(np.isinf(x).sum()), f"{name}_n": len(ok), f"{name}_sum": ok.sum(), f"{name}_sq": (ok**2).sum(), f"{name}_min": ok.min(initial=np.inf), f"{name}_max": ok.max(initial=-np.inf), f"{name}_clip": int((np.abs(ok) > 0.999).sum())}
+                    mean = ok.mean() if len(ok) else 0.0
+                    row |= {f"{name}_nan": int(np.isnan(x).sum()), f"{name}_inf": int(np.isinf(x).sum()), f"{name}_n": len(ok), f"{name}_m": mean, f"{name}_m2": ((ok - mean) ** 2).sum(), f"{name}_min": ok.min(initial=np.inf), f"{name}_max": ok.max(initial=-np.inf), f"{name}_clip": int((np.abs(ok) > 0.999).sum())}
                 rows.append(row)
             yield pd.DataFrame(rows)
 
-    fields = ", ".join(f"{c}_nan long, {c}_inf long, {c}_n long, {c}_sum double, {c}_sq double, {c}_min double, {c}_max double, {c}_clip long" for c in "iq")
+    fields = ", ".join(f"{c}_nan long, {c}_inf long, {c}_n long, {c}_m double, {c}_m2 double, {c}_min double, {c}_max double, {c}_clip long" for c in "iq")
     parts = blocks.select("file_id", "i", "q").mapInPandas(run, f"file_id string, frames long, {fields}")
     aggs = [F.sum("frames").alias("frames")]
+    file = Window.partitionBy("file_id")  # one row a block
     for c in "iq":
-        n, mean = F.greatest(F.sum(f"{c}_n"), F.lit(1)), F.sum(f"{c}_sum") / F.greatest(F.sum(f"{c}_n"), F.lit(1))
-        aggs += [F.sum(f"{c}_nan").alias(f"{c}_nan"), F.sum(f"{c}_inf").alias(f"{c}_inf"), mean.alias(f"{c}_mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum(f"{c}_sq") / n - mean * mean)).alias(f"{c}_std"), F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max"), F.sqrt(F.sum(f"{c}_sq") / n).alias(f"{c}_rms"), (100 * F.sum(f"{c}_clip") / n).alias(f"{c}_clip_pct")]
+        n = F.greatest(F.sum(f"{c}_n"), F.lit(1))
+        mean = F.sum(F.col(f"{c}_n") * F.col(f"{c}_m")) / n
+        if blocks.isStreaming:
+            var = (F.sum(f"{c}_m2") + F.sum(F.col(f"{c}_n") * F.col(f"{c}_m") ** 2)) / n - mean * mean
+        else:
+            parts = parts.withColumn(f"{c}_mu", F.sum(F.col(f"{c}_n") * F.col(f"{c}_m")).over(file) / F.greatest(F.sum(f"{c}_n").over(file), F.lit(1)))
+            var = F.sum(F.col(f"{c}_m2") + F.col(f"{c}_n") * (F.col(f"{c}_m") - F.col(f"{c}_mu")) ** 2) / n
+        std = F.sqrt(F.greatest(F.lit(0.0), var))
+        aggs += [F.sum(f"{c}_nan").alias(f"{c}_nan"), F.sum(f"{c}_inf").alias(f"{c}_inf"), mean.alias(f"{c}_mean"), std.alias(f"{c}_std"), F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max"), F.greatest(F.abs(F.min(f"{c}_min")), F.abs(F.max(f"{c}_max"))).alias(f"{c}_peak_abs"), F.sqrt(mean * mean + std * std).alias(f"{c}_rms"), (100 * F.sum(f"{c}_clip") / n).alias(f"{c}_clip_pct")]
     return parts.groupBy("file_id").agg(*aggs)
 
 
+def envelope_kurtosis(blocks: DataFrame) -> DataFrame:
+    """(file_id, n, envelope_kurtosis): the fourth standardised moment of the envelope after the chunk's DC is removed.
+
+    Two reductions: chunk means of finite samples, then power sums of the envelope, shifted by the file's first guess.
+    """
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                x = [np.asarray(v, np.float64) for v in (r.i, r.q)]
+                x = [v[np.isfinite(v)] for v in x]
+                rows.append((r.file_id, r.chunk_id, x[0].sum(), len(x[0]), x[1].sum(), len(x[1])))
+            yield pd.DataFrame(rows, columns=["file_id", "chunk_id", "si", "ni", "sq", "nq"])
+
+    def powers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                z = np.hypot(np.asarray(r.i, np.float64) - r.mi, np.asarray(r.q, np.float64) - r.mq)
+                z = z[np.isfinite(z)]
+                m = z.mean() if len(z) else 0.0
+                d = z - m
+                rows.append((r.file_id, len(z), m, (d**2).sum(), (d**3).sum(), (d**4).sum()))
+            yield pd.DataFrame(rows, columns=["file_id", "n", "m", "m2", "m3", "m4"])
+
+    dc = blocks.select("file_id", "chunk_id", "i", "q").mapInPandas(sums, "file_id string, chunk_id long, si double, ni long, sq double, nq long").groupBy("file_id", "chunk_id")
+    dc = dc.agg((F.sum("si") / F.greatest(F.sum("ni"), F.lit(1))).alias("mi"), (F.sum("sq") / F.greatest(F.sum("nq"), F.lit(1))).alias("mq"))
+    parts = blocks.select("file_id", "chunk_id", "i", "q").join(dc, ["file_id", "chunk_id"]).mapInPandas(powers, "file_id string, n long, m double, m2 double, m3 double, m4 double")
+    parts = parts.withColumn("d", F.col("m") - F.sum(F.col("n") * F.col("m")).over(Window.partitionBy("file_id")) / F.greatest(F.sum("n").over(Window.partitionBy("file_id")), F.lit(1)))
+    n, d = F.sum("n"), F.col("d")
+    var = F.sum(F.col("m2") + F.col("n") * d**2) / n
+    fourth = F.sum(F.col("m4") + 4 * d * F.col("m3") + 6 * d**2 * F.col("m2") + F.col("n") * d**4) / n
+    return parts.groupBy("file_id").agg(n.alias("n"), F.when(F.sqrt(var) < 1e-12, 0.0).otherwise(fourth / (var * var)).alias("envelope_kurtosis"))
+
+
 def image_rejection(blocks: DataFrame, size: int = IRR_FFT) -> DataFrame:
     """(file_id, best, irr_db): band powers of each block's centre crop, summed; a tie goes to I+Q, then I-Q.
 
@@ -69,30 +120,59 @@ def image_rejection(blocks: DataFrame, size: int = IRR_FFT) -> DataFrame:
     return sums.select("file_id", F.when(plain >= mirrored, "I+Q").otherwise("I-Q").alias("best"), F.abs(F.greatest(plain, mirrored)).alias("irr_db"))
 
 
-def with_halo(blocks: DataFrame, after: int) -> DataFrame:
-    """blocks with `tail_i` and `tail_q`: the first `after` samples of the next block of the file."""
-    head = blocks.select("file_id", (F.col("block_id") - 1).alias("block_id"), F.slice("i", 1, after).alias("tail_i"), F.slice("q", 1, after).alias("tail_q"))
-    return blocks.join(head, ["file_id", "block_id"], "left")
+def _has(blocks: DataFrame, side: str, frames: int = 0, ms: float = 0.0) -> bool:
+    """Whether the blocks came with so wide a halo on one side ("head" or "tail")."""
+    width = blocks.schema[f"{side}_i"].metadata if f"{side}_i" in blocks.columns else {}
+    return bool(width) and width.get("frames", 0) >= frames and width.get("ms", 0.0) >= ms
+
+
+def with_halo(blocks: DataFrame, *columns: str, before: int = 0, after: int = 0) -> DataFrame:
+    """The columns of blocks, with head_i, head_q (`before` samples of the block before) and tail_i, tail_q (`after` of
+    the next one): as read with the blocks, or by joins."""
+    sides = [(s, n, step) for s, n, step in (("head", before, 1), ("tail", after, -1)) if n]
+    own = [f"{s}_{c}" for s, n, _ in sides if _has(blocks, s, n) for c in "iq"]
+    out = blocks.select(*dict.fromkeys(("file_id", "block_id", *columns)), *own)
+    for side, n, step in sides:
+        if not _has(blocks, side, n):
+            first = 1 if side == "tail" else F.greatest(F.lit(1), F.col("n") - n + 1)
+            piece = blocks.select("file_id", (F.col("block_id") + step).alias("block_id"), *(F.slice(c, F.lit(first) if side == "tail" else first, F.lit(n)).alias(f"{side}_{c}") for c in "iq"))
+            out = out.join(piece, ["file_id", "block_id"], "left")
+    return out
+
+
+def samples_of(r, before: int = 0, after: int = 0) -> tuple[np.ndarray, int]:
+    """A row of with_halo as complex samples, and how many of them precede the block's own."""
+    part = lambda side, some: kernels.complex_of(*(np.zeros(0) if (v := getattr(r, f"{side}_{c}")) is None else np.asarray(v)[some] for c in "iq"))
+    own = kernels.complex_of(r.i, r.q)
+    head = part("head", slice(-before, None)) if before else own[:0]
+    tail = part("tail", slice(None, after)) if after else own[:0]
+    return np.concatenate([head, own, tail]), len(head)
 
 
 def welch(blocks: DataFrame, nperseg: int = 4096, hop: int = 2048) -> DataFrame:
     """(file_id, bin, f_hz, p, p_db): the average periodogram of all frames of the file, across block borders.
 
-    The block length must be a multiple of hop.
+    The block length must be a multiple of hop. A file shorter than nperseg is one frame of its own length.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                tail = [np.zeros(0) if t is None else np.asarray(t) for t in (r.tail_i, r.tail_q)]
-                x = kernels.complex_of(np.r_[r.i, tail[0]], np.r_[r.q, tail[1]])
-                x = x[: len(r.i) + nperseg - hop]
-                p, n = kernels.welch_sums(x, nperseg, hop, r.fs_hz)
-                yield pd.DataFrame({"file_id": r.file_id, "fs_hz": r.fs_hz, "bin": np.arange(nperseg), "p": p, "frames": n})
+                x, _ = samples_of(r, after=nperseg - hop)
+                size = min(nperseg, len(x)) if r.start_sample == 0 else nperseg
+                if size < nperseg and len(r.tail_i if r.tail_i is not None else ()) == nperseg - hop:
+                    size = nperseg  # a short block, but not a short file
+                p, n = kernels.welch_sums(x, size, hop, r.fs_hz) if size else (np.zeros(0), 0)
+                yield pd.DataFrame({"file_id": r.file_id, "fs_hz": r.fs_hz, "size": size, "bin": np.arange(size), "p": p, "frames": n})
+
+    parts = with_halo(blocks, "start_sample", "fs_hz", "i", "q", after=nperseg - hop).mapInPandas(run, "file_id string, fs_hz double, size int, bin int, p double, frames long")
+    psd = parts.groupBy("file_id", "fs_hz", "size", "bin").agg((F.sum("p") / F.greatest(F.sum("frames"), F.lit(1))).alias("p"), F.sum("frames").alias("frames")).where("frames > 0")
+    return psd.select("file_id", "bin", ((F.col("bin") - F.floor(F.col("size") / 2)) * F.col("fs_hz") / F.col("size")).alias("f_hz"), "p", (10 * F.log10(F.greatest("p", F.lit(1e-20)))).alias("p_db"))
+
 
-    parts = with_halo(blocks.select("file_id", "block_id", "fs_hz", "i", "q"), nperseg - hop).mapInPandas(run, "file_id string, fs_hz double, bin int, p double, frames long")
-    psd = parts.groupBy("file_id", "fs_hz", "bin").agg((F.sum("p") / F.greatest(F.sum("frames"), F.lit(1))).alias("p"))
-    return psd.select("file_id", "bin", ((F.col("bin") - nperseg // 2) * F.col("fs_hz") / nperseg).alias("f_hz"), "p", (10 * F.log10(F.greatest("p", F.lit(1e-20)))).alias("p_db"))
+def noise_floor(psd: DataFrame) -> DataFrame:
+    """(file_id, noise_floor_db): the median over the bins, which trimming both ends alike does not change."""
+    return psd.groupBy("file_id").agg(F.median("p_db").alias("noise_floor_db"))
 
 
 def carriers(psd: DataFrame, prominence_db: float = 8) -> DataFrame:
@@ -115,20 +195,34 @@ def carriers(psd: DataFrame, prominence_db: float = 8) -> DataFrame:
     return psd.select("file_id", "bin", "f_hz", "p_db").groupBy("file_id").applyInPandas(run, "file_id string, carrier_index long, f_center_hz double, p_db double, bw_hz double, snr_db double")
 
 
-def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024) -> DataFrame:
-    """(file_id, t_idx, s_db array): STFT columns of all blocks; frames that cross a border use the halo."""
+def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024, max_columns: int | None = None, scaling: str = "none", kind: str = "float") -> DataFrame:
+    """(file_id, t_idx, time_s, s_db array): STFT columns of all blocks; frames that cross a border use the halo.
+
+    hop must divide the block length. max_columns keeps every so-manieth frame of a file, so that no more columns come
+    (4000 in the surveyed scripts); frames that are left out are not computed, and t_idx counts the kept ones.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                tail = [np.zeros(0) if t is None else np.asarray(t) for t in (r.tail_i, r.tail_q)]
-                x = kernels.complex_of(np.r_[r.i, tail[0]], np.r_[r.q, tail[1]])[: len(r.i) + nperseg - hop]
-                db = kernels.stft_db(x, nperseg, hop)
-                if not len(db):
+                x, _ = samples_of(r, after=nperseg - hop)
+                first = r.start_sample // hop
+                kept = np.arange(-first % r.skip, max(0, (len(x) - nperseg) // hop + 1), r.skip)
+                if not len(kept):
                     continue
-                yield pd.DataFrame({"file_id": r.file_id, "t_idx": r.start_sample // hop + np.arange(len(db)), "s_db": list(db.astype(np.float32))})
+                rows = np.concatenate([x[k * hop : k * hop + nperseg] for k in kept])
+                db = kernels.stft_db(rows, nperseg, nperseg, scaling)
+                t = first + kept
+                yield pd.DataFrame({"file_id": r.file_id, "t_idx": t // r.skip, "time_s": t * hop / r.fs_hz, "s_db": list(db.astype(np.float32 if kind == "float" else np.float64))})
 
-    return with_halo(blocks.select("file_id", "block_id", "start_sample", "i", "q"), nperseg - hop).mapInPandas(run, "file_id string, t_idx long, s_db array<float>")
+    near = with_halo(blocks, "start_sample", "fs_hz", "n", "i", "q", after=nperseg - hop)
+    if max_columns is None:
+        near = near.withColumn("skip", F.lit(1).cast("long"))
+    else:
+        total = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("total"))
+        frames = 1 + F.greatest(F.lit(0), F.floor((F.col("total") - nperseg) / hop))
+        near = near.join(total.select("file_id", F.greatest(F.lit(1), F.ceil(frames / max_columns)).cast("long").alias("skip")), "file_id")
+    return near.mapInPandas(run, f"file_id string, t_idx long, time_s double, s_db array<{kind}>")
 
 
 def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int, *keep: str) -> DataFrame:
@@ -173,9 +267,13 @@ def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -
                     rows += [(*place, r.start_sample + int(s), r.start_sample + int(e) + 1) for s, e in zip(on[np.r_[0, cuts + 1]], on[np.r_[cuts, len(on) - 1]], strict=True)]
             yield pd.DataFrame(rows, columns=["file_id", "chunk_id", "fs_hz", "lo", "hi", "s", "e"]).astype({"s": "Int64", "e": "Int64"})
 
-    longest = F.ceil(F.col("fs_hz") * rms_ms / 1000).cast("int")
-    before = blocks.select("file_id", "chunk_id", (F.col("block_id") + 1).alias("block_id"), *(F.slice(c, F.greatest(F.lit(1), F.col("n") - longest + 1), longest).alias(f"head_{c}") for c in "iq"))
-    near = blocks.select("file_id", "chunk_id", "block_id", "start_sample", "fs_hz", "i", "q").join(before, ["file_id", "chunk_id", "block_id"], "left")
+    if _has(blocks, "head", ms=rms_ms):  # the window starts anew in each chunk
+        keep = F.least(F.size("head_i"), (F.col("start_sample") - F.col("chunk_id") * blocks.schema["chunk_id"].metadata["frames"]).cast("int"))
+        near = blocks.select("file_id", "chunk_id", "start_sample", "fs_hz", "i", "q", *(F.when(keep > 0, F.slice(f"head_{c}", F.size("head_i") - keep + 1, keep)).alias(f"head_{c}") for c in "iq"))
+    else:
+        longest = F.ceil(F.col("fs_hz") * rms_ms / 1000).cast("int")
+        before = blocks.select("file_id", "chunk_id", (F.col("block_id") + 1).alias("block_id"), *(F.slice(c, F.greatest(F.lit(1), F.col("n") - longest + 1), longest).alias(f"head_{c}") for c in "iq"))
+        near = blocks.select("file_id", "chunk_id", "block_id", "start_sample", "fs_hz", "i", "q").join(before, ["file_id", "chunk_id", "block_id"], "left")
     runs = near.mapInPandas(run, "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long")
 
     samples_of = lambda ms: F.round(F.col("fs_hz") * ms / 1000).cast("long")
@@ -207,15 +305,13 @@ def retune(blocks: DataFrame, carriers: DataFrame, target_hz: float = 1e6, taps:
             for r in batch.itertuples():
                 factor = max(1, round(r.fs_hz / target_hz))
                 h = kernels.lowpass(taps, float(np.clip(passband / factor, 0.05, 0.49)))
-                parts = [kernels.complex_of(*(np.zeros(0) if v is None else np.asarray(v) for v in pair)) for pair in ((r.head_i, r.head_q), (r.i, r.q), (r.tail_i, r.tail_q))]
-                left, n = len(parts[0]), len(parts[1])
-                x = np.concatenate(parts)
+                x, left = samples_of(r, half, half)
+                n = len(r.i)
                 for c in r.carriers:
                     y = kernels.decimate(kernels.mix(x, r.start_sample - left, c["f_center_hz"], r.fs_hz), h, factor, r.start_sample, left, n)
                     yield pd.DataFrame({"file_id": [r.file_id], "carrier_index": [c["carrier_index"]], "block_id": [r.block_id], "start_out": [-(-r.start_sample // factor)], "fs_hz": [r.fs_hz / factor], "i": [y.real.astype(np.float32)], "q": [y.imag.astype(np.float32)]})
 
-    before = blocks.select("file_id", (F.col("block_id") + 1).alias("block_id"), *(F.expr(f"slice({c}, greatest(1, n - {half - 1}), {half})").alias(f"head_{c}") for c in "iq"))
-    near = with_halo(blocks.select("file_id", "block_id", "start_sample", "n", "fs_hz", "i", "q"), half).join(before, ["file_id", "block_id"], "left")
+    near = with_halo(blocks, "start_sample", "n", "fs_hz", "i", "q", before=half, after=half)
     wanted = carriers.groupBy("file_id").agg(F.collect_list(F.struct(F.col("carrier_index").cast("long").alias("carrier_index"), F.col("f_center_hz").cast("double").alias("f_center_hz"))).alias("carriers"))
     return near.join(wanted, "file_id").mapInPandas(run, "file_id string, carrier_index long, block_id long, start_out long, fs_hz double, i array<float>, q array<float>")
 

@@ -65,7 +65,7 @@ v AS (SELECT carrier_index, clip_index, greatest(plain, mirrored) AS irr, CASE W
 f AS (SELECT carrier_index, min_by(conv, clip_index) AS first_conv FROM v GROUP BY carrier_index),
 st AS (SELECT v.carrier_index, count(*) AS n, avg(irr) AS mean_irr, stddev_pop(irr) AS std_irr, min(irr) AS min_irr, max(irr) AS max_irr, avg(CASE WHEN conv = first_conv THEN 1.0D ELSE 0.0D END) AS consistency FROM v JOIN f ON v.carrier_index = f.carrier_index GROUP BY v.carrier_index)
 SELECT carrier_index, n, round(mean_irr, 6) AS mean_irr, round(std_irr, 6) AS std_irr, round(min_irr, 6) AS min_irr, round(max_irr, 6) AS max_irr, round(max_irr - min_irr, 6) AS range_irr, round(consistency, 6) AS consistency,
-    CASE WHEN std_irr < 2 THEN 'low' WHEN std_irr < 10 THEN 'moderate' ELSE 'high' END AS variability FROM st"""
+    CASE WHEN max_irr - min_irr < 2 THEN 'LOW' WHEN max_irr - min_irr < 10 THEN 'MODERATE' ELSE 'HIGH' END AS variability FROM st"""
 
 #: A fixed linear scorer of five classes stands for a trained model; softmax, best label, unknown below a confidence.
 SOFTMAX_LABELS = """
@@ -124,3 +124,28 @@ e AS (SELECT carrier_index, min_by(irr, clip_index) AS irr1, max_by(irr, clip_in
 names AS (SELECT 'I+jQ' AS was, 'I+Q' AS becomes UNION ALL SELECT 'I-jQ', 'I-Q' UNION ALL SELECT 'Q+jI', 'Q+I' UNION ALL SELECT 'Q-jI', 'Q-I')
 SELECT carrier_index, best1, best2, becomes AS expected, round(irr2 - irr1, 6) AS diff_db, becomes = best2 AND abs(irr2 - irr1) < 3 AS verified, CASE WHEN becomes <> best2 THEN 'mapping' WHEN abs(irr2 - irr1) >= 3 THEN 'level' ELSE 'ok' END AS outcome
 FROM e LEFT JOIN names ON e.best1 = names.was"""
+
+#: Cumulants as channels: the real part of each, the same for all samples of a clip.
+CUMULANT_CHANNELS = f"""
+WITH u AS ({CLIP_CUMULANTS.strip()})
+SELECT c.clip_index, c.n, u.c20_r AS cum20, u.c40_r AS cum40, u.c41_r AS cum41, u.c42_r AS cum42 FROM {{clips}} c JOIN u ON c.clip_index = u.clip_index"""
+#: All features of a clip in one row.
+FEATURES = f"""
+WITH a AS ({CLIP_SNR_BW.strip()}), b AS ({CLIP_FLATNESS.strip()}), k AS ({CLIP_KURTOSIS.strip()}), u AS ({CLIP_CUMULANTS.strip()}), o AS ({CLIP_CFO.strip()})
+SELECT a.clip_index, {FS}.0D AS fs_hz, {N} AS t, snr_db, bw_hz, sfm, env_kurt, c20_r, c20_i, c40_r, c40_i, c41_r, c41_i, c42_r, c42_i, cfo_hz
+FROM a JOIN b ON a.clip_index = b.clip_index JOIN k ON a.clip_index = k.clip_index JOIN u ON a.clip_index = u.clip_index JOIN o ON a.clip_index = o.clip_index"""
+
+
+def channel_list(extras: str, also: tuple[str, ...] = ("i", "q")) -> list[str]:
+    """The channels asked for by a comma list, after the samples themselves: trimmed, lower case, unknown ones left out, cumulants last."""
+    known = ("amp", "phase", "dfreq", "cosphi", "sinphi", "d_amp", "d2phase")
+    asked = [w.strip().lower() for w in extras.split(",") if w.strip()]
+    return [*also, *(w for w in asked if w in known), *(w for w in ("cum20", "cum40", "cum41", "cum42") if w in asked)]
+
+
+def engineered(extras: str = "amp,phase,dfreq,cosphi,sinphi,d_amp,d2phase") -> str:
+    """Rows (clip_index, n, the channels of the list), by sample."""
+    names = channel_list(extras, ())
+    columns = "".join(f", {'m' if w.startswith('cum') else 'h'}.{w}" for w in names)
+    return f"""WITH h AS ({CLIP_CHANNELS.strip()}), m AS ({CUMULANT_CHANNELS.strip()})
+SELECT c.clip_index, c.n, c.i, c.q{columns} FROM {{clips}} c JOIN h ON c.clip_index = h.clip_index AND c.n = h.n JOIN m ON c.clip_index = m.clip_index AND c.n = m.n"""

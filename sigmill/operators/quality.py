@@ -27,33 +27,34 @@ dc AS (SELECT file_id, chunk_id, avg(i) AS mi, avg(q) AS mq FROM finite GROUP BY
 e AS (SELECT f.file_id, f.chunk_id, sqrt((i - mi) * (i - mi) + (q - mq) * (q - mq)) AS env FROM finite f JOIN dc ON f.file_id = dc.file_id AND f.chunk_id = dc.chunk_id)
 SELECT file_id, chunk_id, count(*) AS n, round(CASE WHEN stddev_pop(env) < 1e-12 THEN 0.0D ELSE kurtosis(env) + 3 END, 6) AS envelope_kurtosis FROM e GROUP BY file_id, chunk_id"""
 
-#: Penalties as fixed by the score's definition; verdict good from 80, marginal from 60.
-QUALITY_SCORE = f"""
-WITH st AS ({channel_stats("file_id")}),
-pen AS (SELECT file_id, frames, i_nan + q_nan AS nan_count, i_inf + q_inf AS inf_count, greatest(i_clip_pct, q_clip_pct) AS clip_pct FROM st),
-sc AS (SELECT *, CASE WHEN nan_count > 0 THEN 20 ELSE 0 END + CASE WHEN inf_count > 0 THEN 20 ELSE 0 END
-    + CASE WHEN clip_pct > 5 THEN 25 WHEN clip_pct > 1 THEN 10 WHEN clip_pct > 0.1 THEN 5 ELSE 0 END AS penalty FROM pen)
-SELECT file_id, frames, nan_count, inf_count, clip_pct, CAST(greatest(0, 100 - penalty) AS BIGINT) AS quality_score,
-    CASE WHEN 100 - penalty >= 80 THEN 'good' WHEN 100 - penalty >= 60 THEN 'marginal' ELSE 'poor' END AS verdict FROM sc"""
-
-STRIDED_SCAN = "SELECT file_id, n div 7 AS n, i, q FROM {s} WHERE n % 7 = 0"
-CHUNK_STRIDED_SCAN = "SELECT file_id, chunk_id, n, i, q FROM {s} WHERE (n - chunk_id * 4096) % 7 = 0"
-HEAD_SCAN = "SELECT file_id, n, i, q FROM {s} WHERE n < 500"
-TIME_WINDOW = "SELECT file_id, n, i, q FROM {s} WHERE n >= CAST(0.25D * 1000 AS BIGINT) AND n < greatest(CAST(0.75D * 1000 AS BIGINT), CAST(0.25D * 1000 AS BIGINT) + 1)"
+
+
+def strided_scan(step: int) -> str:
+    """Every step-th sample; what is left over at the end (total modulo step) gives none."""
+    return f"""SELECT x.file_id, n div {step} AS n, i, q FROM {{s}} x JOIN (SELECT file_id, max(n) + 1 AS total FROM {{s}} GROUP BY file_id) t ON x.file_id = t.file_id
+WHERE n % {step} = 0 AND n div {step} < total div {step}"""
+
+
+def chunk_strided_scan(step: int, chunk: int = 4096) -> str:
+    """Every step-th sample of each chunk, from its first one on."""
+    return f"SELECT file_id, chunk_id, n, i, q FROM {{s}} WHERE (n - chunk_id * {chunk}) % {step} = 0"
+
+
+def head_scan(samples: int) -> str:
+    return f"SELECT file_id, n, i, q FROM {{s}} WHERE n < {samples}"
+
+
+def time_window(start_s: float, end_s: float, fs: float) -> str:
+    """Samples from start_s to end_s, at least one."""
+    first, last = int(start_s * fs), max(int(end_s * fs), int(start_s * fs) + 1)
+    return f"SELECT file_id, n, i, q FROM {{s}} WHERE n >= {first} AND n < {last}"
+
+
 CONVENTIONS = """
 SELECT conv, round(avg(re), 6) + 0.0D AS mean_re, round(avg(im), 6) + 0.0D AS mean_im, round(avg(re * re + im * im), 6) AS power FROM (
     SELECT 'I+Q' AS conv, i AS re, q AS im FROM {s} UNION ALL SELECT 'I-Q', i, -q FROM {s} UNION ALL SELECT 'Q+I', q, i FROM {s} UNION ALL SELECT 'Q-I', q, -i FROM {s}) x GROUP BY conv"""
 
-SHORT_S, FS = 0.1, 1000.0
-#: The one-pass form for each chunk: a short recording and an unusual envelope are warnings without a penalty.
-CHUNK_REPORT = f"""
-WITH st AS ({channel_stats("chunk_id")}), ku AS ({ENVELOPE_KURTOSIS.strip()}),
-j AS (SELECT st.chunk_id, frames, i_nan + q_nan AS nans, i_inf + q_inf AS infs, greatest(i_clip_pct, q_clip_pct) AS clip_pct, frames / {FS}D AS duration_s, envelope_kurtosis AS kurt FROM st LEFT JOIN ku ON st.chunk_id = ku.chunk_id)
-SELECT chunk_id, frames, duration_s, CAST(greatest(0, 100 - CASE WHEN nans > 0 THEN 20 ELSE 0 END - CASE WHEN infs > 0 THEN 20 ELSE 0 END - CASE WHEN clip_pct > 5 THEN 25 WHEN clip_pct > 1 THEN 10 WHEN clip_pct > 0.1 THEN 5 ELSE 0 END) AS BIGINT) AS quality_score,
-    concat_ws('; ', CASE WHEN nans > 0 THEN 'nan' END, CASE WHEN infs > 0 THEN 'infinite' END, CASE WHEN clip_pct > 5 THEN 'severe clipping' END) AS issues,
-    concat_ws('; ', CASE WHEN clip_pct > 1 AND clip_pct <= 5 THEN 'moderate clipping' WHEN clip_pct > 0.1 AND clip_pct <= 1 THEN 'minor clipping' END, CASE WHEN kurt < 1.5 THEN 'constant envelope' WHEN kurt > 10 THEN 'variable envelope' END, CASE WHEN duration_s < {SHORT_S}D THEN 'short recording' END) AS warnings FROM j"""
-
-TARGET_S = 1.5
+TARGET_S, FS = 1.5, 1000.0
 #: Decimation factors to try for a long recording: odd ones first, then powers of two from 8, then nearness to the target.
 SAMPLING_CANDIDATES = f"""
 WITH t AS (SELECT file_id, count(*) AS frames, CAST(ceil(count(*) / {FS}D / {TARGET_S}D) AS BIGINT) AS base FROM {{s}} GROUP BY file_id),

@@ -1,6 +1,7 @@
-"""Spectra of sample streams {s}: Welch average, carriers, waterfall, CFAR mask and what follows from them.
+"""Spectra of short sample streams {s} by transforms written out as sums: what block operators are compared with.
 
-The SQL transforms are for short segments; long captures take `sigmill.functions.kernels` on sample blocks.
+Captures take `captures` (Welch, carriers, waterfall) and `wideband` (CFAR and what follows), which the registered queries
+run; these texts are their oracle.
 """
 
 from __future__ import annotations
@@ -69,11 +70,3 @@ an AS (SELECT file_id, k AS band, t FROM mask JOIN (SELECT k FROM {{bins}} WHERE
 op AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY file_id, band ORDER BY t) = 1 THEN 0 ELSE 1 END AS opens FROM an),
 gr AS (SELECT *, sum(opens) OVER (PARTITION BY file_id, band ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM op)
 SELECT file_id, band, min(t) AS t_first, max(t) AS t_last FROM gr GROUP BY file_id, band, island"""
-
-#: Image rejection of the first 512 samples, taken every factor-th.
-SAMPLING_SWEEP = f"""
-WITH h AS (SELECT k + 1 AS factor, n div (k + 1) AS m, i, q FROM {{s}} CROSS JOIN (SELECT k FROM {{bins}} WHERE k < 8) b WHERE n < 512 AND n % (k + 1) = 0),
-dc AS (SELECT factor, count(*) AS len, avg(i) AS mi, avg(q) AS mq FROM h GROUP BY factor),
-x AS (SELECT h.factor, len, k, sum((i - mi) * cos({TAU} * k * m / len) + (q - mq) * sin({TAU} * k * m / len)) AS re, sum((q - mq) * cos({TAU} * k * m / len) - (i - mi) * sin({TAU} * k * m / len)) AS im FROM h JOIN dc ON h.factor = dc.factor JOIN {{bins}} b ON b.k < len GROUP BY h.factor, len, k),
-b2 AS (SELECT factor, sum(CASE WHEN k BETWEEN 1 AND (len + 1) div 2 - 1 THEN re * re + im * im ELSE 0.0D END) + 1e-12 AS pos, sum(CASE WHEN k >= (len + 1) div 2 THEN re * re + im * im ELSE 0.0D END) + 1e-12 AS neg FROM x GROUP BY factor)
-SELECT factor, round(10 * log10(pos / neg), 6) AS irr_db FROM b2"""

@@ -1,40 +1,77 @@
-"""All results of a set of captures, written as tables in one folder: quality, spectrum, carriers, slices, slice audio."""
+"""All results of a set of captures in one folder: quality, spectrum, carriers, activity, slices, slice audio.
+
+Each table is written by one Spark job over all captures that are to do. Tables are partitioned by capture and replaced
+by capture, so a run that was cut short is simply repeated. The table `progress` names each capture with its status
+(completed, failed: its header cannot be read) and how long it lasts.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import assessment, wideband
 from ..operators import captures as ops
 from ..sources import captures, slices
+from . import outputs
 
-#: What a deployment sets otherwise than the defaults.
-PRESETS = {"standard": {}, "hybrid": {"nperseg": 1024, "prominence_db": 5.0}, "industrial": {"nperseg": 512, "prominence_db": 10.0}}
-
+#: What a deployment sets otherwise than the defaults. max_columns bounds the waterfall's time resolution.
+PRESETS = {
+    "standard": {"nperseg": 4096, "prominence_db": 8.0, "cfar_k": 3.0, "max_columns": 4000},
+    "hybrid": {"nperseg": 1024, "prominence_db": 5.0, "cfar_k": 2.5, "max_columns": 4000},
+    "industrial": {"nperseg": 512, "prominence_db": 10.0, "cfar_k": 4.0, "max_columns": 4000},
+}
+STEPS = ("quality", "spectrum", "slices")
+PROGRESS = "file_id string, status string, duration_s double, message string, capture string"
 
-def _done(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema("file_id string").json(f"{folder}/progress")
 
+def progress(spark: SparkSession, folder: str) -> DataFrame:
+    """The progress table; an empty one before the first run."""
+    try:
+        return spark.read.schema(PROGRESS).json(f"{folder}/progress")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PROGRESS)
 
-def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, max_slices: int | None = None, **source) -> None:
-    """Each table is appended by one Spark job over all captures of path; source holds further options of `iqcapture`.
 
-    The table `progress` names finished captures. With resume, those are left out by an anti-join; a run that was cut
-    short has written no names, and its captures are done again (their rows may then stand twice in earlier tables).
-    """
-    options = {"nperseg": 4096, "prominence_db": 8.0, **PRESETS[preset]}
+def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, max_slices: int | None = None, steps: tuple[str, ...] = STEPS, **source) -> None:
+    """With resume, captures named as completed are left out. source holds further options of `iqcapture`."""
+    options = PRESETS[preset]
     nperseg = options["nperseg"]
+    hop, rms_ms = nperseg // 4, 5.0
     captures.register(spark)
-    blocks = spark.read.format("iqcapture").options(path=path, blockFrames=block_frames, **source).load()
+    known = captures.metadata(spark, path, source.get("form", "auto"), float(source.get("fsHint", 0)), str(source.get("fallbackRaw", "false")).lower() == "true", tolerant=True)
     if resume:
-        blocks = blocks.join(_done(spark, folder), "file_id", "left_anti")
-    ops.channel_moments(blocks).join(ops.image_rejection(blocks), "file_id").write.mode("append").json(f"{folder}/quality")
-    ops.welch(blocks, nperseg, nperseg // 2).write.mode("append").parquet(f"{folder}/psd")
-    psd = spark.read.parquet(f"{folder}/psd")
-    psd = psd.join(_done(spark, folder), "file_id", "left_anti") if resume else psd
-    ops.carriers(psd, options["prominence_db"]).write.mode("append").csv(f"{folder}/carriers", header=True)
-    found = ops.activity_slices(blocks, thresh_dbfs=thresh_dbfs, max_slices=max_slices)
-    found.write.mode("append").csv(f"{folder}/slices", header=True)
-    if audio:
-        slices.register(spark)
-        slices.export(blocks, found.select("file_id", "slice_idx", "start_sample", "end_sample"), f"{folder}/audio", block_frames)
-    blocks.where("block_id = 0").select("file_id").write.mode("append").json(f"{folder}/progress")
+        known = known.join(progress(spark, folder).where("status = 'completed'"), "file_id", "left_anti")
+    found = known.select("file_id", "frames", "fs_hz", "duration_s", "message").collect()  # a row a capture, as many as were listed
+    if not found:
+        return
+    good = [r["file_id"] for r in found if r["message"] is None]
+    files = spark.createDataFrame(found, "file_id string, frames long, fs_hz double, duration_s double, message string")
+    if good:
+        halo = {"haloAfter": nperseg - hop, "haloBeforeMs": rms_ms}
+        blocks = spark.read.format("iqcapture").options(path=",".join(good), blockFrames=block_frames, **halo, **source).load()
+        _write(spark, blocks, files.where("message IS NULL").drop("message", "duration_s"), folder, options, nperseg, hop, rms_ms, thresh_dbfs, max_slices, steps, audio, block_frames)
+    status = F.when(F.col("message").isNull(), "completed").otherwise("failed")
+    rows = files.select("file_id", status.alias("status"), "duration_s", "message").withColumn("capture", outputs.capture())
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("capture").json(f"{folder}/progress")
+    outputs.index(progress(spark, folder), f"{folder}/index")
+
+
+def _write(spark, blocks, files, folder, options, nperseg, hop, rms_ms, thresh_dbfs, max_slices, steps, audio, block_frames) -> None:
+    if "quality" in steps:
+        outputs.quality(assessment.statistics(blocks), folder)
+    if "spectrum" in steps:
+        psd = ops.welch(blocks, nperseg, nperseg // 2)
+        psd.withColumn("capture", outputs.capture()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("capture").parquet(f"{folder}/psd")
+        psd = spark.read.parquet(f"{folder}/psd").join(files.select("file_id"), "file_id", "left_semi")
+        mask = wideband.cfar_mask(ops.waterfall(blocks, nperseg, hop, options["max_columns"]), options["cfar_k"])
+        outputs.spectrum(files, psd, ops.carriers(psd, options["prominence_db"]), mask, folder, nperseg, **{k: v for k, v in options.items() if k != "nperseg"})
+    if "slices" in steps:
+        spans = ops.activity_slices(blocks, rms_ms, thresh_dbfs, max_slices=max_slices)
+        outputs.slices(files, spans, folder, rms_win_ms=rms_ms, thresh_dbfs=thresh_dbfs, min_dur_ms=5.0, gap_ms=3.0, pad_ms=2.0)
+        if audio:
+            slices.register(spark)
+            slices.export(blocks, spans.select("file_id", "slice_idx", "start_sample", "end_sample"), f"{folder}/audio", block_frames)

@@ -3,26 +3,36 @@
     register(spark)
     spark.read.format("iqcapture").option("path", uri_or_folder).load()
 
-Each block is an input partition's range of frames, so files split; filters on start_sample skip blocks before any byte
-is read. Paths go through pyarrow's file systems, so file, hdfs and object store URIs work alike.
+Planning lists files and no more: an input partition is a range of bytes of one file, and the task that reads it reads
+the file's header and yields the blocks whose first byte lies in its range. Filters on start_sample skip blocks before
+any sample is read. Paths go through pyarrow's file systems, so file, hdfs and object store URIs work alike.
+
+Options: path (files and folders, by commas); form (auto, wav, raw: auto goes by the RIFF or RF64 mark); fallbackRaw
+(true: a file that claims to be WAV but cannot be parsed is read as raw); fsHint (Hz, wins over the header; needed for
+raw files); channelOrder (IQ, QI); blockFrames, chunkFrames; partitionBytes; haloBefore, haloAfter (frames), haloBeforeMs:
+the block's neighbouring samples in head_i, head_q, tail_i, tail_q, so that frames and filters that reach over a border
+need no shuffle.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 BLOCK_FRAMES = 1 << 18
 CHUNK_FRAMES = 1 << 24
-BLOCKS = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("chunk_id", T.LongType()), T.StructField("block_id", T.LongType()), T.StructField("start_sample", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("i", T.ArrayType(T.FloatType(), False)), T.StructField("q", T.ArrayType(T.FloatType(), False))])
+PARTITION_BYTES = 128 << 20
+_SAMPLES = T.ArrayType(T.FloatType(), False)
+BLOCKS = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("chunk_id", T.LongType()), T.StructField("block_id", T.LongType()), T.StructField("start_sample", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("i", _SAMPLES), T.StructField("q", _SAMPLES)])
+MARKS = (b"RIFF", b"RF64")
 
 
 @dataclass(frozen=True)
@@ -42,39 +52,56 @@ class Capture:
         return self.width * max(2, self.channels)
 
 
+def _store(uri: str):
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
 def _opened(uri: str):
-    store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    store, path = _store(uri)
     return store.open_input_file(path)
 
 
-def probe(uri: str, form: str = "auto", fs_hint: float = 0.0) -> Capture:
-    """Read the header. A raw file is headerless float32; `auto` looks for the RIFF or RF64 mark."""
-    with _opened(uri) as f:
-        head = f.read(12)
-        if form == "raw" or (form == "auto" and head[:4] not in (b"RIFF", b"RF64")):
-            return Capture(uri, 0, f.size() // 8, 2, 4, True, fs_hint)
-        if head[:4] not in (b"RIFF", b"RF64") or head[8:] != b"WAVE":
-            raise ValueError(f"{uri} is not a WAV file")
-        at, wide, fmt = 12, None, None
-        while at + 8 <= f.size():
-            f.seek(at)
-            kind, size = struct.unpack("<4sI", f.read(8))
-            if kind == b"ds64":
-                wide = struct.unpack_from("<QQ", f.read(16))[1]
-            elif kind == b"fmt ":
-                fmt = struct.unpack_from("<HHIIHH", f.read(16))
-            elif kind == b"data":
-                size = wide if size == 0xFFFFFFFF and wide is not None else size
-                code, channels, rate, _, _, bits = fmt
-                width = bits // 8
-                size = min(size, f.size() - at - 8)
-                return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, width == 4, fs_hint or float(rate))
-            at += 8 + size + (size & 1)
+def _probe_wav(f, uri: str, fs_hint: float) -> Capture:
+    f.seek(0)
+    head = f.read(12)
+    if head[:4] not in MARKS or head[8:] != b"WAVE":
+        raise ValueError(f"{uri} is not a WAV file")
+    at, wide, fmt = 12, None, None
+    while at + 8 <= f.size():
+        f.seek(at)
+        kind, size = struct.unpack("<4sI", f.read(8))
+        if kind == b"ds64":
+            wide = struct.unpack_from("<QQ", f.read(16))[1]
+        elif kind == b"fmt ":
+            fmt = struct.unpack_from("<HHIIHH", f.read(16))
+        elif kind == b"data":
+            if fmt is None or fmt[5] not in (8, 16, 24, 32, 64) or not fmt[1]:
+                raise ValueError(f"{uri} has no usable format before its data")
+            size = wide if size == 0xFFFFFFFF and wide is not None else size
+            _, channels, rate, _, _, bits = fmt
+            width = bits // 8
+            size = min(size, f.size() - at - 8)
+            return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, width >= 4, fs_hint or float(rate))
+        at += 8 + size + (size & 1)
     raise ValueError(f"{uri} has no data")
 
 
+def probe(uri: str, form: str = "auto", fs_hint: float = 0.0, fallback_raw: bool = False) -> Capture:
+    """Read the header. A raw file is headerless float32 and needs fs_hint; `auto` looks for the RIFF or RF64 mark."""
+    with _opened(uri) as f:
+        if form == "wav" or form == "auto" and f.read(4) in MARKS:
+            try:
+                return _probe_wav(f, uri, fs_hint)
+            except (ValueError, struct.error):
+                if not fallback_raw:
+                    raise
+        if fs_hint <= 0:
+            raise ValueError(f"raw samples need a rate (fsHint): {uri}")
+        return Capture(uri, 0, f.size() // 8, 2, 4, True, fs_hint)
+
+
 def decode(raw: bytes, width: int, floating: bool) -> np.ndarray:
-    """u8, s16 and s24 scaled to [-1, 1); four bytes are float32."""
+    """u8, s16 and s24 scaled to [-1, 1); four and eight bytes are floating."""
     if width == 1:
         return ((np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 127.5).astype(np.float32)
     if width == 2:
@@ -83,33 +110,65 @@ def decode(raw: bytes, width: int, floating: bool) -> np.ndarray:
         b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
         v = b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16
         return (np.where(v >= 1 << 23, v - (1 << 24), v) / 8388608).astype(np.float32)
-    return np.frombuffer(raw, "<f4")
+    return np.frombuffer(raw, "<f8").astype(np.float32) if width == 8 else np.frombuffer(raw, "<f4")
+
+
+def _frames(f, c: Capture, start: int, stop: int, swap: bool) -> tuple[np.ndarray, np.ndarray]:
+    f.seek(c.offset + start * c.frame_bytes)
+    x = decode(f.read((stop - start) * c.frame_bytes), c.width, c.floating).reshape(stop - start, max(2, c.channels))
+    return (x[:, 1], x[:, 0]) if swap else (x[:, 0], x[:, 1])
 
 
 def read_block(c: Capture, start: int, stop: int, swap: bool = False) -> tuple[np.ndarray, np.ndarray]:
     with _opened(c.uri) as f:
-        f.seek(c.offset + start * c.frame_bytes)
-        x = decode(f.read((stop - start) * c.frame_bytes), c.width, c.floating).reshape(stop - start, max(2, c.channels))
-    return (x[:, 1], x[:, 0]) if swap else (x[:, 0], x[:, 1])
+        return _frames(f, c, start, stop, swap)
 
 
 @dataclass
-class Block(InputPartition):
-    capture: Capture
-    block: int
-    start: int
-    stop: int
+class Bytes(InputPartition):
+    """Bytes low to high of a file, header included."""
+
+    uri: str
+    low: int
+    high: int
+
+
+@dataclass
+class Options:
+    form: str = "auto"
+    fallback_raw: bool = False
+    fs_hint: float = 0.0
+    swap: bool = False
+    block: int = BLOCK_FRAMES
+    chunk: int = CHUNK_FRAMES
+    partition_bytes: int = PARTITION_BYTES
+    before: int = 0
+    before_ms: float = 0.0
+    after: int = 0
+    paths: list[str] = field(default_factory=list)
+
+    @classmethod
+    def of(cls, options: dict) -> Options:
+        o = {k.lower(): v for k, v in options.items()}
+        return cls(
+            o.get("form", "auto").lower(), o.get("fallbackraw", "false").lower() == "true", float(o.get("fshint", 0)), o.get("channelorder", "IQ").upper() == "QI", int(o.get("blockframes", BLOCK_FRAMES)),
+            int(o.get("chunkframes", CHUNK_FRAMES)), int(o.get("partitionbytes", PARTITION_BYTES)), int(o.get("halobefore", 0)), float(o.get("halobeforems", 0)), int(o.get("haloafter", 0)), o["path"].split(","),
+        )
+
+    @property
+    def schema(self) -> T.StructType:
+        """The halo's widths and the chunk's length stand in the fields' metadata, where operators look them up."""
+        fields = [T.StructField(f.name, f.dataType, True, {"frames": self.chunk} if f.name == "chunk_id" else None) for f in BLOCKS]
+        for name, frames, ms in (("head", self.before, self.before_ms), ("tail", self.after, 0.0)):
+            if frames or ms:
+                fields += [T.StructField(f"{name}_{c}", _SAMPLES, True, {"frames": frames, "ms": ms}) for c in "iq"]
+        return T.StructType(fields)
 
 
 class CaptureReader(DataSourceReader):
     def __init__(self, options: dict):
-        options = {k.lower(): v for k, v in options.items()}
-        self.block = int(options.get("blockframes", BLOCK_FRAMES))
-        self.chunk = int(options.get("chunkframes", CHUNK_FRAMES))
-        self.swap = options.get("channelorder", "IQ").upper() == "QI"
+        self.options = Options.of(options)
         self.low, self.high = 0, 1 << 62
-        paths, form, fs_hint = options["path"], options.get("form", "auto"), float(options.get("fshint", 0))
-        self.captures = [probe(x, form, fs_hint) for x in sorted(set(found for p in paths.split(",") for found in discover(p)), key=lambda x: (x.rpartition("/")[2].lower(), x))]
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -121,32 +180,49 @@ class CaptureReader(DataSourceReader):
             yield f  # ranges only skip blocks; Spark still applies each filter
 
     def partitions(self) -> Sequence[InputPartition]:
-        out = []
-        for c in self.captures:
-            for b in range(-(-c.frames // self.block)):
-                if self.low <= b * self.block <= self.high:
-                    out.append(Block(c, b, b * self.block, min(c.frames, (b + 1) * self.block)))
+        """A frame has two bytes at least, so ranges that end before byte 2 * low hold no wanted block."""
+        step, out = max(1, self.options.partition_bytes), []
+        for uri, size in files(self.options.paths):
+            out += [Bytes(uri, a, min(size, a + step)) for a in range(0, size, step) if min(size, a + step) > 2 * self.low]
         return out
 
-    def read(self, partition: Block | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # what Spark reads when no block is left
+    def blocks_of(self, partition: Bytes) -> tuple[Capture, list[int]]:
+        """The capture and the wanted blocks whose first byte is in the range."""
+        o = self.options
+        c = probe(partition.uri, o.form, o.fs_hint, o.fallback_raw)
+        size = o.block * c.frame_bytes
+        first, last = (max(0, -(-(x - c.offset) // size)) for x in (partition.low, partition.high))
+        last = min(last, -(-c.frames // o.block), self.high // o.block + 1)
+        return c, list(range(max(first, -(-self.low // o.block)), last))
+
+    def read(self, partition: Bytes | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark reads when no range is left
             return
-        c = partition.capture
-        i, q = read_block(c, partition.start, partition.stop, self.swap)
-        row = {"file_id": [c.uri], "chunk_id": [partition.start // self.chunk], "block_id": [partition.block], "start_sample": [partition.start], "n": [len(i)], "fs_hz": [c.fs_hz], "i": [i], "q": [q]}
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.float32()), pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], list(row))
+        o = self.options
+        c, blocks = self.blocks_of(partition)
+        kinds = {"file_id": pa.string(), "chunk_id": pa.int64(), "block_id": pa.int64(), "start_sample": pa.int64(), "n": pa.int32(), "fs_hz": pa.float64()}
+        before = max(o.before, int(np.ceil(o.before_ms * c.fs_hz / 1000)))
+        with _opened(c.uri) as f:
+            for b in blocks:
+                start, stop = b * o.block, min(c.frames, (b + 1) * o.block)
+                low, high = max(0, start - before), min(c.frames, stop + o.after)
+                i, q = _frames(f, c, low, high, o.swap)
+                row = {"file_id": c.uri, "chunk_id": start // o.chunk, "block_id": b, "start_sample": start, "n": stop - start, "fs_hz": c.fs_hz}
+                parts = {"": (start - low, stop - low)} | ({"head_": (0, start - low)} if before else {}) | ({"tail_": (stop - low, high - low)} if o.after else {})
+                arrays = {f"{name}{c2}": x[s:e] for name, (s, e) in parts.items() for c2, x in (("i", i), ("q", q))}
+                columns = [pa.array([v], kinds[k]) for k, v in row.items()] + [pa.array([v], pa.list_(pa.float32())) for v in arrays.values()]
+                yield pa.RecordBatch.from_arrays(columns, [*row, *arrays])
 
 
 class CaptureSource(DataSource):
-    """Options: path (files and folders, by commas), form (auto, wav, raw), fsHint, channelOrder (IQ, QI), blockFrames, chunkFrames."""
+    """Options: see the module."""
 
     @classmethod
     def name(cls) -> str:
         return "iqcapture"
 
     def schema(self) -> T.StructType:
-        return BLOCKS
+        return Options.of(dict(self.options)).schema
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return CaptureReader(dict(self.options))
@@ -157,23 +233,56 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(CaptureSource)
 
 
-def discover(path: str) -> list[str]:
-    """A file, or the .wav and .r64 files in a folder (any case, not below it). Nothing found is an error."""
-    store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+def files(paths: list[str]) -> list[tuple[str, int]]:
+    """(file, bytes) of files and folders, each once, by name in any case."""
+    found = {x: n for p in paths for x, n in discover(p)}
+    return sorted(found.items(), key=lambda x: (x[0].rpartition("/")[2].lower(), x[0]))
+
+
+def discover(path: str) -> list[tuple[str, int]]:
+    """A file, or the .wav and .r64 files in a folder (any case, not below it), with their sizes. Nothing found is an error."""
+    store, inner = _store(path)
     prefix = path[: len(path) - len(inner)] if "://" in path else ""
     info = store.get_file_info(inner)
     if info.type == fs.FileType.File:
-        return [path]
-    found = [prefix + x.path for x in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)) if x.type == fs.FileType.File and x.path.lower().endswith((".wav", ".r64"))]
+        return [(path, info.size)]
+    found = [(prefix + x.path, x.size) for x in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)) if x.type == fs.FileType.File and x.path.lower().endswith((".wav", ".r64"))]
     if not found:
         raise FileNotFoundError(f"no captures in {path}")
     return found
 
 
+def metadata(spark: SparkSession, path: str, form: str = "auto", fs_hint: float = 0.0, fallback_raw: bool = False, tolerant: bool = False) -> DataFrame:
+    """(file_id, frames, channels, bits, fs_hz, duration_s, message) of each file: headers are read by tasks, not by the driver.
+
+    message is null; with tolerant, a file whose header cannot be read has the reason there, and null elsewhere.
+    """
+    found = [(uri,) for uri, _ in files(path.split(","))]
+    names = {"file_id": pa.string(), "frames": pa.int64(), "channels": pa.int32(), "bits": pa.int32(), "fs_hz": pa.float64(), "duration_s": pa.float64(), "message": pa.string()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                try:
+                    c = probe(uri, form, fs_hint, fallback_raw)
+                    row = (uri, c.frames, c.channels, 8 * c.width, c.fs_hz, c.frames / c.fs_hz, None)
+                except (ValueError, struct.error) as e:
+                    if not tolerant:
+                        raise
+                    row = (uri, None, None, None, None, None, str(e))
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, names.values(), strict=True)], list(names))
+
+    return spark.createDataFrame(found, "file_id string").repartition(min(len(found), 1000)).mapInArrow(run, "file_id string, frames long, channels int, bits int, fs_hz double, duration_s double, message string")
+
+
 def wav_header(frames: int, fs_hz: float) -> bytes:
-    """The 44 bytes before stereo PCM_16 samples."""
+    """The bytes before stereo PCM_16 samples: RIFF, or RF64 where its 32-bit lengths do not do."""
     rate, size = int(fs_hz), 4 * frames
-    return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + size, b"WAVE", b"fmt ", 16, 1, 2, rate, rate * 4, 4, 16, b"data", size)
+    fmt = struct.pack("<4sIHHIIHH", b"fmt ", 16, 1, 2, rate, rate * 4, 4, 16)
+    if 36 + size > 0xFFFFFFFF:
+        ds64 = struct.pack("<4sIQQQI", b"ds64", 28, 72 + size, size, frames, 0)
+        return struct.pack("<4sI4s", b"RF64", 0xFFFFFFFF, b"WAVE") + ds64 + fmt + struct.pack("<4sI", b"data", 0xFFFFFFFF)
+    return struct.pack("<4sI4s", b"RIFF", 36 + size, b"WAVE") + fmt + struct.pack("<4sI", b"data", size)
 
 
 def pcm16(i: np.ndarray, q: np.ndarray) -> bytes:

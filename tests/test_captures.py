@@ -1,5 +1,6 @@
 """Capture files, block operators and kernels: generated signals with known answers, independent of the block length."""
 
+import json
 import struct
 
 import numpy as np
@@ -62,12 +63,77 @@ def test_formats_decode_alike(spark, folder, tone):
 
 
 def test_filters_skip_blocks(spark, folder):
-    reader = src.CaptureReader({"path": str(folder / "raw.r64"), "blockFrames": "8192"})
-    list(reader.pushFilters([src.GreaterThanOrEqual(("start_sample",), 16384), src.LessThan(("start_sample",), 30000)]))
-    assert [p.start for p in reader.partitions()] == [16384, 24576]
+    for size in (1 << 30, 100_000):  # one range of bytes, and several
+        reader = src.CaptureReader({"path": str(folder / "raw.r64"), "blockFrames": "8192", "fsHint": str(FS), "partitionBytes": str(size)})
+        list(reader.pushFilters([src.GreaterThanOrEqual(("start_sample",), 16384), src.LessThan(("start_sample",), 30000)]))
+        assert [b for p in reader.partitions() for b in reader.blocks_of(p)[1]] == [2, 3]
     assert load(spark, folder / "raw.r64").where("start_sample >= 16384 AND start_sample < 30000").count() == 2
 
 
+def test_ranges_of_bytes_hold_each_block_once(folder):
+    for name in ("w1.WAV", "w3.WAV", "big.wav", "raw.r64"):
+        for size in (1000, 12_345, 1 << 20):
+            reader = src.CaptureReader({"path": str(folder / name), "blockFrames": "8192", "fsHint": str(FS), "partitionBytes": str(size)})
+            assert [b for p in reader.partitions() for b in reader.blocks_of(p)[1]] == list(range(-(-N // 8192)))
+
+
+def test_headers_and_fallback(spark, folder, tmp_path):
+    rows = {r["file_id"].rpartition("/")[2]: r for r in src.metadata(spark, str(folder), fs_hint=FS).collect()}
+    assert len(rows) == 6 and all((r["frames"], r["fs_hz"], r["duration_s"]) == (N, FS, N / FS) for r in rows.values())
+    assert (rows["w3.WAV"]["bits"], rows["w1.WAV"]["channels"]) == (24, 2)
+    (tmp_path / "broken.wav").write_bytes(b"RIFF" + bytes(60))
+    (tmp_path / "short.r64").write_bytes(b"")
+    with pytest.raises(ValueError):
+        src.probe(str(tmp_path / "broken.wav"), fs_hint=FS)
+    assert src.probe(str(tmp_path / "broken.wav"), fs_hint=FS, fallback_raw=True).frames == 8
+    assert src.probe(str(folder / "w2.WAV"), "raw", FS).frames == (44 + 4 * N) // 8
+    with pytest.raises(ValueError):
+        src.probe(str(folder / "raw.r64"))
+    messages = {r["file_id"].rpartition("/")[2]: r["message"] for r in src.metadata(spark, str(tmp_path), fs_hint=FS, tolerant=True).collect()}
+    assert messages["short.r64"] is None and messages["broken.wav"]
+    assert load(spark, tmp_path, fallbackRaw="true").count() == 1
+
+
+def test_mono_and_wide_samples(spark, tone, tmp_path):
+    x = np.stack([tone[0][:1000], tone[1][:1000]], axis=1).ravel()
+    head = lambda code, channels, bits, size: struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + size, b"WAVE", b"fmt ", 16, code, channels, int(FS), 0, 0, bits, b"data", size)
+    (tmp_path / "mono.wav").write_bytes(head(1, 1, 16, 4000) + np.round(x * 32768).astype("<i2").tobytes())
+    (tmp_path / "wide.wav").write_bytes(head(3, 2, 64, 16_000) + x.astype("<f8").tobytes())
+    for name in ("mono.wav", "wide.wav"):
+        r = load(spark, tmp_path / name).first()
+        assert r["n"] == 1000 and np.allclose(r["i"], tone[0][:1000], atol=1e-4) and np.allclose(r["q"], tone[1][:1000], atol=1e-4)
+
+
+def test_wav_headers_of_any_length(tmp_path):
+    assert src.wav_header(5, FS)[:4] == b"RIFF"
+    head = src.wav_header(1 << 31, FS)
+    assert head[:4] == b"RF64" and struct.unpack_from("<QQ", head, 20) == (80 + (1 << 33) - 8, 1 << 33)
+    (tmp_path / "a.wav").write_bytes(head + bytes(400))
+    c = src.probe(str(tmp_path / "a.wav"))
+    assert (c.offset, c.frames, c.width, c.fs_hz) == (80, 100, 2, FS)
+
+
+def test_halo_from_the_source_equals_the_join_and_shuffles_no_samples(spark, folder):
+    path = folder / "raw.r64"
+    plain, near = load(spark, path), load(spark, path, haloBefore=100, haloAfter=900, haloBeforeMs=5)
+    assert near.columns == [*plain.columns, "head_i", "head_q", "tail_i", "tail_q"]
+    carriers = spark.createDataFrame([(str(path), 0, 1000.0)], "file_id string, carrier_index long, f_center_hz double")
+    ways = {
+        "welch": lambda b: ops.welch(b, 1024, 512), "waterfall": lambda b: ops.waterfall(b, 1024, 256), "retune": lambda b: ops.retune(b, carriers, 2000.0, 63),
+        "slices": lambda b: ops.activity_slices(b, thresh_dbfs=-6.02), "capped": lambda b: ops.waterfall(b, 1024, 256, 40),
+    }
+
+    def plain_row(x):
+        return [plain_row(v) for v in x] if isinstance(x, (list, tuple)) else round(x, 4) + 0.0 if isinstance(x, float) else x
+
+    for name, way in ways.items():
+        a, b = (sorted((plain_row(list(r)) for r in way(x).collect()), key=str) for x in (plain, near))
+        assert len(a) == len(b) and all(np.allclose(np.hstack(x[1:]).astype(float), np.hstack(y[1:]).astype(float), atol=1e-3) for x, y in zip(a, b, strict=True)), name
+        plan = way(near)._jdf.queryExecution().executedPlan().toString()
+        assert name in ("retune", "capped") or "Join" not in plan, name
+    assert ops.waterfall(near, 1024, 256, 40).count() <= 40
+
+
 def test_moments_rejection_and_spectrum(spark, folder, tone):
     i, q = (x.astype(float) for x in tone)
     for frames in (8192, 16384):
@@ -123,8 +189,10 @@ def test_slices_of_blocks_equal_the_sample_query(spark, tmp_path):
         blocks = spark.read.format("iqcapture").options(path=str(tmp_path), blockFrames=frames, chunkFrames=4096, fsHint=1000).load()
         clean = ops.samples(blocks).withColumns({c: F.nanvl(c, F.lit(0.0)) for c in "iq"})
         want = dialect.run(activity.SLICES, s=clean).orderBy("file_id", "slice_idx").collect()
-        got = ops.activity_slices(blocks, thresh_dbfs=activity.THRESH_DB).orderBy("file_id", "slice_idx").collect()
-        assert len(want) > 50 and [tuple(r)[:4] for r in got] == [tuple(r)[:4] for r in want]
+        near = spark.read.format("iqcapture").options(path=str(tmp_path), blockFrames=frames, chunkFrames=4096, fsHint=1000, haloBeforeMs=5).load()
+        for some in (blocks, near):
+            got = ops.activity_slices(some, thresh_dbfs=activity.THRESH_DB).orderBy("file_id", "slice_idx").collect()
+            assert len(want) > 50 and [tuple(r)[:4] for r in got] == [tuple(r)[:4] for r in want]
     assert ops.activity_slices(blocks, thresh_dbfs=40).count() == 0
     assert ops.activity_slices(blocks.where("n < 0")).count() == 0
 
@@ -187,12 +255,24 @@ def test_report(spark, tone, tmp_path):
     x = (i + 1j * q) * (1 + np.exp(2j * np.pi * 2 * FS / 1024 / FS * np.arange(N))) / 2  # two bins apart: a pure tone is too narrow for a carrier
     (tmp_path / "in" / "a.r64").write_bytes(np.stack([x.real, x.imag], axis=1).astype("<f4").tobytes())
     out, run = str(tmp_path / "out"), lambda **kw: report.analyse(spark, str(tmp_path / "in"), str(tmp_path / "out"), "hybrid", 8192, audio=True, fsHint=FS, **kw)
-    run()
+    assert report.progress(spark, out).count() == 0
+    run(resume=True)  # nothing is there yet
+    run()  # a run that is repeated replaces its rows
     (tmp_path / "in" / "b.wav").write_bytes(wav(x.real, x.imag, 2))
+    (tmp_path / "in" / "c.wav").write_bytes(b"RIFF" + bytes(50))
     run(resume=True)
-    quality = spark.read.json(f"{out}/quality")
-    assert quality.count() == 2 and quality.where("best = 'I+Q' AND frames = 50000").count() == 2
+    stats = [json.loads(r["value"]) for r in spark.read.text(f"{out}/stats").collect()]
+    assert len(stats) == 2 and all(s["best_convention"] == "I+jQ" and s["frames"] == N and s["quality_assessment"]["quality_score"] == 100 for s in stats)
+    assert all(list(s) == sorted(s) for s in stats)
+    reports = [r[0] for r in spark.read.text(f"{out}/report", wholetext=True).select("value").collect()]
+    assert len(reports) == 2 and all("Quality Score: 100.0/100" in r and "Best convention: I+jQ" in r and "Samples analyzed: 50,000" in r for r in reports)
     found = spark.read.csv(f"{out}/carriers", header=True, inferSchema=True)
     assert found.count() == 2 and {r["f_center_hz"] for r in found.collect()} <= {1000.0, 1015.625}
     assert spark.read.csv(f"{out}/slices", header=True).count() == 2 and len(list((tmp_path / "out" / "audio").iterdir())) == 2
-    assert spark.read.json(f"{out}/progress").count() == 2
+    assert {(r["num_slices"], r["params"]["thresh_dbfs"]) for r in (json.loads(v[0]) for v in spark.read.text(f"{out}/slices_meta").select("value").collect())} == {(1, -60.0)}
+    activity_ = spark.read.csv(f"{out}/time_activity", header=True, inferSchema=True)
+    assert activity_.columns[:2] == ["time_s", "activity"] and activity_.count() == 2 * (1 + (N - 1024) // 256)
+    assert {json.loads(v[0])["num_carriers"] for v in spark.read.text(f"{out}/summary").select("value").collect()} == {1}
+    status = {r["file_id"].rpartition("/")[2]: r["status"] for r in report.progress(spark, out).collect()}
+    assert status == {"a.r64": "completed", "b.wav": "completed", "c.wav": "failed"}
+    assert "b.wav</td><td>completed" in spark.read.text(f"{out}/index", wholetext=True).first()[0]
