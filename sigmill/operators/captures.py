@@ -239,12 +239,10 @@ def cut(blocks: DataFrame, intervals: DataFrame, block_frames: int, *keep: str)
     return joined.where(last > first).select("file_id", "slice_idx", "block_id", (F.col("start_sample") + first).alias("at"), piece("i"), piece("q"), *keep)
 
 
-def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int | None = None) -> DataFrame:
-    """(file_id, slice_idx, start_sample, end_sample, start_s, end_s, duration_ms): stretches whose running RMS exceeds the threshold.
+def activity_runs(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, gap_ms: float = 3) -> DataFrame:
+    """(file_id, chunk_id, fs_hz, lo, hi, s, e): of each block the stretches over the threshold, and one row with null s and e.
 
-    The running RMS warms up anew in each chunk. Blocks are reduced to runs where they are read, so the windows sort runs
-    and not samples. A block must hold at least the RMS window's samples, the last one of a file excepted. NaN counts as
-    zero. All slices of a file are reported, or its first max_slices.
+    A stream of blocks needs them with a halo (haloBeforeMs): it cannot be joined with itself here.
     """
     count = lambda fs_hz, ms: max(1, round(fs_hz * ms / 1000))
 
@@ -274,8 +272,17 @@ def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -
         longest = F.ceil(F.col("fs_hz") * rms_ms / 1000).cast("int")
         before = blocks.select("file_id", "chunk_id", (F.col("block_id") + 1).alias("block_id"), *(F.slice(c, F.greatest(F.lit(1), F.col("n") - longest + 1), longest).alias(f"head_{c}") for c in "iq"))
         near = blocks.select("file_id", "chunk_id", "block_id", "start_sample", "fs_hz", "i", "q").join(before, ["file_id", "chunk_id", "block_id"], "left")
-    runs = near.mapInPandas(run, "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long")
+    return near.mapInPandas(run, "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long")
+
 
+def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int | None = None) -> DataFrame:
+    """(file_id, slice_idx, start_sample, end_sample, start_s, end_s, duration_ms): stretches whose running RMS exceeds the threshold.
+
+    The running RMS warms up anew in each chunk. Blocks are reduced to runs where they are read, so the windows sort runs
+    and not samples. A block must hold at least the RMS window's samples, the last one of a file excepted. NaN counts as
+    zero. All slices of a file are reported, or its first max_slices.
+    """
+    runs = activity_runs(blocks, rms_ms, thresh_dbfs, gap_ms)
     samples_of = lambda ms: F.round(F.col("fs_hz") * ms / 1000).cast("long")
     chunk, file = Window.partitionBy("file_id", "chunk_id"), Window.partitionBy("file_id")
     bounded = runs.withColumns({"lo": F.min("lo").over(chunk), "hi": F.max("hi").over(chunk)}).where("s IS NOT NULL")

@@ -1,7 +1,7 @@
 """Bursts from an unbounded stream of classified segments, by file; the same rows as the batch query gives.
 
 Segments may arrive in any order within the watermark's delay. They wait in state until the watermark has passed their
-start and are then taken in order, so the state of a file is the segments of one delay and one open burst.
+start and are then taken in order, so the state of a file is the segments of one delay and sums of one open burst.
 """
 
 from __future__ import annotations
@@ -16,22 +16,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 GAP_S, UNKNOWN = 0.06, "UNKNOWN"
+#: Event times begin here, not at 0, where a stream's first watermark stands.
+ORIGIN_S = 1
 BURST = "file_id {kind}, pred_label string, avg_prob double, start_s double, end_s double, offset_hz double, bandwidth_hz double, snr_db double, n_segments long"
 FIELDS = ["at_us", "start_s", "segment_id", "end_s", "pred_label", "prob", "offset_hz", "bw_hz", "snr_db"]
 
 
-def _known(xs: list) -> list[float]:
-    return [x for x in xs if x is not None]
+class Open:
+    """A burst that may still grow: sums, extremes and the SNR values' counts, a number of bins that the value range bounds.
 
+    SNR values count by hundredths of a dB, as segments report them, so their median is exact and memory does not grow
+    with a long burst.
+    """
+
+    def __init__(self, kept: list | None = None):
+        self.label, self.start, self.end, self.n, self.prob, self.n_prob, self.seconds, self.shift, self.any_shift, self.width, self.snr = kept or (None, None, None, 0, 0.0, 0, 0.0, 0.0, False, None, {})
+
+    def kept(self) -> list:
+        return [self.label, self.start, self.end, self.n, self.prob, self.n_prob, self.seconds, self.shift, self.any_shift, self.width, self.snr]
+
+    def add(self, start, end, label, prob, offset, width, snr) -> None:
+        self.label = label if not self.n else self.label
+        self.start = start if self.start is None else min(self.start, start)
+        self.end = end if self.end is None else max(self.end, end)
+        self.n += 1
+        self.seconds += end - start
+        if prob is not None:
+            self.prob, self.n_prob = self.prob + prob, self.n_prob + 1
+        if offset is not None:
+            self.shift, self.any_shift = self.shift + offset * (end - start), True
+        if width is not None:
+            self.width = width if self.width is None else max(self.width, width)
+        if snr is not None:
+            key = str(round(snr * 100))
+            self.snr[key] = self.snr.get(key, 0) + 1
+
+    def median(self) -> float | None:
+        total, past, found = sum(self.snr.values()), 0, []
+        for key in sorted(self.snr, key=int):
+            past += self.snr[key]
+            while len(found) < 2 and past > ((total - 1) // 2, total // 2)[len(found)]:
+                found.append(int(key) / 100)
+        return sum(found) / 2 if found else None
 
-def _summary(rows: list[list]) -> tuple:
-    """Duration-weighted offset, widest band, median SNR; unknown values are left out, as SQL's aggregates do."""
-    _, start, _, end, label, prob, offset, width, snr = map(list, zip(*rows, strict=True))
-    seconds = [e - s for s, e in zip(start, end, strict=True)]
-    prob, width, snr = _known(prob), _known(width), sorted(_known(snr))
-    shift = [o * t for o, t in zip(offset, seconds, strict=True) if o is not None]
-    median = (snr[(len(snr) - 1) // 2] + snr[len(snr) // 2]) / 2 if snr else None
-    return label[0], sum(prob) / len(prob) if prob else None, min(start), max(end), sum(shift) / max(sum(seconds), 1e-12) if shift else None, max(width, default=None), median, len(rows)
+    def row(self) -> tuple:
+        """Duration-weighted offset, widest band, median SNR; unknown values are left out, as SQL's aggregates do."""
+        return self.label, self.prob / self.n_prob if self.n_prob else None, self.start, self.end, self.shift / max(self.seconds, 1e-12) if self.any_shift else None, self.width, self.median(), self.n
 
 
 def bursts(segments: DataFrame, gap_s: float = GAP_S, delay: str = "10 seconds") -> DataFrame:
@@ -42,25 +72,30 @@ def bursts(segments: DataFrame, gap_s: float = GAP_S, delay: str = "10 seconds")
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, rows = json.loads(state.get[0]) if state.exists else ([], [])
+        waiting, kept = json.loads(state.get[0]) if state.exists else ([], None)
+        burst = Open(kept) if kept else None
         for batch in batches:
             waiting += [[None if isinstance(x, float) and math.isnan(x) else x for x in r] for r in batch[FIELDS].astype(object).to_numpy().tolist()]
         mark = state.getCurrentWatermarkMs()
         waiting.sort(key=lambda r: (r[1], r[2]))
-        done = []
-        while waiting and waiting[0][0] <= mark * 1000:
-            r = waiting.pop(0)
-            if rows and (r[4] in (None, UNKNOWN) or r[4] != rows[0][4] or r[1] - max(x[3] for x in rows) > gap_s):
-                done.append(_summary(rows))
-                rows = []
-            rows.append(r)
-        closes = max((x[3] for x in rows), default=0.0) + gap_s
-        if rows and mark > closes * 1000:
-            done.append(_summary(rows))
-            rows = []
-        if waiting or rows:
-            state.update((json.dumps([waiting, rows]),))
-            wake = min([waiting[0][0] / 1000] * bool(waiting) + [closes * 1000] * bool(rows))
+        done, taken = [], 0
+        for at, start, _, end, label, prob, offset, width, snr in waiting:
+            if at > mark * 1000:
+                break
+            taken += 1
+            if burst and (label in (None, UNKNOWN) or label != burst.label or start - burst.end > gap_s):
+                done.append(burst.row())
+                burst = None
+            burst = burst or Open()
+            burst.add(start, end, label, prob, offset, width, snr)
+        waiting = waiting[taken:]
+        closes = (burst.end if burst else 0.0) + gap_s
+        if burst and mark > (closes + ORIGIN_S) * 1000:
+            done.append(burst.row())
+            burst = None
+        if waiting or burst:
+            state.update((json.dumps([waiting, burst and burst.kept()]),))
+            wake = min([waiting[0][0] / 1000] * bool(waiting) + [(closes + ORIGIN_S) * 1000] * bool(burst))
             state.setTimeoutTimestamp(max(int(wake), mark) + 1)
         elif state.exists:
             state.remove()
@@ -69,6 +104,6 @@ def bursts(segments: DataFrame, gap_s: float = GAP_S, delay: str = "10 seconds")
     out = BURST.format(kind=segments.schema["file_id"].dataType.simpleString())
     names = [x.strip().split()[0] for x in out.split(",")]
     at = F.timestamp_micros("at_us")
-    timed = segments.where("start_s IS NOT NULL AND end_s IS NOT NULL").withColumn("at_us", (F.col("start_s") * 1e6).cast("long")).withColumn("at", at)
+    timed = segments.where("start_s IS NOT NULL AND end_s IS NOT NULL").withColumn("at_us", (F.col("start_s") * 1e6 + ORIGIN_S * 1_000_000).cast("long")).withColumn("at", at)
     keyed = timed.select("file_id", "at", *FIELDS).withWatermark("at", delay).groupBy("file_id")
     return keyed.applyInPandasWithState(step, out, "held string", "append", GroupStateTimeout.EventTimeTimeout)

@@ -7,6 +7,7 @@ from sigmill.operators import activity
 from sigmill.operators import captures as ops
 from sigmill.plans import dialect
 from sigmill.streaming import bursts
+from sigmill.streaming import slices as stream_slices
 
 SEGMENT = "file_id long, segment_id long, start_s double, end_s double, pred_label string, prob double, offset_hz double, bw_hz double, snr_db double, noise string"
 
@@ -20,7 +21,8 @@ def drained(stream, mode, name, spark):
 def test_bursts_equal_the_batch_query(spark, tmp_path):
     rng = np.random.default_rng(5)
     start = np.cumsum(rng.exponential(0.1, 300))
-    rows = [(int(rng.integers(3)), k, float(s), float(s + rng.exponential(0.2)), str(rng.choice(["am", "fm", "UNKNOWN"], p=[0.6, 0.3, 0.1])), float(rng.random()), float(rng.normal()), float(rng.random()), None if k % 7 == 0 else float(rng.random()), "x") for k, s in enumerate(start)]
+    start[0] = 0.0
+    rows = [(int(rng.integers(3)), k, float(s), float(s + rng.exponential(0.2)), str(rng.choice(["am", "fm", "UNKNOWN"], p=[0.6, 0.3, 0.1])), float(rng.random()), float(rng.normal()), float(rng.random()), None if k % 7 == 0 else round(float(rng.random()) * 30, 2), "x") for k, s in enumerate(start)]
     rows.append((1, 300, rows[-1][2], rows[-1][3], None, None, None, None, None, None))
     rows.append((1, 301, None, 1.0, "am", 0.5, 0.0, 1.0, 1.0, None))
     last = (9, 302, 1e4, 1e4 + 1, "am", 0.5, 0.0, 1.0, 1.0, None)
@@ -52,3 +54,46 @@ def test_moments_of_a_stream(spark, tmp_path):
     stream = spark.readStream.schema(blocks.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "blocks"))
     got, want = (df.orderBy("file_id").select("frames", *(F.round(c, 6) for c in ("i_mean", "i_std", "q_rms", "q_max"))).collect() for df in (drained(ops.channel_moments(stream), "complete", "stream_moments", spark), ops.channel_moments(blocks)))
     assert got == want and len(got) == 2
+
+
+def test_rejection_of_a_stream(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = [(f"f{k % 2}", rng.normal(size=64).tolist(), rng.normal(size=64).tolist()) for k in range(6)]
+    blocks = spark.createDataFrame(rows, "file_id string, i array<float>, q array<float>")
+    blocks.repartition(3).write.parquet(str(tmp_path / "blocks"))
+    stream = spark.readStream.schema(blocks.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "blocks"))
+    got, want = (df.orderBy("file_id").select("file_id", "best", F.round("irr_db", 6)).collect() for df in (drained(ops.image_rejection(stream), "complete", "stream_irr", spark), ops.image_rejection(blocks)))
+    assert got == want and len(got) == 2
+
+
+def test_slices_of_a_stream_equal_the_batch_operator(spark, tmp_path):
+    rng, rows = np.random.default_rng(8), []
+    for f in range(2):
+        loud = np.repeat(rng.random(400) < 0.4, rng.integers(1, 60, 400))
+        x = rng.normal(size=(len(loud), 2)) * np.where(loud, 0.7, 0.05)[:, None]
+        for b in range(0, len(x) // 512):
+            rows.append((f"f{f}", b * 512 // 2048, b, b * 512, 512, 1000.0, x[b * 512 : b * 512 + 512, 0].tolist(), x[b * 512 : b * 512 + 512, 1].tolist()))
+    schema = "file_id string, chunk_id long, block_id long, start_sample long, n int, fs_hz double, i array<float>, q array<float>"
+    blocks = spark.createDataFrame(rows, schema)
+    want = ops.activity_slices(blocks, thresh_dbfs=-6).orderBy("file_id", "start_sample").collect()
+    runs = ops.activity_runs(blocks, thresh_dbfs=-6).collect()
+    last = [(f"f{f}", 99, 1000.0, 10**6, 10**6 + 1, None, None) for f in range(2)]
+    kind = "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long"
+    order = sorted(map(tuple, runs), key=lambda r: r[3])
+    for k in range(0, len(order), 150):  # whole stretches of time, each in random order
+        part = order[k : k + 150]
+        spark.createDataFrame([part[j] for j in rng.permutation(len(part))], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "runs"))
+    spark.createDataFrame(last, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "runs"))
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "runs"))
+    got = drained(stream_slices.activity_slices(stream, delay="30 seconds"), "append", "stream_slices", spark).orderBy("file_id", "start_sample").collect()
+    assert len(want) > 40 and [(r["file_id"], r["start_sample"], r["end_sample"], r["duration_ms"]) for r in got] == [(r["file_id"], r["start_sample"], r["end_sample"], r["duration_ms"]) for r in want]
+
+
+def test_a_fixed_chunk_plan_of_a_stream(spark, tmp_path):
+    rows = [("f", b, b * 512, 1000.0) for b in range(20)]
+    blocks = spark.createDataFrame(rows, "file_id string, block_id long, start_sample long, fs_hz double")
+    blocks.write.parquet(str(tmp_path / "blocks"))
+    stream = spark.readStream.schema(blocks.schema).parquet(str(tmp_path / "blocks"))
+    count = lambda df: {(r["s"], r["n"]) for r in df.groupBy(F.unix_millis("chunk.start").alias("s")).agg(F.count("*").alias("n")).collect()}
+    assert count(stream_slices.chunks(blocks, 2.0)) == {(0, 4), (2000, 4), (4000, 4), (6000, 4), (8000, 4)}
+    assert drained(stream_slices.chunks(stream, 2.0, 1.0).groupBy("chunk").count(), "complete", "stream_chunks", spark).count() == 11
