@@ -77,7 +77,7 @@ def activity_slices(runs: DataFrame, gap_ms: float = 3, pad_ms: float = 2, min_m
             island[3] = s if island[3] is None else island[3]
             island[4] = e if island[4] is None else max(island[4], e)
         waiting = waiting[taken:]
-        over = island is not None and mark > island[2] + rate * 1e-9 and not waiting and mark - island[2] > gap + pad
+        over = island is not None and mark - island[2] > gap + pad  # a next block would have come
         if over:
             close()
         if open_ and (over or island is not None and island[3] is not None and island[3] - pad > open_[1]):
