@@ -26,7 +26,7 @@ CAPACITY = 1024
 #: Words in a generation of the tokenizer's cache.
 CACHE_WORDS = 600_000
 #: Steps after which branch and bound keeps the best packing found (None: never); whatever it is, every packing is whole.
-NODES = 20_000
+NODES = 6_000
 #: Rows of one length that are ranked together, about.
 RANK_ROWS = 100_000
 
