@@ -55,6 +55,10 @@ class Settings:
     block_frames: int = BLOCK_FRAMES
 
 
+#: What a deployment sets otherwise than the defaults.
+PRESETS = {"standard": Settings(), "hybrid": Settings(seg_s=2.0), "industrial": Settings(seg_s=1.0, limit=60)}
+
+
 def voice(blocks: DataFrame, chunks: DataFrame, fs_hz: float, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(scaled chunks, segments): segments(file_id, segment_id, chunk_id, start_sample, end_sample, chunk_start, fs_hz)."""
     scaled = chunks.join(iv.robust_scale(blocks, chunks, s.block_frames), list(iv.KEYS)).persist()

@@ -24,8 +24,9 @@ FACTORS = (1, 2, 3, 4, 5, 8, 10, 16)
 SHORT = {"I+jQ": "I+Q", "I-jQ": "I-Q", "Q+jI": "Q+I", "Q-jI": "Q-I"}
 
 
-def _powers(x: np.ndarray, size: int) -> tuple[float, float, float, float]:
+def _powers(x: np.ndarray, size: int, legacy: bool = False) -> tuple[float, float, float, float]:
     fft = kernels.fft_size(size, max(1, len(x)))
+    fft = min(fft, max(1, len(x))) if legacy else fft
     return *kernels.band_powers(x, fft), *kernels.band_powers(x.conj(), fft)
 
 
@@ -33,10 +34,11 @@ def _best(plain: Column, mirrored: Column) -> dict[str, Column]:
     return {"best_convention": F.when(plain >= mirrored, CONVENTIONS[0]).otherwise(CONVENTIONS[1]), "best_irr_db": F.greatest(plain, mirrored), **{f"irr_{k}": v for k, v in (("i_q", plain), ("i_neg_q", mirrored), ("q_i", mirrored), ("q_neg_i", plain))}}
 
 
-def by_interval(blocks: DataFrame, intervals: DataFrame, size: int = IRR_FFT, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def by_interval(blocks: DataFrame, intervals: DataFrame, size: int = IRR_FFT, block_frames: int = BLOCK_FRAMES, legacy: bool = False) -> DataFrame:
     """(file_id, interval_id, best_convention, best_irr_db, irr_*): a centre crop of each interval, its own mean removed.
 
-    The mean is the interval's; the crop, size samples at most, is gathered in one task.
+    The mean is the interval's; the crop, size samples at most, is gathered in one task. legacy gives the older form: no
+    transform longer than the interval, and absolute values, of which the first largest is the best.
     """
     width = F.least(F.lit(size), F.pow(F.lit(2), F.floor(F.log2(F.greatest(F.col("end_sample") - F.col("start_sample"), F.lit(1)))))).cast("long")
     middle = intervals.withColumn("w", F.greatest(F.lit(4096), width))
@@ -57,13 +59,15 @@ def by_interval(blocks: DataFrame, intervals: DataFrame, size: int = IRR_FFT, bl
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
         x = np.concatenate(group["re"].to_list()) - group["mre"].iat[0] + 1j * (np.concatenate(group["im"].to_list()) - group["mim"].iat[0])
-        return pd.DataFrame([(group["file_id"].iat[0], group["interval_id"].iat[0], *_powers(x, size))], columns=["file_id", "interval_id", "pos", "neg", "cpos", "cneg"])
+        return pd.DataFrame([(group["file_id"].iat[0], group["interval_id"].iat[0], *_powers(x, size, legacy))], columns=["file_id", "interval_id", "pos", "neg", "cpos", "cneg"])
 
     mean = of_blocks(blocks, intervals, block_frames).mapInPandas(sums, "file_id string, interval_id long, re double, im double, n long").groupBy(*KEYS)
     mean = mean.agg((F.sum("re") / F.sum("n")).alias("mre"), (F.sum("im") / F.sum("n")).alias("mim"))
     cut = of_blocks(blocks, crop, block_frames).mapInPandas(parts, "file_id string, interval_id long, at long, re array<double>, im array<double>")
     power = cut.join(mean, list(KEYS)).groupBy(*KEYS).applyInPandas(run, "file_id string, interval_id long, pos double, neg double, cpos double, cneg double")
     plain, mirrored = (10 * F.log10(F.col(a) / (F.col(b) + 1e-12)) for a, b in (("pos", "neg"), ("cpos", "cneg")))
+    if legacy:
+        plain, mirrored = F.abs(10 * F.log10(F.col("pos") / F.col("neg"))), F.abs(10 * F.log10(F.col("cpos") / F.col("cneg")))
     return power.withColumns(_best(plain, mirrored)).drop("pos", "neg", "cpos", "cneg")
 
 

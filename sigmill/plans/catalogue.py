@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import activity, assessment, clips, inference, irr, qa, quality, spectrum, wideband
+from ..operators import activity, assessment, clips, extraction, inference, irr, qa, quality, spectrum, wideband
 from ..operators import captures as ops
 from ..operators import intervals as iv
 from ..sources import files, tables
@@ -206,6 +206,18 @@ def irr_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.withColumn("distribution", F.to_json("distribution")), 4)
 
 
+def carrier_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 64 samples around the carriers found, each with its mean power."""
+    blocks = tables.blocks(spark, sf_dir)
+    found = ops.carriers(_psd(spark, sf_dir), spectrum.PROMINENCE)
+    files_ = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("frames"), F.first("fs_hz").alias("fs_hz"))
+    wanted = found.join(files_.select("file_id", (F.col("frames") / F.col("fs_hz")).alias("duration_s")), "file_id")
+    streams = extraction.downmix(blocks, wanted, 1000.0, 4.0, 20.0, 101)
+    cut = extraction.numbered(extraction.clips(streams, extraction.clip_spans(wanted), files_, 64, 0.5))
+    power = F.aggregate(F.zip_with("i", "q", lambda a, b: (a * a + b * b).cast("double")), F.lit(0.0), lambda a, x: a + x) / 64
+    return _rounded(cut.select("file_id", "clip_index", "carrier_index", "place", "decim", power.alias("power")), 4)
+
+
 def clip_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the clips have a rate of their own, the others the recording's."""
     clips_ = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("clip_index"), "label")
@@ -240,7 +252,6 @@ def inference_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.predictions(_inferred(spark, sf_dir).bursts, 433e6, "2024-05-01T12:00:00+02:00")
 
 
-BURSTS = dialect.duck(activity.BURSTS.replace(" AS avg_prob,", " AS avg_prob_top1,").replace(" AS start_s,", " AS start_time_s,").replace(" AS end_s,\n", " AS end_time_s,\n").replace(" AS offset_hz,", " AS rf_offset_hz,"))
 #: Queries with block operators: the function, and its oracle.
 BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "q_channel_stats": (channel_stats, dialect.duck(quality.channel_stats("file_id"))),
@@ -259,7 +270,7 @@ BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "q_frame_energy": (frame_energy, dialect.duck(activity.FRAME_ENERGY)),
     "q_vad_segments": (vad_segments, dialect.duck(activity.VAD_SEGMENTS)),
     "q_auto_vad_threshold": (auto_vad_threshold, oracles.over_samples(oracles.AUTO_THRESHOLD)),
-    "q_bursts": (bursts, None),
+    "q_bursts": (bursts, oracles.BURSTS),
     "q_predictions": (predictions, oracles.PREDICTIONS),
     "q_chunk_plan": (chunk_plan, oracles.CHUNK_PLAN),
     "q_evenly_spaced": (evenly_spaced, oracles.EVENLY_SPACED),
@@ -269,6 +280,7 @@ BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "q_chosen_factor": (chosen_factor, None),
     "q_irr_segments": (irr_segments, None),
     "q_irr_files": (irr_files, None),
+    "q_carrier_clips": (carrier_clips, None),
     "q_clip_rates": (clip_rates, oracles.CLIP_RATES),
     "q_inference_segments": (inference_segments, None),
     "q_inference_frames": (inference_frames, None),

@@ -78,6 +78,8 @@ SELECT CAST(file_id AS STRING) AS file, CAST(file_id AS STRING) AS file_id, burs
     regexp_replace(strftime(TIMESTAMP '2024-05-01 12:00:00' + to_microseconds(CAST(round(end_s * 1e6) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f'), '[.]000000$', '') || '+00:00' AS end_time_abs,
     offset_hz AS rf_offset_hz, center_hz_abs AS rf_center_hz_abs, bandwidth_hz, snr_db FROM b""")
 
+BURSTS = dialect.duck(f"WITH b AS ({activity.BURSTS.strip()}) SELECT file_id, burst_id, pred_label, avg_prob AS avg_prob_top1, start_s AS start_time_s, end_s AS end_time_s, offset_hz AS rf_offset_hz, bandwidth_hz, snr_db FROM b")
+
 CLIP_RATES = """
 SELECT vec_id AS clip_index, CASE WHEN vec_id % 3 = 0 THEN 32.0 + label WHEN vec_id % 3 = 1 THEN 48.0 ELSE 48.0 END::DOUBLE AS fs_hz FROM embeddings"""
 

@@ -467,6 +467,10 @@ def test_rejection_of_intervals_and_its_spread(spark):
         p = np.abs(np.fft.fft(y)) ** 2
         plain = 10 * np.log10(p[1 : size // 2].sum() / p[size // 2 :].sum())
         assert np.isclose(got[k]["irr_i_q"], plain, atol=1e-6) and got[k]["best_convention"] == ("I+jQ" if plain > 0 else "I-jQ") and got[k]["conv"] == ("I+Q" if plain > 0 else "I-Q")
+    old = {r["interval_id"]: r for r in irr.by_interval(blocks_of(spark, x, 512), table, 4096, 512, legacy=True).collect()}
+    y = x[6000:6100] - x[6000:6100].mean()
+    p = np.abs(np.fft.fft(y)) ** 2
+    assert np.isclose(old[2]["irr_i_q"], abs(10 * np.log10(p[1:50].sum() / p[50:].sum())), atol=1e-6) and all(r["best_irr_db"] >= 0 for r in old.values())
     stats = irr.variability(rows).first()
     best = [got[k]["best_irr_db"] for k in range(4)]
     assert np.allclose([stats[c] for c in ("mean_irr", "std_irr", "min_irr", "max_irr", "range_irr")], [np.mean(best), np.std(best), min(best), max(best), max(best) - min(best)])
