@@ -200,7 +200,7 @@ def model_bursts(rows, gap):
 def test_bursts_and_predictions(spark):
     rng = np.random.default_rng(6)
     start = np.cumsum(rng.exponential(0.05, 200)).round(6)
-    rows = [(float(s), k, float(round(s + rng.exponential(0.1) + 0.001, 6)), str(rng.choice(["am", "fm", "UNKNOWN"], p=[0.6, 0.3, 0.1])), float(rng.random().round(6)), float(rng.normal()), float(rng.random()), float(rng.random())) for k, s in enumerate(start)]
+    rows = [(float(s), k, float(round(s + rng.exponential(0.1) + 0.001, 6)), str(rng.choice(["am", "fm", "UNKNOWN"], p=[0.6, 0.3, 0.1])), round(float(rng.random()), 6), float(rng.normal()), float(rng.random()), float(rng.random())) for k, s in enumerate(start)]
     table = spark.createDataFrame([("dir/a b.wav", r[1], r[0], *r[2:]) for r in rows], "file_id string, segment_id long, start_time_s double, end_time_s double, pred_label string, prob_top1 double, rf_offset_hz double, bandwidth_hz double, snr_db double")
     found = inference.bursts(table)
     got = found.orderBy("burst_id").collect()
