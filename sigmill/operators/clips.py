@@ -1,4 +1,7 @@
-"""Features of short clips {clips}(clip_index, carrier_index, n, i, q) at FS samples a second; N samples each."""
+"""Features of short clips {clips}(clip_index, carrier_index, n, i, q) at FS samples a second; N samples each.
+
+Clips of any length, as arrays, take `features`; its queries have the spectra here as their oracle.
+"""
 
 from __future__ import annotations
 
@@ -15,11 +18,16 @@ _POWER = f"""
 w AS (SELECT clip_index, carrier_index, k, sum(i * cos({TAU} * k * n / {N}) + q * sin({TAU} * k * n / {N})) AS re, sum(q * cos({TAU} * k * n / {N}) - i * sin({TAU} * k * n / {N})) AS im
     FROM {{clips}} CROSS JOIN (SELECT k FROM {{bins}} WHERE k < {N}) b GROUP BY clip_index, carrier_index, k),
 p AS (SELECT clip_index, carrier_index, k, (k + {N // 2}) % {N} AS bin, (re * re + im * im) / ({FS} * {N}.0D) AS power FROM w)"""
-CLIP_PSD = f"WITH {_POWER.strip()} SELECT clip_index, bin, (bin - {N // 2}) * {FS / N}D AS f_hz, round(power, 6) AS power FROM p"
-CLIP_FLATNESS = f"WITH {_POWER.strip()} SELECT clip_index, round(exp(avg(ln(power + 1e-20))) / (avg(power) + 1e-20), 6) AS sfm FROM p GROUP BY clip_index"
+#: The same of Hann windowed samples, as a density.
+_DENSITY = f"""
+w AS (SELECT clip_index, k, sum((0.5D - 0.5D * cos({TAU} * n / {N})) * (i * cos({TAU} * k * n / {N}) + q * sin({TAU} * k * n / {N}))) AS re, sum((0.5D - 0.5D * cos({TAU} * n / {N})) * (q * cos({TAU} * k * n / {N}) - i * sin({TAU} * k * n / {N}))) AS im
+    FROM {{clips}} CROSS JOIN (SELECT k FROM {{bins}} WHERE k < {N}) b GROUP BY clip_index, k),
+p AS (SELECT clip_index, (k + {N // 2}) % {N} AS bin, (re * re + im * im) / ({FS} * {0.375 * N}D) AS power FROM w)"""
+CLIP_PSD = f"WITH {_DENSITY.strip()} SELECT clip_index, bin, (bin - {N // 2}) * {FS / N}D AS f_hz, round(power, 6) AS power FROM p"
+CLIP_FLATNESS = f"WITH {_DENSITY.strip()} SELECT clip_index, round(exp(avg(ln(power + 1e-20))) / (avg(power) + 1e-20), 6) AS sfm FROM p GROUP BY clip_index"
 #: The strongest bin, the nearest bins 6 dB below it on both sides, and its height over the median.
 CLIP_SNR_BW = f"""
-WITH {_POWER.strip()},
+WITH {_DENSITY.strip()},
 d AS (SELECT clip_index, bin, 10 * log10(greatest(power, 1e-20)) AS db FROM p),
 t AS (SELECT clip_index, max(db) AS top, percentile(db, 0.5D) AS floor_db FROM d GROUP BY clip_index),
 k AS (SELECT d.clip_index, min(bin) AS peak FROM d JOIN t ON d.clip_index = t.clip_index AND d.db = t.top GROUP BY d.clip_index),

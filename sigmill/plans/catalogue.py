@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import activity, assessment, clips, extraction, inference, irr, qa, quality, spectrum, wideband
+from ..operators import activity, assessment, clips, extraction, features, inference, irr, qa, quality, spectrum, wideband
 from ..operators import captures as ops
 from ..operators import intervals as iv
 from ..sources import files, tables
@@ -23,10 +23,10 @@ TEXTS: dict[str, str] = {
     "q_chunk_stats": quality.channel_stats("chunk_id"), "q_envelope_kurtosis": quality.ENVELOPE_KURTOSIS,
     "q_strided_scan": quality.strided_scan(7), "q_chunk_strided_scan": quality.chunk_strided_scan(7), "q_head_scan": quality.head_scan(500), "q_time_window": quality.time_window(0.25, 0.75, 1000), "q_conventions": quality.CONVENTIONS,
     "q_rms_dbfs": activity.RMS_DBFS,
-    "q_clip_energy": clips.CLIP_ENERGY, "q_clip_kurtosis": clips.CLIP_KURTOSIS, "q_clip_flatness": clips.CLIP_FLATNESS, "q_clip_psd": clips.CLIP_PSD, "q_clip_snr_bw": clips.CLIP_SNR_BW, "q_clip_cumulants": clips.CLIP_CUMULANTS, "q_clip_cfo": clips.CLIP_CFO,
+    "q_clip_energy": clips.CLIP_ENERGY, "q_clip_kurtosis": clips.CLIP_KURTOSIS, "q_clip_psd": clips.CLIP_PSD, "q_clip_cumulants": clips.CLIP_CUMULANTS, "q_clip_cfo": clips.CLIP_CFO,
     "q_clip_channels": clips.CLIP_CHANNELS, "q_clip_normalised": clips.CLIP_NORMALISED, "q_irr_conventions": clips.IRR_CONVENTIONS, "q_best_convention": clips.BEST_CONVENTION, "q_irr_variability": clips.IRR_VARIABILITY, "q_softmax_labels": clips.SOFTMAX_LABELS,
     "q_enriched": clips.ENRICHED, "q_frames_standardised": clips.FRAMES_STANDARDISED, "q_band_energy": clips.BAND_ENERGY, "q_retuned": clips.RETUNED, "q_irr_verdict": clips.IRR_VERDICT, "q_verify_convention": clips.VERIFY_CONVENTION,
-    "q_cumulant_channels": clips.CUMULANT_CHANNELS, "q_features": clips.FEATURES, "q_engineered": clips.engineered(" Amp, phase,,cum42,other ,D2PHASE"),
+    "q_cumulant_channels": clips.CUMULANT_CHANNELS, "q_engineered": clips.engineered(" Amp, phase,,cum42,other ,D2PHASE"),
     "q_sampling_candidates": quality.SAMPLING_CANDIDATES, "q_qa_low_conf": qa.low_confidence(),
     "q_batch_summary": qa.BATCH_SUMMARY, "q_pending_files": qa.PENDING_FILES, "q_file_success": qa.file_success(),
 }
@@ -206,6 +206,24 @@ def irr_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.withColumn("distribution", F.to_json("distribution")), 4)
 
 
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding as a clip: I and Q in turn."""
+    part = lambda odd: F.transform(F.filter("embedding", lambda _, k: k % 2 == odd), lambda x: x.cast("double"))
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("clip_index"), F.lit(float(clips.FS)).alias("fs_hz"), part(0).alias("i"), part(1).alias("q"))
+
+
+def clip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(features.clip_features(_clips(spark, sf_dir))).withColumnRenamed("T", "t")
+
+
+def clip_flatness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(features.clip_features(_clips(spark, sf_dir)).select("clip_index", "sfm"))
+
+
+def clip_snr_bw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(features.clip_features(_clips(spark, sf_dir)).select("clip_index", "snr_db", "bw_hz"))
+
+
 def carrier_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 64 samples around the carriers found, each with its mean power."""
     blocks = tables.blocks(spark, sf_dir)
@@ -280,6 +298,9 @@ BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "q_chosen_factor": (chosen_factor, None),
     "q_irr_segments": (irr_segments, None),
     "q_irr_files": (irr_files, None),
+    "q_features": (clip_features, dialect.duck(clips.FEATURES)),
+    "q_clip_flatness": (clip_flatness, dialect.duck(clips.CLIP_FLATNESS)),
+    "q_clip_snr_bw": (clip_snr_bw, dialect.duck(clips.CLIP_SNR_BW)),
     "q_carrier_clips": (carrier_clips, None),
     "q_clip_rates": (clip_rates, oracles.CLIP_RATES),
     "q_inference_segments": (inference_segments, None),

@@ -430,7 +430,8 @@ def test_clip_features_against_numpy(spark):
         assert np.isclose(rows[c]["cfo_hz"], np.angle((z[:-1].conj() * z[1:]).sum()) / (2 * np.pi) * 32, atol=1e-5)
         a = np.abs(z)
         assert np.isclose(rows[c]["env_kurt"], (((a - a.mean()) / (a.std() + 1e-12)) ** 4).mean(), atol=1e-5)
-        power = np.fft.fftshift(np.abs(np.fft.fft(z)) ** 2) / (32 * 32)
+        w = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(32) / 32)
+        power = np.fft.fftshift(np.abs(np.fft.fft(z * w)) ** 2) / (32 * (w**2).sum())
         db = 10 * np.log10(power)
         k = db.argmax()
         low = np.flatnonzero(db <= db[k] - 6)
@@ -450,6 +451,71 @@ def test_clip_features_against_numpy(spark):
         assert best[c]["best"] == ("I_Q" if plain >= mirrored else "I_neg_Q") and np.isclose(best[c]["irr_db"], abs(max(plain, mirrored)), atol=1e-5)
 
 
+def test_clip_tables_against_numpy(spark):
+    x = noise(5 * 32, 21).reshape(5, 32)
+    bins = spark.range(catalogue.BINS).toDF("k")
+    run = lambda sql: dialect.run(sql, clips=clip_table(spark, x), bins=bins).collect()
+    scale = [model_scale(z) for z in x]
+    norm = [np.clip(z.real / s, -4, 4) + 1j * np.clip(z.imag / s, -4, 4) for z, s in zip(x, scale, strict=True)]
+    assert all(abs(complex(r["i"], r["q"]) - norm[r["clip_index"]][r["n"]]) < 2e-6 for r in run(clips.CLIP_NORMALISED))
+    for r in run(clips.ENRICHED):
+        z, n = norm[r["clip_index"]], r["n"]
+        base = (z[n].real, z[n].imag, abs(z[n]), np.angle(z[n]), np.angle(z[n]) - np.angle(z[n - 1]) if n else 0.0)
+        assert abs(r["x"] - base[r["channel"] % 5]) < 1e-4  # of samples that are rounded before
+    frames = run(clips.FRAMES_STANDARDISED)
+    for r in frames:
+        f = x[r["clip_index"]][r["frame"] * 8 : r["frame"] * 8 + 16]
+        assert abs(r["i"] - (f.real[r["m"]] - f.real.mean()) / f.real.std(ddof=1)) < 2e-6 and abs(r["q"] - (f.imag[r["m"]] - f.imag.mean()) / f.imag.std(ddof=1)) < 2e-6
+    assert len(frames) == 5 * 3 * 16
+    for r in run(clips.BAND_ENERGY):
+        w = kernels.hann(16)
+        p = np.mean([np.abs(np.fft.fft(x[r["clip_index"]][a : a + 16] * w))[:9] ** 2 for a in (0, 8, 16)], axis=0)
+        assert np.allclose([r["band_lo"], r["band_hi"], r["spec_flat"]], [np.log(p[:2].mean()), np.log(p[2:].mean()), np.exp(np.log(p).mean()) / p.mean()], atol=2e-6)
+    retuned = {(r["clip_index"], r["n"]): complex(r["i"], r["q"]) for r in run(clips.RETUNED)}
+    for c, z in enumerate(x):
+        y = np.convolve(kernels.mix(z, 0, 4, 32), kernels.lowpass(7, 0.2), mode="same")[::2]
+        assert np.allclose([retuned[c, k] for k in range(16)], y, atol=2e-6)
+    for r in run(clips.SOFTMAX_LABELS):
+        z = x[r["clip_index"]]
+        k = np.arange(5)
+        logit = 4 * (z.real.mean() * np.cos(k) + z.imag.mean() * np.sin(k)) + (np.abs(z) ** 2).mean() * k / 100
+        p = np.exp(logit - logit.max()) / np.exp(logit - logit.max()).sum()
+        label = "UNKNOWN" if p.max() < 0.25 else ("am", "fm", "class_2", "class_3", "class_4")[p.argmax()]
+        assert (r["pred_idx"], r["pred_label"]) == (p.argmax(), label) and abs(r["prob_top1"] - p.max()) < 2e-6
+    power = [np.abs(np.fft.fft(z)) ** 2 for z in x]
+    plain = [10 * np.log10(p[1:16].sum() / p[16:].sum()) for p in power]
+    mirrored = [10 * np.log10(p[17:].sum() / p[1:17].sum()) for p in power]
+    got = {(r["clip_index"], r["conv"]): r["irr_db"] for r in run(clips.IRR_CONVENTIONS)}
+    assert all(np.allclose([got[c, "I_Q"], got[c, "I_neg_Q"], got[c, "Q_I"]], [plain[c], mirrored[c], mirrored[c]], atol=2e-6) for c in range(5))
+    for r in run(clips.IRR_VERDICT):
+        gain, best = mirrored[r["clip_index"]] - plain[r["clip_index"]], max(mirrored[r["clip_index"]], plain[r["clip_index"]])
+        assert r["verdict"] == ("significant" if gain > 5 else "moderate" if gain > 1 else "minimal" if gain > -1 else "degraded") and r["band"] == ("excellent" if best > 30 else "good" if best >= 20 else "marginal" if best >= 10 else "poor" if best >= 5 else "very_poor")
+    best = [max(a, b) for a, b in zip(plain, mirrored, strict=True)]
+    for r in run(clips.IRR_VARIABILITY):
+        own = [c for c in range(5) if c % 3 == r["carrier_index"]]
+        v = [best[c] for c in own]
+        direct = [plain[c] >= mirrored[c] for c in own]
+        assert np.allclose([r["mean_irr"], r["std_irr"], r["range_irr"], r["consistency"]], [np.mean(v), np.std(v), max(v) - min(v), direct.count(direct[0]) / len(own)], atol=2e-6)
+        assert r["variability"] == ("LOW" if max(v) - min(v) < 2 else "MODERATE" if max(v) - min(v) < 10 else "HIGH")
+
+
+def test_features_of_long_clips(spark):
+    from sigmill.operators import features
+
+    x = [noise(5000, 22) + 3 * np.exp(2j * np.pi * 0.1 * np.arange(5000)), noise(100, 23), np.zeros(0, complex)]
+    table = spark.createDataFrame([(k, 1000.0, z.real.tolist(), z.imag.tolist()) for k, z in enumerate(x)], "clip_index long, fs_hz double, i array<double>, q array<double>")
+    got = {r["clip_index"]: r for r in features.clip_features(table, 256).collect()}
+    total, n = kernels.welch_sums(x[0], 256, 128, 1000.0)
+    p = total / n
+    assert got[0]["T"] == 5000 and np.isclose(got[0]["snr_db"], 10 * np.log10(p.max() / np.median(p)), atol=1e-3) and np.isclose(got[0]["sfm"], np.exp(np.log(p).mean()) / p.mean()) and abs(got[0]["cfo_hz"] - 100) < 5
+    assert got[2]["T"] == 0 and got[2]["snr_db"] is None and got[1]["bw_hz"] > 0
+    made = {r["clip_index"]: {c["name"]: np.array(c["values"]) for c in r["channels"]} for r in features.engineered(table, " Amp,bandE_lo, SPEC_FLAT,cum42,nothing,").collect()}
+    assert list(made[0]) == ["I", "Q", "amp", "cum42", "bandE_lo", "spec_flat"] and list(made[1]) == ["I", "Q", "amp", "cum42"] and made[2] == {}
+    rows = np.lib.stride_tricks.sliding_window_view(x[0], 128)[::64]
+    q = (np.abs(np.fft.fft(rows * kernels.hann(128), axis=1)[:, :65]) ** 2).mean(axis=0)
+    assert np.allclose(made[0]["bandE_lo"], np.log(q[:16].mean()), atol=1e-4) and np.allclose(made[0]["amp"], np.abs(x[0]), atol=1e-4) and len(set(made[0]["cum42"])) == 1
+
+
 # image rejection studies
 
 
