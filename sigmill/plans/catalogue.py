@@ -255,7 +255,8 @@ def linear_classifier(x: np.ndarray) -> np.ndarray:
 
 
 def _inferred(spark: SparkSession, sf_dir: str) -> inference.Result:
-    return inference.infer(tables.blocks(spark, sf_dir), linear_classifier, ["up", "side"], 1000.0, _settings())
+    """The table's rows are grouped to blocks once; captures are read from their files by each step."""
+    return inference.infer(tables.blocks(spark, sf_dir).persist(), linear_classifier, ["up", "side"], 1000.0, _settings())
 
 
 def inference_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
