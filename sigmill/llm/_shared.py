@@ -47,6 +47,15 @@ def forget(*tables: DataFrame | None) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: The longest table of ids that is broadcast: 16 MB about.
+BROADCAST_IDS = 500_000
+
+
+def small(ids: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """A materialized table of ids, to be broadcast in a join if it has so many rows at most; counted here."""
+    return F.broadcast(ids) if ids.count() <= rows else ids
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,8 @@
    gathers a hot bucket and no pair is missed.
 6. The forests are merged by `connected_components`.
 
-`drop_near_duplicates` takes the groups of this search as candidates and keeps what `jaccard` verifies.
+`drop_near_duplicates` takes the groups of this search as candidates and keeps what `jaccard` verifies. Texts stay where
+they are while the ids that select among them are few enough to broadcast; else ids and texts meet by a join.
 
 Nulls: a null text counts as empty; a text without words has fingerprint zero and is linked like any other. Rows with
 a null doc_id keep their row, linked through their fingerprint; a component without any doc_id is null.
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard
-from ._shared import LOWER, UPPER, forget, materialize, slices
+from ._shared import LOWER, UPPER, forget, materialize, slices, small
 from .components import connected_components
 
 MAX_BUCKET = 4096
@@ -353,7 +354,9 @@ def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
 
     def sets_of(rows: DataFrame) -> DataFrame:
         wanted = rows.join(members.select(F.col("node").alias("_m"), "digest"), F.col("node") == F.col("_m")).select("node", "keys", "digest")
-        return _with_sets(texts.join(wanted, F.col("_doc") == F.col("node")), plan)
+        wanted = materialize(wanted, "wanted")
+        few = texts.join(small(wanted.select(F.col("node").alias("_w"))), F.col("_doc") == F.col("_w"), "left_semi")
+        return _with_sets(few.join(wanted, F.col("_doc") == F.col("node")), plan)
 
     found = jaccard.components(members, plan.words, sets_of)
     roots = found.select(F.col("node").alias("_n"), "root")
@@ -364,5 +367,5 @@ def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
     """docs without the rows whose group has a smaller doc_id. Equal doc_ids all stay; so do null ones."""
-    gone = verified_duplicates(docs, plan).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = materialize(verified_duplicates(docs, plan).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    return docs.join(small(gone), "doc_id", "left_anti")
