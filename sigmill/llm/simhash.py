@@ -284,7 +284,10 @@ def _links(nodes: DataFrame, plan: Plan) -> DataFrame:
     else:
         rows = rows.withColumns({"lo": F.lit(0).cast("long"), "hi": F.lit(0).cast("long")})
     keys = ["bucket", "lo", "hi"]
-    rows = rows.select(*keys, "node", *names).repartition(*keys).sortWithinPartitions(*keys)
+    # A fingerprint's rows, one a bucket, go to as many partitions at least: tasks stay small where the session's default
+    # is low, and what is shuffled grows with the rows alone, not with how many of them share a compressed block.
+    partitions = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), block_keys(np.zeros((1, plan.words), np.uint64)).shape[1])
+    rows = rows.select(*keys, "node", *names).repartition(partitions, *keys).sortWithinPartitions(*keys)
     return rows.mapInArrow(compared, "a long, b long")
 
 
