@@ -109,6 +109,18 @@ def band_powers(x: np.ndarray, size: int) -> tuple[float, float]:
     return float(p[1 : size // 2].sum() + 1e-12), float(p[size // 2 :].sum() + 1e-12)
 
 
+def all_band_powers(x: np.ndarray, size: int) -> tuple[float, float, float, float]:
+    """band_powers of x and of its conjugate, whose spectrum is the mirror image, from one transform."""
+    if len(x) >= size:
+        start = (len(x) - size) // 2
+        x = x[start : start + size]
+    f = np.fft.fft(np.pad(x, (0, size - len(x))))
+    p = f.real**2 + f.imag**2
+    half = size // 2
+    cut = size - half + 1
+    return tuple(float(part.sum() + 1e-12) for part in (p[1:half], p[half:], p[cut:], p[1:cut]))
+
+
 def lowpass(taps: int, cutoff: float, window: str = "hamming") -> np.ndarray:
     """Windowed sinc with unit gain at DC; cutoff in cycles a sample."""
     n = np.arange(taps) - (taps - 1) / 2

@@ -26,28 +26,44 @@ def samples(blocks: DataFrame) -> DataFrame:
     return blocks.select("file_id", "chunk_id", "start_sample", zipped.alias("p", "x")).select("file_id", "chunk_id", (F.col("start_sample") + F.col("p")).alias("n"), F.col("x.i").cast("double").alias("i"), F.col("x.q").cast("double").alias("q"))
 
 
-def channel_moments(blocks: DataFrame) -> DataFrame:
-    """Counts, means, deviations and extremes of each channel by file: one row a block, then sums.
+_CHANNEL = "{c}_nan long, {c}_inf long, {c}_n long, {c}_m double, {c}_m2 double, {c}_min double, {c}_max double, {c}_clip long"
+_BANDS = ("pos", "neg", "cpos", "cneg")
 
-    A block gives its count, mean and squared deviations from its own mean; they meet around the file's mean, so a large
-    constant offset costs no digits. A stream has no file mean to meet around; there the block means' squares are summed.
-    """
+
+def block_statistics(blocks: DataFrame, size: int = IRR_FFT, bands: bool = True) -> DataFrame:
+    """A row a block: counts, mean, squared deviations from that mean and extremes of each channel, and, with bands, band
+    powers of the centre crop. One pass over the samples serves channel_moments, image_rejection and chunk_means."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.itertuples():
-                row = {"file_id": r.file_id, "frames": len(r.i)}
+                row = {k: getattr(r, k) for k in keys} | {"frames": len(r.i)}
                 for name in ("i", "q"):
                     x = np.asarray(getattr(r, name), np.float64)
                     ok = x[np.isfinite(x)]
                     mean = ok.mean() if len(ok) else 0.0
                     row |= {f"{name}_nan": int(np.isnan(x).sum()), f"{name}_inf": int(np.isinf(x).sum()), f"{name}_n": len(ok), f"{name}_m": mean, f"{name}_m2": ((ok - mean) ** 2).sum(), f"{name}_min": ok.min(initial=np.inf), f"{name}_max": ok.max(initial=-np.inf), f"{name}_clip": int((np.abs(ok) > 0.999).sum())}
+                if bands:
+                    x = kernels.complex_of(r.i, r.q)
+                    x = x - x.mean() if len(x) else x
+                    row |= dict(zip(_BANDS, kernels.all_band_powers(x, kernels.fft_size(size, max(1, len(x)))), strict=True))
                 rows.append(row)
             yield pd.DataFrame(rows)
 
-    fields = ", ".join(f"{c}_nan long, {c}_inf long, {c}_n long, {c}_m double, {c}_m2 double, {c}_min double, {c}_max double, {c}_clip long" for c in "iq")
-    parts = blocks.select("file_id", "i", "q").mapInPandas(run, f"file_id string, frames long, {fields}")
+    keys = [k for k in ("file_id", "chunk_id", "fs_hz") if k in blocks.columns]
+    kinds = [f"{k} {blocks.schema[k].dataType.simpleString()}" for k in keys]
+    fields = ", ".join([*kinds, "frames long", *(_CHANNEL.format(c=c) for c in "iq"), *(f"{k} double" for k in _BANDS if bands)])
+    return blocks.select(*keys, "i", "q").mapInPandas(run, fields)
+
+
+def channel_moments(blocks: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Counts, means, deviations and extremes of each channel by file, from block_statistics (parts, if they are there).
+
+    Blocks' deviations from their own means meet around the file's mean, so a large constant offset costs no digits. A
+    stream has no file mean to meet around; there the block means' squares are summed.
+    """
+    parts = block_statistics(blocks, bands=False) if parts is None else parts
     aggs = [F.sum("frames").alias("frames")]
     file = Window.partitionBy("file_id")  # one row a block
     for c in "iq":
@@ -63,10 +79,17 @@ def channel_moments(blocks: DataFrame) -> DataFrame:
     return parts.groupBy("file_id").agg(*aggs)
 
 
-def envelope_kurtosis(blocks: DataFrame) -> DataFrame:
+def chunk_means(parts: DataFrame) -> DataFrame:
+    """block_statistics' rows -> (file_id, chunk_id, mi, mq): means of finite samples."""
+    mean = lambda c: F.sum(F.col(f"{c}_n") * F.col(f"{c}_m")) / F.greatest(F.sum(f"{c}_n"), F.lit(1))
+    return parts.groupBy("file_id", "chunk_id").agg(mean("i").alias("mi"), mean("q").alias("mq"))
+
+
+def envelope_kurtosis(blocks: DataFrame, dc: DataFrame | None = None) -> DataFrame:
     """(file_id, n, envelope_kurtosis): the fourth standardised moment of the envelope after the chunk's DC is removed.
 
-    Two reductions: chunk means of finite samples, then power sums of the envelope, shifted by the file's first guess.
+    Two reductions: chunk means of finite samples (dc: file_id, chunk_id, mi, mq, if they are known), then power sums of
+    the envelope around each block's mean, which meet around the file's.
     """
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,8 +112,9 @@ def envelope_kurtosis(blocks: DataFrame) -> DataFrame:
                 rows.append((r.file_id, len(z), m, (d**2).sum(), (d**3).sum(), (d**4).sum()))
             yield pd.DataFrame(rows, columns=["file_id", "n", "m", "m2", "m3", "m4"])
 
-    dc = blocks.select("file_id", "chunk_id", "i", "q").mapInPandas(sums, "file_id string, chunk_id long, si double, ni long, sq double, nq long").groupBy("file_id", "chunk_id")
-    dc = dc.agg((F.sum("si") / F.greatest(F.sum("ni"), F.lit(1))).alias("mi"), (F.sum("sq") / F.greatest(F.sum("nq"), F.lit(1))).alias("mq"))
+    if dc is None:
+        dc = blocks.select("file_id", "chunk_id", "i", "q").mapInPandas(sums, "file_id string, chunk_id long, si double, ni long, sq double, nq long").groupBy("file_id", "chunk_id")
+        dc = dc.agg((F.sum("si") / F.greatest(F.sum("ni"), F.lit(1))).alias("mi"), (F.sum("sq") / F.greatest(F.sum("nq"), F.lit(1))).alias("mq"))
     parts = blocks.select("file_id", "chunk_id", "i", "q").join(dc, ["file_id", "chunk_id"]).mapInPandas(powers, "file_id string, n long, m double, m2 double, m3 double, m4 double")
     parts = parts.withColumn("d", F.col("m") - F.sum(F.col("n") * F.col("m")).over(Window.partitionBy("file_id")) / F.greatest(F.sum("n").over(Window.partitionBy("file_id")), F.lit(1)))
     n, d = F.sum("n"), F.col("d")
@@ -99,23 +123,13 @@ def envelope_kurtosis(blocks: DataFrame) -> DataFrame:
     return parts.groupBy("file_id").agg(n.alias("n"), F.when(F.sqrt(var) < 1e-12, 0.0).otherwise(fourth / (var * var)).alias("envelope_kurtosis"))
 
 
-def image_rejection(blocks: DataFrame, size: int = IRR_FFT) -> DataFrame:
+def image_rejection(blocks: DataFrame, size: int = IRR_FFT, parts: DataFrame | None = None) -> DataFrame:
     """(file_id, best, irr_db): band powers of each block's centre crop, summed; a tie goes to I+Q, then I-Q.
 
-    Conjugation mirrors the spectrum, so one transform serves all conventions.
+    Conjugation mirrors the spectrum, so one transform serves all conventions. parts: block_statistics, if they are there.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples():
-                x = kernels.complex_of(r.i, r.q)
-                x = x - x.mean() if len(x) else x
-                fft = kernels.fft_size(size, max(1, len(x)))
-                rows.append((r.file_id, *kernels.band_powers(x, fft), *kernels.band_powers(x.conj(), fft)))
-            yield pd.DataFrame(rows, columns=["file_id", "pos", "neg", "cpos", "cneg"])
-
-    sums = blocks.select("file_id", "i", "q").mapInPandas(run, "file_id string, pos double, neg double, cpos double, cneg double").groupBy("file_id").agg(*(F.sum(c).alias(c) for c in ("pos", "neg", "cpos", "cneg")))
+    parts = block_statistics(blocks, size) if parts is None else parts
+    sums = parts.groupBy("file_id").agg(*(F.sum(c).alias(c) for c in _BANDS))
     plain, mirrored = (10 * F.log10(F.col(a) / F.col(b)) for a, b in (("pos", "neg"), ("cpos", "cneg")))
     return sums.select("file_id", F.when(plain >= mirrored, "I+Q").otherwise("I-Q").alias("best"), F.abs(F.greatest(plain, mirrored)).alias("irr_db"))
 

@@ -27,7 +27,7 @@ SHORT = {"I+jQ": "I+Q", "I-jQ": "I-Q", "Q+jI": "Q+I", "Q-jI": "Q-I"}
 def _powers(x: np.ndarray, size: int, legacy: bool = False) -> tuple[float, float, float, float]:
     fft = kernels.fft_size(size, max(1, len(x)))
     fft = min(fft, max(1, len(x))) if legacy else fft
-    return *kernels.band_powers(x, fft), *kernels.band_powers(x.conj(), fft)
+    return kernels.all_band_powers(x, fft)
 
 
 def _best(plain: Column, mirrored: Column) -> dict[str, Column]:
@@ -121,7 +121,7 @@ def sampling_sweep(blocks: DataFrame, factors: tuple[int, ...] = FACTORS, frame:
                     for s in range(first, min(len(r.i), len(x) - (frame - 1) * f), frame * f):
                         y = x[s : s + frame * f : f][:frame] - complex(m["mre"], m["mim"])
                         if len(y) == frame:
-                            total += (*kernels.band_powers(y, frame), *kernels.band_powers(y.conj(), frame))
+                            total += kernels.all_band_powers(y, frame)
                     rows.append((r.file_id, f, r.fs_hz / f, *total))
                 yield pd.DataFrame(rows, columns=["file_id", "factor", "fs_hz", "pos", "neg", "cpos", "cneg"])
 
