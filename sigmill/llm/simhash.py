@@ -29,6 +29,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ from .components import connected_components
 
 MAX_BUCKET = 4096
 BROADCAST_ROWS = 20_000
-CHUNK_ROWS = 32_768
-#: Characters whose shingles are Python objects at a time.
+CHUNK_ROWS = 16_384
+#: Bytes of text that are Python objects, with their shingles, at a time.
 TEXT_CHARS = 500_000
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 LANES = np.uint64(0x0101010101010101)
@@ -120,16 +121,21 @@ def _votes(hashes: list[np.ndarray], plan: Plan) -> np.ndarray:
     return out
 
 
+def _text_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts (column 1) hold about TEXT_CHARS bytes; one row at least."""
+    for a, b in slices(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), TEXT_CHARS):
+        yield batch.slice(a, b - a)
+
+
 def with_fingerprints(docs: DataFrame, plan: Plan) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, f0, f1, ...), one row for each input row."""
     names = [f"f{j}" for j in range(plan.words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], TEXT_CHARS):
-                f = fingerprints(texts[a:b], plan).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", *names])
+            for part in _text_slices(batch):
+                f = fingerprints(part.column(1).to_pylist(), plan).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", *names])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in names))
 
@@ -313,11 +319,10 @@ def with_set_prints(docs: DataFrame, plan: Plan) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], TEXT_CHARS):
-                hashes = [shingle_hashes(t, plan) for t in texts[a:b]]
+            for part in _text_slices(batch):
+                hashes = [shingle_hashes(t, plan) for t in part.column(1).to_pylist()]
                 f = _votes(hashes, plan).view(np.int64)
-                head = [batch.column(0).slice(a, b - a), pa.array(list(map(_set_digest, hashes)), pa.binary()), pa.array(list(map(len, hashes)), pa.int64())]
+                head = [part.column(0), pa.array(list(map(_set_digest, hashes)), pa.binary()), pa.array(list(map(len, hashes)), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*head, *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", "digest", "n_hashes", *names])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest binary, n_hashes long, " + ", ".join(f"{x} long" for x in names))
