@@ -8,7 +8,7 @@ from sigmill.llm import decontam, line_dedup, packing, quality, simhash
 from sigmill.llm._shared import materialize, table
 
 #: Words in a generation of the tokenizer's cache: the executors hold the memory of earlier stages too.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
