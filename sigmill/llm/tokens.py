@@ -4,6 +4,8 @@ A byte-level BPE splits a text before each single space between two other non-sp
 around it. A text whose words are all separated by single spaces is therefore the concatenation of its
 space-prefixed words' ids, and each distinct word, less punctuation at its end, goes to the library once. Any other
 text goes there whole.
+A tokenizer that drops white space before it splits words takes a text as the words between ASCII white space; each
+distinct one goes to the library once, less ASCII punctuation behind a letter or digit.
 A text that holds the content of an added token goes there whole too.
 """
 
@@ -34,6 +36,10 @@ def default_tokenizer() -> str:
 
 #: Longer words are not kept.
 LONG_WORD = 64
+#: Fixed value: how a tokenizer that drops white space splits words.
+SPACELESS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PUNCTUATION = string.punctuation.encode()
+ALNUM = frozenset((string.ascii_letters + string.digits).encode())
 
 
 def _plain(word: str) -> bool:
@@ -70,6 +76,15 @@ def _byte_level(library) -> bool:
     return how["type"] == "ByteLevel" and how.get("use_regex", True) and not how["add_prefix_space"]
 
 
+def _drops_space(library) -> bool:
+    """Whether the tokenizer takes white space as nothing but a boundary: words between it have the ids they have alone."""
+    if library.normalizer is None or library.pre_tokenizer is None:
+        return False
+    norm, how = (json.loads(x.__getstate__()) for x in (library.normalizer, library.pre_tokenizer))
+    split = how.get("pretokenizers", [{}])[0]
+    return [x["type"] for x in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and norm["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} and split == {"type": "Split", "pattern": {"Regex": SPACELESS}, "behavior": "Removed", "invert": True} and [x["type"] for x in how["pretokenizers"][1:]] == ["ByteLevel"] and not how["pretokenizers"][1]["add_prefix_space"] and not how["pretokenizers"][1]["use_regex"]
+
+
 class Encoder:
     """ids(text): little-endian unsigned 32-bit ids. One encoder a Python worker."""
 
@@ -85,6 +100,7 @@ class Encoder:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         #: The cache holds for byte-level splitting alone; with any other tokenizer all texts go to the library whole.
         self.by_words = _byte_level(self.library)
+        self.spaceless = _drops_space(self.library)
         #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -101,10 +117,36 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         return self._group([text])[0]
 
+    def _between_spaces(self, texts: list[str | None]) -> list[bytes]:
+        """As _group, for a tokenizer that drops white space. The cache has words as UTF-8."""
+        words = [None if t is None or any(a in t for a in self.added) else t.encode("utf-8", "replace").split() for t in texts]
+        get, found = self.cache.get, [None if w is None else list(map(self.cache.get, w)) for w in words]
+        missing = {x for w, f in zip(words, found, strict=True) if f and None in f for x, ids in zip(w, f, strict=True) if ids is None}
+        self.cache.update((w, self.old[w]) for w in missing.intersection(self.old))
+        parts = {}
+        for w in missing.difference(self.old):
+            core = w.rstrip(PUNCTUATION)
+            parts[w] = (core, w[len(core) :]) if core and core[-1] in ALNUM and len(core) < len(w) and b"'" not in w else (w,)
+        new = list({x for p in parts.values() for x in p if x not in self.cache})
+        self.cache.update(zip(new, self._encode([w.decode() for w in new]), strict=True))
+        self.cache.update((w, get(p[0]) + get(p[1])) for w, p in parts.items() if len(p) > 1)
+        out = []
+        for text, w, f in zip(texts, words, found, strict=True):
+            if w is None:
+                out.append(self._encode([text])[0] if text else b"")
+            else:
+                out.append(b"".join(map(get, w) if None in f else f))
+        for w in {*new, *parts}:
+            if len(w) > LONG_WORD:
+                self.cache.pop(w, None)
+        return out
+
     def _group(self, texts: list[str | None]) -> list[bytes]:
         """The ids of a few texts; their unknown words go to the library together."""
         if len(self.cache) > self.cache_words:
             self.old, self.cache = self.cache, {}
+        if self.spaceless:
+            return self._between_spaces(texts)
         whole = [t is not None and (not self.by_words or any(a in t for a in self.added)) for t in texts]
         parts = [("" if w else t or "").split(" ") for t, w in zip(texts, whole, strict=True)]
         heads = [" " + words[0] for words in parts]
@@ -137,9 +179,9 @@ class Encoder:
         """For operators whose tasks are many and short, at a task's end: waiting workers then hold one generation."""
         self.old = {}
 
-    def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    def documents(self, texts: Iterable[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
         """Each text's ids with the end id behind."""
-        end = np.array([END_ID], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         texts = list(texts)
         for a, b in slices([len(t or "") for t in texts], GROUP_CHARS):
             for ids in self._group(texts[a:b]):
