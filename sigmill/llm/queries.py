@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, line_dedup, media, packing, quality, secrets, simhash, token_store, url_filter
+from . import chat, decontam, divergence, ffd, line_dedup, media, packing, phrases, quality, secrets, simhash, token_store, url_filter
 from ._shared import table
 
 
@@ -53,6 +53,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ffd.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -64,5 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_store": op9_token_store,
     "op10_secret_scans": op10_secret_scans,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_ffd_packing": op13_ffd_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_decontamination": decontam.SQL, "op8_chat_formatting": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_decontamination": decontam.SQL, "op8_chat_formatting": chat.SQL, "op11_phrase_mining": phrases.SQL, "op12_source_divergence": divergence.SQL}
