@@ -83,10 +83,10 @@ def test_one_stack_counts_prefixes_of_any_batches():
         for ranges in (1, 9):
             got = Counter()
             for a in range(0, len(ordered), -(-len(ordered) // ranges)):
-                stack, mine = phrases.PrefixStack(4, 40), ordered[a : a - (-len(ordered) // ranges)]
+                stack, mine = phrases.PrefixStack("en", 4, 40), ordered[a : a - (-len(ordered) // ranges)]
                 for k in range(0, len(mine), most):
                     part = mine[k : k + most]
-                    for _, p, n in stack.add("en", pa.array([x[0] for x in part], pa.binary()), np.array([x[1] for x in part])):
+                    for _, p, n in stack.add(pa.array([x[0] for x in part], pa.binary()), np.array([x[1] for x in part])):
                         got[p] += n
                 for _, p, n in stack.close():
                     got[p] += n
