@@ -35,7 +35,7 @@ BLOCK = 32
 #: Distinct vectors of a pair of blocks in a task, about.
 VECTORS = 20_000
 #: Vectors evaluated at a time, and counts that a task holds before it hands them on.
-ROWS, HELD = 256, 300_000
+ROWS, HELD = 256, 500_000
 _LETTERS = (UPPER + LOWER).encode()
 #: A-Z to a-z; a-z and all bytes of other scripts stay; the rest to spaces.
 TABLE = bytes(ord(chr(b).lower()) if b in _LETTERS else b if b > 127 else 32 for b in range(256))
@@ -172,8 +172,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS,
     # All rows of a term meet; what is summed, counted and joined by it needs no other shuffle.
     met = term_counts(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     names = [F.xxhash64("source", "n"), F.xxhash64(F.lit("other"), "n", "source")]
-    columns = met.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"), *(F.bit_xor(x).alias(f"v{k}") for k, x in enumerate(names))).where(F.col("docs") >= min_docs)
-    kept = materialize(met.drop("docs").join(columns.drop("docs"), ["lang", "term"]), "kept-terms")
+    of_term = Window.partitionBy("lang", "term")
+    columns = met.withColumns({"total": F.sum("n").over(of_term), "docs": F.sum("docs").over(of_term), **{f"v{k}": F.bit_xor(x).over(of_term) for k, x in enumerate(names)}})
+    kept = materialize(columns.where(F.col("docs") >= min_docs).drop("docs"), "kept-terms")
 
     by_vector = materialize(kept.groupBy("lang", "term", "v0", "v1").agg(F.first("total").alias("total")).groupBy("lang", "v0", "v1").agg(F.min("term").alias("term"), F.count("*").alias("times"), F.sum("total").alias("total")), "vectors")
     of_lang = by_vector.groupBy("lang").agg(F.sum("times").alias("kept"), F.sum("total").alias("lang_total"), F.count("*").alias("n_vectors"))
