@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import string
 from array import array
 from collections.abc import Iterable, Iterator
@@ -39,6 +40,10 @@ LONG_WORD = 64
 #: Fixed value: how a tokenizer that drops white space splits words.
 SPACELESS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PUNCTUATION = string.punctuation.encode()
+#: Words of these letters stay whole, whatever is composed or lower-cased.
+ONE_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
+#: Unknown words that go to the library as one text.
+JOINED = 500
 ALNUM = frozenset((string.ascii_letters + string.digits).encode())
 
 
@@ -101,6 +106,11 @@ class Encoder:
         #: The cache holds for byte-level splitting alone; with any other tokenizer all texts go to the library whole.
         self.by_words = _byte_level(self.library)
         self.spaceless = _drops_space(self.library)
+        #: Whether a token begins a word behind a space, or ends a word of letters where white space is dropped.
+        mark = (lambda t: t.endswith("</w>")) if self.spaceless else (lambda t: t.startswith("\u0120"))
+        vocabulary = self.library.get_vocab() if self.spaceless or self.by_words else {}
+        self.marks = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.marks[[k for t, k in vocabulary.items() if mark(t)]] = True
         #: A word: the ids of it with a space before. A space and a word: the ids of it alone.
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -114,6 +124,19 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words of which each has one marked token, JOINED of them to a text."""
+        for k in range(0, len(words), JOINED):
+            part = words[k : k + JOINED]
+            ids = np.array(self.library.encode_batch_fast([("" if self.spaceless else " ") + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.marks[ids])
+            cuts = np.r_[0, at + 1] if self.spaceless else np.r_[at, len(ids)]
+            if len(at) == len(part) and cuts[-1] == len(ids):
+                raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+                yield from [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            else:
+                yield from self._encode(part if self.spaceless else [" " + w for w in part])
+
     def ids(self, text: str | None) -> bytes:
         return self._group([text])[0]
 
@@ -127,8 +150,11 @@ class Encoder:
         for w in missing.difference(self.old):
             core = w.rstrip(PUNCTUATION)
             parts[w] = (core, w[len(core) :]) if core and core[-1] in ALNUM and len(core) < len(w) and b"'" not in w else (w,)
-        new = list({x for p in parts.values() for x in p if x not in self.cache})
-        self.cache.update(zip(new, self._encode([w.decode() for w in new]), strict=True))
+        new = {x: x.decode() for p in parts.values() for x in p if x not in self.cache}
+        easy = {x: w for x, w in new.items() if ONE_WORD(w)}
+        self.cache.update(zip(easy, self._encode_words(list(easy.values())), strict=True))
+        other = [x for x in new if x not in easy]
+        self.cache.update(zip(other, self._encode([new[x] for x in other]), strict=True))
         self.cache.update((w, get(p[0]) + get(p[1])) for w, p in parts.items() if len(p) > 1)
         out = []
         for text, w, f in zip(texts, words, found, strict=True):
@@ -151,28 +177,33 @@ class Encoder:
         parts = [("" if w else t or "").split(" ") for t, w in zip(texts, whole, strict=True)]
         heads = [" " + words[0] for words in parts]
         parts = [words[1:] for words in parts]
-        missing = set(heads).union(*parts).difference(self.cache)
-        again = {w for w in missing if w in self.old}
+        found = [list(map(self.cache.get, words)) for words in parts]
+        missing = {w for w in heads if w not in self.cache}
+        missing.update(w for words, f in zip(parts, found, strict=True) if None in f for w, ids in zip(words, f, strict=True) if ids is None)
+        again = missing.intersection(self.old)
         self.cache.update((w, self.old[w]) for w in again)
         missing.difference_update(again)
-        letters = [w for w in missing if w.isalpha()]
-        cuts = {w: c for w in missing.difference(letters, heads) if (c := _cuts(w))}
-        new = {x for c in cuts.values() for x in c if x not in self.cache}.union(w for w in missing.intersection(heads) if _plain(w[1:]))
-        new = [*letters, *new.difference(letters)]
+        easy = [w for w in missing if w.isalpha()]
+        cuts = {w: c for w in missing.difference(easy, heads) if (c := _cuts(w))}
+        new = {x for c in cuts.values() for x in c if x not in self.cache}.union(w for w in missing.intersection(heads) if _plain(w[1:])).difference(easy)
+        easy += [w for w in new if w[0] != " " and len(w.split()) == 1]
+        new.difference_update(easy)
+        self.cache.update(zip(easy, self._encode_words(easy), strict=True))
+        new = list(new)
         self.cache.update(zip(new, self._encode([w[1:] if w[0] == " " else " " + w for w in new]), strict=True))
         self.cache.update((w, b"".join([self.cache[x] for x in c])) for w, c in cuts.items() if len(c) > 1)
         out = []
-        for text, alone, head, words in zip(texts, whole, heads, parts, strict=True):
+        for text, alone, head, words, f in zip(texts, whole, heads, parts, found, strict=True):
             if alone:
                 out.append(self._encode([text])[0])
                 continue
             try:
-                out.append(self.cache[head] + b"".join(map(self.cache.__getitem__, words)))
+                out.append(self.cache[head] + b"".join(map(self.cache.__getitem__, words) if None in f else f))
             except KeyError:  # a word that is not plain: its neighbours matter
                 out.append(self._encode([text])[0] if text else b"")
-        for w in {*new, *cuts}:
+        for w in {*new, *easy, *cuts}:
             if len(w) > LONG_WORD:
-                del self.cache[w]
+                self.cache.pop(w, None)
         return out
 
     def release(self) -> None:
