@@ -26,6 +26,11 @@ def samples(blocks: DataFrame) -> DataFrame:
     return blocks.select("file_id", "chunk_id", "start_sample", zipped.alias("p", "x")).select("file_id", "chunk_id", (F.col("start_sample") + F.col("p")).alias("n"), F.col("x.i").cast("double").alias("i"), F.col("x.q").cast("double").alias("q"))
 
 
+def lengths(blocks: DataFrame) -> DataFrame:
+    """(file_id, frames, fs_hz) by counting blocks; headers say the same without reading samples (sources.captures.metadata)."""
+    return blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("frames"), F.first("fs_hz").alias("fs_hz"))
+
+
 _CHANNEL = "{c}_nan long, {c}_inf long, {c}_n long, {c}_m double, {c}_m2 double, {c}_min double, {c}_max double, {c}_clip long"
 _BANDS = ("pos", "neg", "cpos", "cneg")
 
@@ -141,16 +146,30 @@ def _has(blocks: DataFrame, side: str, frames: int = 0, ms: float = 0.0) -> bool
 
 
 def with_halo(blocks: DataFrame, *columns: str, before: int = 0, after: int = 0) -> DataFrame:
-    """The columns of blocks, with head_i, head_q (`before` samples of the block before) and tail_i, tail_q (`after` of
-    the next one): as read with the blocks, or by joins."""
+    """The columns of blocks, with head_i, head_q (`before` samples before the block) and tail_i, tail_q (`after` behind
+    it): as read with the blocks, or by joins. A halo longer than a block gathers from as many blocks as it takes."""
     sides = [(s, n, step) for s, n, step in (("head", before, 1), ("tail", after, -1)) if n]
     own = [f"{s}_{c}" for s, n, _ in sides if _has(blocks, s, n) for c in "iq"]
     out = blocks.select(*dict.fromkeys(("file_id", "block_id", *columns)), *own)
-    for side, n, step in sides:
-        if not _has(blocks, side, n):
-            first = 1 if side == "tail" else F.greatest(F.lit(1), F.col("n") - n + 1)
+    missing = [x for x in sides if not _has(blocks, x[0], x[1])]
+    known = blocks.schema["block_id"].metadata.get("frames")
+    for side, n, step in missing:
+        size, length = F.size("i"), known
+        if known is None and not blocks.isStreaming:  # the length of the shortest of the files' whole blocks
+            length = blocks.groupBy("file_id").agg(F.max("n" if "n" in blocks.columns else size).alias("m")).agg(F.min("m")).first()[0]
+        if length is None or n <= length:
+            first = 1 if side == "tail" else F.greatest(F.lit(1), size - n + 1)
             piece = blocks.select("file_id", (F.col("block_id") + step).alias("block_id"), *(F.slice(c, F.lit(first) if side == "tail" else first, F.lit(n)).alias(f"{side}_{c}") for c in "iq"))
-            out = out.join(piece, ["file_id", "block_id"], "left")
+        else:
+            away = blocks.withColumn("_away", F.explode(F.sequence(F.lit(1), F.lit(-(-n // length)))))
+            if known is None:
+                away = away.join(blocks.groupBy("file_id").agg(F.max(size).alias("_length")), "file_id")
+            part = F.least(size, F.lit(n) - (F.col("_away") - 1) * (F.col("_length") if known is None else F.lit(known))).cast("int")
+            first = F.lit(1) if side == "tail" else size - part + 1
+            part_of = away.where(part > 0).select("file_id", (F.col("block_id") + step * F.col("_away")).alias("block_id"), F.struct((-step * F.col("_away")).alias("at"), *(F.slice(c, first, part).alias(c) for c in "iq")).alias("p"))
+            whole = part_of.groupBy("file_id", "block_id").agg(F.sort_array(F.collect_list("p")).alias("p"))
+            piece = whole.select("file_id", "block_id", *(F.flatten(f"p.{c}").alias(f"{side}_{c}") for c in "iq"))
+        out = out.join(piece, ["file_id", "block_id"], "left")
     return out
 
 
@@ -200,8 +219,7 @@ def carriers(psd: DataFrame, prominence_db: float = 8) -> DataFrame:
         f, db = group["f_hz"].to_numpy(), group["p_db"].to_numpy()
         rows = []
         for p in kernels.peaks(db, prominence_db):
-            low = np.flatnonzero(db <= db[p] - 6)
-            left, right = low[low < p].max(initial=0), low[low > p].min(initial=len(db) - 1)
+            left, right = kernels.walk_down(db, p, db[p] - 6)
             if right - left >= 3:
                 rows.append((group["file_id"].iat[0], len(rows), f[p], db[p], (right - left) * (f[1] - f[0]), db[p] - np.median(db)))
         return pd.DataFrame(rows, columns=["file_id", "carrier_index", "f_center_hz", "p_db", "bw_hz", "snr_db"])
@@ -209,11 +227,12 @@ def carriers(psd: DataFrame, prominence_db: float = 8) -> DataFrame:
     return psd.select("file_id", "bin", "f_hz", "p_db").groupBy("file_id").applyInPandas(run, "file_id string, carrier_index long, f_center_hz double, p_db double, bw_hz double, snr_db double")
 
 
-def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024, max_columns: int | None = None, scaling: str = "none", kind: str = "float") -> DataFrame:
+def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024, max_columns: int | None = None, scaling: str = "none", kind: str = "float", files: DataFrame | None = None) -> DataFrame:
     """(file_id, t_idx, time_s, s_db array): STFT columns of all blocks; frames that cross a border use the halo.
 
     hop must divide the block length. max_columns keeps every so-manieth frame of a file, so that no more columns come
-    (4000 in the surveyed scripts); frames that are left out are not computed, and t_idx counts the kept ones.
+    (4000 in the surveyed scripts); frames that are left out are not computed, and t_idx counts the kept ones. The lengths
+    that this needs come from files(file_id, frames), as headers have them; else blocks are read once more to count.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,7 +252,8 @@ def waterfall(blocks: DataFrame, nperseg: int = 4096, hop: int = 1024, max_colum
     if max_columns is None:
         near = near.withColumn("skip", F.lit(1).cast("long"))
     else:
-        total = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("total"))
+        total = lengths(blocks) if files is None else files
+        total = total.select("file_id", F.col("frames").alias("total"))
         frames = 1 + F.greatest(F.lit(0), F.floor((F.col("total") - nperseg) / hop))
         near = near.join(total.select("file_id", F.greatest(F.lit(1), F.ceil(frames / max_columns)).cast("long").alias("skip")), "file_id")
     return near.mapInPandas(run, f"file_id string, t_idx long, time_s double, s_db array<{kind}>")
@@ -283,18 +303,19 @@ def activity_runs(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60
         keep = F.least(F.size("head_i"), (F.col("start_sample") - F.col("chunk_id") * blocks.schema["chunk_id"].metadata["frames"]).cast("int"))
         near = blocks.select("file_id", "chunk_id", "start_sample", "fs_hz", "i", "q", *(F.when(keep > 0, F.slice(f"head_{c}", F.size("head_i") - keep + 1, keep)).alias(f"head_{c}") for c in "iq"))
     else:
-        longest = F.ceil(F.col("fs_hz") * rms_ms / 1000).cast("int")
-        before = blocks.select("file_id", "chunk_id", (F.col("block_id") + 1).alias("block_id"), *(F.slice(c, F.greatest(F.lit(1), F.col("n") - longest + 1), longest).alias(f"head_{c}") for c in "iq"))
-        near = blocks.select("file_id", "chunk_id", "block_id", "start_sample", "fs_hz", "i", "q").join(before, ["file_id", "chunk_id", "block_id"], "left")
+        longest = blocks.agg(F.max(F.ceil(F.col("fs_hz") * rms_ms / 1000))).first()[0] or 1
+        begins = blocks.groupBy("file_id", "chunk_id").agg(F.min("start_sample").alias("begins"))
+        near = with_halo(blocks, "chunk_id", "start_sample", "fs_hz", "i", "q", before=int(longest)).join(begins, ["file_id", "chunk_id"])
+        keep = F.least(F.size("head_i"), (F.col("start_sample") - F.col("begins")).cast("int"))
+        near = near.select("file_id", "chunk_id", "start_sample", "fs_hz", "i", "q", *(F.when(keep > 0, F.slice(f"head_{c}", F.size("head_i") - keep + 1, keep)).alias(f"head_{c}") for c in "iq"))
     return near.mapInPandas(run, "file_id string, chunk_id long, fs_hz double, lo long, hi long, s long, e long")
 
 
 def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -60, min_ms: float = 5, gap_ms: float = 3, pad_ms: float = 2, max_slices: int | None = None) -> DataFrame:
     """(file_id, slice_idx, start_sample, end_sample, start_s, end_s, duration_ms): stretches whose running RMS exceeds the threshold.
 
-    The running RMS warms up anew in each chunk. Blocks are reduced to runs where they are read, so the windows sort runs
-    and not samples. A block must hold at least the RMS window's samples, the last one of a file excepted. NaN counts as
-    zero. All slices of a file are reported, or its first max_slices.
+    The running RMS warms up anew in each chunk; its window may be longer than a block. Blocks are reduced to runs where
+    they are read, so the windows sort runs and not samples. NaN counts as zero. All slices of a file are reported, or its first max_slices.
     """
     runs = activity_runs(blocks, rms_ms, thresh_dbfs, gap_ms)
     samples_of = lambda ms: F.round(F.col("fs_hz") * ms / 1000).cast("long")
@@ -316,8 +337,8 @@ def activity_slices(blocks: DataFrame, rms_ms: float = 5, thresh_dbfs: float = -
 def retune(blocks: DataFrame, carriers: DataFrame, target_hz: float = 1e6, taps: int = 127, passband: float = 0.40) -> DataFrame:
     """Carriers(file_id, carrier_index, f_center_hz) at DC: mixed, low-passed, decimated to about target_hz.
 
-    -> (file_id, carrier_index, block_id, start_out, fs_hz, i, q). Blocks must hold at least (taps - 1) / 2 samples, the
-    last one of a file excepted. Phase and decimation follow the file's sample index, so block lengths do not show.
+    -> (file_id, carrier_index, block_id, start_out, fs_hz, i, q). Only the kept samples are filtered. Phase and decimation
+    follow the file's sample index, so block lengths do not show.
     """
     half = (taps - 1) // 2
 

@@ -24,11 +24,28 @@ def decimation(fs_hz: float, bw_hz: float, oversample: float = 4.0, min_bw_hz: f
     return max(1, int(np.floor(fs_hz / (bw * oversample)))), min(0.45 * fs_hz, 1.2 * bw)
 
 
+def resampled(x: np.ndarray, low: np.ndarray, factor: int, first: int, count: int) -> np.ndarray:
+    """x through the causal filter, then the Kaiser filter of a decimation, at `count` places from `first`, factor apart.
+
+    Both filters are one, of which only the wanted places are computed. At the end of x the first filter stops with the
+    samples, so the few places that the second one reaches beyond are computed by one after the other.
+    """
+    fir = kernels.kaiser_fir(factor)
+    reach = len(fir) // 2
+    inside = min(count, max(0, -(-(len(x) - reach - first) // factor)))
+    z = kernels.fir_at(x, np.convolve(low, fir), first + reach, factor, inside)
+    if inside == count:
+        return z
+    at = first + factor * inside - reach  # the first sample of the causal filter's output that is still needed
+    begin = max(0, at - len(low) + 1)
+    y = np.convolve(x[begin:], low)[: len(x) - begin]
+    return np.concatenate([z, kernels.fir_at(y, fir, first + factor * inside + reach - begin, factor, count - inside)])
+
+
 def downmix(blocks: DataFrame, carriers: DataFrame, fs_hz: float, oversample: float = 4.0, min_bw_hz: float = 1e5, taps: int = 801) -> DataFrame:
     """carriers(file_id, carrier_index, f_center_hz, bw_hz) -> (file_id, carrier_index, block_id, start_out, fs_hz, decim, i, q).
 
-    fs_hz bounds the halo: it is the highest rate of the captures. A block must be as long as the halo, the last one of a
-    file excepted.
+    fs_hz bounds the halo: it is the highest rate of the captures.
     """
     half = 10 * decimation(fs_hz, 0.0, oversample, min_bw_hz)[0]
     before, after = taps - 1 + half, half
@@ -42,13 +59,8 @@ def downmix(blocks: DataFrame, carriers: DataFrame, fs_hz: float, oversample: fl
                     factor, cutoff = decimation(r.fs_hz, c["bw_hz"], oversample, min_bw_hz)
                     mixed = kernels.mix(x, zero, c["f_center_hz"], r.fs_hz)
                     low = kernels.firwin_hann(taps, float(np.clip(cutoff / (r.fs_hz / 2), 0.01, 0.99)))
-                    y = np.convolve(mixed, low)[: len(mixed)]  # causal; before a file's start there is silence
-                    fir = kernels.kaiser_fir(factor)
-                    reach = len(fir) // 2
-                    out = np.arange(-(-r.start_sample // factor) * factor, r.start_sample + n, factor)
-                    at = out - zero
-                    wide = np.pad(y, (reach, reach))
-                    z = np.convolve(wide, fir, mode="valid")[at]
+                    first = -(-r.start_sample // factor) * factor
+                    z = resampled(mixed, low, factor, first - zero, max(0, -(-(r.start_sample + n - first) // factor)))
                     yield pd.DataFrame({"file_id": [r.file_id], "carrier_index": [c["carrier_index"]], "block_id": [r.block_id], "start_out": [int(-(-r.start_sample // factor))], "fs_hz": [r.fs_hz / factor], "decim": [factor], "i": [z.real.astype(np.float32)], "q": [z.imag.astype(np.float32)]})
 
     wanted = carriers.groupBy("file_id").agg(F.collect_list(F.struct(F.col("carrier_index").cast("long").alias("carrier_index"), F.col("f_center_hz").cast("double").alias("f_center_hz"), F.col("bw_hz").cast("double").alias("bw_hz"))).alias("carriers"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..sources.captures import BLOCK_FRAMES
 from . import intervals as iv
+from .captures import lengths
 
 SEGMENT = ["file_id", "segment_id", "chunk_id", "start_sample", "end_sample", "start_time_s", "end_time_s", "duration_s", "pred_idx", "pred_label", "prob_top1", "rf_offset_hz", "bandwidth_hz", "snr_db"]
 PREDICTION = ["burst_id", "pred_label", "avg_prob_top1", "start_time_s", "end_time_s", "duration_s", "start_time_abs", "end_time_abs", "rf_offset_hz", "rf_center_hz_abs", "bandwidth_hz", "snr_db"]
@@ -181,10 +182,11 @@ class Result:
             df.unpersist()
 
 
-def infer(blocks: DataFrame, classifier: Callable[[np.ndarray], np.ndarray], labels: list[str], fs_hz: float, settings: Settings = Settings()) -> Result:
-    """The whole plan over captures of one rate; classifier as in frame_logits."""
+def infer(blocks: DataFrame, classifier: Callable[[np.ndarray], np.ndarray], labels: list[str], fs_hz: float, settings: Settings = Settings(), files: DataFrame | None = None) -> Result:
+    """The whole plan over captures of one rate; classifier as in frame_logits. files(file_id, frames, fs_hz) as headers
+    have them (sources.captures.metadata) save a read of the blocks."""
     s = settings
-    files = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("frames"), F.first("fs_hz").alias("fs_hz"))
+    files = lengths(blocks) if files is None else files.select("file_id", "frames", "fs_hz")
     chunks = iv.chunk_plan(files, s.seg_s, s.overlap_s, s.start_s, s.limit)
     scaled_chunks, segments = voice(blocks, chunks, fs_hz, s)
     segments = segments.persist()

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
@@ -19,6 +19,8 @@ from .captures import IRR_FFT
 from .intervals import KEYS, of_blocks, pieces
 
 CONVENTIONS = ("I+jQ", "I-jQ", "Q+jI", "Q-jI")
+#: The longest table of files that goes to the blocks.
+BROADCAST_FILES = 50_000
 FACTORS = (1, 2, 3, 4, 5, 8, 10, 16)
 #: What step two and step five call a convention.
 SHORT = {"I+jQ": "I+Q", "I-jQ": "I-Q", "Q+jI": "Q+I", "Q-jI": "Q-I"}
@@ -133,9 +135,72 @@ def sampling_sweep(blocks: DataFrame, factors: tuple[int, ...] = FACTORS, frame:
     near = with_halo(blocks, "start_sample", "fs_hz", "i", "q", after=reach).join(lists, "file_id")
     sums = near.mapInPandas(powers, "file_id string, factor int, fs_hz double, pos double, neg double, cpos double, cneg double").groupBy("file_id", "factor", "fs_hz").agg(*(F.sum(c).alias(c) for c in ("pos", "neg", "cpos", "cneg")))
     rows = sums.where("pos > 0").withColumns({"plain": 10 * F.log10(F.col("pos") / F.col("neg")), "mirrored": 10 * F.log10(F.col("cpos") / F.col("cneg"))})
-    base = rows.where("factor = 1").select("file_id", F.when(F.col("plain") >= F.col("mirrored"), CONVENTIONS[0]).otherwise(CONVENTIONS[1]).alias("best_convention"), F.greatest("plain", "mirrored").alias("baseline_db"))
-    irr = F.when(F.col("best_convention") == CONVENTIONS[0], F.col("plain")).otherwise(F.col("mirrored"))
-    return rows.join(base, "file_id").select("file_id", "factor", "fs_hz", "best_convention", irr.alias("irr_db"), "baseline_db", (irr - F.col("baseline_db")).alias("difference_db"))
+    return _against_baseline(rows)
+
+
+def _against_baseline(rows: DataFrame) -> DataFrame:
+    """rows(file_id, factor, fs_hz, plain, mirrored) -> the sweep's columns; a window over a file's factors, not a join."""
+    file = Window.partitionBy("file_id")
+    at_one = lambda c: F.max(F.when(F.col("factor") == 1, F.col(c))).over(file)
+    rows = rows.withColumns({"plain_1": at_one("plain"), "mirrored_1": at_one("mirrored")}).where("plain_1 is not null")
+    direct = F.col("plain_1") >= F.col("mirrored_1")
+    rows = rows.withColumns({"best_convention": F.when(direct, CONVENTIONS[0]).otherwise(CONVENTIONS[1]), "irr_db": F.when(direct, F.col("plain")).otherwise(F.col("mirrored")), "baseline_db": F.greatest("plain_1", "mirrored_1")})
+    return rows.select("file_id", "factor", "fs_hz", "best_convention", "irr_db", "baseline_db", (F.col("irr_db") - F.col("baseline_db")).alias("difference_db"))
+
+
+def single_transform_sweep(blocks: DataFrame, files: DataFrame, factors: tuple[int, ...] = FACTORS, target: int = 1 << 18, most_frames: int | None = None) -> DataFrame:
+    """sampling_sweep's columns by one transform a factor, of the centre crop of the capture's every factor-th sample.
+
+    files(file_id, frames, fs_hz) has the lengths, most_frames leaves out what follows (20 million in the surveyed
+    script). A factor's transform is the largest power of two within target and its samples, between 4096 and 2^20;
+    fewer samples stand in the middle of zeros. The mean of all its samples is taken off first. Blocks are read once for
+    the means and once for the crops; a task holds one crop, 2^20 samples at most.
+    """
+    n = F.col("frames") if most_frames is None else F.least("frames", F.lit(most_frames))
+    plan = files.select("file_id", F.col("fs_hz").alias("rate"), n.alias("total"), F.explode(F.array(*map(F.lit, factors))).alias("factor"))
+    count = F.ceil(F.col("total") / F.col("factor"))
+    bits = F.length(F.conv(F.greatest(F.least(count, F.lit(target)), F.lit(1)).cast("string"), 10, 2)) - 1
+    size = F.greatest(F.lit(4096), F.least(F.lit(1 << 20), F.expr("shiftleft(1, cast(bits as int))")))
+    plan = plan.withColumn("count", count.cast("long")).withColumn("bits", bits).withColumn("size", size.cast("long"))
+    plan = plan.withColumn("first", F.greatest(F.lit(0), F.floor((F.col("count") - F.col("size")) / 2)).cast("long"))
+    lists = plan.groupBy("file_id").agg(F.first("rate").alias("rate"), F.first("total").alias("total"), F.collect_list(F.struct("factor", "count", "size", "first")).alias("wanted"))
+    lists = F.broadcast(lists) if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES else lists
+    near = blocks.select("file_id", "start_sample", "i", "q").join(lists, "file_id").where("start_sample < total")
+
+    def taken(r, f: int) -> tuple[np.ndarray, int]:
+        """The block's samples at multiples of f before the total, and the number of the first one."""
+        x = kernels.complex_of(r.i, r.q)[: max(0, r.total - r.start_sample)]
+        return x[-r.start_sample % f :: f], -(-r.start_sample // f)
+
+    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(r.file_id, w["factor"], y.real.sum(), y.imag.sum()) for r in batch.itertuples() for w in r.wanted for y in (taken(r, w["factor"])[0],)]
+            yield pd.DataFrame(rows, columns=["file_id", "factor", "re", "im"])
+
+    def crops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                for w in r.wanted:
+                    y, at = taken(r, w["factor"])
+                    a, b = max(at, w["first"]), min(at + len(y), w["first"] + w["size"])
+                    if b > a:
+                        part = y[a - at : b - at]
+                        yield pd.DataFrame({"file_id": [r.file_id], "factor": [w["factor"]], "size": [w["size"]], "count": [w["count"]], "fs_hz": [r.rate / w["factor"]], "at": [a - w["first"]], "re": [part.real], "im": [part.imag]})
+
+    def transformed(group: pd.DataFrame) -> pd.DataFrame:
+        size, one = int(group["size"].iat[0]), group.iloc[0]
+        x, n = np.zeros(size, complex), min(size, int(one["count"]))
+        left = (size - n) // 2
+        for at, re, im in zip(group["at"], group["re"], group["im"], strict=True):
+            x[left + at : left + at + len(re)] = np.asarray(re) + 1j * np.asarray(im)
+        x[left : left + n] -= complex(one["mre"], one["mim"])
+        pos, neg, cpos, cneg = kernels.all_band_powers(x, size)
+        return pd.DataFrame({"file_id": [one["file_id"]], "factor": [one["factor"]], "fs_hz": [one["fs_hz"]], "plain": [10 * np.log10(pos / neg)], "mirrored": [10 * np.log10(cpos / cneg)]})
+
+    dc = near.mapInPandas(means, "file_id string, factor int, re double, im double").groupBy("file_id", "factor").agg(F.sum("re").alias("re"), F.sum("im").alias("im"))
+    parts = near.mapInPandas(crops, "file_id string, factor int, size long, count long, fs_hz double, at long, re array<double>, im array<double>").join(dc.withColumnsRenamed({"re": "mre", "im": "mim"}), ["file_id", "factor"])
+    parts = parts.withColumns({"mre": F.col("mre") / F.col("count"), "mim": F.col("mim") / F.col("count")})
+    return _against_baseline(parts.groupBy("file_id", "factor").applyInPandas(transformed, "file_id string, factor int, fs_hz double, plain double, mirrored double"))
 
 
 def worst_degradation(sweep: DataFrame) -> DataFrame:

@@ -194,7 +194,7 @@ def chosen_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def irr_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten segments of 0.5 s spread over the stream, each in four conventions."""
     blocks = tables.blocks(spark, sf_dir)
-    files_ = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("frames"), F.first("fs_hz").alias("fs_hz"))
+    files_ = ops.lengths(blocks)
     return _rounded(irr.channel_order(irr.by_interval(blocks, iv.evenly_spaced(files_, 10, 0.5), 512, tables.CHUNK_FRAMES)), 5)
 
 
@@ -228,7 +228,7 @@ def carrier_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 64 samples around the carriers found, each with its mean power."""
     blocks = tables.blocks(spark, sf_dir)
     found = ops.carriers(_psd(spark, sf_dir), spectrum.PROMINENCE)
-    files_ = blocks.groupBy("file_id").agg(F.max(F.col("start_sample") + F.col("n")).alias("frames"), F.first("fs_hz").alias("fs_hz"))
+    files_ = ops.lengths(blocks)
     wanted = found.join(files_.select("file_id", (F.col("frames") / F.col("fs_hz")).alias("duration_s")), "file_id")
     streams = extraction.downmix(blocks, wanted, 1000.0, 4.0, 20.0, 101)
     cut = extraction.numbered(extraction.clips(streams, extraction.clip_spans(wanted), files_, 64, 0.5))

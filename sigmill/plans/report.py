@@ -36,12 +36,13 @@ def progress(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], PROGRESS)
 
 
-def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, max_slices: int | None = None, steps: tuple[str, ...] = STEPS, **source) -> None:
+def analyse(spark: SparkSession, path: str | list[str], folder: str, preset: str = "standard", block_frames: int = captures.BLOCK_FRAMES, resume: bool = False, audio: bool = False, thresh_dbfs: float = -60.0, max_slices: int | None = None, steps: tuple[str, ...] = STEPS, **source) -> None:
     """With resume, captures named as completed are left out. source holds further options of `iqcapture`."""
     options = PRESETS[preset]
     nperseg = options["nperseg"]
     hop, rms_ms = nperseg // 4, 5.0
     captures.register(spark)
+    listed = captures.listed(spark, path.split(",") if isinstance(path, str) else path)
     known = captures.metadata(spark, path, source.get("form", "auto"), float(source.get("fsHint", 0)), str(source.get("fallbackRaw", "false")).lower() == "true", tolerant=True)
     if resume:
         known = known.join(progress(spark, folder).where("status = 'completed'"), "file_id", "left_anti")
@@ -52,7 +53,8 @@ def analyse(spark: SparkSession, path: str, folder: str, preset: str = "standard
     files = spark.createDataFrame(found, "file_id string, frames long, fs_hz double, duration_s double, message string")
     if good:
         halo = {"haloAfter": nperseg - hop, "haloBeforeMs": rms_ms}
-        blocks = spark.read.format("iqcapture").options(path=",".join(good), blockFrames=block_frames, **halo, **source).load()
+        wanted = listed.join(spark.createDataFrame([(x,) for x in good], "file_id string"), "file_id", "left_semi")
+        blocks = captures.read_blocks(wanted, blockFrames=block_frames, **halo, **source)
         _write(spark, blocks, files.where("message IS NULL").drop("message", "duration_s"), folder, options, nperseg, hop, rms_ms, thresh_dbfs, max_slices, steps, audio, block_frames)
     status = F.when(F.col("message").isNull(), "completed").otherwise("failed")
     rows = files.select("file_id", status.alias("status"), "duration_s", "message").withColumn("capture", outputs.capture())
@@ -67,7 +69,7 @@ def _write(spark, blocks, files, folder, options, nperseg, hop, rms_ms, thresh_d
         psd = ops.welch(blocks, nperseg, nperseg // 2)
         psd.withColumn("capture", outputs.capture()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("capture").parquet(f"{folder}/psd")
         psd = spark.read.parquet(f"{folder}/psd").join(files.select("file_id"), "file_id", "left_semi")
-        mask = wideband.cfar_mask(ops.waterfall(blocks, nperseg, hop, options["max_columns"]), options["cfar_k"])
+        mask = wideband.cfar_mask(ops.waterfall(blocks, nperseg, hop, options["max_columns"], files=files), options["cfar_k"])
         outputs.spectrum(files, psd, ops.carriers(psd, options["prominence_db"]), mask, folder, nperseg, **{k: v for k, v in options.items() if k != "nperseg"})
     if "slices" in steps:
         spans = ops.activity_slices(blocks, rms_ms, thresh_dbfs, max_slices=max_slices)

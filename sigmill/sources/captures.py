@@ -7,7 +7,13 @@ Planning lists files and no more: an input partition is a range of bytes of one
 the file's header and yields the blocks whose first byte lies in its range. Filters on start_sample skip blocks before
 any sample is read. Paths go through pyarrow's file systems, so file, hdfs and object store URIs work alike.
 
-Options: path (files and folders, by commas); form (auto, wav, raw: auto goes by the RIFF or RF64 mark); fallbackRaw
+    read_blocks(files, ...)  # the same blocks of a table of files
+    spark.read.format("iqmeta").option("path", uri_or_folder).load()
+
+`iqmeta` has a row a file, from its header alone: frames, channels, bits, rate, duration, and whether integers.
+
+Options: path (files and folders, by commas; captures whose names hold commas are read from a table, `read_blocks`);
+samples (false: blocks without their samples, which are then not read); form (auto, wav, raw: auto goes by the RIFF or RF64 mark); fallbackRaw
 (true: a file that claims to be WAV but cannot be parsed is read as raw); fsHint (Hz, wins over the header; needed for
 raw files); channelOrder (IQ, QI); blockFrames, chunkFrames; partitionBytes; haloBefore, haloAfter (frames), haloBeforeMs:
 the block's neighbouring samples in head_i, head_q, tail_i, tail_q, so that frames and filters that reach over a border
@@ -24,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
@@ -33,6 +40,9 @@ PARTITION_BYTES = 128 << 20
 _SAMPLES = T.ArrayType(T.FloatType(), False)
 BLOCKS = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("chunk_id", T.LongType()), T.StructField("block_id", T.LongType()), T.StructField("start_sample", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("i", _SAMPLES), T.StructField("q", _SAMPLES)])
 MARKS = (b"RIFF", b"RF64")
+#: Fixed values of the format: tags for integers, floating numbers and "see the sub-format", and the widths they come in.
+INTEGER, FLOATING, EXTENSIBLE = 1, 3, 0xFFFE
+SAMPLE_KINDS = {(INTEGER, 8), (INTEGER, 16), (INTEGER, 24), (INTEGER, 32), (FLOATING, 32), (FLOATING, 64)}
 
 
 @dataclass(frozen=True)
@@ -73,15 +83,18 @@ def _probe_wav(f, uri: str, fs_hint: float) -> Capture:
         if kind == b"ds64":
             wide = struct.unpack_from("<QQ", f.read(16))[1]
         elif kind == b"fmt ":
-            fmt = struct.unpack_from("<HHIIHH", f.read(16))
+            raw = f.read(min(size, 26))
+            fmt = struct.unpack_from("<HHIIHH", raw)
+            if fmt[0] == EXTENSIBLE:  # the real tag begins the sub-format behind the extension's first fields
+                fmt = (*struct.unpack_from("<H", raw, 24), *fmt[1:])
         elif kind == b"data":
-            if fmt is None or fmt[5] not in (8, 16, 24, 32, 64) or not fmt[1]:
+            if fmt is None or (fmt[0], fmt[5]) not in SAMPLE_KINDS or not fmt[1]:
                 raise ValueError(f"{uri} has no usable format before its data")
             size = wide if size == 0xFFFFFFFF and wide is not None else size
-            _, channels, rate, _, _, bits = fmt
+            tag, channels, rate, _, _, bits = fmt
             width = bits // 8
             size = min(size, f.size() - at - 8)
-            return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, width >= 4, fs_hint or float(rate))
+            return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, tag == FLOATING, fs_hint or float(rate))
         at += 8 + size + (size & 1)
     raise ValueError(f"{uri} has no data")
 
@@ -101,7 +114,7 @@ def probe(uri: str, form: str = "auto", fs_hint: float = 0.0, fallback_raw: bool
 
 
 def decode(raw: bytes, width: int, floating: bool) -> np.ndarray:
-    """u8, s16 and s24 scaled to [-1, 1); four and eight bytes are floating."""
+    """u8, s16, s24 and s32 scaled to [-1, 1); floating numbers of four and eight bytes as they are."""
     if width == 1:
         return ((np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 127.5).astype(np.float32)
     if width == 2:
@@ -110,6 +123,8 @@ def decode(raw: bytes, width: int, floating: bool) -> np.ndarray:
         b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
         v = b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16
         return (np.where(v >= 1 << 23, v - (1 << 24), v) / 8388608).astype(np.float32)
+    if width == 4 and not floating:
+        return (np.frombuffer(raw, "<i4") / 2147483648).astype(np.float32)
     return np.frombuffer(raw, "<f8").astype(np.float32) if width == 8 else np.frombuffer(raw, "<f4")
 
 
@@ -146,21 +161,23 @@ class Options:
     before_ms: float = 0.0
     after: int = 0
     paths: list[str] = field(default_factory=list)
+    samples: bool = True
 
     @classmethod
     def of(cls, options: dict) -> Options:
         o = {k.lower(): v for k, v in options.items()}
         return cls(
             o.get("form", "auto").lower(), o.get("fallbackraw", "false").lower() == "true", float(o.get("fshint", 0)), o.get("channelorder", "IQ").upper() == "QI", int(o.get("blockframes", BLOCK_FRAMES)),
-            int(o.get("chunkframes", CHUNK_FRAMES)), int(o.get("partitionbytes", PARTITION_BYTES)), int(o.get("halobefore", 0)), float(o.get("halobeforems", 0)), int(o.get("haloafter", 0)), o["path"].split(","),
+            int(o.get("chunkframes", CHUNK_FRAMES)), int(o.get("partitionbytes", PARTITION_BYTES)), int(o.get("halobefore", 0)), float(o.get("halobeforems", 0)), int(o.get("haloafter", 0)), o["path"].split(",") if "path" in o else [],
+            o.get("samples", "true").lower() == "true",
         )
 
     @property
     def schema(self) -> T.StructType:
-        """The halo's widths and the chunk's length stand in the fields' metadata, where operators look them up."""
-        fields = [T.StructField(f.name, f.dataType, True, {"frames": self.chunk} if f.name == "chunk_id" else None) for f in BLOCKS]
+        """The halo's widths and the lengths of chunks and blocks stand in the fields' metadata, where operators look them up."""
+        fields = [T.StructField(f.name, f.dataType, True, {"chunk_id": {"frames": self.chunk}, "block_id": {"frames": self.block}}.get(f.name)) for f in BLOCKS if self.samples or f.name not in "iq"]
         for name, frames, ms in (("head", self.before, self.before_ms), ("tail", self.after, 0.0)):
-            if frames or ms:
+            if (frames or ms) and self.samples:
                 fields += [T.StructField(f"{name}_{c}", _SAMPLES, True, {"frames": frames, "ms": ms}) for c in "iq"]
         return T.StructType(fields)
 
@@ -202,6 +219,13 @@ class CaptureReader(DataSourceReader):
         c, blocks = self.blocks_of(partition)
         kinds = {"file_id": pa.string(), "chunk_id": pa.int64(), "block_id": pa.int64(), "start_sample": pa.int64(), "n": pa.int32(), "fs_hz": pa.float64()}
         before = max(o.before, int(np.ceil(o.before_ms * c.fs_hz / 1000)))
+        if not o.samples:
+            start = np.array(blocks, np.int64) * o.block
+            n = np.minimum(o.block, c.frames - start)
+            values = {"file_id": [c.uri] * len(blocks), "chunk_id": start // o.chunk, "block_id": blocks, "start_sample": start, "n": n, "fs_hz": np.full(len(blocks), c.fs_hz)}
+            if blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for k, v in values.items()], list(values))
+            return
         with _opened(c.uri) as f:
             for b in blocks:
                 start, stop = b * o.block, min(c.frames, (b + 1) * o.block)
@@ -214,6 +238,57 @@ class CaptureReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays(columns, [*row, *arrays])
 
 
+META = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("frames", T.LongType()), T.StructField("channels", T.IntegerType()), T.StructField("bits", T.IntegerType()), T.StructField("floating", T.BooleanType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("duration_s", T.DoubleType()), T.StructField("message", T.StringType())])
+
+
+def header_row(uri: str, form: str, fs_hint: float, fallback_raw: bool, tolerant: bool) -> pa.RecordBatch:
+    """A file's row of META; with tolerant, one whose header cannot be read has the reason as its message."""
+    try:
+        c = probe(uri, form, fs_hint, fallback_raw)
+        row = (uri, c.frames, c.channels, 8 * c.width, c.floating, c.fs_hz, c.frames / c.fs_hz, None)
+    except (ValueError, struct.error) as e:
+        if not tolerant:
+            raise
+        row = (uri, None, None, None, None, None, None, str(e))
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.float64(), pa.float64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], META.names)
+
+
+@dataclass
+class Header(InputPartition):
+    uris: list[str]
+
+
+class HeaderReader(DataSourceReader):
+    """Some files a partition; no sample is read."""
+
+    def __init__(self, options: dict):
+        self.options = Options.of(options)
+        self.tolerant = {k.lower(): v for k, v in options.items()}.get("tolerant", "false").lower() == "true"
+
+    def partitions(self) -> Sequence[InputPartition]:
+        found = [uri for uri, _ in files(self.options.paths)]
+        return [Header(found[k : k + 64]) for k in range(0, len(found), 64)]
+
+    def read(self, partition: Header | None) -> Iterator[pa.RecordBatch]:
+        for uri in partition.uris if partition else ():
+            yield header_row(uri, self.options.form, self.options.fs_hint, self.options.fallback_raw, self.tolerant)
+
+
+class HeaderSource(DataSource):
+    """Options: path, form, fsHint, fallbackRaw as of `iqcapture`; tolerant."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "iqmeta"
+
+    def schema(self) -> T.StructType:
+        return META
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return HeaderReader(dict(self.options))
+
+
 class CaptureSource(DataSource):
     """Options: see the module."""
 
@@ -231,6 +306,7 @@ class CaptureSource(DataSource):
 def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CaptureSource)
+    spark.dataSource.register(HeaderSource)
 
 
 def files(paths: list[str]) -> list[tuple[str, int]]:
@@ -252,27 +328,59 @@ def discover(path: str) -> list[tuple[str, int]]:
     return found
 
 
-def metadata(spark: SparkSession, path: str, form: str = "auto", fs_hint: float = 0.0, fallback_raw: bool = False, tolerant: bool = False) -> DataFrame:
-    """(file_id, frames, channels, bits, fs_hz, duration_s, message) of each file: headers are read by tasks, not by the driver.
+def listed(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
+    """(file_id, bytes) of files and folders, listed by tasks, each file once. paths: a list, or a table of one column.
+
+    What a folder holds goes from the task that lists it to a table; the driver sees the given paths alone. A path without
+    captures fails, as in `discover`.
+    """
+    if isinstance(paths, list):
+        paths = spark.createDataFrame([(p,) for p in paths], "path string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                found = discover(path)
+                for k in range(0, len(found), 10_000):
+                    uris, sizes = zip(*found[k : k + 10_000], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(uris), pa.array(sizes, pa.int64())], ["file_id", "bytes"])
+
+    rows = paths.select(paths.columns[0]).distinct().mapInArrow(run, "file_id string, bytes long")
+    return rows.groupBy("file_id").agg(F.max("bytes").alias("bytes"))
+
+
+def metadata(spark: SparkSession, path: str | list[str], form: str = "auto", fs_hint: float = 0.0, fallback_raw: bool = False, tolerant: bool = False) -> DataFrame:
+    """META's columns of each file; files are listed, and headers read, by tasks. path: by commas, or a list.
 
     message is null; with tolerant, a file whose header cannot be read has the reason there, and null elsewhere.
     """
-    found = [(uri,) for uri, _ in files(path.split(","))]
-    names = {"file_id": pa.string(), "frames": pa.int64(), "channels": pa.int32(), "bits": pa.int32(), "fs_hz": pa.float64(), "duration_s": pa.float64(), "message": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
-                try:
-                    c = probe(uri, form, fs_hint, fallback_raw)
-                    row = (uri, c.frames, c.channels, 8 * c.width, c.fs_hz, c.frames / c.fs_hz, None)
-                except (ValueError, struct.error) as e:
-                    if not tolerant:
-                        raise
-                    row = (uri, None, None, None, None, None, str(e))
-                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, names.values(), strict=True)], list(names))
-
-    return spark.createDataFrame(found, "file_id string").repartition(min(len(found), 1000)).mapInArrow(run, "file_id string, frames long, channels int, bits int, fs_hz double, duration_s double, message string")
+                yield header_row(uri, form, fs_hint, fallback_raw, tolerant)
+
+    paths = path.split(",") if isinstance(path, str) else path
+    return listed(spark, paths).select("file_id").mapInArrow(run, META)
+
+
+def read_blocks(files: DataFrame, **options) -> DataFrame:
+    """files(file_id, bytes) -> the blocks of `iqcapture` with these options, for any number of files with any names.
+
+    Ranges of bytes are dealt to tasks by a shuffle of (file_id, range), not of samples.
+    """
+    o = Options.of(options)
+    reader = CaptureReader(options)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield from reader.read(Bytes(uri, low, high))
+
+    step = max(1, o.partition_bytes)
+    low = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(step).cast("long")))
+    ranges = files.where("bytes > 0").select("file_id", low.alias("low"), "bytes").select("file_id", "low", F.least("bytes", F.col("low") + step).alias("high"))
+    return ranges.repartition("file_id", "low").mapInArrow(run, o.schema)
 
 
 def wav_header(frames: int, fs_hz: float) -> bytes:

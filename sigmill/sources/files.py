@@ -31,12 +31,18 @@ def clip_meta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clip_rates(clips: DataFrame, meta: DataFrame, fs_hz: float | None = None) -> DataFrame:
-    """clips with fs_hz: a fixed one, else the clip's own, else the recording's, else 1. Of repeated numbers the largest rate."""
+    """clips with fs_hz: a fixed one, else the clip's own, else its recording's, else 1. Of repeated numbers the largest rate.
+
+    Clips with a column `file` take rates of that recording alone; without one, clips are taken to be of one recording.
+    """
     if fs_hz is not None:
         return clips.withColumn("fs_hz", F.lit(float(fs_hz)))
-    own = meta.where("clip_index IS NOT NULL").groupBy("clip_index").agg(F.max("fs_dec_hz").alias("own_hz"))
-    whole = meta.agg(F.max("fs_used_hz").alias("whole_hz"))  # one row
-    return clips.join(own, "clip_index", "left").crossJoin(F.broadcast(whole)).withColumn("fs_hz", F.coalesce("own_hz", "whole_hz", F.lit(1.0))).drop("own_hz", "whole_hz")
+    by = ["file"] if "file" in clips.columns else []
+    own = meta.where("clip_index IS NOT NULL").groupBy(*by, "clip_index").agg(F.max("fs_dec_hz").alias("own_hz"))
+    whole = meta.groupBy(*by).agg(F.max("fs_used_hz").alias("whole_hz"))
+    out = clips.join(own, [*by, "clip_index"], "left")
+    out = out.join(whole, by, "left") if by else out.crossJoin(F.broadcast(whole))  # one row
+    return out.withColumn("fs_hz", F.coalesce("own_hz", "whole_hz", F.lit(1.0))).drop("own_hz", "whole_hz")
 
 
 def csv_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:

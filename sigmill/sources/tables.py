@@ -42,7 +42,7 @@ def blocks(spark: SparkSession, sf_dir: str, frames: int = CHUNK_FRAMES) -> Data
     """The sample view as blocks in double precision. Each is a group of `frames` rows."""
     s = view(spark, sf_dir, "s").withColumn("block_id", F.floor(F.col("n") / frames))
     rows = s.groupBy("file_id", "block_id").agg(F.min("chunk_id").alias("chunk_id"), F.min("n").alias("start_sample"), F.count("*").cast("int").alias("n"), F.sort_array(F.collect_list(F.struct("n", "i", "q"))).alias("x"))
-    return rows.select("file_id", "chunk_id", "block_id", "start_sample", "n", F.lit(FS).alias("fs_hz"), F.col("x.i").alias("i"), F.col("x.q").alias("q"))
+    return rows.select("file_id", "chunk_id", F.col("block_id").alias("block_id", metadata={"frames": frames}), "start_sample", "n", F.lit(FS).alias("fs_hz"), F.col("x.i").alias("i"), F.col("x.q").alias("q"))
 
 
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:

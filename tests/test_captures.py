@@ -39,7 +39,7 @@ def folder(tmp_path_factory, tone):
     d = tmp_path_factory.mktemp("captures")
     i, q = tone
     for width in (1, 2, 3, 4):
-        (d / f"w{width}.WAV").write_bytes(wav(i, q, width))
+        (d / f"w{width}.WAV").write_bytes(wav(i, q, width, 3 if width == 4 else 1))
     (d / "big.wav").write_bytes(wav(i, q, 2, rf64=True))
     (d / "raw.r64").write_bytes(np.stack([i, q], axis=1).ravel().tobytes())
     (d / "notes.txt").write_text("no capture")
