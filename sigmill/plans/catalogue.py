@@ -183,6 +183,12 @@ def sampling_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_sweep(spark, sf_dir), 5).withColumn("factor", F.col("factor").cast("long"))
 
 
+def sampling_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One transform of 4096 places for each factor."""
+    blocks = tables.blocks(spark, sf_dir)
+    return _rounded(irr.single_transform_sweep(blocks, ops.lengths(blocks), target=4096), 4).withColumn("factor", F.col("factor").cast("long"))
+
+
 def worst_degradation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(irr.worst_degradation(_sweep(spark, sf_dir)), 5).withColumn("factor", F.col("factor").cast("long"))
 
@@ -296,9 +302,10 @@ BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "q_sampling_decision": (sampling_decision, oracles.SAMPLING_DECISION),
     "q_sampling_sweep": (sampling_sweep, oracles.over_samples(oracles.SWEEP)),
     "q_worst_degradation": (worst_degradation, f"SELECT file_id, arg_min(factor, difference_db) AS factor, min(difference_db) AS difference_db FROM ({oracles.over_samples(oracles.SWEEP)}) GROUP BY file_id"),
-    "q_chosen_factor": (chosen_factor, None),
-    "q_irr_segments": (irr_segments, None),
-    "q_irr_files": (irr_files, None),
+    "q_sampling_effects": (sampling_effects, oracles.over_samples(oracles.SAMPLING_EFFECTS)),
+    "q_chosen_factor": (chosen_factor, oracles.chosen_factor()),
+    "q_irr_segments": (irr_segments, oracles.over_samples(oracles.IRR_SEGMENTS)),
+    "q_irr_files": (irr_files, oracles.over_samples(oracles.IRR_FILES)),
     "q_features": (clip_features, dialect.duck(clips.FEATURES)),
     "q_clip_flatness": (clip_flatness, dialect.duck(clips.CLIP_FLATNESS)),
     "q_clip_snr_bw": (clip_snr_bw, dialect.duck(clips.CLIP_SNR_BW)),

@@ -47,6 +47,54 @@ d AS (SELECT file_id, factor, 10 * log10(pos / neg) AS plain, 10 * log10(cpos /
 z AS (SELECT file_id, plain >= mirrored AS direct, greatest(plain, mirrored) AS base FROM d WHERE factor = 1)
 SELECT file_id, factor, round(1000.0::DOUBLE / factor, 5) AS fs_hz, CASE WHEN direct THEN 'I+jQ' ELSE 'I-jQ' END AS best_convention, round(CASE WHEN direct THEN plain ELSE mirrored END, 5) AS irr_db, round(base, 5) AS baseline_db, round(CASE WHEN direct THEN plain ELSE mirrored END - base, 5) AS difference_db FROM d JOIN z USING (file_id)"""
 
+def _bands(rows: str, keys: str) -> str:
+    """CTEs x and b: powers of the transform of 4096 places of rows(keys, m, i, q); places that no row has are zero."""
+    return f"""
+x AS (SELECT {keys}, k, sum(i * cos({PI2} * ((k * m) % 4096) / 4096) + q * sin({PI2} * ((k * m) % 4096) / 4096)) AS re, sum(q * cos({PI2} * ((k * m) % 4096) / 4096) - i * sin({PI2} * ((k * m) % 4096) / 4096)) AS im FROM {rows} CROSS JOIN (SELECT range AS k FROM range(4096)) GROUP BY {keys}, k),
+b AS (SELECT {keys}, sum(CASE WHEN k BETWEEN 1 AND 2047 THEN re * re + im * im ELSE 0 END) AS pos, sum(CASE WHEN k >= 2048 THEN re * re + im * im ELSE 0 END) AS neg, sum(CASE WHEN k > 2048 THEN re * re + im * im ELSE 0 END) AS cpos, sum(CASE WHEN k BETWEEN 1 AND 2048 THEN re * re + im * im ELSE 0 END) AS cneg FROM x GROUP BY {keys})"""
+
+
+#: One transform of 4096 places for each factor, of the middle of its samples or with zeros on both sides.
+SAMPLING_EFFECTS = f"""
+WITH h AS (SELECT file_id, f AS factor, n // f AS m, i, q FROM v_s CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5, 8, 10, 16]) AS f) WHERE n % f = 0),
+dc AS (SELECT file_id, factor, count(*) AS n, avg(i) AS mi, avg(q) AS mq FROM h GROUP BY file_id, factor),
+c AS (SELECT h.file_id, h.factor, m - greatest(0, (n - 4096) // 2) + greatest(0, (4096 - n) // 2) AS m, i - mi AS i, q - mq AS q FROM h JOIN dc USING (file_id, factor) WHERE m >= greatest(0, (n - 4096) // 2) AND m < greatest(0, (n - 4096) // 2) + 4096),{_bands("c", "file_id, factor")},
+d AS (SELECT file_id, factor, 10 * log10(pos / neg) AS plain, 10 * log10(cpos / cneg) AS mirrored FROM b),
+z AS (SELECT file_id, plain >= mirrored AS direct, greatest(plain, mirrored) AS base FROM d WHERE factor = 1)
+SELECT file_id, factor::BIGINT AS factor, round(1000.0::DOUBLE / factor, 4) AS fs_hz, CASE WHEN direct THEN 'I+jQ' ELSE 'I-jQ' END AS best_convention, round(CASE WHEN direct THEN plain ELSE mirrored END, 4) AS irr_db, round(base, 4) AS baseline_db, round(CASE WHEN direct THEN plain ELSE mirrored END - base, 4) AS difference_db FROM d JOIN z USING (file_id)"""
+
+#: Ten segments of 500 samples, each less its own mean, in four conventions.
+IRR_SEGMENTS = f"""
+WITH t AS (SELECT file_id, count(*) AS frames FROM v_s GROUP BY file_id),
+seg AS (SELECT file_id, interval_id, least(interval_id * greatest(1, (frames - 500) // 9), frames - 500) AS a FROM (SELECT *, unnest(range(10)) AS interval_id FROM t WHERE frames >= 500)),
+r AS (SELECT s.file_id, interval_id, n - a AS m, i, q FROM v_s s JOIN seg ON s.file_id = seg.file_id AND n >= a AND n < a + 500),
+dc AS (SELECT file_id, interval_id, avg(i) AS mi, avg(q) AS mq FROM r GROUP BY file_id, interval_id),
+c AS (SELECT r.file_id, r.interval_id, m, i - mi AS i, q - mq AS q FROM r JOIN dc USING (file_id, interval_id)),{_bands("c", "file_id, interval_id")},
+d AS (SELECT file_id, interval_id, 10 * log10(pos / neg) AS p, 10 * log10(cpos / cneg) AS m FROM b)
+SELECT file_id, interval_id, CASE WHEN p >= m THEN 'I+jQ' ELSE 'I-jQ' END AS best_convention, round(greatest(p, m), 5) AS best_irr_db, round(p, 5) AS irr_i_q, round(m, 5) AS irr_i_neg_q, round(m, 5) AS irr_q_i, round(p, 5) AS irr_q_neg_i, CASE WHEN p >= m THEN 'I+Q' ELSE 'I-Q' END AS conv, 'IQ' AS channel_order FROM d"""
+
+#: Statistics across chunks as if each were a recording.
+IRR_FILES = f"""
+WITH dc AS (SELECT file_id, chunk_id, avg(i) AS mi, avg(q) AS mq FROM v_s GROUP BY file_id, chunk_id),
+c AS (SELECT s.file_id || '-' || s.chunk_id AS file_id, n % 4096 AS m, i - mi AS i, q - mq AS q FROM v_s s JOIN dc ON s.file_id = dc.file_id AND s.chunk_id = dc.chunk_id),{_bands("c", "file_id")},
+d AS (SELECT file_id, CASE WHEN pos / neg >= cpos / cneg THEN 'I+jQ' ELSE 'I-jQ' END AS conv, abs(10 * log10(greatest(pos / neg, cpos / cneg))) AS irr FROM b),
+k AS (SELECT conv, count(*) AS n FROM d GROUP BY conv),
+a AS (SELECT count(*) AS n, avg(irr) AS mean_irr, stddev_pop(irr) AS std_irr, min(irr) AS min_irr, max(irr) AS max_irr, arg_min(conv, file_id) AS first FROM d)
+SELECT n, round(mean_irr, 4) AS mean_irr, round(std_irr, 4) AS std_irr, round(min_irr, 4) AS min_irr, round(max_irr, 4) AS max_irr, round(max_irr - min_irr, 4) AS range_irr,
+    (SELECT conv FROM k ORDER BY k.n DESC, conv LIMIT 1) AS most_common_convention, (SELECT '{{' || string_agg('"' || conv || '":' || k.n, ',' ORDER BY conv) || '}}' FROM k) AS distribution,
+    round((SELECT k.n FROM k WHERE conv = first) / n::DOUBLE, 4) AS consistency, CASE WHEN max_irr - min_irr < 5 THEN 'LOW' WHEN max_irr - min_irr < 20 THEN 'MODERATE' ELSE 'HIGH' END AS variability FROM a"""
+
+
+def chosen_factor() -> str:
+    """The candidate with the best rejection in the sweep, the earlier one of equals; the base factor where none is in it."""
+    from ..operators import quality as texts
+
+    return f"""
+SELECT file_id, coalesce(factor, base) AS factor, irr_db, CASE WHEN irr_db > 10 THEN 'GOOD' WHEN irr_db > 0 THEN 'OK' ELSE 'POOR' END AS grade FROM (
+    SELECT c.file_id, base, CASE WHEN irr_db IS NOT NULL THEN c.factor END AS factor, irr_db, row_number() OVER (PARTITION BY c.file_id ORDER BY irr_db DESC NULLS LAST, place) AS rank
+    FROM ({dialect.duck(texts.SAMPLING_CANDIDATES)}) c LEFT JOIN ({over_samples(SWEEP)}) s ON s.file_id = c.file_id AND s.factor = c.factor) WHERE rank = 1"""
+
+
 AUTO_THRESHOLD = """
 WITH b AS (SELECT file_id, sum(i * i + q * q) OVER (PARTITION BY file_id ORDER BY n ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) / 4 AS y FROM v_s)
 SELECT file_id, round(10 * log10(greatest(quantile_cont(y, 0.98), 1e-12) * pow(10, 0.6) + 1e-12), 4) AS threshold_db FROM b GROUP BY file_id"""
