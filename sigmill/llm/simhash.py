@@ -1,7 +1,7 @@
 """SimHash near-duplicate groups with bit-sliced Hamming comparison.
 
 1. Executors fingerprint whole texts: each shingle's XXH64 votes on every bit.
-2. Equal fingerprints collapse to one node (partial aggregation), named by the smallest doc_id.
+2. Equal fingerprints collapse to one node (partial aggregation), with a number of its own and its smallest doc_id.
 3. A 64-bit fingerprint is cut into six blocks, and a node enters a bucket for each three of them (20 buckets, keys of
    31 to 33 bits). Three differing bits leave three blocks whole, so two fingerprints within that radius share a
    bucket: the search is exact, and buckets of unrelated ones stay small up to billions of nodes. Wider fingerprints
@@ -301,11 +301,15 @@ def near_duplicates(docs: DataFrame, plan: Plan = NARROW) -> DataFrame:
     """docs with doc_id and text -> (doc_id, f0, ..., component_id), one row for each row of docs."""
     names = [f"f{j}" for j in range(plan.words)]
     prints = materialize(with_fingerprints(docs, plan), "fingerprints")
-    nodes = materialize(prints.groupBy(*names).agg(F.min("doc_id").alias("node")), "nodes")
-    found = connected_components(_links(nodes.where("node is not null"), plan))
-    roots = found.select(F.col("node").alias("_n"), "root")
-    named = materialize(nodes.join(roots, nodes["node"] == roots["_n"], "left").select(*names, F.coalesce("root", "node").alias("component_id")), "components")
-    forget(found, nodes)
+    # A node has a number of its own, fixed once the table is written, as its documents may all be without an id.
+    nodes = prints.groupBy(*names).agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
+    nodes = materialize(nodes, "nodes")
+    found = connected_components(_links(nodes.select("node", *names), plan))
+    rooted = materialize(nodes.join(found.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(*names, "least", "root"), "rooted")
+    least = rooted.where("root is not null").groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("_least"))
+    named = rooted.join(least, F.col("root") == F.col("_root"), "left").select(*names, F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("_least")).alias("component_id"))
+    named = materialize(named, "components")
+    forget(found, nodes, rooted)
     return prints.join(named, names, "left").select("doc_id", *names, "component_id")
 
 
@@ -349,6 +353,7 @@ def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
 
     Equal shingle sets are one node. The bit-sliced search only proposes groups; `jaccard` compares the shingle sets
     within each, so no pair below the similarity links, and a pair is missed only if its two texts share no group.
+    Texts are fetched by doc_id, so a text that no row with an id has is nobody's copy here.
     """
     names = [f"f{j}" for j in range(plan.words)]
     prints = materialize(with_set_prints(docs, plan), "set-prints")
