@@ -181,7 +181,7 @@ def find_media(data: bytes) -> list[tuple[str, int, int]]:
         magic, back, kind, end_of = FORMATS[k]
         at = last + 1 - len(magic) - back
         if at >= 0 and (end := end_of(data, at)):
-            found.append((RIFF_TYPES.get(data[at + 8 : at + 12], kind), at, end - at))
+            found.append((RIFF_TYPES[data[at + 8 : at + 12]] if kind == "riff" else kind, at, end - at))
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
@@ -231,8 +231,10 @@ def wav_of(payload: bytes) -> bytes:
 
 
 def wav_samples(data: bytes, at: int = 0) -> tuple[int, int, int, bytes]:
-    """(channels, rate, bits, sample bytes) of the WAV object at an offset."""
+    """(channels, rate, bits, sample bytes) of the WAV object at an offset; zeros and nothing where it is none."""
     chunks = riff_chunks(data, at) or {}
+    if chunks.get(b"fmt ", (0, 0))[1] < 16 or b"data" not in chunks:
+        return 0, 0, 0, b""
     fmt, (start, n) = chunks[b"fmt "][0], chunks[b"data"]
     _, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, fmt)
     return channels, rate, bits, data[start : start + n]
@@ -269,7 +271,7 @@ def media_features(media: DataFrame) -> DataFrame:
                 if sound:
                     channels, rate, bits, payload = wav_samples(data[: sound["length"]])
                     level = np.frombuffer(payload, np.uint8).astype(np.float64) - 128
-                    feature = f"{kind};channels={channels};rate={rate};bits={bits};seconds={len(payload) / rate:.3f};rms={np.sqrt((level**2).mean()) if len(level) else 0:.4f};objects={len(found)}"
+                    feature = f"{kind};channels={channels};rate={rate};bits={bits};seconds={len(payload) / max(rate, 1):.3f};rms={np.sqrt((level**2).mean()) if len(level) else 0:.4f};objects={len(found)}"
                 rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
