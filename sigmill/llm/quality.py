@@ -1,7 +1,7 @@
 """Quality classifier: a byte-level convolutional network, trained on labelled rows, over whole texts.
 
 Only labelled rows outside the held-out fold (crc32 of the doc_id's digits mod 5 = 0) are learned from: those with the
-smallest hash of doc_id, `TRAIN_ROWS` at most, and fewer where their whole texts together exceed `TRAIN_BYTES`. Every
+smallest hash of doc_id, `TRAIN_ROWS` at most, less those whose whole texts no longer fit in `TRAIN_BYTES`. Every
 byte of a kept row's text is trained on, and every byte of every text is scored; scoring uses nothing else. Null and
 empty texts get the score of an empty text. Without labelled rows every score is 0.5. Of rows with one doc_id the
 smallest text is learned from; a doc_id with both labels counts for both. Repeated rows are scored each.
@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._shared import slices
 from .byteconv import ByteConvNet
@@ -31,14 +32,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> DataFrame:
-    """(doc_id, quality, text as bytes) of the rows to learn from: the first by hash whose texts add up to most_bytes at most."""
+    """(doc_id, quality, text as bytes) of the rows to learn from: the first by hash, less those that do not fit in most_bytes.
+
+    A text that does not fit beside those before it is left out, and the next is tried; `rows` lengths come to the driver.
+    """
     some = labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id"))).distinct()
     some = some.withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id", "quality").limit(rows)
     texts = docs.select(F.col("doc_id").alias("_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
     found = texts.join(F.broadcast(some), F.col("_id") == F.col("doc_id")).groupBy("place", "doc_id", "quality").agg(F.min("text").alias("text"))
-    order = Window.orderBy("place", "doc_id", "quality").rowsBetween(Window.unboundedPreceding, 0)  # of `rows` lengths
-    so_far = found.select("doc_id", "quality", F.octet_length("text").alias("n"), "place").withColumn("so_far", F.sum("n").over(order))
-    kept = so_far.where(F.col("so_far") <= most_bytes).select("doc_id", "quality")
+    kept, left = [], most_bytes
+    for r in found.select("place", "doc_id", "quality", F.octet_length("text").alias("n")).orderBy("place", "doc_id", "quality").collect():
+        if r["n"] <= left:
+            kept.append((r["doc_id"], r["quality"]))
+            left -= r["n"]
+    kept = docs.sparkSession.createDataFrame(kept, T.StructType([found.schema["doc_id"], found.schema["quality"]]))
     return found.join(F.broadcast(kept), ["doc_id", "quality"]).select("doc_id", "quality", "text")
 
 
