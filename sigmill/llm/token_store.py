@@ -3,7 +3,8 @@
 A store is a folder of Parquet rows, one binary segment each, so any file system that Spark writes to will do. Segments
 follow ascending doc_id. The segment format (little endian):
 
-    magic "SGEF", version u16, id bytes u16 (2 or 4), documents u64, ids u64, first doc_id i64
+    magic "SGEF", version u16, id bytes u16 (2 or 4), documents u64, ids u64, first doc_id i64,
+    documents without a doc_id u64, which come first
     for the boundaries, then for the doc_ids less the first one:
         low bits u16, words u32 of the upper bits
         lower bits         low bits of each value, packed
@@ -14,8 +15,8 @@ follow ascending doc_id. The segment format (little endian):
 The k-th boundary is the number of ids up to and with document k. A sequence of n values up to m takes 2 + log2(m / n)
 bits a value about, so neither boundaries nor doc_ids need a table of whole numbers.
 
-Nulls and empty texts have the end id alone. Rows with equal doc_ids stay separate, in order of text; a null doc_id is
-stored, and read back, as the smallest long. An empty table gives an empty store.
+Nulls and empty texts have the end id alone. Rows with equal doc_ids stay separate, in order of text; rows with a null
+doc_id come first and keep it. An empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -33,11 +34,10 @@ from pyspark.sql import types as T
 from ._shared import new_path
 from .tokens import Encoder, default_tokenizer
 
-HEADER, SEQUENCE = struct.Struct("<4sHHQQq"), struct.Struct("<HI")
-MAGIC, VERSION = b"SGEF", 2
+HEADER, SEQUENCE = struct.Struct("<4sHHQQqQ"), struct.Struct("<HI")
+MAGIC, VERSION = b"SGEF", 3
 SEGMENT_IDS = 1 << 18
 SAMPLE = 64
-NO_ID = -(2**63)
 STORE = T.StructType([T.StructField("shard", T.LongType()), T.StructField("segment_no", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("first_doc_id", T.LongType()), T.StructField("last_doc_id", T.LongType()), T.StructField("segment", T.BinaryType())])
 
 
@@ -104,23 +104,24 @@ class EliasFano:
         return a
 
 
-def pack_segment(doc_ids: list[int], ids: list[np.ndarray]) -> bytes:
-    flat, first = np.concatenate(ids), doc_ids[0]
+def pack_segment(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
+    flat, numbers = np.concatenate(ids), [d for d in doc_ids if d is not None]
+    first = numbers[0] if numbers else 0
     ends = EliasFano.encode(np.cumsum([len(x) for x in ids]))
-    names = EliasFano.encode(np.array([d - first for d in doc_ids], np.uint64))
+    names = EliasFano.encode(np.array([d - first for d in numbers], np.uint64))
     width = 2 if flat.max(initial=0) < 1 << 16 else 4
-    head = HEADER.pack(MAGIC, VERSION, width, len(ids), len(flat), first)
+    head = HEADER.pack(MAGIC, VERSION, width, len(ids), len(flat), first, len(ids) - len(numbers))
     return b"".join((head, ends.to_bytes(), names.to_bytes(), flat.astype(f"<u{width}").tobytes()))
 
 
-def open_segment(data: bytes) -> tuple[int, EliasFano, EliasFano, np.ndarray]:
-    """(first doc_id, doc_ids less it, boundaries, ids) of a segment; nothing is copied."""
-    magic, version, width, n, total, first = HEADER.unpack_from(data)
+def open_segment(data: bytes) -> tuple[int, int, EliasFano, EliasFano, np.ndarray]:
+    """(rows without a doc_id, first doc_id, the others less it, boundaries, ids) of a segment; nothing is copied."""
+    magic, version, width, n, total, first, nameless = HEADER.unpack_from(data)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a token segment")
     ends, at = EliasFano.read(data, HEADER.size, n)
-    names, at = EliasFano.read(data, at, n)
-    return first, names, ends, np.frombuffer(data, f"<u{width}", total, at)
+    names, at = EliasFano.read(data, at, n - nameless)
+    return nameless, first, names, ends, np.frombuffer(data, f"<u{width}", total, at)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
@@ -128,18 +129,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number, start, held = Encoder.of(tokenizer), None, 0, 0, 0
+        encoder, shard, number, start, held = Encoder.of(tokenizer), (), 0, 0, 0
         doc_ids: list[int] = []
         ids: list[np.ndarray] = []
 
         def segment() -> pa.RecordBatch:
-            row = (shard, number, start, held, doc_ids[0], doc_ids[-1], pack_segment(doc_ids, ids))
+            first = next((d for d in doc_ids if d is not None), None)
+            row = (*shard, number, start, held, first, doc_ids[-1], pack_segment(doc_ids, ids))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], STORE.names)
 
         for batch in batches:
             for doc_id, one in zip(batch.column(0).to_pylist(), encoder.documents(x.as_py() for x in batch.column(1)), strict=True):
-                shard = doc_id if shard is None else shard
+                shard = shard or (doc_id,)
                 doc_ids.append(doc_id)
                 ids.append(one)
                 held += len(one)
@@ -151,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None) -> No
         if ids:
             yield segment()
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(run, STORE).write.option("parquet.block.size", 16 << 20).parquet(path)
 
@@ -163,26 +165,26 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, start, segment in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                first, names, ends, ids = open_segment(segment.as_py())
-                doc_ids = (names.all() + np.uint64(first % (1 << 64))).view(np.int64)
+                nameless, first, names, ends, ids = open_segment(segment.as_py())
+                doc_ids = pa.concat_arrays([pa.nulls(nameless, pa.int64()), pa.array((names.all() + np.uint64(first % (1 << 64))).view(np.int64))])
                 stops = ends.all().astype(np.int64)
                 starts = np.r_[0, stops[:-1]]
                 wide = ids.astype("<u4")
                 crc = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(stops), shard)), pa.array(doc_ids), pa.array(start + starts), pa.array(stops - starts), pa.array(crc, pa.int64())], ["shard", "doc_id", "within", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()).take(pa.array(np.zeros(len(stops), np.int32))), doc_ids, pa.array(start + starts), pa.array(stops - starts), pa.array(crc, pa.int64())], ["shard", "doc_id", "within", "n_tokens", "ids_crc32"])
 
     before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task that wrote
     base = store.groupBy(F.col("shard").alias("_shard")).agg(F.sum("n_ids").alias("_n")).select("_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     rows = store.select("shard", "start", "segment").mapInArrow(run, "shard long, doc_id long, within long, n_tokens long, ids_crc32 long")
-    return rows.join(base, rows["shard"] == base["_shard"]).select("doc_id", (F.col("_base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(base, rows["shard"].eqNullSafe(base["_shard"])).select("doc_id", (F.col("_base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def document_ids(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
     """The ids of one document (of each row that has this doc_id), found by segment statistics and `select`."""
     found = []
     for row in spark.read.schema(STORE).parquet(path).where(F.lit(doc_id).between(F.col("first_doc_id"), F.col("last_doc_id"))).orderBy("shard", "segment_no").select("segment").toLocalIterator():
-        first, names, ends, ids = open_segment(bytes(row[0]))
-        for k in range(names.first_at_least(doc_id - first), names.first_at_least(doc_id + 1 - first)):
+        nameless, first, names, ends, ids = open_segment(bytes(row[0]))
+        for k in range(nameless + names.first_at_least(doc_id - first), nameless + names.first_at_least(doc_id + 1 - first)):
             found.append(ids[ends[k - 1] if k else 0 : ends[k]].astype("<u4"))
     return found
 
