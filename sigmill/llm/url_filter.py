@@ -42,19 +42,18 @@ class Rule:
 #: The rules of the query.
 RULES = (Rule("block", "com/en/"), Rule("allow", "example.com/en/7"), Rule("allow", "net/de/"), Rule("block", "example.net/de/8"), Rule("block", "org/es/"))
 
-#: Ordinary words of host names, of both kinds, from which the labelled table is made by rule.
-GOOD_WORDS = """archive astronomy bakery biology bridge castle charity chemistry chess choir climate coast cooking council cycling
-dance docs economics farmers festival fishing forum garden geology grammar guitar harbour health hiking history hospital knitting
-language lessons library manual maps market mountain museum music news nursery orchestra painting parish physics poetry pottery
-railway recipes river sailing school science stories theatre translation travel tutorial university valley village weather wiki""".split()
-BAD_WORDS = """adserver adult ads bets betting bingo blackjack bonus cams casino cheap cialis clicks cracked dating debt discount escort
-fake forex free gamble giveaway jackpot keygen loans lottery malware nude payday pharma phish pills poker popup porn prize promo
-replica roulette sex slimming slots spam steroids torrents track tracker viagra warez win winner xxx""".split()
-#: Hosts of the table's blocked kind are pairs of words this far apart in the list, so that each word has several partners.
-STEPS = (1, 5, 11, 17, 23)
-SUBDOMAINS = ("", "www.", "m.", "blog.")
-DOMAINS = (".example.com", ".example.net", ".example.org", ".com", ".org", ".net")
-PATHS = ("/en/", "/de/", "/fr/", "/es/", "/", "/page/", "/a/b/")
+#: Names of the categories of a public list of hosts by content (Université Toulouse Capitole), in its order:
+#: those that a crawl for text leaves out, and the others.
+BLOCKED_KINDS = """adult agressif cryptojacking dangerous-material dating ddos dialer drogue fakenews gambling hacking lingerie
+malware marketingware mixed-adult phishing publicite redirector sect stalkerware tricheur warez""".split()
+ALLOWED_KINDS = """associations-religieuses astrology audio-video bank bitcoin blog celebrity chat child cleaning cooking download
+educational-games financial forums games jobsearch manga mobile-phone press radio reaffected sexual-education shopping shortener
+social-networks sports translation update vpn webhosting webmail""".split()
+#: Hosts of the table for each kind, and made-up hosts without one for each kind.
+HOSTS, PLAIN = 10, 12
+SUBDOMAINS = ("", "www.", "web.", "m.", "en.")
+DOMAINS = (".com", ".org", ".net", ".info", ".co.uk", ".example.com", ".example.org", ".example.net")
+PATHS = ("/", "/index.html", "/en/", "/fr/", "/articles/", "/a/b/", "/?id=")
 
 
 def _made_up(k: int) -> str:
@@ -68,11 +67,17 @@ def _made_up(k: int) -> str:
     return out
 
 
-def labelled_urls() -> list[tuple[str, int]]:
-    """(url, 1 to block): pairs of words of each kind, words of the good kind and made-up names alone, in all surroundings."""
-    hosts = [(words[k] + ("-" if j % 2 == 0 else "") + words[(k + step) % len(words)], label) for label, words in ((0, GOOD_WORDS), (1, BAD_WORDS)) for k in range(len(words)) for j, step in enumerate(STEPS)]
-    hosts += [(w, 0) for w in GOOD_WORDS] + [(w + "-online", 1) for w in BAD_WORDS] + [(_made_up(k), 0) for k in range(4 * len(GOOD_WORDS))]
-    return [(f"https://{SUBDOMAINS[k % 4]}{host}{DOMAINS[(k // 4) % 6]}{PATHS[(k // 3) % 7]}{37 * k % 9973}", label) for k, (host, label) in enumerate(hosts)]
+def labelled_urls(blocked: list[str] = BLOCKED_KINDS, allowed: list[str] = ALLOWED_KINDS) -> list[tuple[str, int]]:
+    """(url, 1 to block): each kind beside made-up names, before and behind them and alone, and made-up names without a kind."""
+    hosts, k = [], 0
+    for label, kinds in ((1, blocked), (0, allowed)):
+        for kind in kinds:
+            for form in range(HOSTS):
+                k += 1
+                name = _made_up(k)
+                hosts.append(((kind, f"{kind}-{name}", f"{name}-{kind}", f"{kind}{name}", f"{name}{kind}")[form % 5], label))
+    hosts += [(_made_up(k + j) + ("-" + _made_up(k + 7 * j) if j % 3 == 0 else ""), 0) for j in range(PLAIN * (len(blocked) + len(allowed)))]
+    return [(f"https://{SUBDOMAINS[k % 5]}{host}{DOMAINS[(k // 5) % 8]}{PATHS[(k // 3) % 7]}{37 * k % 9973}", label) for k, (host, label) in enumerate(hosts)]
 
 
 def split_url(url: Column) -> dict[str, Column]:
