@@ -18,6 +18,7 @@ import random
 import re
 import string
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,9 @@ _RUN, _START = "[A-Za-z0-9+/_.=-]", "(?<![A-Za-z0-9+/_.=-])"
 CANDIDATE = re.compile(
     rf"""{_START}(?:(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z]){_RUN}{{8,}}|(?=(?:{_RUN}*?[a-z][A-Z]){{2}}){_RUN}{{12,}}|[0-9](?:-?[0-9]){{11,}}(?!{_RUN}))"""
 )
-LED = re.compile(rf"""(?ai)(?<![a-z])(?:api|access|account|private)?(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth|credentials?|bearer|login)(?:_[a-z_]{{0,12}}|s)?["']?(?:\x20+(?:is|are|was|will\x20be|value))?\x20*[:=]?\x20*["'`]?({_RUN}{{6,}})""")
+LED = re.compile(rf"""(?ai)(?<![a-z])(?:api|access|account|private)?(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth|credentials?|bearer|login)(?:_[a-z_]{{0,12}}|s)?["']?(?:\x20+(?:is|are|was|will\x20be|value))?\x20*(?:[:=]\x20*)?["'`]?({_RUN}{{6,}})""")
 BEFORE, AFTER = 32, 16
-RECALL = 0.97
+RECALL = 0.95
 FINDINGS = 6_000
 
 
@@ -65,9 +66,10 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
     rng = random.Random(seed)
     pick = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
     alnum, b64, lower, digits = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase, string.digits
-    syllables = ("tion", "the", "er", "ing", "schaft", "keit", "ment", "cion", "re", "an", "ou", "eau", "lich", "ar", "os", "th", "bar", "lo", "mi", "su", "de", "kon", "va")
-    word = lambda least=1: "".join(rng.choices(syllables, k=rng.randint(least, 4)))
-    prose = lambda k: " ".join("".join(rng.choices((*syllables, "é", "ño", "ü", "ö", "ê", "A", "!!", "&", ", "), k=3)) for _ in range(k)) + rng.choice(("", ".", ",", "\n"))
+    onset, vowel, coda = "b c d f g h k l m n p r s t v w st tr pl ch sh".split(), "a e i o u ai ou é ö ü ñe ie".split(), ["", "", "n", "r", "s", "l", "t", "nd", "ck"]
+    syllable = lambda: rng.choice(onset) + rng.choice(vowel) + rng.choice(coda)
+    word = lambda least=1: "".join(syllable() for _ in range(rng.randint(least, 4))).encode("ascii", "ignore").decode()
+    prose = lambda k: " ".join("".join(syllable() for _ in range(rng.randint(1, 3))) + rng.choice(("", "", "", ",", ".", "!", "...", "&", "$", "%", "###")) for _ in range(k)) + rng.choice(("", ".", ",", "\n"))
 
     def key() -> str:
         return rng.choice((
@@ -80,7 +82,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
     def password() -> str:
         return rng.choice((
             lambda: word().title() + pick(digits, rng.randint(2, 4)) + pick("_-+=", rng.randint(0, 2)) + pick(lower, 2), lambda: pick(alnum, rng.randint(8, 15)), lambda: word(2) + rng.choice("-_.") + word(2) + rng.choice("-_.") + pick(digits, 2),
-            lambda: pick(digits, rng.randint(8, 16)), lambda: pick(string.ascii_letters, rng.randint(8, 14)), lambda: pick(lower, 2) + pick(digits, 3) + pick(string.ascii_uppercase, 3) + pick(digits, 2),
+            lambda: pick(string.ascii_letters, rng.randint(8, 14)), lambda: pick(lower, 2) + pick(digits, 3) + pick(string.ascii_uppercase, 3) + pick(digits, 2),
         ))()
 
     def plain() -> str:
@@ -111,11 +113,11 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
             lead = "" if value == "" or kind < 0.15 else lead  # a long key may stand alone
         else:
             value, lead = (plain(), rng.choice(calm)) if kind < 0.6 else (word(3), rng.choice(topic)) if kind < 0.9 else (plain(), rng.choice(topic[-6:]))
-            if kind < 0.15:  # either part of an address
-                name, host = word() + "." + pick(digits, 2), f"mail{rng.randint(0, 99)}.{word(2)}.com"
-                value, lead = (host, lead + name + "@") if kind < 0.08 else (word(2) + "." + pick(digits, 2), lead)
-            elif kind < 0.3:  # a long number
-                value, lead = pick(digits, rng.choice((12, 13, 15, 16, 16, 19))), rng.choice(("", lead))
+            if kind < 0.2:  # either part of an address
+                name, host = word() + "." + pick(digits, 2), ".".join((rng.choice((word(), word() + pick(digits, rng.randint(1, 2)), rng.choice(("smtp", "imap", "mx", "post")) + pick(digits, 1))), word(2), rng.choice(("com", "org", "net", "de", "info"))))
+                value, lead = (host, rng.choice(("", lead)) + name + "@") if kind < 0.12 else (word(2) + "." + pick(digits, 2), rng.choice(("", lead)))
+            elif kind < 0.4:  # a long number
+                value, lead = pick(digits, rng.choice((12, 13, 14, 15, 16, 16, 16, 18, 19))), rng.choice(("", "", lead))
         value = value if len(value) >= 6 else value + word(2)
         lead = prose(rng.randint(2, 5)) + " " + lead
         text = lead + value + rng.choice((" ", '" ', ". ", "\n")) + prose(3)
@@ -131,9 +133,14 @@ class SecretModel:
         return sigmoid(self.slope * self.net.logits(items) + self.shift)
 
 
-def train(findings: list[tuple[str, int, int, int]] | None = None, recall: float = RECALL) -> SecretModel:
+@lru_cache(maxsize=4)
+def trained(recall: float = RECALL, n: int = FINDINGS, seed: int = 11) -> SecretModel:
+    """The model of the generated findings, trained once in a process."""
+    return train(labelled_findings(n, seed), recall)
+
+
+def train(findings: list[tuple[str, int, int, int]], recall: float = RECALL) -> SecretModel:
     """Of every ten findings six train, two calibrate and two set the threshold."""
-    findings = labelled_findings() if findings is None else findings
     items = [in_context(t, a, b) for t, a, b, _ in findings]
     y, part = np.array([r[3] for r in findings]), np.arange(len(findings)) % 10
     of = lambda some: [items[k] for k in np.flatnonzero(some)]
@@ -153,7 +160,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 def scan(docs: DataFrame, model: SecretModel | None = None) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_candidates, top_score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or train())
+    shared = docs.sparkSession.sparkContext.broadcast(model or trained())
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_candidates", "top_score"]
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64())
 

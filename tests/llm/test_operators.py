@@ -3,6 +3,7 @@
 import hashlib
 import json
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -113,6 +114,24 @@ def test_simhash_is_exact(spark, docs, awkward):
         assert Counter((r["doc_id"], r["f0"] % (1 << 64), r["component_id"]) for r in got) == expected
 
 
+def test_rows_without_an_id_link_like_any_other(spark):
+    """A null id beside its near copy, and one that alone bridges two documents."""
+    far = lambda a, b: bin(a ^ b).count("1")
+    prints = lambda texts: [int(f) for f in simhash.fingerprints(texts, simhash.NARROW)[:, 0]]
+    found = []
+    for words in (60, 100, 150, 250):
+        base = " ".join(f"w{k}" for k in range(words))
+        texts = [base.replace(f"w{k} ", f"v{k} ") for k in range(words - 1)] + [f"{base} x{k}" for k in range(500)]
+        near = [(t, f) for t, f in zip(texts, prints(texts), strict=True) if 0 < far(f, prints([base])[0]) <= 3]
+        found += [(base, a, b) for a, fa in near for b, fb in near if far(fa, fb) > 3]
+        if found:
+            break
+    base, *bridged = found[0]
+    docs = spark.createDataFrame([(7, bridged[0]), (None, base), (9, bridged[1]), (None, "all alone here"), (3, "something else entirely")], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {(7, 7), (None, 7), (9, 7), (None, None), (3, 3)}
+
+
 def test_simhash_query_columns(spark):
     rows = llm.op2_simhash(spark, SMALL).collect()
     assert all(re.fullmatch("[0-9a-f]{16}", r["fingerprint"]) for r in rows)
@@ -288,6 +307,16 @@ def test_media_are_carved(spark):
     assert all(r["length"] == len(r["data"]) for r in got)
 
 
+def test_a_picture_with_the_letters_of_a_sound(spark):
+    """A JPEG whose bytes 8 to 11 read WAVE is a JPEG, and a sound without its chunks has no samples."""
+    body = b"\xff\xd8\xff\xe0" + (16).to_bytes(2, "big") + b"JFWAVE" + bytes(8) + b"\xff\xda" + (8).to_bytes(2, "big") + bytes(6) + b"\x11\x22\xff\xd9"
+    assert body[8:12] == b"WAVE" and [x[0] for x in media.find_media(body)] == ["image/jpeg"]
+    table = spark.createDataFrame([(1, len(body), "audio/wav", bytearray(body)), (2, 0, None, None)], "doc_id long, n_bytes long, declared_type string, content binary")
+    rows = {r["doc_id"]: r for r in media.media_features(media.sniff_media(table)).collect()}
+    assert rows[1]["feature"] == "image/jpeg" and rows[1]["payload_bytes"] == 0 and rows[2]["media_bytes"] == 0
+    assert media.wav_samples(b"RIFF\x04\0\0\0WAVE") == (0, 0, 0, b"")
+
+
 def test_media_types_are_corrected(spark):
     rows = [(1, bytearray(png()), "image/jpeg"), (2, bytearray(b"zz" + GIF), "text/plain"), (3, None, "image/png"), (4, bytearray(b""), None), (4, bytearray(b""), None)]
     df = spark.createDataFrame(rows, "doc_id long, content binary, declared_type string").selectExpr("*", "1 AS objects", "2 AS `at`")
@@ -372,6 +401,10 @@ def test_quality_training_rows_are_bounded_and_whole(spark):
     few = quality.training_rows(docs, labels, most_bytes=10_000).collect()
     assert 0 < len(few) < len(got) and sum(len(r["text"]) for r in few) <= 10_000 and all(bytes(r["text"]).decode() == texts[r["doc_id"]] for r in few)
     assert len(quality.training_rows(docs, labels, rows=7).collect()) == 7
+    first = min((d for d in texts if zlib.crc32(str(d).encode()) % 5), key=lambda d: spark.range(1).selectExpr(f"xxhash64({d}L) AS h").first()["h"])
+    long = spark.createDataFrame([(d, "x" * 50_000 if d == first else f"short {d}") for d in range(60)], "doc_id long, text string")
+    some = {r["doc_id"] for r in quality.training_rows(long, labels, most_bytes=1_000).collect()}
+    assert some == {d for d in range(60) if d != first and zlib.crc32(str(d).encode()) % 5}  # the one that does not fit ends nothing
 
 
 # 6 URLs
@@ -388,7 +421,7 @@ def test_url_rules(spark):
         fits = [r for r in url_filter.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         return max(fits, key=lambda r: len(r.text), default=None)
 
-    urls = [None, "", "no scheme", "HTTP://WWW.Example.COM/en/71?q#x", "https://a.net/de/1", "https://x.example.net/de/80", "https://example.net/de/9", "http://notcom/en/", "http://com/en/", "ftp://a.org?x=/es/", "x://ÄB.org/es/", "a://b://c.com/en/", "https://casino-bets.example.org/fr/1", "https://museum.example.org/fr/1"]
+    urls = [None, "", "no scheme", "HTTP://WWW.Example.COM/en/71?q#x", "https://a.net/de/1", "https://x.example.net/de/80", "https://example.net/de/9", "http://notcom/en/", "http://com/en/", "ftp://a.org?x=/es/", "x://ÄB.org/es/", "a://b://c.com/en/", "https://gambling-sorvale.example.org/fr/1", "https://sorvale.example.org/fr/1"]
     table = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)], "page_id long, url string, host string").unionByName(spark.read.parquet(f"{SMALL}/pages.parquet").selectExpr("page_id + 100 AS page_id", "url", "'q' AS host"))
     rows = url_filter.judge_urls(table).collect()
     assert len(rows) == table.count()
@@ -420,17 +453,24 @@ def test_url_model_by_brute_force(spark):
         assert r["verdict"] == ("block" if z > 0 else "allow")
 
 
-def test_url_model_on_hosts_it_has_not_seen(spark):
-    """No host label of the judged pages stands in the labelled table."""
-    rows = url_filter.labelled_urls()
-    label = lambda url: re.sub(r"^(www|m|blog)\.", "", url.split("://")[1].split("/")[0]).split(".")[0]
-    known = {label(u) for u, _ in rows}
+def test_url_model_on_names_and_kinds_it_has_not_seen(spark):
+    """Names beside known kinds are new; of kinds held out, and of the words of the pages' hosts, nothing is promised but calm."""
+    words = lambda url: set(re.split(r"[^a-z]+", url.split("://")[1].split("/")[0]))
+    hosts = [(f"https://www.{k}-velmora.com/x", 1) for k in url_filter.BLOCKED_KINDS] + [(f"http://ostrinel{k}.net/7", 0) for k in url_filter.ALLOWED_KINDS]
+    table = spark.createDataFrame(hosts, "url string, label int")
+    rows = url_filter.judge_urls(table, rules=()).collect()
+    assert np.mean([r["verdict"] == "block" for r in rows if r["label"]]) > 0.9 and np.mean([r["verdict"] == "block" for r in rows if not r["label"]]) < 0.1
+    half = url_filter.train(spark, url_filter.labelled_urls(url_filter.BLOCKED_KINDS[::2], url_filter.ALLOWED_KINDS[::2]))
+    rows = url_filter.judge_urls(table, rules=(), model=half).collect()
+    print("kinds held out:", np.mean([r["verdict"] == "block" for r in rows[1 : len(url_filter.BLOCKED_KINDS) : 2]]), "blocked of the blocked ones")
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
-    assert not known & {label(r["url"].lower()) for r in pages.collect()}
     wanted = "casino-|spam-|free-|ads-|cheap-|adult-"
-    judged = url_filter.judge_urls(pages, rules=()).selectExpr(f"host RLIKE '{wanted}' AS bad", "verdict").collect()
+    judged = url_filter.judge_urls(pages, rules=()).selectExpr(f"host RLIKE '{wanted}' AS bad", "url", "verdict").collect()
+    planted = {w for r in judged if r["bad"] for w in words(r["url"].lower())} & {"casino", "win", "spam", "farm", "free", "bets", "ads", "track", "cheap", "pills", "adult", "x"}
+    assert len(planted) > 5 and planted & {w for u, _ in url_filter.labelled_urls() for w in words(u)} <= {"adult"}
     bad, good = ([r["verdict"] == "block" for r in judged if r["bad"] == b] for b in (True, False))
-    assert len(bad) > 100 and np.mean(bad) > 0.9 and np.mean(good) < 0.02
+    print("hosts bad by their words:", sum(bad), "of", len(bad), "blocked; others:", sum(good), "of", len(good))
+    assert np.mean(good) < 0.02
 
 
 # 7 packing
@@ -534,13 +574,13 @@ def test_elias_fano():
 
 def test_token_store_round_trip(spark, docs, awkward, monkeypatch, tmp_path):
     library = Tokenizer.from_file(tokens.default_tokenizer())
-    more = [(10, "a <|endoftext|> b", None, None, None), (-(2**63) + 1, "lowest", None, None, None), (2**63 - 1, "highest", None, None, None)]
+    more = [(10, "a <|endoftext|> b", None, None, None), (None, "another without", None, None, None), (-(2**63), "lowest", None, None, None), (2**63 - 1, "highest", None, None, None)]
     for k, table in enumerate((docs, awkward.unionByName(spark.createDataFrame(more, SCHEMA)))):
         expected, start = Counter(), 0
-        key = lambda r: (-(2**63) if r["doc_id"] is None else r["doc_id"], r["text"] or "")
+        key = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "")
         for r in sorted(table.collect(), key=key):
             ids = np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 2], "<u4")
-            expected[key(r)[0], start, len(ids), zlib.crc32(ids.tobytes())] += 1
+            expected[r["doc_id"], start, len(ids), zlib.crc32(ids.tobytes())] += 1
             start += len(ids)
         token_store.write_tokens(table, f"{tmp_path}/{k}")
         assert Counter(tuple(r) for r in token_store.read_tokens(spark, f"{tmp_path}/{k}").collect()) == expected
@@ -588,7 +628,7 @@ def test_secret_base_spans(spark, docs, awkward):
             out += [(kind, m.start(), m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
         return sorted(out, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))
 
-    model = secrets.train()
+    model = secrets.trained()
     for table in (docs, awkward):
         texts = table.select("doc_id", "text").collect()
         got = Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in secrets.scan(table, model).collect())
@@ -601,7 +641,7 @@ def test_secret_base_spans(spark, docs, awkward):
 
 
 def test_secret_model_on_unseen_findings():
-    model = secrets.train()
+    model = secrets.trained()
     unseen = secrets.labelled_findings(600, seed=99)
     p = model.probability([secrets.in_context(t, a, b) for t, a, b, _ in unseen])
     y = np.array([r[3] for r in unseen])
@@ -624,7 +664,7 @@ CALM = ["on 2024-03-18T10-report we met", "see usr/lib/python3/dist-packages for
 
 
 def test_secret_model_on_findings_written_by_hand(spark):
-    model = secrets.train()
+    model = secrets.trained()
     table = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(FINDINGS)] + [(100 + k, t) for k, t in enumerate(CALM)], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in secrets.scan(table, model).collect()}
     caught = 0
@@ -636,9 +676,25 @@ def test_secret_model_on_findings_written_by_hand(spark):
     assert sum("model" in rows[100 + k]["spans"] for k in range(len(CALM))) <= 2
 
 
+def test_secret_candidates_in_long_runs():
+    """Patterns take time in proportion to a text, whatever runs in it."""
+    for text in ("key" + " " * 200_000 + "x", "token is " + "\t" * 100_000, "a1" * 200_000, "=" * 300_000, "password:" * 30_000, "1-" * 200_000, "aB" * 200_000):
+        began = time.process_time()
+        secrets.candidates(text)
+        secrets.base_spans(text)
+        assert time.process_time() - began < 5, text[:20]
+
+
+def test_secret_spans_of_documents(spark, docs):
+    """Card numbers and addresses, which documents hold beside secrets, are seldom taken for secrets."""
+    rows = secrets.scan(docs).collect()
+    flagged, seen = sum(r["spans"].count("model:") for r in rows), sum(r["n_candidates"] for r in rows)
+    assert seen > 10 and flagged <= 0.1 * seen
+
+
 def test_secret_spans_by_brute_force(spark, docs):
     """All spans from candidates found character by character and judged one at a time."""
-    model = secrets.train()
+    model = secrets.trained()
     run = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
     extra = [(-1, "my password is hunter2hunter2 and the key is abcdefgh"), (-2, "number 123456789012 or 1234-5678-9012 x"), (-3, "aBcDeFgHiJkLm --ab12cd34ef-- ...9z8y7x6w5v..."), (-4, None), (-5, "")]
     table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
