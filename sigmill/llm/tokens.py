@@ -145,9 +145,10 @@ class Encoder:
         words = [None if t is None or any(a in t for a in self.added) else t.encode("utf-8", "replace").split() for t in texts]
         get, found = self.cache.get, [None if w is None else list(map(self.cache.get, w)) for w in words]
         missing = {x for w, f in zip(words, found, strict=True) if f and None in f for x, ids in zip(w, f, strict=True) if ids is None}
-        self.cache.update((w, self.old[w]) for w in missing.intersection(self.old))
+        again = {w for w in missing if w in self.old}
+        self.cache.update((w, self.old[w]) for w in again)
         parts = {}
-        for w in missing.difference(self.old):
+        for w in missing.difference(again):
             core = w.rstrip(PUNCTUATION)
             parts[w] = (core, w[len(core) :]) if core and core[-1] in ALNUM and len(core) < len(w) and b"'" not in w else (w,)
         new = {x: x.decode() for p in parts.values() for x in p if x not in self.cache}
@@ -180,7 +181,7 @@ class Encoder:
         found = [list(map(self.cache.get, words)) for words in parts]
         missing = {w for w in heads if w not in self.cache}
         missing.update(w for words, f in zip(parts, found, strict=True) if None in f for w, ids in zip(words, f, strict=True) if ids is None)
-        again = missing.intersection(self.old)
+        again = {w for w in missing if w in self.old}  # an intersection would walk the whole of the old words
         self.cache.update((w, self.old[w]) for w in again)
         missing.difference_update(again)
         easy = [w for w in missing if w.isalpha()]
