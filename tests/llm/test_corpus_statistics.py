@@ -93,6 +93,14 @@ def test_one_stack_counts_prefixes_of_any_batches():
             assert {p: n for p, n in got.items() if n >= 40} == {p: n for p, n in want.items() if n >= 40}
 
 
+def test_ranges_of_sorted_suffixes():
+    values = [b"d ", b"c x ", b"c ", b"b y ", b"b ", b"a "]
+    for cuts in ([], [b"c "], [b"z ", b"c ", b"bb "], [b"b ", b"a ", b"0 "]):
+        got = phrases.ranges_of(pa.array(values, pa.binary()), cuts)
+        assert got.tolist() == [sum(v <= c for c in cuts) for v in values]
+    assert phrases.ranges_of(pa.array([], pa.binary()), [b"c "]).tolist() == []
+
+
 def test_long_texts_are_cut_between_pieces():
     text = b"ab cd. ef, gh\nij kl" * 50
     got = list(phrases.parts(text, 30))
