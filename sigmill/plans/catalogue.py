@@ -16,6 +16,7 @@ from ..operators import activity, assessment, clips, extraction, features, infer
 from ..operators import captures as ops
 from ..operators import intervals as iv
 from ..sources import files, tables
+from ..streaming.bursts import spans
 from . import dialect, oracles
 
 BINS = 512
@@ -158,6 +159,10 @@ def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.drop("duration_s"), rf_offset_hz=4)
 
 
+def segment_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans(tables.view(spark, sf_dir, "segments"), activity.GROUP_GAP)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inference.bursts(_segments(spark, sf_dir).withColumn("file_id", F.col("file_id").cast("string")), activity.GROUP_GAP)
     return _rounded(inference.predictions(rows, 433e6, "2024-05-01T12:00:00Z"), rf_offset_hz=4)
@@ -296,6 +301,7 @@ BLOCKS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
     "q_vad_segments": (vad_segments, dialect.duck(activity.VAD_SEGMENTS)),
     "q_auto_vad_threshold": (auto_vad_threshold, oracles.over_samples(oracles.AUTO_THRESHOLD)),
     "q_bursts": (bursts, oracles.BURSTS),
+    "q_segment_spans": (segment_spans, oracles.SEGMENT_SPANS),
     "q_predictions": (predictions, oracles.PREDICTIONS),
     "q_chunk_plan": (chunk_plan, oracles.CHUNK_PLAN),
     "q_evenly_spaced": (evenly_spaced, oracles.EVENLY_SPACED),

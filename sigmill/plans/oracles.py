@@ -128,6 +128,12 @@ SELECT CAST(file_id AS STRING) AS file, CAST(file_id AS STRING) AS file_id, burs
 
 BURSTS = dialect.duck(f"WITH b AS ({activity.BURSTS.strip()}) SELECT file_id, burst_id, pred_label, avg_prob AS avg_prob_top1, start_s AS start_time_s, end_s AS end_time_s, offset_hz AS rf_offset_hz, bandwidth_hz, snr_db FROM b")
 
+SEGMENT_SPANS = dialect.duck(f"""
+WITH u AS (SELECT file_id, CAST(round(start_s * 1e6) AS BIGINT) AS a, CAST(round(end_s * 1e6) AS BIGINT) AS b FROM {{segments}} WHERE end_s >= start_s),
+o AS (SELECT *, CASE WHEN a - max(b) OVER (PARTITION BY file_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= {round(activity.GROUP_GAP * 1e6)} THEN 0 ELSE 1 END AS opens FROM u),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY file_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM o)
+SELECT file_id, min(a) / 1e6 AS start_s, max(b) / 1e6 AS end_s, count(*) AS n_segments FROM g GROUP BY file_id, island""")
+
 CLIP_RATES = """
 SELECT vec_id AS clip_index, CASE WHEN vec_id % 3 = 0 THEN 32.0 + label WHEN vec_id % 3 = 1 THEN 48.0 ELSE 48.0 END::DOUBLE AS fs_hz FROM embeddings"""
 

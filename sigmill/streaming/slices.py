@@ -1,24 +1,85 @@
 """Activity slices from an unbounded stream of per-block runs, by file; the same rows as the batch operator gives.
 
 Blocks are reduced to runs before the state: (lo, hi) of each block and the stretches (s, e) within it whose running RMS
-exceeds the threshold. A file's blocks may arrive in any order within the watermark's delay; a slice is emitted once the
-watermark has passed what could still join it. The state of a file is the runs of one delay and one open slice.
+exceeds the threshold. A file's blocks may arrive in any order within the watermark's delay and wait in typed state by
+second (`ordered`); a slice is emitted once the watermark has passed what could still join it. The state of a file is the
+runs of one delay and one open slice.
 """
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessorHandle
+
+from .ordered import ORIGIN_MS, Ordered
 
-#: Event times begin here, not at 0, where a stream's first watermark stands.
-ORIGIN_MS = 1000
 SLICE = "file_id string, start_sample long, end_sample long, start_s double, end_s double, duration_ms double"
+FIELDS = {"lo": "long", "hi": "long", "chunk_id": "long", "s": "long", "e": "long", "fs_hz": "double"}
+#: The chunk in work with what is known of it and its island of runs, and the padded slice that may still be joined.
+OPEN = {"rate": "double", "chunk": "long", "lo": "long", "hi": "long", "s": "long", "e": "long", "open_s": "long", "open_e": "long"}
+
+
+class Slices(Ordered):
+    def __init__(self, gap_ms: float, pad_ms: float, min_ms: float):
+        super().__init__(FIELDS, [x.strip().split()[0] for x in SLICE.split(",")])
+        self.ms = gap_ms, pad_ms, min_ms
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("open", ", ".join(f"`{c}` {kind}" for c, kind in OPEN.items()))
+
+    def take(self, rows: list[tuple]) -> list[tuple]:
+        at, done = dict(zip(OPEN, self.state.get(), strict=True)) if self.state.exists() else None, []
+        for lo, hi, chunk, s, e, rate in sorted(rows, key=lambda r: (r[0], -1 if r[3] is None else r[3])):
+            gap = round(rate * self.ms[0] / 1000)
+            at = at or dict.fromkeys(OPEN)
+            if at["chunk"] != chunk:
+                done += self._close(at)
+                at |= {"rate": rate, "chunk": chunk, "lo": lo, "hi": hi}
+            at["lo"], at["hi"] = min(at["lo"], lo), max(at["hi"], hi)
+            if s is None:
+                continue
+            if at["s"] is not None and s - at["e"] > gap:
+                done += self._close(at)  # its pad lies before this run, within what is known of the chunk
+            at["s"] = s if at["s"] is None else at["s"]
+            at["e"] = e if at["e"] is None else max(at["e"], e)
+        if at:
+            self.state.update(tuple(at.values()))
+        return done
+
+    def _close(self, at: dict) -> list[tuple]:
+        """The island becomes the open slice or joins it; -> the slice that was open, if they do not touch."""
+        if at["s"] is None:
+            return []
+        pad, least = (round(at["rate"] * ms / 1000) for ms in self.ms[1:])
+        s, e = max(at["s"] - pad, at["lo"]), min(at["e"] + pad, at["hi"])
+        at["s"] = at["e"] = None
+        if e - s < least:
+            return []
+        if at["open_s"] is not None and s <= at["open_e"]:
+            at["open_e"] = max(at["open_e"], e)
+            return []
+        done = self._row(at)
+        at["open_s"], at["open_e"] = s, e
+        return done
+
+    def _row(self, at: dict) -> list[tuple]:
+        s, e, rate = at["open_s"], at["open_e"], at["rate"]
+        return [] if s is None else [(s, e, s / rate, e / rate, (e - s) * 1000 / rate)]
+
+    def closes_ms(self) -> float | None:
+        if not self.state.exists():
+            return None
+        at = dict(zip(OPEN, self.state.get(), strict=True))
+        return (at["hi"] + sum(round(at["rate"] * ms / 1000) for ms in self.ms[:2]) + 1) / at["rate"] * 1000 + ORIGIN_MS
+
+    def settle(self) -> list[tuple]:
+        at = dict(zip(OPEN, self.state.get(), strict=True))
+        done = self._close(at) + self._row(at)
+        self.state.clear()
+        return done
 
 
 def activity_slices(runs: DataFrame, gap_ms: float = 3, pad_ms: float = 2, min_ms: float = 5, delay: str = "10 seconds") -> DataFrame:
@@ -31,69 +92,9 @@ def activity_slices(runs: DataFrame, gap_ms: float = 3, pad_ms: float = 2, min_m
     if pad_ms > gap_ms:
         raise ValueError("the pad must not be longer than the gap")
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # waiting: [lo, hi, chunk, s, e]; island: [chunk, chunk's lo, chunk's hi, s, e]; open: [s, e] padded
-        waiting, island, open_, rate = json.loads(state.get[0]) if state.exists else ([], None, None, None)
-        for batch in batches:
-            if batch.empty:  # a timeout
-                continue
-            rate = float(batch["fs_hz"].iat[0])
-            waiting += [[int(r.lo), int(r.hi), int(r.chunk_id), None if pd.isna(r.s) else int(r.s), None if pd.isna(r.e) else int(r.e)] for r in batch.itertuples()]
-        if rate is None:
-            return
-        gap, pad, least = (round(rate * ms / 1000) for ms in (gap_ms, pad_ms, min_ms))
-        waiting.sort(key=lambda r: (r[0], -1 if r[3] is None else r[3]))
-        mark = (state.getCurrentWatermarkMs() - ORIGIN_MS) / 1000 * rate
-        done, taken, chunk = [], 0, island[:3] if island else None
-
-        def close() -> None:
-            nonlocal open_, island
-            if island is None or island[3] is None:
-                return
-            s, e = max(island[3] - pad, island[1]), min(island[4] + pad, island[2])
-            island[3] = island[4] = None
-            if e - s < least:
-                return
-            if open_ and s <= open_[1]:
-                open_ = [open_[0], max(open_[1], e)]
-            else:
-                if open_:
-                    done.append(open_)
-                open_ = [s, e]
-
-        for lo, hi, number, s, e in waiting:
-            if lo > mark:
-                break
-            taken += 1
-            if chunk is None or chunk[0] != number:
-                close()
-                island = [number, lo, hi, None, None]
-            island[1], island[2] = min(island[1], lo), max(island[2], hi)
-            chunk = island[:3]
-            if s is None:
-                continue
-            if island[3] is not None and s - island[4] > gap:
-                close()  # its pad lies before this run, within what is known of the chunk
-            island[3] = s if island[3] is None else island[3]
-            island[4] = e if island[4] is None else max(island[4], e)
-        waiting = waiting[taken:]
-        over = island is not None and mark - island[2] > gap + pad  # a next block would have come
-        if over:
-            close()
-        if open_ and (over or island is not None and island[3] is not None and island[3] - pad > open_[1]):
-            done.append(open_)
-            open_ = None
-        if waiting or open_ or island is not None and island[3] is not None:
-            state.update((json.dumps([waiting, island, open_, rate]),))
-            wake = [waiting[0][0] / rate * 1000 + ORIGIN_MS] if waiting else []
-            wake += [(island[2] + gap + pad + 1) / rate * 1000 + ORIGIN_MS] if island is not None else []
-            state.setTimeoutTimestamp(max(int(min(wake)), state.getCurrentWatermarkMs()) + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame([(key[0], s, e, s / rate, e / rate, (e - s) * 1000 / rate) for s, e in done], columns=[x.strip().split()[0] for x in SLICE.split(",")])
-
-    timed = runs.withColumn("at", F.timestamp_micros((F.col("lo") / F.col("fs_hz") * 1e6 + ORIGIN_MS * 1000).cast("long"))).withWatermark("at", delay)
-    return timed.groupBy("file_id").applyInPandasWithState(step, SLICE, "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    at_us = (F.col("lo") / F.col("fs_hz") * 1e6 + ORIGIN_MS * 1000).cast("long")
+    timed = runs.withColumn("at_us", at_us).withColumn("at", F.timestamp_micros("at_us")).select("file_id", "at", "at_us", *FIELDS).withWatermark("at", delay)
+    return timed.groupBy("file_id").transformWithStateInPandas(Slices(gap_ms, pad_ms, min_ms), SLICE, "append", "EventTime")
 
 
 def chunks(blocks: DataFrame, seg_s: float = 10.0, hop_s: float | None = None) -> DataFrame:

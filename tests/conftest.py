@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
     conf = {
         "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         "spark.sql.session.timeZone": "UTC", "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     session = SparkSession.builder.config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

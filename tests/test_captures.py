@@ -177,6 +177,30 @@ def test_exported_slices(spark, folder, tone, tmp_path):
         assert np.allclose(i, tone[0][a:b], atol=1e-4) and np.allclose(q, tone[1][a:b], atol=1e-4)
 
 
+def test_a_long_slice_in_parts(spark, folder, tone, tmp_path):
+    path = str(folder / "raw.r64")
+    intervals = spark.createDataFrame([(path, 0, 100, 45_000), (path, 1, 5, 900)], "file_id string, slice_idx long, start_sample long, end_sample long")
+    slices.register(spark)
+    slices.export(load(spark, path), intervals, str(tmp_path / "out"), 8192, part_frames=16_384)
+    files = sorted((tmp_path / "out").iterdir())
+    assert [f.name.partition("_")[2].partition("_")[2] for f in files] == ["00000.part00000.wav", "00000.part00001.wav", "00000.part00002.wav", "00001.wav"]
+    parts = [src.read_block(src.probe(str(f)), 0, src.probe(str(f)).frames)[0] for f in files]
+    assert np.allclose(np.concatenate(parts[:3]), tone[0][100:45_000], atol=1e-4) and np.allclose(parts[3], tone[0][5:900], atol=1e-4)
+
+
+def test_a_job_that_fails_leaves_no_slices(spark, folder, tmp_path):
+    """Some files are written whole before a task fails: the names that were there keep their bytes, nothing is added."""
+    path, out = str(folder / "raw.r64"), tmp_path / "out"
+    kind = "file_id string, slice_idx long, start_sample long, end_sample long"
+    slices.register(spark)
+    slices.export(load(spark, path), spark.createDataFrame([(path, 0, 0, 500)], kind), str(out), 8192)
+    before = {f.name: f.read_bytes() for f in out.iterdir()}
+    rows = [(next(iter(before)), 2, FS, 0, [0.5, 0.5], [0.0, 0.0]), ("a.wav", 1, FS, 0, [0.5], [0.5]), ("b.wav", 1, FS, 0, [0.5], None)]
+    with pytest.raises(Exception, match="same shape"):
+        spark.createDataFrame(rows, slices.PIECES).repartition(3, "name").sortWithinPartitions("name", "at").write.format("iqslices").mode("append").save(str(out))
+    assert {f.name: f.read_bytes() for f in out.iterdir()} == before
+
+
 def test_slices_of_blocks_equal_the_sample_query(spark, tmp_path):
     rng = np.random.default_rng(3)
     for k in range(2):

@@ -97,3 +97,45 @@ def test_a_fixed_chunk_plan_of_a_stream(spark, tmp_path):
     count = lambda df: {(r["s"], r["n"]) for r in df.groupBy(F.unix_millis("chunk.start").alias("s")).agg(F.count("*").alias("n")).collect()}
     assert count(stream_slices.chunks(blocks, 2.0)) == {(0, 4), (2000, 4), (4000, 4), (6000, 4), (8000, 4)}
     assert drained(stream_slices.chunks(stream, 2.0, 1.0).groupBy("chunk").count(), "complete", "stream_chunks", spark).count() == 11
+
+
+def test_bursts_go_on_after_a_restart(spark, tmp_path):
+    """Stopped with open state and started again from its checkpoint, the query gives each burst once, as the batch does."""
+    rng = np.random.default_rng(9)
+    start = np.cumsum(rng.exponential(0.1, 200))
+    rows = [(int(rng.integers(2)), k, float(s), float(s + rng.exponential(0.2)), str(rng.choice(["am", "fm"])), 0.5, 1.0, 2.0, round(float(rng.random()) * 30, 2), "x") for k, s in enumerate(start)]
+    want = dialect.run(activity.BURSTS, segments=spark.createDataFrame(rows, SEGMENT))
+    parts = [rows[:90], rows[90:170], rows[170:], [(9, 900, 1e4, 1e4 + 1, "am", 0.5, 0.0, 1.0, 1.0, "x")]]
+    for part in parts:
+        spark.createDataFrame([part[j] for j in rng.permutation(len(part))], SEGMENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = bursts.bursts(spark.readStream.schema(SEGMENT).parquet(str(tmp_path / "in")), activity.GROUP_GAP, "5 seconds")
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        assert query.awaitTermination(240)
+    got, want = (df.select("file_id", "n_segments", "start_s", "end_s", "snr_db").orderBy("file_id", "start_s").collect() for df in (spark.read.parquet(str(tmp_path / "out")).where("file_id < 9"), want))
+    assert [r[:2] for r in got] == [r[:2] for r in want] and np.allclose([r[2:] for r in got], [r[2:] for r in want], atol=1e-5)
+
+
+def islands(rows, gap_us):
+    """The definition: by file in order of start, a segment joins while it starts within the gap of all ends so far."""
+    out = []
+    for f, a, b in sorted((r[0], round(r[1] * 1e6), round(r[2] * 1e6)) for r in rows if None not in r[1:] and r[2] >= r[1]):
+        if out and out[-1][0] == f and a - out[-1][2] <= gap_us:
+            out[-1] = (f, out[-1][1], max(out[-1][2], b), out[-1][3] + 1)
+        else:
+            out.append((f, a, b, 1))
+    return out
+
+
+def test_spans_of_any_label(spark, tmp_path):
+    rng = np.random.default_rng(10)
+    start = np.cumsum(rng.exponential(0.1, 300)).round(3)
+    rows = [(f"f{int(rng.integers(3))}", float(s), float(s) + round(float(rng.exponential(0.15)), 3)) for s in start]
+    rows += [("g", 0.0, 1.0), ("g", 1.06, 1.5), ("g", 1.560001, 1.7), ("g", 0.2, 0.3), ("h", None, 1.0), ("h", 2.0, None), ("h", 3.0, 2.0), ("h", 4.0, 4.0), ("h", 4.0, 4.0)]
+    kind = "file_id string, start_s double, end_s double"
+    key = lambda df: sorted((r["file_id"], round(r["start_s"] * 1e6), round(r["end_s"] * 1e6), r["n_segments"]) for r in df.collect())
+    assert key(bursts.spans(spark.createDataFrame(rows, kind))) == islands(rows, 60_000)
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([("z", 1e4, 1e4)], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = bursts.spans(spark.readStream.schema(kind).parquet(str(tmp_path / "in")))
+    assert key(drained(stream, "append", "stream_spans", spark).where("file_id <> 'z'")) == islands(rows, 60_000)
+    assert bursts.spans(spark.createDataFrame([], kind)).count() == 0
