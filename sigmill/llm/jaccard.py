@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import forget, materialize
+from ._shared import forget, materialize, trimmed
 from .components import connected_components
 
 MAX_SETS = 2048
@@ -127,7 +127,7 @@ def links(sets: DataFrame) -> DataFrame:
             yield _edges(nodes, sets)
 
     keys = ["grp", "lo", "hi"]
-    return sets.select(*keys, "node", "hashes").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compared, "a long, b long")
+    return sets.select(*keys, "node", "hashes").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(compared), "a long, b long")
 
 
 def components(members: DataFrame, words: int, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:

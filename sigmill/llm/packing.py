@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize
+from ._shared import materialize, trimmed
 from .tokens import Encoder, default_tokenizer
 
 CAPACITY = 1024
@@ -214,7 +214,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
         encoder.release()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def places(packing: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import slices
+from ._shared import slices, trimmed
 from .byteconv import ByteConvNet
 
 TRAIN_ROWS = 2_400
@@ -82,4 +82,4 @@ def keep_good(docs: DataFrame, net: ByteConvNet, threshold: float = THRESHOLD) -
         for batch in batches:
             yield batch.filter(pa.array(_scores(shared.value, batch.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

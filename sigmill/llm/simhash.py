@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard
-from ._shared import LOWER, UPPER, forget, materialize, slices, small
+from ._shared import LOWER, UPPER, forget, materialize, slices, small, trimmed
 from .components import connected_components
 
 MAX_BUCKET = 4096
@@ -294,7 +294,7 @@ def _links(nodes: DataFrame, plan: Plan) -> DataFrame:
     # is low, and what is shuffled grows with the rows alone, not with how many of them share a compressed block.
     partitions = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), block_keys(np.zeros((1, plan.words), np.uint64)).shape[1])
     rows = rows.select(*keys, "node", *names).repartition(partitions, *keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(compared, "a long, b long")
+    return rows.mapInArrow(trimmed(compared), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = NARROW) -> DataFrame:
@@ -329,7 +329,7 @@ def with_set_prints(docs: DataFrame, plan: Plan) -> DataFrame:
                 head = [part.column(0), pa.array(list(map(_set_digest, hashes)), pa.binary()), pa.array(list(map(len, hashes)), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*head, *(pa.array(f[:, j]) for j in range(plan.words))], ["doc_id", "digest", "n_hashes", *names])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest binary, n_hashes long, " + ", ".join(f"{x} long" for x in names))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, digest binary, n_hashes long, " + ", ".join(f"{x} long" for x in names))
 
 
 def _with_sets(members: DataFrame, plan: Plan) -> DataFrame:
@@ -345,7 +345,7 @@ def _with_sets(members: DataFrame, plan: Plan) -> DataFrame:
                 sets = pa.array([hashes[k].astype("<u8").tobytes() for k in keep], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(keep, pa.int64())) for c in range(2)), sets], ["keys", "node", "hashes"])
 
-    return members.select("keys", "node", "digest", "text").mapInArrow(run, f"keys {kind}, node long, hashes binary")
+    return members.select("keys", "node", "digest", "text").mapInArrow(trimmed(run), f"keys {kind}, node long, hashes binary")
 
 
 def verified_duplicates(docs: DataFrame, plan: Plan = CANDIDATES) -> DataFrame:
