@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 SECOND_MS = 1000
 #: Event times begin here, not at 0, where a stream's first watermark stands.
 ORIGIN_MS = 1000
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class Ordered(StatefulProcessor):
