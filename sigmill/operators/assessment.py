@@ -11,13 +11,14 @@ IRR_THRESHOLD = 20.0
 
 
 def statistics(blocks: DataFrame, size: int = ops.IRR_FFT) -> DataFrame:
-    """A row a file: channel statistics, nan_count, inf_count, best_convention, best_irr_db, envelope_kurtosis, duration_s.
+    """A row a file: channel statistics, nan_count, inf_count, best_convention, best_irr_db,
+    direct_db and mirrored_db (see captures.image_rejection), envelope_kurtosis, duration_s.
 
     Two passes over the samples: one for everything but the envelope, whose DC removal needs the chunk means.
     """
     parts = ops.block_statistics(blocks, size).persist()  # a row a block, made again where an executor is lost
     rates = parts.groupBy("file_id").agg(F.first("fs_hz").alias("fs_hz"))
-    irr = ops.image_rejection(blocks, size, parts).select("file_id", F.when(F.col("best") == "I+Q", "I+jQ").otherwise("I-jQ").alias("best_convention"), F.col("irr_db").alias("best_irr_db"))
+    irr = ops.image_rejection(blocks, size, parts).select("file_id", F.when(F.col("best") == "I+Q", "I+jQ").otherwise("I-jQ").alias("best_convention"), F.col("irr_db").alias("best_irr_db"), "direct_db", "mirrored_db")
     kurtosis = ops.envelope_kurtosis(blocks, ops.chunk_means(parts)).select("file_id", "envelope_kurtosis")
     rows = ops.channel_moments(blocks, parts).join(irr, "file_id").join(kurtosis, "file_id", "left").join(rates, "file_id")
     return rows.withColumns({"nan_count": F.col("i_nan") + F.col("q_nan"), "inf_count": F.col("i_inf") + F.col("q_inf"), "duration_s": F.col("frames") / F.col("fs_hz"), "envelope_kurtosis": F.coalesce("envelope_kurtosis", F.lit(0.0))})

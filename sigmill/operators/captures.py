@@ -129,14 +129,15 @@ def envelope_kurtosis(blocks: DataFrame, dc: DataFrame | None = None) -> DataFra
 
 
 def image_rejection(blocks: DataFrame, size: int = IRR_FFT, parts: DataFrame | None = None) -> DataFrame:
-    """(file_id, best, irr_db): band powers of each block's centre crop, summed; a tie goes to I+Q, then I-Q.
+    """(file_id, best, irr_db, direct_db, mirrored_db): band powers of each block's centre crop, summed; a tie goes to I+Q.
 
-    Conjugation mirrors the spectrum, so one transform serves all conventions. parts: block_statistics, if they are there.
+    Conjugation mirrors the spectrum, so one transform serves all conventions: direct_db is that of I+Q and Q-I, mirrored_db
+    of I-Q and Q+I, both with their signs. parts: block_statistics, if they are there.
     """
     parts = block_statistics(blocks, size) if parts is None else parts
     sums = parts.groupBy("file_id").agg(*(F.sum(c).alias(c) for c in _BANDS))
     plain, mirrored = (10 * F.log10(F.col(a) / F.col(b)) for a, b in (("pos", "neg"), ("cpos", "cneg")))
-    return sums.select("file_id", F.when(plain >= mirrored, "I+Q").otherwise("I-Q").alias("best"), F.abs(F.greatest(plain, mirrored)).alias("irr_db"))
+    return sums.select("file_id", F.when(plain >= mirrored, "I+Q").otherwise("I-Q").alias("best"), F.abs(F.greatest(plain, mirrored)).alias("irr_db"), plain.alias("direct_db"), mirrored.alias("mirrored_db"))
 
 
 def _has(blocks: DataFrame, side: str, frames: int = 0, ms: float = 0.0) -> bool:

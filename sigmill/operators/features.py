@@ -1,6 +1,6 @@
 """Features and engineered channels of clips: a row a clip, (clip_index, fs_hz, i array, q array), reduced where it is.
 
-Nothing is shuffled. Clips may differ in length; an empty clip has null features and no channels.
+A file_id stays in front where clips have one. Nothing is shuffled. Clips may differ in length; an empty clip has null features and no channels.
 """
 
 from __future__ import annotations
@@ -38,23 +38,30 @@ def spectral(x: np.ndarray, fs: float, nperseg: int, overlap: float) -> tuple[fl
     return db[peak] - np.median(db), (right - left) * fs / size, np.exp(np.log(p).mean()) / p.mean()
 
 
+def _file(clips: DataFrame) -> tuple[str, ...]:
+    return ("file_id",) if "file_id" in clips.columns else ()
+
+
 def clip_features(clips: DataFrame, nperseg: int = 2048, overlap: float = 0.5) -> DataFrame:
+    file = _file(clips)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.itertuples():
                 x = kernels.complex_of(r.i, r.q)
+                own = [getattr(r, c) for c in (*file, "clip_index", "fs_hz")]
                 if not len(x):
-                    rows.append((r.clip_index, r.fs_hz, 0, *[None] * 13))
+                    rows.append((*own, 0, *[None] * 13))
                     continue
                 a = np.abs(x)
                 kurt = (((a - a.mean()) / (a.std() + 1e-12)) ** 4).mean()
                 cfo = np.angle(np.vdot(x[:-1], x[1:])) / (2 * np.pi) * r.fs_hz
                 parts = [v for c in cumulants(x) for v in (c.real, c.imag)]
-                rows.append((r.clip_index, r.fs_hz, len(x), *spectral(x, r.fs_hz, nperseg, overlap), kurt, *parts, cfo))
-            yield pd.DataFrame(rows, columns=NAMES)
+                rows.append((*own, len(x), *spectral(x, r.fs_hz, nperseg, overlap), kurt, *parts, cfo))
+            yield pd.DataFrame(rows, columns=[*file, *NAMES])
 
-    return clips.select("clip_index", "fs_hz", "i", "q").mapInPandas(run, FEATURES)
+    return clips.select(*file, "clip_index", "fs_hz", "i", "q").mapInPandas(run, ", ".join([*(f"{c} string" for c in file), FEATURES]))
 
 
 def channels(x: np.ndarray, names: list[str]) -> dict[str, np.ndarray]:
@@ -86,13 +93,14 @@ def channels(x: np.ndarray, names: list[str]) -> dict[str, np.ndarray]:
 
 def engineered(clips: DataFrame, extras: str = EXTRAS) -> DataFrame:
     """(clip_index, y, channels: array of (name, values)): the samples, then the channels of the comma list."""
-    names = [n for n in extras.split(",") if n.strip()]
+    names, file = [n for n in extras.split(",") if n.strip()], _file(clips)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
                 x = kernels.complex_of(r.i, r.q)
                 found = channels(x, names) if len(x) else {}
-                yield pd.DataFrame({"clip_index": [r.clip_index], "y": [0], "channels": [[{"name": n, "values": v.astype(np.float32)} for n, v in found.items()]]})
+                yield pd.DataFrame({**{c: [getattr(r, c)] for c in file}, "clip_index": [r.clip_index], "y": [0], "channels": [[{"name": n, "values": v.astype(np.float32)} for n, v in found.items()]]})
 
-    return clips.select("clip_index", "i", "q").mapInPandas(run, "clip_index long, y int, channels array<struct<name: string, values: array<float>>>")
+    kinds = [*(f"{c} string" for c in file), "clip_index long, y int, channels array<struct<name: string, values: array<float>>>"]
+    return clips.select(*file, "clip_index", "i", "q").mapInPandas(run, ", ".join(kinds))

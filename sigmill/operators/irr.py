@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
@@ -226,6 +226,41 @@ def sampling_decision(files: DataFrame, target_s: float = 60.0, min_samples: flo
     return files.select("file_id", long.alias("sampled"), factor.alias("factor"), (F.col("fs_hz") / factor).alias("fs_hz"))
 
 
+#: Bands of image rejection from a number of dB on, and the accuracy expected of a classifier there, in percent.
+BANDS = (("excellent", 30.0, 95, 98), ("good", 20.0, 90, 95), ("marginal", 10.0, 75, 90), ("poor", 5.0, 60, 75), ("very_poor", None, 40, 60))
+
+
+def bands(spark: SparkSession) -> DataFrame:
+    """BANDS as a table: (band, from_db, accuracy_low, accuracy_high); very_poor has no lower bound."""
+    return spark.createDataFrame(BANDS, "band string, from_db double, accuracy_low int, accuracy_high int")
+
+
+def band(irr_db: Column) -> Column:
+    """The band of a value: excellent above 30 dB, the others from their bound on; null of null."""
+    out = F.when(irr_db.isNotNull(), F.lit(BANDS[-1][0]))
+    for name, low, *_ in reversed(BANDS[:-1]):
+        out = F.when(irr_db > low if name == "excellent" else irr_db >= low, name).otherwise(out)
+    return out
+
+
+def comparison(stats: DataFrame, conv: str | None = None) -> DataFrame:
+    """Rejection as measured in step one against that of the convention a later step applies, by file.
+
+    stats(file_id, best_convention, best_irr_db, direct_db, mirrored_db), as assessment.statistics has them; conv is a short
+    name (I+Q, I-Q, Q+I, Q-I), or None for each file's own best one. -> (file_id, conv_applied, corrected_irr_db,
+    step1_irr_db, step1_convention, irr_improvement_db, verdict, band). A file without step one's values has nulls
+    there, Unknown as its convention, and no verdict.
+    """
+    if conv is not None and conv not in SHORT.values():
+        raise ValueError(f"no such convention: {conv}")
+    rows = channel_order(stats).withColumn("conv_applied", F.col("conv") if conv is None else F.lit(conv))
+    corrected = F.when(F.col("conv_applied").isin(SHORT[CONVENTIONS[0]], SHORT[CONVENTIONS[3]]), F.col("direct_db")).otherwise(F.col("mirrored_db"))
+    gain = F.col("corrected_irr_db") - F.col("step1_irr_db")
+    verdict = F.when(gain > 5, "significant").when(gain > 1, "moderate").when(gain > -1, "minimal").when(gain.isNotNull(), "degraded")
+    rows = rows.withColumns({"corrected_irr_db": corrected, "step1_irr_db": F.col("best_irr_db"), "step1_convention": F.coalesce("best_convention", F.lit("Unknown"))})
+    return rows.select("file_id", "conv_applied", "corrected_irr_db", "step1_irr_db", "step1_convention", gain.alias("irr_improvement_db"), verdict.alias("verdict"), band(F.col("corrected_irr_db")).alias("band"))
+
+
 def channel_order(best: DataFrame) -> DataFrame:
     """(..., best_convention) with conv (the short name, I+Q where unknown) and channel_order (QI for Q first)."""
     names = F.create_map(*(F.lit(x) for kv in SHORT.items() for x in kv))

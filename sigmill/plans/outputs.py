@@ -1,5 +1,7 @@
 """Result files: CSV, JSON and text as the surveyed steps lay them out, written by Spark as folders of part files.
 
+Words of reports and names of fields are fixed values: readers of the surveyed files look for them.
+
 Every table is partitioned by capture where it has a file_id, and writing it again replaces the partitions of the captures
 it holds and no others: a run that was cut short can be repeated. Missing values are empty fields.
 """
@@ -15,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..operators import assessment, captures, inference, intervals, qa, wideband
+from ..operators import assessment, captures, inference, intervals, irr, qa, wideband
 from . import dialect
 
+DOCUMENT = ["channels", "fs_header_hz"]
 SLICES = ["slice_idx", "start_sample", "end_sample", "start_s", "end_s", "duration_ms"]
 CARRIERS = ["f_center_hz", "p_db", "bw_hz_est", "snr_db_est"]
 
@@ -44,9 +47,23 @@ def _text(df: DataFrame, folder: str) -> None:
     df.withColumn("capture", capture()).select("value", "capture").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("capture").text(folder)
 
 
-def quality(stats: DataFrame, folder: str, short_s: float | None = None) -> None:
-    """assessment.statistics' rows as sorted JSON (stats) and as a text report (report)."""
-    rows = assessment.assess(stats, short_s).withColumn("coverage_fraction", F.lit(1.0))
+def _fields(values: dict) -> Column:
+    """Parameters as a struct, by name."""
+    return F.struct(*(F.lit(v).alias(k) for k, v in sorted(values.items())))
+
+
+def quality(stats: DataFrame, folder: str, short_s: float | None = None, files: DataFrame | None = None, **params) -> None:
+    """assessment.statistics' rows as sorted JSON (stats) and as a text report (report).
+
+    files(file_id, channels, fs_header_hz), as sources.captures.metadata has them, and params (fft_size, chunk_frames,
+    memory_mb, ...) become fields of the document: what the header says and how the samples were read.
+    """
+    rows = assessment.assess(stats, short_s)
+    rows = rows.join(files.select("file_id", *DOCUMENT), "file_id", "left") if files is not None else rows.withColumns({"channels": F.lit(None).cast("int"), "fs_header_hz": F.lit(None).cast("double")})
+    rows = rows.withColumns({
+        "input_file": F.col("file_id"), "fs_used_hz": F.col("fs_hz"), "file_duration_s": F.col("duration_s"), "covered_duration_s": F.col("duration_s"), "coverage_fraction": F.lit(1.0),
+        "analysis_timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"), "sampling_strategy": F.lit("stream_full"), "analysis_params": _fields({"passes": 2} | params),
+    })
     nested = rows.withColumn("quality_assessment", F.struct("quality_score", "warnings", "issues", "recommendations"))
     names = [c for c in nested.columns if c not in ("quality_score", "warnings", "issues", "recommendations", "verdict")]
     _json(nested, f"{folder}/stats", *names)
@@ -77,21 +94,40 @@ def _csv(df: DataFrame, folder: str, *columns: str) -> None:
     out.write.mode("overwrite").options(partitionOverwriteMode="dynamic", header="true", emptyValue="").partitionBy("capture").csv(folder)
 
 
-def spectrum(files: DataFrame, psd: DataFrame, found: DataFrame, mask: DataFrame, folder: str, nperseg: int, **params) -> None:
-    """carriers, time_activity, occupancy (a table where the surveyed scripts plot) and a JSON summary by capture."""
+def spectrum(files: DataFrame, psd: DataFrame, found: DataFrame, mask: DataFrame, folder: str, nperseg: int, overlap: float = 0.5, prominence_db: float = 8.0, cfar_k: float = 3.0, cfar_guard: int = 1, cfar_train: int = 6, max_columns: int | None = None, compared: DataFrame | None = None) -> None:
+    """carriers, time_activity, occupancy (a table where the surveyed scripts plot) and a JSON summary by capture.
+
+    The summary has structs for the detector's parameters (cfar), for what of the samples went in (optimization: all of
+    them, the waterfall's columns thinned to max_columns) and, with irr.comparison's rows, for image rejection before and
+    after (irr_analysis, null without).
+    """
     carriers(found, f"{folder}/carriers")
     _csv(wideband.time_activity(mask), f"{folder}/time_activity", "time_s", "activity")
     _csv(wideband.occupancy(mask), f"{folder}/occupancy", "f_idx", "occupancy")
     counts = found.groupBy("file_id").agg(F.count("*").alias("num_carriers"))
-    rows = files.join(captures.noise_floor(psd), "file_id", "left").join(counts, "file_id", "left").withColumns({"num_carriers": F.coalesce("num_carriers", F.lit(0)), "duration_s": F.col("frames") / F.col("fs_hz"), "nperseg": F.lit(nperseg), **{k: F.lit(v) for k, v in params.items()}})
-    _json(rows, f"{folder}/summary", *(c for c in rows.columns if c != "file_id"))
+    shapes = mask.groupBy("file_id").agg(F.max(F.size("mask")).cast("long").alias("height"), F.count("*").alias("width"))
+    names = ["conv_applied", "corrected_irr_db", "step1_irr_db", "step1_convention", "irr_improvement_db", "verdict", "band"]
+    if compared is None:
+        kinds = ["string" if n in ("conv_applied", "step1_convention", "verdict", "band") else "double" for n in names]
+        compared = files.select("file_id", F.lit(None).cast("struct<" + ", ".join(f"{n}: {k}" for n, k in zip(names, kinds, strict=True)) + ">").alias("irr_analysis"))
+    else:
+        compared = compared.select("file_id", F.struct(*names).alias("irr_analysis"))
+    header = F.col("fs_header_hz") if "fs_header_hz" in files.columns else F.lit(None).cast("double")
+    rows = files.join(captures.noise_floor(psd), "file_id", "left").join(counts, "file_id", "left").join(shapes, "file_id", "left").join(compared, "file_id", "left")
+    length = F.col("frames") / F.col("fs_hz")
+    fields = {
+        "wav": F.col("file_id"), "fs_header_hz": header, "fs_used_hz": F.col("fs_hz"), "original_fs_hz": F.col("fs_hz"), "duration_s": length, "original_duration_s": length, "samples_processed": F.col("frames"), "original_samples": F.col("frames"),
+        "nperseg": F.lit(nperseg), "overlap": F.lit(overlap), "num_carriers": F.coalesce("num_carriers", F.lit(0)), "prom_db": F.lit(prominence_db), "cfar": _fields({"k": cfar_k, "guard": cfar_guard, "train": cfar_train}),
+        "optimization": F.struct(F.lit(False).alias("used_sampling"), F.lit(1.0).alias("reduction_factor"), F.lit(max_columns).cast("int").alias("max_columns"), F.array("height", "width").alias("waterfall_shape")),
+    }
+    _json(rows.withColumns(fields), f"{folder}/summary", *fields, "noise_floor_db", "irr_analysis")
 
 
 def slices(files: DataFrame, found: DataFrame, folder: str, **params) -> None:
     """slices as CSV, and their parameters and number by capture as JSON."""
     _csv(found, f"{folder}/slices", *SLICES)
     counts = found.groupBy("file_id").agg(F.count("*").alias("num_slices"))
-    rows = files.join(counts, "file_id", "left").select(F.col("file_id").alias("wav"), "file_id", "fs_hz", "frames", (F.col("frames") / F.col("fs_hz")).alias("duration_s"), F.struct(*(F.lit(v).alias(k) for k, v in sorted(params.items()))).alias("params"), F.coalesce("num_slices", F.lit(0)).alias("num_slices"))
+    rows = files.join(counts, "file_id", "left").select(F.col("file_id").alias("wav"), "file_id", "fs_hz", "frames", (F.col("frames") / F.col("fs_hz")).alias("duration_s"), _fields(params).alias("params"), F.coalesce("num_slices", F.lit(0)).alias("num_slices"))
     _json(rows, f"{folder}/slices_meta", "wav", "fs_hz", "frames", "duration_s", "params", "num_slices")
 
 
@@ -104,7 +140,20 @@ def clips(found: DataFrame, carriers: DataFrame, folder: str) -> None:
 
 
 def features(found: DataFrame, folder: str) -> None:
-    found.write.mode("overwrite").option("header", "true").csv(folder)
+    """features.clip_features' rows as CSV: by capture where clips have a file_id, else one table for all clips."""
+    if "file_id" in found.columns:
+        _csv(found, folder, *(c for c in found.columns if c != "file_id"))
+    else:
+        found.write.mode("overwrite").option("header", "true").csv(folder)
+
+
+def engineered(found: DataFrame, folder: str) -> None:
+    """features.engineered's rows with a file_id: x (clip_index, y, X as an array a channel) as Parquet and, by capture, the
+    channels' names in X's order as JSON. A capture whose clips differ in their channels has a document for each list."""
+    names = F.transform("channels", lambda c: c["name"])
+    _write(found.select("file_id", "clip_index", "y", F.transform("channels", lambda c: c["values"]).alias("X")), f"{folder}/x", "parquet")
+    lists = found.where(F.size("channels") > 0).groupBy("file_id", names.alias("channels")).agg(F.count("*").alias("clips"))
+    _json(lists, f"{folder}/channels", "channels", "clips")
 
 
 def inference_tables(result: inference.Result, files: DataFrame, folder: str, settings: inference.Settings, labels: list[str], rf_center_hz: float | None = None, recording_start: str | None = None) -> None:
@@ -116,7 +165,7 @@ def inference_tables(result: inference.Result, files: DataFrame, folder: str, se
         rows.select("file", *inference.PREDICTION).write.mode("overwrite").option("header", "true").csv(f"{folder}/consolidated_predictions")
     plan = intervals.chunk_plan(files, settings.seg_s, settings.overlap_s, settings.start_s, settings.limit).groupBy("file_id").agg(F.count("*").alias("chunks"))
     info = {k: v for k, v in asdict(settings).items() if v is not None}
-    about = files.join(plan, "file_id", "left").withColumns({"source": F.col("file_id"), "sample_rate_hz": F.col("fs_hz"), "duration_s": F.col("frames") / F.col("fs_hz"), "labels_count": F.lit(len(labels)), "settings": F.struct(*(F.lit(v).alias(k) for k, v in sorted(info.items())))})
+    about = files.join(plan, "file_id", "left").withColumns({"source": F.col("file_id"), "sample_rate_hz": F.col("fs_hz"), "duration_s": F.col("frames") / F.col("fs_hz"), "labels_count": F.lit(len(labels)), "settings": _fields(info)})
     _json(about, f"{folder}/run_info", "source", "sample_rate_hz", "duration_s", "chunks", "labels_count", "settings")
 
 
@@ -136,8 +185,29 @@ def index(progress: DataFrame, folder: str) -> None:
     """An HTML page a capture links its results from: one row each, in order of name."""
     safe = F.replace(F.replace(F.replace("file_id", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
     row = F.concat(F.lit("<tr><td>"), safe, F.lit("</td><td>"), "status", F.lit('</td><td><a href="stats/capture='), capture(), F.lit('">results</a></td></tr>'))
-    page = progress.agg(F.sort_array(F.collect_list(F.struct("file_id", row.alias("row")))).alias("rows"))
-    page.select(F.concat(F.lit("<html><body><table><tr><th>Capture</th><th>Status</th><th></th></tr>"), F.array_join("rows.row", "\n"), F.lit("</table></body></html>"))).coalesce(1).write.mode("overwrite").text(folder)
+    spark = progress.sparkSession
+    ends = spark.createDataFrame([(0, "", "<html><body><table><tr><th>Capture</th><th>Status</th><th></th></tr>"), (2, "", "</table></body></html>")], "part int, file_id string, value string")
+    lines = ends.unionByName(progress.select(F.lit(1).alias("part"), "file_id", row.alias("value")))
+    # lines are sorted and written one after the other: no row holds all captures
+    lines.coalesce(1).sortWithinPartitions("part", "file_id").select("value").write.mode("overwrite").text(folder)
+
+
+def batch_summary(progress: DataFrame, folder: str, started: float, ended: float) -> None:
+    """batch_summary: counts, success rate and times of a batch as one JSON document, started and ended as Unix seconds.
+
+    The names of completed and failed captures, a line each, are tables beside it (completed_list, failed_list).
+    """
+    done, bad = (F.count_if(F.col("status") == s) for s in ("completed", "failed"))
+    hours, total = F.lit(max(0.0, ended - started) / 3600), done + bad
+    clock = lambda s: F.date_format(F.timestamp_seconds(F.lit(float(s))), "yyyy-MM-dd HH:mm:ss")
+    fields = {
+        "batch_start_time": clock(started), "last_update": clock(ended), "elapsed_hours": hours, "completed_files": done, "failed_files": bad, "total_processed": total,
+        "success_rate": F.when(total > 0, done / total).otherwise(0.0), "avg_time_per_file_hours": F.when(total > 0, hours / total).otherwise(0.0), "total_duration_s": F.coalesce(F.sum("duration_s"), F.lit(0.0)),
+    }
+    one = progress.agg(*(v.alias(k) for k, v in sorted(fields.items())))
+    one.write.mode("overwrite").json(f"{folder}/batch_summary")
+    for status in ("completed", "failed"):
+        progress.where(F.col("status") == status).select("file_id").write.mode("overwrite").text(f"{folder}/{status}_list")
 
 
 def burst_spectrograms(blocks: DataFrame, spans: DataFrame, nfft: int = 2048, hop: int = 256, block_frames: int = intervals.BLOCK_FRAMES) -> DataFrame:

@@ -10,7 +10,8 @@ any sample is read. Paths go through pyarrow's file systems, so file, hdfs and o
     read_blocks(files, ...)  # the same blocks of a table of files
     spark.read.format("iqmeta").option("path", uri_or_folder).load()
 
-`iqmeta` has a row a file, from its header alone: frames, channels, bits, rate, duration, and whether integers.
+`iqmeta` has a row a file, from its header alone: frames, channels, bits, rate (fs_hz: the hint if there is one;
+fs_header_hz: the header's own, null for raw files), duration, and whether integers.
 
 Options: path (files and folders, by commas; captures whose names hold commas are read from a table, `read_blocks`);
 samples (false: blocks without their samples, which are then not read); form (auto, wav, raw: auto goes by the RIFF or RF64 mark); fallbackRaw
@@ -56,12 +57,19 @@ class Capture:
     width: int
     floating: bool
     fs_hz: float
+    header_hz: float | None = None
 
     @property
     def frame_bytes(self) -> int:
         return self.width * max(2, self.channels)
 
 
+def chunk_frames(memory_mb: int, channels: int = 2, least: int = BLOCK_FRAMES) -> int:
+    """Frames of a chunk whose float32 samples fill memory_mb (64 at least): a multiple of `least`, CHUNK_FRAMES at most."""
+    fit = (max(memory_mb, 64) << 20) // (4 * channels)
+    return min(max(1, fit // least) * least, CHUNK_FRAMES)
+
+
 def _store(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
@@ -94,7 +102,7 @@ def _probe_wav(f, uri: str, fs_hint: float) -> Capture:
             tag, channels, rate, _, _, bits = fmt
             width = bits // 8
             size = min(size, f.size() - at - 8)
-            return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, tag == FLOATING, fs_hint or float(rate))
+            return Capture(uri, at + 8, size // (width * max(2, channels)), channels, width, tag == FLOATING, fs_hint or float(rate), float(rate))
         at += 8 + size + (size & 1)
     raise ValueError(f"{uri} has no data")
 
@@ -238,19 +246,19 @@ class CaptureReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays(columns, [*row, *arrays])
 
 
-META = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("frames", T.LongType()), T.StructField("channels", T.IntegerType()), T.StructField("bits", T.IntegerType()), T.StructField("floating", T.BooleanType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("duration_s", T.DoubleType()), T.StructField("message", T.StringType())])
+META = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("frames", T.LongType()), T.StructField("channels", T.IntegerType()), T.StructField("bits", T.IntegerType()), T.StructField("floating", T.BooleanType()), T.StructField("fs_hz", T.DoubleType()), T.StructField("duration_s", T.DoubleType()), T.StructField("message", T.StringType()), T.StructField("fs_header_hz", T.DoubleType())])
 
 
 def header_row(uri: str, form: str, fs_hint: float, fallback_raw: bool, tolerant: bool) -> pa.RecordBatch:
     """A file's row of META; with tolerant, one whose header cannot be read has the reason as its message."""
     try:
         c = probe(uri, form, fs_hint, fallback_raw)
-        row = (uri, c.frames, c.channels, 8 * c.width, c.floating, c.fs_hz, c.frames / c.fs_hz, None)
+        row = (uri, c.frames, c.channels, 8 * c.width, c.floating, c.fs_hz, c.frames / c.fs_hz, None, c.header_hz)
     except (ValueError, struct.error) as e:
         if not tolerant:
             raise
-        row = (uri, None, None, None, None, None, None, str(e))
-    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.float64(), pa.float64(), pa.string())
+        row = (uri, None, None, None, None, None, None, str(e), None)
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.float64(), pa.float64(), pa.string(), pa.float64())
     return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], META.names)
 
 

@@ -296,7 +296,20 @@ def test_report(spark, tone, tmp_path):
     assert {(r["num_slices"], r["params"]["thresh_dbfs"]) for r in (json.loads(v[0]) for v in spark.read.text(f"{out}/slices_meta").select("value").collect())} == {(1, -60.0)}
     activity_ = spark.read.csv(f"{out}/time_activity", header=True, inferSchema=True)
     assert activity_.columns[:2] == ["time_s", "activity"] and activity_.count() == 2 * (1 + (N - 1024) // 256)
-    assert {json.loads(v[0])["num_carriers"] for v in spark.read.text(f"{out}/summary").select("value").collect()} == {1}
+    summaries = {s["wav"].rpartition("/")[2]: s for s in (json.loads(v[0]) for v in spark.read.text(f"{out}/summary").select("value").collect())}
+    assert {s["num_carriers"] for s in summaries.values()} == {1} and {s["fs_used_hz"] for s in summaries.values()} == {FS}
+    by_name = {s["input_file"].rpartition("/")[2]: s for s in stats}
+    assert by_name["a.r64"]["fs_header_hz"] is None and by_name["b.wav"]["fs_header_hz"] == summaries["b.wav"]["fs_header_hz"] > 0 and by_name["b.wav"]["channels"] == 2
+    assert by_name["b.wav"]["analysis_params"] == {"block_frames": 8192, "chunk_frames": src.CHUNK_FRAMES, "fft_size": ops.IRR_FFT, "passes": 2} and by_name["b.wav"]["covered_duration_s"] == N / FS
+    for name, s in summaries.items():
+        assert s["cfar"] == {"guard": 1, "k": 2.5, "train": 6} and s["optimization"]["waterfall_shape"] == [1024, 1 + (N - 1024) // 256]
+        assert s["irr_analysis"]["conv_applied"] == "I+Q" and s["irr_analysis"]["step1_irr_db"] == by_name[name]["best_irr_db"] and s["irr_analysis"]["verdict"] == "minimal" and abs(s["irr_analysis"]["irr_improvement_db"]) < 1e-9
+    batch = json.loads(spark.read.text(f"{out}/batch_summary").first()[0])
+    assert (batch["completed_files"], batch["failed_files"], batch["total_processed"]) == (2, 1, 3) and np.isclose(batch["success_rate"], 2 / 3) and np.isclose(batch["avg_time_per_file_hours"], batch["elapsed_hours"] / 3)
+    assert [r[0].rpartition("/")[2] for r in spark.read.text(f"{out}/failed_list").collect()] == ["c.wav"]
+    run(steps=("spectrum",), conv="I-Q")  # step one's values come from the earlier run
+    again = [json.loads(v[0])["irr_analysis"] for v in spark.read.text(f"{out}/summary").select("value").collect()]
+    assert {(a["conv_applied"], a["verdict"], a["band"]) for a in again} == {("I-Q", "degraded", "very_poor")} and {a["step1_convention"] for a in again} == {"I+jQ"}
     status = {r["file_id"].rpartition("/")[2]: r["status"] for r in report.progress(spark, out).collect()}
     assert status == {"a.r64": "completed", "b.wav": "completed", "c.wav": "failed"}
     assert "b.wav</td><td>completed" in spark.read.text(f"{out}/index", wholetext=True).first()[0]

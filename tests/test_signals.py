@@ -1,5 +1,6 @@
 """Reading without samples, integer widths, filters, order statistics, long windows and single transforms, against NumPy models."""
 
+import json
 import struct
 import time
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sigmill.functions import kernels
 from sigmill.operators import captures as ops
-from sigmill.operators import extraction, irr
+from sigmill.operators import extraction, features, irr
+from sigmill.plans import outputs
 from sigmill.sources import captures as src
 from sigmill.sources import files
 from tests.test_models import blocks_of, noise
@@ -207,3 +209,48 @@ def test_rates_of_clips_of_two_recordings(spark):
     meta = spark.createDataFrame([("a", 100.0, 0, 10.0), ("a", 100.0, 1, None), ("b", 200.0, 0, 20.0), ("b", 200.0, None, None)], "file string, fs_used_hz double, clip_index long, fs_dec_hz double")
     rates = {(r["file"], r["clip_index"]): r["fs_hz"] for r in files.clip_rates(clips, meta).collect()}
     assert rates == {("a", 0): 10.0, ("a", 1): 100.0, ("b", 0): 20.0, ("b", 1): 200.0, ("c", 0): 1.0}
+
+
+def test_rejection_before_and_after_by_hand(spark):
+    """Signed rejection of each convention, the verdict's and the bands' borders, files without step one."""
+    direct, mirrored = {"I+Q", "Q-I"}, {"I-Q", "Q+I"}
+    rows = [("a", "I+jQ", 12.0, 12.0, -12.0), ("b", "I-jQ", 3.0, -3.0, 3.0), ("c", None, None, None, None), ("d", "I+jQ", 31.0, 31.0, -31.0)]
+    table = spark.createDataFrame(rows, "file_id string, best_convention string, best_irr_db double, direct_db double, mirrored_db double")
+    for conv in (None, *sorted(direct | mirrored)):
+        got = {r["file_id"]: r for r in irr.comparison(table, conv).collect()}
+        for name, best, best_db, plain, mirror in rows:
+            r, used = got[name], conv or {"I+jQ": "I+Q", "I-jQ": "I-Q", None: "I+Q"}[best]
+            want = plain if used in direct else mirror
+            assert (r["conv_applied"], r["corrected_irr_db"], r["step1_irr_db"], r["step1_convention"]) == (used, want, best_db, best or "Unknown")
+            gain = None if want is None else want - best_db
+            assert r["irr_improvement_db"] == gain and r["verdict"] == (None if gain is None else "minimal" if gain > -1 else "degraded")
+    with pytest.raises(ValueError):
+        irr.comparison(table, "I*Q")
+    gains = spark.createDataFrame([(str(g), "I+jQ", 0.0, g, 0.0) for g in (5.01, 5.0, 1.0, -1.0)], table.schema)
+    assert {r["file_id"]: r["verdict"] for r in irr.comparison(gains, "I+Q").collect()} == {"5.01": "significant", "5.0": "moderate", "1.0": "minimal", "-1.0": "degraded"}
+    values = spark.createDataFrame([(v,) for v in (30.1, 30.0, 20.0, 19.9, 10.0, 5.0, 4.9, None)], "v double")
+    assert [r[0] for r in values.select(irr.band(values["v"])).collect()] == ["excellent", "good", "good", "marginal", "marginal", "poor", "very_poor", None]
+    assert [r["band"] for r in irr.bands(spark).orderBy("accuracy_low").collect()] == ["very_poor", "poor", "marginal", "good", "excellent"]
+
+
+def test_feature_files_by_capture(spark, tmp_path):
+    """Features and engineered channels of one capture are replaced, those of others stay."""
+    wave = lambda k: [float(np.cos(0.1 * k * n)) for n in range(64)]
+    table = lambda *names: spark.createDataFrame([(f"d/{f}.wav", c, 1000.0, wave(c + 1), wave(c + 2)) for f in names for c in range(2)], "file_id string, clip_index long, fs_hz double, i array<double>, q array<double>")
+    out = str(tmp_path / "out")
+    for names in (("a", "b"), ("b",)):
+        outputs.features(features.clip_features(table(*names), 32), f"{out}/features")
+        outputs.engineered(features.engineered(table(*names), "amp,phase"), f"{out}/engineered")
+    back = spark.read.csv(f"{out}/features", header=True, inferSchema=True)
+    assert back.columns[:-1] == features.NAMES and back.count() == 4 and {r["T"] for r in back.collect()} == {64}
+    made = spark.read.parquet(f"{out}/engineered/x")
+    assert made.count() == 4 and all(len(r["X"]) == 4 and np.allclose(r["X"][2], np.hypot(r["X"][0], r["X"][1]), atol=1e-6) for r in made.collect())
+    names = [json.loads(r["value"]) for r in spark.read.text(f"{out}/engineered/channels").collect()]
+    assert names == [{"channels": ["I", "Q", "amp", "phase"], "clips": 2}] * 2
+
+
+def test_chunks_of_a_memory_budget():
+    for mb, channels, least in ((1, 2, 1 << 18), (64, 2, 4096), (100, 2, 3000), (64, 1, 1 << 25), (4096, 2, 1 << 18)):
+        n = src.chunk_frames(mb, channels, least)
+        fit = max(mb, 64) * 2**20 / (4 * channels)
+        assert n == min(1 << 24, max(least, fit // least * least))
