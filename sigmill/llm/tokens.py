@@ -57,6 +57,11 @@ def _cuts(word: str) -> list[str] | None:
     Single line breaks stand alone, and so does ASCII punctuation behind a Latin letter or digit, unless an apostrophe
     leads it.
     """
+    core = word.rstrip(string.punctuation)
+    if core.isascii() and core.isalnum():  # the usual case: one line, punctuation at its end at most
+        if len(core) == len(word):
+            return [word]
+        return [word] if word[len(core)] == "'" else [core, " " + word[len(core) :]]
     out = []
     for k, line in enumerate(word.split("\n")):
         if not _plain(line):
