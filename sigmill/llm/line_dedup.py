@@ -22,6 +22,8 @@ MIN_PAGES = 3
 SALTS = 32
 #: The longest list of (host, line) hashes that is broadcast: 16 bytes each.
 BROADCAST_LINES = 200_000
+#: The longest list of one host that each of its lines is compared with where it stands.
+LISTED_LINES = 200
 
 
 def _lines(text: Column) -> Column:
@@ -30,7 +32,8 @@ def _lines(text: Column) -> Column:
 
 def _line_keys(text: Column) -> Column:
     """Hashes of the distinct lines that are not blank."""
-    trimmed = F.filter(F.transform(_lines(text), F.trim), lambda x: x != "")
+    # F.trim by its name would take an element's place as the characters to trim
+    trimmed = F.filter(F.transform(_lines(text), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_distinct(F.transform(trimmed, lambda x: F.xxhash64(x)))
 
 
@@ -44,28 +47,37 @@ def boilerplate_lines(docs: DataFrame, host: str = "source", max_ratio: float =
     return counts.join(totals, ["host", "salt"]).where(F.col("pages") > F.col("host_pages") * F.lit(max_ratio)).select("host", "line_key", "pages", "host_pages")
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES, listed_lines: int = LISTED_LINES) -> DataFrame:
     """docs with text, and n_chars where there is one, of the kept lines, and n_dropped, the number of dropped ones.
 
-    A list of up to `broadcast_lines` boilerplate lines, counted first, goes to the texts, which then stay where they
-    are; a longer one is joined to their lines, and what it hits goes back to the texts by doc_id and host.
+    Where no host has more than `listed_lines` boilerplate lines, counted first, their lists go to the texts, which then
+    stay where they are. Longer lists are joined to the texts' lines, by a broadcast of up to `broadcast_lines` lines in
+    all; the places of the hits go back to the texts by doc_id, host and the text's hash. Work is linear in the lines.
     """
     drop = materialize(boilerplate_lines(docs, host, max_ratio, min_pages).select("host", "line_key"), "boilerplate")
     docs = docs.drop("n_dropped")
-    doc, site, gone = fresh(docs, "doc", "site", "gone")
-    key = F.coalesce(F.col(host), F.lit(""))
-    if drop.count() <= broadcast_lines:
+    doc, site, sig, gone = fresh(docs, "doc", "site", "sig", "gone")
+    key, lines = F.coalesce(F.col(host), F.lit("")), _lines(F.col("text"))
+    size = drop.groupBy("host").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.coalesce(F.max("n"), F.lit(0)).alias("longest")).first()
+    if size["all"] <= broadcast_lines and size["longest"] <= listed_lines:
         by_host = drop.groupBy(F.col("host").alias(site)).agg(F.collect_set("line_key").alias(gone))
         joined = docs.join(F.broadcast(by_host), key == F.col(site), "left")
+        flags = F.transform(lines, lambda x: F.array_contains(gone, F.xxhash64(F.trim(x))))
     else:
-        lines = docs.select(F.col("doc_id").alias("doc"), key.alias("site"), F.explode(_line_keys(F.col("text"))).alias("line"))
-        hits = lines.join(drop, (F.col("site") == F.col("host")) & (F.col("line") == F.col("line_key")), "left_semi")
-        hits = hits.groupBy(F.col("doc").alias(doc), F.col("site").alias(site)).agg(F.collect_set("line").alias(gone))
-        joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col(doc)) & (key == F.col(site)), "left")
-    dropped = lambda x: F.array_contains(gone, F.xxhash64(F.trim(x)))
-    n = F.when(F.col(gone).isNotNull() & F.col("text").isNotNull(), F.size(F.filter(_lines(F.col("text")), dropped))).otherwise(0)
+        each = docs.select(F.col("doc_id").alias("doc"), key.alias("site"), F.xxhash64("text").alias("sig"), F.posexplode(lines).alias("at", "line"))
+        each = each.select("doc", "site", "sig", "at", F.trim("line").alias("line")).where("line <> ''").withColumn("line", F.xxhash64("line"))
+        known = F.broadcast(drop) if size["all"] <= broadcast_lines else drop
+        hits = each.join(known, (F.col("site") == F.col("host")) & (F.col("line") == F.col("line_key")), "left_semi")
+        hits = hits.groupBy(F.col("doc").alias(doc), F.col("site").alias(site), F.col("sig").alias(sig)).agg(F.sort_array(F.collect_set("at")).alias(gone))
+        joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col(doc)) & (key == F.col(site)) & (F.xxhash64("text") == F.col(sig)), "left")
+        # false for the lines between one hit and the next, then true; lines behind the last hit have no flag
+        back = lambda k: F.when(k == 0, -1).otherwise(F.get(F.col(gone), k - 1))
+        flags = F.flatten(F.transform(gone, lambda at, k: F.concat(F.array_repeat(F.lit(False), (at - back(k) - 1).cast("int")), F.array(F.lit(True)))))
+    joined = joined.withColumn(gone, F.when(F.col(gone).isNotNull() & F.col("text").isNotNull(), flags))
+    n = F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.filter(gone, lambda x: x)))
     changed = F.col("n_dropped") > 0
-    text = F.when(changed, F.array_join(F.filter(_lines(F.col("text")), lambda x: ~dropped(x)), "\n")).otherwise(F.col("text"))
+    kept = F.filter(lines, lambda x, k: ~F.coalesce(F.get(F.col(gone), k), F.lit(False)))
+    text = F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text"))
     out = joined.withColumn("n_dropped", n.cast("int")).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -41,8 +41,27 @@ def docs(spark):
 
 
 def test_line_dedup_joins_as_it_broadcasts(spark, docs):
-    a, b = (sorted((r["doc_id"], r["text"], r["n_chars"], r["n_dropped"]) for r in line_dedup.drop_boilerplate(docs, max_ratio=0.02, broadcast_lines=n).collect()) for n in (0, 1000))
-    assert a == b and sum(r[3] for r in a) > 0
+    a, b = (sorted((r["doc_id"], r["text"], r["n_chars"], r["n_dropped"]) for r in line_dedup.drop_boilerplate(docs, max_ratio=0.02, broadcast_lines=n, listed_lines=m).collect()) for n, m in ((0, 0), (1000, 1000)))
+    c = sorted((r["doc_id"], r["text"], r["n_chars"], r["n_dropped"]) for r in line_dedup.drop_boilerplate(docs, max_ratio=0.02, listed_lines=0).collect())
+    assert a == b == c and sum(r[3] for r in a) > 0
+
+
+def test_line_dedup_with_long_lists(spark):
+    """Hosts with thousands of boilerplate lines, pages of thousands of lines, repeated doc_ids with other texts."""
+    shared = [f" shared {k}" for k in range(3000)]
+    rows = [(k // 2, "\n".join(f"own {k} {n}" if n % (k + 2) == 0 else line if n % 3 else "" for n, line in enumerate(shared)), "h" if k < 6 else None, 1) for k in range(9)]
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, source string, n_chars long")
+    want = Counter()
+    for host in ("h", None):
+        pages = [r for r in rows + rows[:1] if r[2] == host]
+        seen = Counter(x for r in pages for x in {y.strip(" ") for y in r[1].split("\n")} - {""})
+        for r in pages:
+            kept = [x for x in r[1].split("\n") if not (seen[x.strip(" ")] >= 3 and seen[x.strip(" ")] > 0.5 * len(pages))]
+            want[r[0], "\n".join(kept), host, 3000 - len(kept)] += 1
+    assert sum(k[3] * n for k, n in want.items()) > 10_000
+    for most, listed in ((200_000, 200), (100, 200), (200_000, 10_000)):  # joined by broadcast, joined, listed
+        got = line_dedup.drop_boilerplate(docs, max_ratio=0.5, broadcast_lines=most, listed_lines=listed).collect()
+        assert Counter((r["doc_id"], r["text"], r["source"], r["n_dropped"]) for r in got) == want
 
 
 @pytest.mark.parametrize("name", sorted(llm.ORACLE_SQL))
@@ -63,8 +82,8 @@ def test_empty_tables_and_other_columns(spark, tmp_path, name):
 
 def test_line_dedup_on_awkward_rows(spark, awkward):
     extra = awkward.selectExpr("*", "1 AS line", "2 AS host", "3 AS pages", "4 AS doc", "5 AS site", "6 AS gone", "7 AS line_key", "8 AS `a.b`")
-    for most in (0, 1000):  # the list is joined, or broadcast
-        out = line_dedup.drop_boilerplate(extra, min_pages=1, max_ratio=0.5, broadcast_lines=most)
+    for most in (0, 1000):  # the list is joined, or compared in place
+        out = line_dedup.drop_boilerplate(extra, min_pages=1, max_ratio=0.5, broadcast_lines=most, listed_lines=most)
         assert out.columns == [*extra.columns, "n_dropped"]
         assert line_dedup.drop_boilerplate(out, min_pages=1, max_ratio=0.5, broadcast_lines=most).columns == out.columns
         got = out.collect()
