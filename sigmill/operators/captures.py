@@ -174,6 +174,13 @@ def with_halo(blocks: DataFrame, *columns: str, before: int = 0, after: int = 0)
     return out
 
 
+def haloed(blocks: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
+    """blocks with a halo of that width, as the source gives it: steps that need no wider one join nothing."""
+    near = with_halo(blocks, *blocks.columns, before=before, after=after)
+    width = {f"{side}_{c}": {"frames": n} for side, n in (("head", before), ("tail", after)) if n for c in "iq"}
+    return near.select(*(F.col(c).alias(c, metadata=width[c]) if c in width else c for c in near.columns))
+
+
 def samples_of(r, before: int = 0, after: int = 0) -> tuple[np.ndarray, int]:
     """A row of with_halo as complex samples, and how many of them precede the block's own."""
     part = lambda side, some: kernels.complex_of(*(np.zeros(0) if (v := getattr(r, f"{side}_{c}")) is None else np.asarray(v)[some] for c in "iq"))

@@ -60,12 +60,22 @@ class Settings:
 PRESETS = {"standard": Settings(), "hybrid": Settings(seg_s=2.0), "industrial": Settings(seg_s=1.0, limit=60)}
 
 
-def voice(blocks: DataFrame, chunks: DataFrame, fs_hz: float, s: Settings) -> tuple[DataFrame, DataFrame]:
+def _step(fs_hz: float, s: Settings) -> int:
+    return max(1, round(fs_hz / s.preview_hz)) if s.preview_hz and fs_hz > s.preview_hz else 1
+
+
+def halo(fs_hz: float, s: Settings = Settings()) -> tuple[int, int]:
+    """The widest halo that a step of infer takes: samples before a block, and behind it."""
+    win, later = iv.smoothing(fs_hz, s.vad_down, s.smooth_ms) if s.vad_db is None else (1, 0)
+    return max(1, (win - 1 - later) * s.vad_down), max(later * s.vad_down, s.vad_size - 1, s.nfft * _step(fs_hz, s), s.crop - 1)
+
+
+def voice(blocks: DataFrame, chunks: DataFrame, fs_hz: float, s: Settings, known: iv.Extent | None = None) -> tuple[DataFrame, DataFrame]:
     """(scaled chunks, segments): segments(file_id, segment_id, chunk_id, start_sample, end_sample, chunk_start, fs_hz)."""
-    scaled = chunks.join(iv.robust_scale(blocks, chunks, s.block_frames), list(iv.KEYS)).persist()
-    energies = iv.frame_energies(blocks, scaled, s.vad_size, s.vad_stride, s.block_frames)
+    scaled = chunks.join(iv.robust_scale(blocks, chunks, s.block_frames, known), list(iv.KEYS)).persist()
+    energies = iv.frame_energies(blocks, scaled, s.vad_size, s.vad_stride, s.block_frames, known)
     if s.vad_db is None:
-        thr = iv.auto_threshold(blocks, scaled, fs_hz, s.vad_down, s.smooth_ms, s.quantile, s.margin_db, s.envelope, s.block_frames)
+        thr = iv.auto_threshold(blocks, scaled, fs_hz, s.vad_down, s.smooth_ms, s.quantile, s.margin_db, s.envelope, s.block_frames, known)
         found = iv.voice_segments(energies.join(thr, list(iv.KEYS)), F.col("threshold_db"), s.hang_db, s.min_ms, s.merge_ms, s.vad_size)
     else:
         found = iv.voice_segments(energies, s.vad_db, s.hang_db, s.min_ms, s.merge_ms, s.vad_size)
@@ -187,13 +197,13 @@ def infer(blocks: DataFrame, classifier: Callable[[np.ndarray], np.ndarray], lab
     have them (sources.captures.metadata) save a read of the blocks."""
     s = settings
     files = lengths(blocks) if files is None else files.select("file_id", "frames", "fs_hz")
-    chunks = iv.chunk_plan(files, s.seg_s, s.overlap_s, s.start_s, s.limit)
-    scaled_chunks, segments = voice(blocks, chunks, fs_hz, s)
+    chunks = iv.chunk_plan(files, s.seg_s, s.overlap_s, s.start_s, s.limit).persist()
+    scaled_chunks, segments = voice(blocks, chunks, fs_hz, s, iv.extent(chunks, s.block_frames))
     segments = segments.persist()
     spans = as_intervals(segments)
-    step = max(1, round(fs_hz / s.preview_hz)) if s.preview_hz and fs_hz > s.preview_hz else 1
-    metrics = iv.radio_metrics(iv.spectra(blocks, spans, s.nfft, s.hop, s.max_frames, step, s.block_frames))
-    scaled = spans.join(iv.robust_scale(blocks, spans, s.block_frames), list(iv.KEYS))
-    logits = frame_logits(iv.model_frames(blocks, scaled, s.channels, s.crop, s.stride, s.block_frames), classifier, s.channels).persist()
+    known = iv.extent(spans, s.block_frames)
+    metrics = iv.radio_metrics(iv.spectra(blocks, spans, s.nfft, s.hop, s.max_frames, _step(fs_hz, s), s.block_frames, known))
+    scaled = spans.join(iv.robust_scale(blocks, spans, s.block_frames, known), list(iv.KEYS))
+    logits = frame_logits(iv.model_frames(blocks, scaled, s.channels, s.crop, s.stride, s.block_frames, known), classifier, s.channels).persist()
     rows = segment_rows(segments, logits, metrics, labels, s.unknown)
-    return Result(rows, frame_predictions(logits, segments, labels), bursts(rows, s.group_ms / 1000), (scaled_chunks, segments, logits))
+    return Result(rows, frame_predictions(logits, segments, labels), bursts(rows, s.group_ms / 1000), (chunks, scaled_chunks, segments, logits))

@@ -8,6 +8,7 @@ takes the rest from the block's halo. What leaves the tasks is a row a frame, or
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,27 @@ from .captures import samples_of, with_halo
 KEYS = ("file_id", "interval_id")
 #: A table of scales or thresholds up to so many rows, counted first, is broadcast.
 BROADCAST_ROWS = 100_000
+#: The same for the lists of intervals by block, of some 30 bytes an interval.
+BROADCAST_TOUCHED = 1_000_000
+#: Intervals of up to so many samples have their quantiles from one row of all values.
+ROW_VALUES = 1 << 20
+#: Frames for a model leave a task in batches of so many bytes, or those of a block.
+BATCH_BYTES = 8 << 20
+
+
+@dataclass(frozen=True)
+class Extent:
+    """Of a table of intervals: the longest, in samples, and how many pairs of an interval and a block that it touches."""
+
+    longest: int
+    touched: int
+
+
+def extent(intervals: DataFrame, block_frames: int = BLOCK_FRAMES) -> Extent:
+    """Reads the table; the steps that are told take neither a shuffle of blocks nor a second pass where they need none."""
+    touched = F.expr(f"(end_sample - 1) div {block_frames} - start_sample div {block_frames} + 1")
+    r = intervals.where("end_sample > start_sample").agg(F.max(F.col("end_sample") - F.col("start_sample")), F.sum(touched)).first()
+    return Extent(r[0] or 0, r[1] or 0)
 
 
 def chunk_plan(files: DataFrame, seg_s: float = 10.0, overlap_s: float = 0.0, start_s: float = 0.0, limit: int = 0) -> DataFrame:
@@ -48,11 +70,12 @@ def evenly_spaced(files: DataFrame, segments: int = 10, seconds: float = 5.0) ->
     return rows.select("file_id", "interval_id", start.alias("start_sample"), (start + F.col("length")).alias("end_sample"))
 
 
-def of_blocks(blocks: DataFrame, intervals: DataFrame, block_frames: int = BLOCK_FRAMES, before: int = 0, after: int = 0, more: tuple[str, ...] = ()) -> DataFrame:
-    """Blocks with `wanted`, the list of intervals that touch them, and the halo asked for."""
+def of_blocks(blocks: DataFrame, intervals: DataFrame, block_frames: int = BLOCK_FRAMES, before: int = 0, after: int = 0, more: tuple[str, ...] = (), known: Extent | None = None) -> DataFrame:
+    """Blocks with `wanted`, the list of intervals that touch them, and the halo asked for. Lists known to be few are broadcast."""
     touched = F.sequence(F.expr(f"start_sample div {block_frames}"), F.expr(f"(end_sample - 1) div {block_frames}"))
     rows = intervals.where("end_sample > start_sample").select("file_id", F.explode(touched).alias("block_id"), F.struct("interval_id", F.col("start_sample").alias("s"), F.col("end_sample").alias("e"), *more).alias("w"))
     wanted = rows.groupBy("file_id", "block_id").agg(F.collect_list("w").alias("wanted"))
+    wanted = F.broadcast(wanted) if known and known.touched <= BROADCAST_TOUCHED else wanted
     return with_halo(blocks, "start_sample", "n", "fs_hz", "i", "q", before=before, after=after).join(wanted, ["file_id", "block_id"])
 
 
@@ -131,7 +154,20 @@ def exact_quantile(parts: DataFrame, keys: tuple[str, ...], q: float) -> DataFra
     return rows.select(*keys, "n", "top", (F.col("a") + part * (F.col("b") - F.col("a"))).alias("value"))
 
 
-def robust_scale(blocks: DataFrame, intervals: DataFrame, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def gathered_quantile(parts: DataFrame, keys: tuple[str, ...], q: float) -> DataFrame:
+    """exact_quantile in one pass: the values of a key are sorted in one row, so they must be few (ROW_VALUES)."""
+    whole = parts.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("y"))).alias("y")).where(F.size("y") > 0)
+    n, value = F.size("y").cast("long"), lambda rank: F.get("y", rank.cast("int")).cast("double")
+    at = (n - 1) * F.lit(float(q))
+    a, b = value(F.floor(at)), value(F.ceil(at))
+    return whole.select(*keys, n.alias("n"), value(n - 1).alias("top"), (a + (at - F.floor(at)) * (b - a)).alias("value"))
+
+
+def _quantile(parts: DataFrame, q: float, known: Extent | None) -> DataFrame:
+    return (gathered_quantile if known and known.longest <= ROW_VALUES else exact_quantile)(parts, KEYS, q)
+
+
+def robust_scale(blocks: DataFrame, intervals: DataFrame, block_frames: int = BLOCK_FRAMES, known: Extent | None = None) -> DataFrame:
     """(file_id, interval_id, scale): the 99.9th percentile of max(|i|, |q|), or the largest where that is under 1e-6, or 1."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,8 +177,8 @@ def robust_scale(blocks: DataFrame, intervals: DataFrame, block_frames: int = BL
                     y = np.maximum(np.abs(x.real), np.abs(x.imag))[lead : lead + own]
                     yield pd.DataFrame({"file_id": [r.file_id], "interval_id": [w["interval_id"]], "y": [y.astype(np.float32)]})
 
-    parts = of_blocks(blocks, intervals, block_frames).mapInPandas(run, "file_id string, interval_id long, y array<float>")
-    found = exact_quantile(parts, KEYS, 0.999)
+    parts = of_blocks(blocks, intervals, block_frames, known=known).mapInPandas(run, "file_id string, interval_id long, y array<float>")
+    found = _quantile(parts, 0.999, known)
     return found.select(*KEYS, F.when(F.col("value") >= 1e-6, F.col("value")).when(F.col("top") >= 1e-6, F.col("top")).otherwise(1.0).alias("scale"))
 
 
@@ -151,7 +187,7 @@ def _scaled(x: np.ndarray, scale: float | None) -> np.ndarray:
     return x if scale is None else np.clip(x.real / scale, -4, 4) + 1j * np.clip(x.imag / scale, -4, 4)
 
 
-def frame_energies(blocks: DataFrame, intervals: DataFrame, size: int = 4096, hop: int = 2048, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def frame_energies(blocks: DataFrame, intervals: DataFrame, size: int = 4096, hop: int = 2048, block_frames: int = BLOCK_FRAMES, known: Extent | None = None) -> DataFrame:
     """(file_id, interval_id, at, total, fs_hz, energy_db): mean square over both channels of each frame of an interval.
 
     intervals may have a column scale (see robust_scale). at counts from the interval's start; total is its length.
@@ -170,18 +206,23 @@ def frame_energies(blocks: DataFrame, intervals: DataFrame, size: int = 4096, ho
                     mean = np.maximum((p[b] - p[a]) / (2 * np.maximum(b - a, 1)), 1e-12)
                     yield pd.DataFrame({"file_id": r.file_id, "interval_id": w["interval_id"], "at": starts, "total": total, "fs_hz": r.fs_hz, "energy_db": 10 * np.log10(mean)})
 
-    near = of_blocks(blocks, intervals, block_frames, after=size - 1, more=more)
+    near = of_blocks(blocks, intervals, block_frames, after=size - 1, more=more, known=known)
     return near.mapInPandas(run, "file_id string, interval_id long, at long, total long, fs_hz double, energy_db double")
 
 
-def auto_threshold(blocks: DataFrame, intervals: DataFrame, fs_hz: float, down: int = 1, smooth_ms: float = 0.54, quantile: float = 0.98, margin_db: float = 6.0, envelope: bool = False, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def smoothing(fs_hz: float, down: int = 1, smooth_ms: float = 0.54) -> tuple[int, int]:
+    """auto_threshold's boxcar: its width in kept samples, and how many of them lie behind its place."""
+    win = max(4, int(fs_hz / down * smooth_ms / 1000))
+    return win, (win - 1) // 2
+
+
+def auto_threshold(blocks: DataFrame, intervals: DataFrame, fs_hz: float, down: int = 1, smooth_ms: float = 0.54, quantile: float = 0.98, margin_db: float = 6.0, envelope: bool = False, block_frames: int = BLOCK_FRAMES, known: Extent | None = None) -> DataFrame:
     """(file_id, interval_id, threshold_db): a quantile of the smoothed power (or envelope) and a margin.
 
     The boxcar has zero padded edges and a constant divisor; an interval shorter than it is not smoothed. down takes
     every so-manieth sample; 1, the default, takes all (the surveyed scripts: 100, and 2,000,000 points at most).
     """
-    win = max(4, int(fs_hz / down * smooth_ms / 1000))
-    later = (win - 1) // 2
+    win, later = smoothing(fs_hz, down, smooth_ms)
     before, after = (win - 1 - later) * down, later * down
     more = ("scale",) if "scale" in intervals.columns else ()
 
@@ -204,8 +245,8 @@ def auto_threshold(blocks: DataFrame, intervals: DataFrame, fs_hz: float, down:
                     if len(y):
                         yield pd.DataFrame({"file_id": [r.file_id], "interval_id": [w["interval_id"]], "y": [np.maximum(y, 0).astype(np.float32)]})
 
-    parts = of_blocks(blocks, intervals, block_frames, before, after, more).mapInPandas(run, "file_id string, interval_id long, y array<float>")
-    floor = exact_quantile(parts, KEYS, quantile)
+    parts = of_blocks(blocks, intervals, block_frames, before, after, more, known).mapInPandas(run, "file_id string, interval_id long, y array<float>")
+    floor = _quantile(parts, quantile, known)
     return floor.select(*KEYS, (10 * F.log10(F.greatest("value", F.lit(1e-12)) * 10 ** (margin_db / 10) + 1e-12)).alias("threshold_db"))
 
 
@@ -227,7 +268,7 @@ def voice_segments(energies: DataFrame, threshold: Column | float = -35.0, hang_
     return runs.groupBy(*KEYS, "fs_hz", "run").agg(F.min("at").alias("start"), F.max_by("stop", "at").alias("stop")).drop("run")
 
 
-def spectra(blocks: DataFrame, intervals: DataFrame, nfft: int = 4096, hop: int = 1024, max_frames: int | None = 8192, step: int = 1, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def spectra(blocks: DataFrame, intervals: DataFrame, nfft: int = 4096, hop: int = 1024, max_frames: int | None = 8192, step: int = 1, block_frames: int = BLOCK_FRAMES, known: Extent | None = None) -> DataFrame:
     """(file_id, interval_id, fs_hz, p_db array): the mean power of an interval's frames, centred bins.
 
     Symmetric Hann window, divided by its energy; max_frames leaves out frames evenly, step takes every so-manieth
@@ -251,7 +292,7 @@ def spectra(blocks: DataFrame, intervals: DataFrame, nfft: int = 4096, hop: int
                     p = kernels.strided_power(x, local, nfft, step)
                     yield pd.DataFrame({"file_id": r.file_id, "interval_id": w["interval_id"], "fs_hz": r.fs_hz / step, "bin": np.arange(nfft), "p": p, "frames": len(starts)})
 
-    parts = of_blocks(blocks, intervals, block_frames, after=reach).mapInPandas(run, "file_id string, interval_id long, fs_hz double, bin int, p double, frames long")
+    parts = of_blocks(blocks, intervals, block_frames, after=reach, known=known).mapInPandas(run, "file_id string, interval_id long, fs_hz double, bin int, p double, frames long")
     mean = parts.groupBy(*KEYS, "fs_hz", "bin").agg((F.sum("p") / F.sum("frames")).alias("p"))
     db = 10 * F.log10(F.greatest("p", F.lit(1e-20)))
     lists = mean.groupBy(*KEYS, "fs_hz").agg(F.sort_array(F.collect_list(F.struct("bin", db.alias("db")))).alias("s"))
@@ -269,16 +310,18 @@ def radio_metrics(spectra: DataFrame, below_db: float = 20.0) -> DataFrame:
     return spectra.select(*KEYS, "fs_hz", "p_db").mapInPandas(run, "file_id string, interval_id long, rf_offset_hz double, bandwidth_hz double, snr_db double")
 
 
-def model_frames(blocks: DataFrame, intervals: DataFrame, channels: int = 14, size: int = 16_384, hop: int = 8_192, block_frames: int = BLOCK_FRAMES) -> DataFrame:
+def model_frames(blocks: DataFrame, intervals: DataFrame, channels: int = 14, size: int = 16_384, hop: int = 8_192, block_frames: int = BLOCK_FRAMES, known: Extent | None = None) -> DataFrame:
     """(file_id, interval_id, at, fs_hz, x array of channels * size floats): a model's input, frame by frame.
 
     Channels: i, q over the interval's scale (column scale; see robust_scale), amplitude, phase and its step from the
     sample before (0 at the interval's start), repeated to the number asked for. A short interval is zero filled.
     """
+    names = ["file_id", "interval_id", "at", "fs_hz", "x"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
+                found = []
                 for w, x, lead, own, at in pieces(r, 1, size - 1):
                     y = _scaled(x, w["scale"])
                     phase = np.angle(y)
@@ -288,7 +331,12 @@ def model_frames(blocks: DataFrame, intervals: DataFrame, channels: int = 14, si
                         part = base[:, k : k + size]
                         part = np.pad(part, ((0, 0), (0, size - part.shape[1])))
                         x_out = np.tile(part, (-(-channels // 5), 1))[:channels]
-                        yield pd.DataFrame({"file_id": [r.file_id], "interval_id": [w["interval_id"]], "at": [start], "fs_hz": [r.fs_hz], "x": [x_out.ravel()]})
-
-    near = of_blocks(blocks, intervals, block_frames, 1, size - 1, ("scale",))
+                        found.append((r.file_id, w["interval_id"], start, r.fs_hz, x_out.ravel()))
+                        if len(found) * x_out.nbytes >= BATCH_BYTES:
+                            yield pd.DataFrame(found, columns=names)
+                            found = []
+                if found:
+                    yield pd.DataFrame(found, columns=names)
+
+    near = of_blocks(blocks, intervals, block_frames, 1, size - 1, ("scale",), known)
     return near.mapInPandas(run, "file_id string, interval_id long, at long, fs_hz double, x array<float>")

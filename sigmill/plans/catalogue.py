@@ -266,8 +266,10 @@ def linear_classifier(x: np.ndarray) -> np.ndarray:
 
 
 def _inferred(spark: SparkSession, sf_dir: str) -> inference.Result:
-    """The table's rows are grouped to blocks once; captures are read from their files by each step."""
-    return inference.infer(tables.blocks(spark, sf_dir).persist(), linear_classifier, ["up", "side"], 1000.0, _settings())
+    """The table's rows are grouped to blocks once, and get their halo once; captures are read from their files by each step."""
+    s = _settings()
+    blocks = ops.haloed(tables.blocks(spark, sf_dir).persist(), *inference.halo(1000.0, s)).persist()
+    return inference.infer(blocks, linear_classifier, ["up", "side"], 1000.0, s)
 
 
 def inference_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

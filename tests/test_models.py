@@ -622,6 +622,42 @@ def test_synthetic_captures_do_not_depend_on_partitions(spark):
     assert not np.allclose(a[0]["i"], tables.synthetic(spark, 0.02, 1e6, 3, 6, block_frames=4096).where("block_id = 0").first()["i"])
 
 
+def test_short_intervals_take_one_pass_and_no_shuffle_of_blocks(spark):
+    x = noise(3000, 31)
+    plain = blocks_of(spark, x, 512)
+    spans = [(0, 0, 3000), (1, 500, 900), (2, 511, 513), (3, 40, 40), (4, 512, 1024)]
+    table = spark.createDataFrame([("f", *v, 1.5) for v in spans], "file_id string, interval_id long, start_sample long, end_sample long, scale double")
+    known = iv.extent(table, 512)
+    assert known == iv.Extent(3000, 6 + 2 + 2 + 1) and iv.extent(table.limit(0), 512) == iv.Extent(0, 0)
+    blocks = ops.haloed(plain, 3, 255)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    steps = {
+        "scale": lambda b, k: iv.robust_scale(b, table.drop("scale"), 512, k), "energy": lambda b, k: iv.frame_energies(b, table, 64, 32, 512, k), "threshold": lambda b, k: iv.auto_threshold(b, table, 1000.0, 1, 7.0, 0.5, block_frames=512, known=k),
+        "spectra": lambda b, k: iv.spectra(b, table, 64, 32, 50, 1, 512, k), "frames": lambda b, k: iv.model_frames(b, table, 5, 256, 128, 512, k),
+    }
+    for name, step in steps.items():
+        got, want = step(blocks, known), step(plain, None)
+        assert plan(got).count("Join ") == plan(blocks).count("Join ") + 1 and "broadcast" in plan(got), name  # the lists of intervals alone
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() >= 4, name
+
+
+def test_inference_is_the_same_by_either_way_of_quantiles_and_joins(spark, monkeypatch):
+    rng = np.random.default_rng(32)
+    loud = np.repeat(rng.random(40) < 0.5, rng.integers(50, 300, 40))
+    x = noise(len(loud), 32) * np.where(loud, 1.0, 0.05) * np.exp(2j * np.pi * 0.1 * np.arange(len(loud)))
+    s = inference.Settings(seg_s=2.0, channels=5, crop=256, stride=128, vad_size=64, vad_stride=32, vad_db=None, quantile=0.5, margin_db=-2.6, hang_db=0.4, min_ms=96, merge_ms=64, smooth_ms=9.0, nfft=64, hop=32, preview_hz=None, block_frames=512)
+    assert inference.halo(1000.0, s) == (4, 255) and inference.halo(1000.0, inference.PRESETS["standard"]) == (1, 16_383)
+    plain, found = blocks_of(spark, x, 512), []
+    for blocks, limit in ((plain, 1 << 20), (ops.haloed(plain, *inference.halo(1000.0, s)), 1 << 20), (plain, -1)):
+        monkeypatch.setattr(iv, "ROW_VALUES", limit)
+        monkeypatch.setattr(iv, "BROADCAST_TOUCHED", limit)
+        monkeypatch.setattr(iv, "BATCH_BYTES", abs(limit))
+        result = inference.infer(blocks, catalogue.linear_classifier, ["up", "side"], 1000.0, s)
+        found.append([sorted(map(str, df.collect())) for df in (result.segments, result.frames)])
+        result.release()
+    assert found[0] == found[1] == found[2] and all(len(rows) > 5 for rows in found[0])
+
+
 def test_result_files_of_inference(spark, tmp_path):
     x = noise(3000, 19)
     s = inference.Settings(seg_s=2.0, channels=5, crop=256, stride=128, vad_size=64, vad_stride=32, vad_db=-100.0, min_ms=0, nfft=64, hop=32, preview_hz=None, block_frames=512)
