@@ -22,7 +22,7 @@ from .captures import samples_of, with_halo
 KEYS = ("file_id", "interval_id")
 #: A table of scales or thresholds up to so many rows, counted first, is broadcast.
 BROADCAST_ROWS = 100_000
-#: The same for the lists of intervals by block, of some 30 bytes an interval.
+#: The same for the lists of intervals by block, of some 50 bytes an interval and block.
 BROADCAST_TOUCHED = 1_000_000
 #: Intervals of up to so many samples have their quantiles from one row of all values.
 ROW_VALUES = 1 << 20
